@@ -65,6 +65,39 @@ def with_row_number(
     )
 
 
+def with_dense_ids(df: DataFrame, order: Sequence[str], name: str, start: int = 1, chunk: int = 100_000) -> DataFrame:
+    """Dense numbers in ``order``, then by all other columns.
+
+    Copies of a row cannot be told apart, so they are counted (map-side) and
+    ranked as one row, then take as many consecutive numbers as there are
+    copies.  A row with more than ``chunk`` copies is expanded by several tasks.
+    """
+    ordered = [*order, *[c for c in df.columns if c not in order]]
+    rows = range_sorted(df.groupBy(*df.columns).agg(F.count("*").alias("_copies")), ordered, "ids")
+    offsets = _carried(rows.groupBy(PART).agg(F.sum("_copies").alias("_n")), "_n", []).select(PART, "_before")
+    before = W.partitionBy(PART).orderBy(POS).rowsBetween(W.unboundedPreceding, -1)
+    first = F.col("_before") + F.coalesce(F.sum("_copies").over(before), F.lit(0)) + F.lit(start)
+    numbered = rows.join(F.broadcast(offsets), PART).select(*df.columns, "_copies", first.cast("bigint").alias("_first"))
+
+    def expanded(part: DataFrame) -> DataFrame:
+        ids = F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_copies") - 1))
+        return part.withColumn(name, ids).select(*df.columns, name)
+
+    most = rows.agg(F.max("_copies")).first()[0]
+    if most is None or most <= chunk:
+        return expanded(numbered)
+    usual = numbered.where(F.col("_copies") <= chunk)
+    pieces = (
+        numbered.where(F.col("_copies") > chunk)
+        .withColumn("_at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(chunk).cast("bigint"))))
+        .withColumn("_first", F.col("_first") + F.col("_at"))
+        .withColumn("_copies", F.least(F.lit(chunk), F.col("_copies") - F.col("_at")))
+        .drop("_at")
+        .repartition("_first")
+    )
+    return expanded(usual).unionByName(expanded(pieces))
+
+
 def with_percent_rank(df: DataFrame, value: str, tie_break: Sequence[str], name: str) -> DataFrame:
     """``percent_rank() over (order by value nulls first)``; ties share the rank of their first row.
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from wharfline.suite.shaped import VIEWS as SHAPED
+
 VIEWS: dict[str, str] = {
     "v_suppliers": """
         select s_suppkey supplier_id, s_name supplier_name, n_name country,
@@ -46,9 +48,9 @@ VIEWS: dict[str, str] = {
 }
 
 
-def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
+def with_views(sql: str) -> str:
     """Prefix ``sql`` with the views it names, directly or through other views."""
-    texts = {**VIEWS, **(extra or {})}
+    texts = {**VIEWS, **SHAPED}
     used: list[str] = []
 
     def visit(text: str) -> None:
