@@ -51,7 +51,7 @@ def shifted_sales(spark: SparkSession, sf: str) -> DataFrame:
 
 def low_products(spark: SparkSession, sf: str) -> DataFrame:
     return B.products(spark, sf).withColumns(
-        {"unit_cost": F.col("unit_cost") - 950, "reorder_level": F.col("reorder_level") - 5}
+        {"unit_cost": (F.col("unit_cost") - 950).cast("decimal(10,2)"), "reorder_level": F.col("reorder_level") - 5}
     )
 
 
@@ -88,7 +88,7 @@ VIEWS = {
         select * replace (case when quantity_sold <> 21 then product_id + 7 end as product_id,
                           warehouse_id + 3 as warehouse_id) from v_sales""",
     "v_low_products": """
-        select * replace (unit_cost - 950 as unit_cost, reorder_level - 5 as reorder_level) from v_products""",
+        select * replace (cast(unit_cost - 950 as decimal(10,2)) as unit_cost, reorder_level - 5 as reorder_level) from v_products""",
     "v_low_inventory": "select * replace (quantity_on_hand - 30 as quantity_on_hand) from v_inventory",
     "v_low_orders": "select * replace (order_quantity - 5 as order_quantity) from v_orders",
     "v_low_sales": "select * replace (quantity_sold - 5 as quantity_sold) from v_gappy_sales",
