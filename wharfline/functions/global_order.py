@@ -176,62 +176,6 @@ def forward_fill(
     return joined.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
-def exact_quantiles(counts: DataFrame, probs: Sequence[float], group: str = "column_name") -> DataFrame:
-    """Linearly interpolated quantiles per group from ``(group, value, n)`` rows of non-null values.
-
-    ``counts`` must be the result of ``sorted_counts``.  The built-in exact
-    percentile keeps all distinct values of a group in one task; here a running
-    total over range partitions finds the partition of each wanted rank, and
-    only those partitions are read again.
-    """
-    parts = counts.groupBy(group, PART).agg(F.sum("n").alias("_n"))
-    parts = _carried(parts, "_n", [group]).withColumn("_rows", F.sum("_n").over(W.partitionBy(group)))
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.lit(upper).alias("upper"),
-                (F.ceil if upper else F.floor)((F.col("_rows") - 1) * F.lit(float(p))).alias("rank"),
-            )
-            for i, p in enumerate(probs)
-            for upper in (False, True)
-        ]
-    )
-    in_part = F.filter(
-        wanted, lambda w: (w["rank"] >= F.col("_before")) & (w["rank"] < F.col("_before") + F.col("_n"))
-    )
-    # At most two ranks per probability and group, whatever the data size.
-    hits = parts.withColumn("_wanted", in_part).where(F.size("_wanted") > 0).select(
-        group, PART, "_before", "_rows", "_wanted"
-    )
-    upto = W.partitionBy(group, PART).orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    found = (
-        counts.join(F.broadcast(hits), [group, PART])
-        .withColumn("_upto", F.col("_before") + F.sum("n").over(upto))
-        .withColumn(
-            "_hit",
-            F.explode(
-                F.filter("_wanted", lambda w: (w["rank"] < F.col("_upto")) & (w["rank"] >= F.col("_upto") - F.col("n")))
-            ),
-        )
-    )
-
-    def pick(i: int, upper: bool) -> Column:
-        return F.max(F.when((F.col("_hit.i") == i) & (F.col("_hit.upper") == upper), F.col("value")))
-
-    picked = found.groupBy(group).agg(
-        F.max("_rows").alias("_rows"),
-        *[pick(i, upper).alias(f"_{i}_{int(upper)}") for i in range(len(probs)) for upper in (False, True)],
-    )
-
-    def interpolate(i: int, p: float) -> Column:
-        place = (F.col("_rows") - 1) * F.lit(float(p))
-        low, high = F.col(f"_{i}_0"), F.col(f"_{i}_1")
-        return low + (high - low) * (place - F.floor(place))
-
-    return picked.select(group, *[interpolate(i, p).alias(f"q{i}") for i, p in enumerate(probs)])
-
-
 def value_counts(df: DataFrame, columns: Sequence[str], as_type: str = "double") -> DataFrame:
     """``(column_name, value, n)``: one row per column and distinct value, NULL included.
 
@@ -240,8 +184,3 @@ def value_counts(df: DataFrame, columns: Sequence[str], as_type: str = "double")
     cast = df.select(*[F.col(c).cast(as_type).alias(c) for c in columns])
     long = cast.unpivot([], list(columns), "column_name", "value")
     return long.groupBy("column_name", "value").agg(F.count("*").alias("n"))
-
-
-def sorted_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Value counts of numeric columns in range partitions, written once for the readers of ranks."""
-    return range_sorted(value_counts(df, columns), ["column_name", F.col("value").asc_nulls_first()], "counts")

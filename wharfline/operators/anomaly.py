@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wharfline.functions import global_order as G
-from wharfline.functions.scalars import is_true, percent, percent_text
+from wharfline.functions.scalars import is_true, percent_text
 from wharfline.operators.profile import quantiles
 from wharfline.schemas import numeric_columns
 
@@ -20,25 +20,22 @@ SCAN_SCHEMA = (
 )
 
 
-def _fences(quartiles: DataFrame, multiplier: float) -> DataFrame:
-    """``(column_name, lower, upper)`` from rows with ``q0`` and ``q1`` as first and third quartile."""
-    spread = F.col("q1") - F.col("q0")
-    return quartiles.select(
-        "column_name",
-        (F.col("q0") - F.lit(float(multiplier)) * spread).alias("lower"),
-        (F.col("q1") + F.lit(float(multiplier)) * spread).alias("upper"),
-    )
+Fence = tuple[float, float]
+
+
+def _fence(q1: float, q3: float, multiplier: float) -> Fence:
+    return q1 - multiplier * (q3 - q1), q3 + multiplier * (q3 - q1)
 
 
 def iqr_bounds(
     df: DataFrame, columns: Sequence[str], multiplier: float = 1.5, approximate: bool = False
-) -> dict[str, tuple[float, float]]:
-    """Lower and upper fence per column: a few numbers, used as literals so that scans can skip row groups."""
-    found = _fences(quantiles(df, columns, (0.25, 0.75), approximate), multiplier).collect()
-    return {r["column_name"]: (r["lower"], r["upper"]) for r in found}
+) -> dict[str, Fence]:
+    """Lower and upper fence per column with values: a few numbers, so that scans can skip row groups by them."""
+    found, _ = quantiles(df, columns, (0.25, 0.75), approximate)
+    return {c: _fence(q1, q3, multiplier) for c, (q1, q3) in found.items() if q1 is not None}
 
 
-def _outside(column: str, bounds: tuple[float, float]) -> Column:
+def _outside(column: str, bounds: Fence) -> Column:
     value = F.col(column).cast("double")
     return (value < F.lit(bounds[0])) | (value > F.lit(bounds[1]))
 
@@ -62,7 +59,7 @@ def flag_outliers_zscore(df: DataFrame, column: str, threshold: float = 3.0, nam
 
 
 def outlier_samples(
-    df: DataFrame, bounds: dict[str, tuple[float, float]], order_by: Sequence[str], k: int = 10
+    df: DataFrame, bounds: dict[str, Fence], order_by: Sequence[str], k: int = 10
 ) -> DataFrame:
     """``(column_name, rank, value)``: the first k outliers per column in ``order_by``.
 
@@ -95,6 +92,20 @@ def outlier_samples(
     )
 
 
+def _varied(df: DataFrame, columns: Sequence[str], estimates: dict[str, int], min_distinct: int) -> list[str]:
+    """Columns with more than ``min_distinct`` values.
+
+    An estimate far above the limit decides; only columns near it are counted
+    exactly, and their few values collapse before the shuffle.
+    """
+    near = [c for c in columns if estimates[c] <= 10 * min_distinct]
+    exact = {}
+    if near:
+        values = G.value_counts(df, near).where(F.col("value").isNotNull())
+        exact = {r["column_name"]: r["n"] for r in values.groupBy("column_name").agg(F.count("*").alias("n")).collect()}
+    return [c for c in columns if (exact.get(c, 0) if c in near else estimates[c]) > min_distinct]
+
+
 def anomaly_scan(
     df: DataFrame,
     table: str,
@@ -102,56 +113,34 @@ def anomaly_scan(
     multiplier: float = 1.5,
     min_distinct: int = 10,
     k: int = 10,
+    approximate: bool = False,
 ) -> DataFrame:
     """IQR outliers of every numeric column with more than ``min_distinct`` values.
 
-    Distinct counts, quartiles and outlier counts all come from one table of
-    value counts; the data is read again only for the sample values.
-    The percentage is of all rows, NULLs included.
+    The first scan takes distinct estimates and sketches of all columns, one
+    more counts the outliers of all columns, and the last reads sample values
+    through the fences.  The percentage is of all rows, NULLs included.
     """
     columns = numeric_columns(df)
-    if not columns:
-        return df.sparkSession.createDataFrame([], SCAN_SCHEMA)
-    counts = G.sorted_counts(df, columns)
-    quartiles = G.exact_quantiles(counts.where(F.col("value").isNotNull()), (0.25, 0.75))
-    sizes = counts.groupBy("column_name").agg(F.sum("n").alias("rows"), F.count("value").alias("distinct"))
-    fences = (
-        sizes.where(F.col("distinct") > min_distinct).join(F.broadcast(_fences(quartiles, multiplier)), "column_name")
-    ).select("column_name", "rows", "lower", "upper")
-    found = fences.collect()  # one row per column
-    if not found:
-        return df.sparkSession.createDataFrame([], SCAN_SCHEMA)
-    bounds = {r["column_name"]: (r["lower"], r["upper"]) for r in found}
-    items = [
-        F.struct(
-            F.lit(r["column_name"]).alias("column_name"),
-            F.lit(r["rows"]).cast("bigint").alias("rows"),
-            F.lit(r["lower"]).alias("lower"),
-            F.lit(r["upper"]).alias("upper"),
-        )
-        for r in found
-    ]
-    fence_rows = df.sparkSession.range(1).select(F.inline(F.array(*items)))
-    outside = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
-    totals = (
-        counts.join(F.broadcast(fence_rows), "column_name")
-        .groupBy("column_name")
-        .agg(
-            F.max("rows").alias("rows"),
-            F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("outlier_count"),
-        )
-    )
+    spark = df.sparkSession
+    distinct = [F.approx_count_distinct(F.col(c).cast("double")).alias(f"_d{i}") for i, c in enumerate(columns)]
+    found, seen = quantiles(df, columns, (0.25, 0.75), approximate, also=[F.count("*").alias("_rows"), *distinct])
+    estimates = {c: seen[f"_d{i}"] for i, c in enumerate(columns)}
+    varied = _varied(df, columns, estimates, min_distinct)
+    if not varied:
+        return spark.createDataFrame([], SCAN_SCHEMA)
+    bounds = {c: _fence(*found[c], multiplier) for c in varied}
+    counts = df.agg(*[F.count_if(_outside(c, b)) for c, b in bounds.items()]).first()
+    outliers = dict(zip(varied, counts))
+    rows = [(table, c, "IQR", n, n / seen["_rows"] * 100) for c, n in outliers.items()]
+    totals = spark.createDataFrame(rows, SCAN_SCHEMA.rsplit(",", 1)[0])
     samples = (
-        outlier_samples(df, bounds, order_by or df.columns, k)
+        outlier_samples(df, {c: b for c, b in bounds.items() if outliers[c]}, order_by or df.columns, k)
         .groupBy("column_name")
         .agg(F.array_sort(F.collect_list(F.struct("rank", "value"))).alias("_s"))  # k per column
     )
     return totals.join(F.broadcast(samples), "column_name", "left").select(
-        F.lit(table).alias("table_name"),
-        "column_name",
-        F.lit("IQR").alias("method"),
-        "outlier_count",
-        percent(F.col("outlier_count"), F.col("rows")).alias("outlier_percentage"),
+        *totals.columns,
         F.coalesce(F.transform("_s", lambda s: s["value"]), F.array().cast("array<double>")).alias("outlier_values"),
     )
 

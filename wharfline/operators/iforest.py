@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wharfline.functions import global_order as G
+from wharfline.functions.quantiles import exact_quantiles
 from wharfline.session import cut
 
 NODE_SCHEMA = "tree int, node int, feature int, split double, child int, path double"
@@ -125,5 +125,5 @@ def isolation_forest(
         return pd.Series(np.exp2(-f["path"][at].mean(axis=1) / f["norm"]))
 
     scored = cut(rows.select(*key, F.round(score(F.struct(*features)), 12).alias("score")), "scored")
-    limit = G.exact_quantiles(G.sorted_counts(scored, ["score"]), [1.0 - contamination]).first()["q0"]
+    limit = exact_quantiles(scored, ["score"], [1.0 - contamination])[0]["score"][0]
     return scored.withColumn("prediction", F.when(F.col("score") > limit, -1).otherwise(1))

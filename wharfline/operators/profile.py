@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharfline.functions import global_order as G
-from wharfline.functions.scalars import percent, percent_text, sample_kurtosis, sample_skewness
-from wharfline.operators.validate import duplicate_count, null_counts
+from wharfline.functions.quantiles import exact_quantiles
+from wharfline.functions.scalars import percent_text, sample_kurtosis, sample_skewness
+from wharfline.operators.validate import duplicate_count
 from wharfline.schemas import is_numeric, is_temporal
 
 QUARTILES = (0.25, 0.5, 0.75)
 TOP = 10
+NUMERIC_STATS = (
+    "count bigint, missing bigint, mean double, median double, std double, min double, max double, "
+    "q25 double, q75 double, skewness double, kurtosis double"
+)
+DATE_STATS = "count bigint, missing bigint, min_date string, max_date string, date_range_days bigint"
+CATEGORICAL_STATS = (
+    "count bigint, missing bigint, unique_count bigint, top_value string, top_frequency bigint, "
+    "value_distribution array<struct<value:string,frequency:bigint>>"
+)
 
 
 def column_kinds(df: DataFrame) -> dict[str, str]:
@@ -33,15 +43,37 @@ def _of_kind(df: DataFrame, kind: str, columns: Sequence[str] | None) -> list[st
     return list(columns) if columns is not None else [c for c, k in column_kinds(df).items() if k == kind]
 
 
-def _rows_per_column(df: DataFrame, columns: Sequence[str], of: Callable[[str], dict[str, Column]]) -> DataFrame:
-    """Aggregate ``of(column)`` for all columns in one scan, then one row per column."""
-    one = df.agg(*[F.struct(*[v.alias(k) for k, v in of(c).items()]).alias(f"_{i}") for i, c in enumerate(columns)])
-    names = list(of(columns[0]))
-    items = [
-        F.struct(F.lit(c).alias("column_name"), *[F.col(f"_{i}.{n}").alias(n) for n in names])
-        for i, c in enumerate(columns)
-    ]
-    return one.select(F.inline(F.array(*items)))
+def _moments(c: str) -> Column:
+    x = F.col(c).cast("double")
+    return F.struct(
+        F.count(x).alias("count"),
+        F.count_if(x.isNull()).alias("missing"),
+        F.avg(x).alias("mean"),
+        F.stddev_samp(x).alias("std"),
+        F.min(x).alias("min"),
+        F.max(x).alias("max"),
+        sample_skewness(x, F.count(x)).alias("skewness"),
+        sample_kurtosis(x, F.count(x)).alias("kurtosis"),
+    )
+
+
+def _numeric_scan(
+    df: DataFrame, columns: Sequence[str], approximate: bool, also: Sequence[Column] = ()
+) -> tuple[dict[str, tuple], Row]:
+    """Statistics per numeric column in the order of NUMERIC_STATS, and the row of the ``also`` aggregates.
+
+    Moments, sketches and the extra aggregates share the first scan.
+    """
+    moments = [_moments(c).alias(f"_m{i}") for i, c in enumerate(columns)]
+    quartiles, seen = quantiles(df, columns, QUARTILES, approximate, also=[*moments, *also])
+    stats = {}
+    for i, c in enumerate(columns):
+        m = seen[f"_m{i}"]
+        q25, median, q75 = quartiles[c]
+        stats[c] = (
+            m["count"], m["missing"], m["mean"], median, m["std"], m["min"], m["max"], q25, q75, m["skewness"], m["kurtosis"],
+        )
+    return stats, seen
 
 
 def quantiles(
@@ -50,52 +82,24 @@ def quantiles(
     probs: Sequence[float] = QUARTILES,
     approximate: bool = False,
     accuracy: int = 10_000,
-) -> DataFrame:
-    """``(column_name, q0, q1, …)``: exact by default, or within n/accuracy ranks from one sketch pass."""
+    also: Sequence[Column] = (),
+) -> tuple[dict[str, list[float | None]], Row]:
+    """Quantiles per column: exact by default, or within n/accuracy ranks from one sketch pass."""
     if not approximate:
-        counts = G.sorted_counts(df, columns).where(F.col("value").isNotNull())
-        return G.exact_quantiles(counts, probs)
-
-    def sketch(c: str) -> dict[str, Column]:
-        return {"q": F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy)}
-
-    found = _rows_per_column(df, columns, sketch)
-    return found.select("column_name", *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])
+        return exact_quantiles(df, columns, probs, also)
+    sketches = [
+        F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(f"_q{i}")
+        for i, c in enumerate(columns)
+    ]
+    seen = df.agg(*sketches, *also).first()
+    return {c: list(seen[f"_q{i}"] or [None] * len(probs)) for i, c in enumerate(columns)}, seen
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
-    """Count, missing, mean, median, std, min, max, quartiles, skewness and kurtosis per column."""
+    """Count, missing, mean, median, std, min, max, quartiles, skewness and kurtosis: one row per column."""
     columns = _of_kind(df, "numeric", columns)
-
-    def moments(c: str) -> dict[str, Column]:
-        x = F.col(c).cast("double")
-        return {
-            "count": F.count(x),
-            "missing": F.count_if(x.isNull()),
-            "mean": F.avg(x),
-            "std": F.stddev_samp(x),
-            "min": F.min(x),
-            "max": F.max(x),
-            "skewness": sample_skewness(x, F.count(x)),
-            "kurtosis": sample_kurtosis(x, F.count(x)),
-        }
-
-    stats = _rows_per_column(df, columns, moments)
-    ranks = quantiles(df, columns, QUARTILES, approximate)
-    return stats.join(F.broadcast(ranks), "column_name", "left").select(  # one row per column
-        "column_name",
-        "count",
-        "missing",
-        "mean",
-        F.col("q1").alias("median"),
-        "std",
-        "min",
-        "max",
-        F.col("q0").alias("q25"),
-        F.col("q2").alias("q75"),
-        "skewness",
-        "kurtosis",
-    )
+    stats, _ = _numeric_scan(df, columns, approximate)
+    return df.sparkSession.createDataFrame([(c, *stats[c]) for c in columns], f"column_name string, {NUMERIC_STATS}")
 
 
 def _top_values(counts: DataFrame, k: int) -> DataFrame:
@@ -143,54 +147,70 @@ def profile_categorical(df: DataFrame, columns: Sequence[str] | None = None, k:
     )
 
 
+def _date_span(df: DataFrame, c: str, fmt: str) -> Column:
+    is_text = isinstance(df.schema[c].dataType, T.StringType)
+    t = F.try_to_timestamp(c, F.lit(fmt)) if is_text else F.col(c).cast("timestamp")
+    days = F.floor((F.unix_micros(F.max(t)) - F.unix_micros(F.min(t))) / 86_400_000_000)
+    return F.struct(
+        F.count(t).alias("count"),
+        F.count_if(t.isNull()).alias("missing"),
+        F.date_format(F.min(t), "yyyy-MM-dd HH:mm:ss").alias("min_date"),
+        F.date_format(F.max(t), "yyyy-MM-dd HH:mm:ss").alias("max_date"),
+        F.coalesce(days, F.lit(0)).cast("bigint").alias("date_range_days"),
+    )
+
+
 def profile_date(df: DataFrame, columns: Sequence[str] | None = None, fmt: str = "yyyy-MM-dd") -> DataFrame:
     """Count, missing, first, last and range in days; text that does not parse is missing."""
     columns = _of_kind(df, "date", columns)
+    one = df.agg(*[_date_span(df, c, fmt).alias(f"_{i}") for i, c in enumerate(columns)])
+    items = [F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}.*")) for i, c in enumerate(columns)]
+    return one.select(F.inline(F.array(*items)))
 
-    def as_time(c: str) -> Column:
-        if isinstance(df.schema[c].dataType, T.StringType):
-            return F.try_to_timestamp(c, F.lit(fmt))
-        return F.col(c).cast("timestamp")
-
-    def span(c: str) -> dict[str, Column]:
-        t = as_time(c)
-        days = F.floor((F.unix_micros(F.max(t)) - F.unix_micros(F.min(t))) / 86_400_000_000)
-        return {
-            "count": F.count(t),
-            "missing": F.count_if(t.isNull()),
-            "min_date": F.date_format(F.min(t), "yyyy-MM-dd HH:mm:ss"),
-            "max_date": F.date_format(F.max(t), "yyyy-MM-dd HH:mm:ss"),
-            "date_range_days": F.coalesce(days, F.lit(0)).cast("bigint"),
-        }
-
-    return _rows_per_column(df, columns, span)
 
+def profile_table(
+    df: DataFrame, table: str, approximate: bool = False, fmt: str = "yyyy-MM-dd"
+) -> DataFrame:
+    """One row per column: type, NULLs and the statistics of its kind, with the table totals on each row.
 
-def profile_table(df: DataFrame, table: str, approximate: bool = False) -> DataFrame:
-    """One row per column: type, NULLs and the statistics of its kind, with the table totals on each row."""
+    One scan takes NULL counts, moments, sketches and date spans of all columns;
+    exact quartiles, value counts and the duplicate count follow.
+    """
     kinds = column_kinds(df)
-    dtype = F.create_map(*[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())])
-    kind = F.create_map(*[F.lit(x) for c, k in kinds.items() for x in (c, k)])
-    rows = null_counts(df).select(
-        F.lit(table).alias("table_name"),
-        F.col("total_rows").alias("row_count"),
-        F.lit(len(df.columns)).alias("column_count"),
-        duplicate_count(df).select("duplicate_count").scalar().alias("duplicate_rows"),
-        "column_index",
-        "column_name",
-        dtype[F.col("column_name")].alias("dtype"),
-        kind[F.col("column_name")].alias("kind"),
-        "null_count",
-        percent(F.col("null_count"), F.col("total_rows")).alias("null_percentage"),
-    )
-    for name, profile in (("numeric", profile_numeric), ("categorical", profile_categorical), ("date", profile_date)):
-        columns = [c for c, k in kinds.items() if k == name]
-        if columns:
-            stats = profile(df, columns, approximate) if name == "numeric" else profile(df, columns)
-            packed = stats.select("column_name", F.struct(*stats.columns[1:]).alias(f"{name}_stats"))
-            rows = rows.join(F.broadcast(packed), "column_name", "left")  # one row per column
-    order = ["table_name", "row_count", "column_count", "duplicate_rows", "column_index", "column_name"]
-    return rows.select(*order, *[c for c in rows.columns if c not in order])
+    by_kind = {k: [c for c in df.columns if kinds[c] == k] for k in ("numeric", "date", "categorical")}
+    also = [F.count("*").alias("_rows")]
+    also += [F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)]
+    also += [_date_span(df, c, fmt).alias(f"_d{i}") for i, c in enumerate(by_kind["date"])]
+    numeric, seen = _numeric_scan(df, by_kind["numeric"], approximate, also)
+    dates = {c: tuple(seen[f"_d{i}"]) for i, c in enumerate(by_kind["date"])}
+    total = seen["_rows"]
+    rows = [
+        (
+            table,
+            total,
+            len(df.columns),
+            i,
+            f.name,
+            f.dataType.simpleString(),
+            kinds[f.name],
+            seen[f"_n{i}"],
+            seen[f"_n{i}"] / total * 100 if total else 0.0,
+            numeric.get(f.name),
+            dates.get(f.name),
+        )
+        for i, f in enumerate(df.schema)
+    ]
+    profile = df.sparkSession.createDataFrame(
+        rows,
+        "table_name string, row_count bigint, column_count int, column_index int, column_name string, dtype string, "
+        f"kind string, null_count bigint, null_percentage double, numeric_stats struct<{NUMERIC_STATS}>, "
+        f"date_stats struct<{DATE_STATS}>",
+    ).withColumn("duplicate_rows", duplicate_count(df).select("duplicate_count").scalar())
+    if by_kind["categorical"]:
+        stats = profile_categorical(df, by_kind["categorical"])
+        packed = stats.select("column_name", F.struct(*stats.columns[1:]).alias("categorical_stats"))
+        return profile.join(F.broadcast(packed), "column_name", "left")  # one row per column
+    return profile.withColumn("categorical_stats", F.lit(None).cast(f"struct<{CATEGORICAL_STATS}>"))
 
 
 def profile_summary(profile: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharfline.functions import global_order as G
+from wharfline.functions.quantiles import exact_quantiles
 from wharfline.functions.scalars import is_true, ratio
 from wharfline.schemas import date_named_columns, numeric_columns
 
@@ -48,16 +49,15 @@ def fill_mean(df: DataFrame) -> DataFrame:
 
 
 def fill_median(df: DataFrame, approximate: bool = False, accuracy: int = 10_000) -> DataFrame:
-    """Exact medians come from range-partitioned value counts; ``approximate`` takes one sketch pass."""
+    """Exact medians by default; ``approximate`` stops at one sketch pass."""
     columns = _with_nulls(df)
     if not columns:
         return df
     if approximate:
         medians = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in columns])
         return _fill_with(df, medians.first().asDict())
-    counts = G.sorted_counts(df, columns).where(F.col("value").isNotNull())
-    found = G.exact_quantiles(counts, [0.5]).collect()  # one row per column
-    return _fill_with(df, {r["column_name"]: r["q0"] for r in found})
+    found, _ = exact_quantiles(df, columns, [0.5])
+    return _fill_with(df, {c: q for c, (q,) in found.items()})
 
 
 def clean_nulls(

@@ -86,35 +86,34 @@ def fk_valid_rows(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
 
 
 def validation_metrics(df: DataFrame, table: str, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """``(kind, position, name, n)`` rows: total rows, nulls per column, duplicates, orphans per key."""
-    nulls = null_counts(df)
-    null_rows = nulls.select(
-        F.lit("null").alias("kind"),
-        F.col("column_index").alias("position"),
-        F.col("column_name").alias("name"),
-        F.col("null_count").alias("n"),
-    )
-    dups = duplicate_count(df).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(kind).alias("kind"), F.lit(0).alias("position"), F.lit("").alias("name"), F.col(c).alias("n")
-                    )
-                    for kind, c in (("duplicate", "duplicate_count"), ("rows", "total_rows"))
-                ]
-            )
+    """``(kind, position, name, n)`` rows: total rows, nulls per column, duplicates, orphans per key.
+
+    The duplicate check has to group by all columns anyway; total rows and NULL
+    counts follow from the same groups, so the table is read once for all three.
+    """
+    n = F.col("_n")
+    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    sums = [("rows", 0, "", n), ("duplicate", 0, "", n - 1)]
+    sums += [("null", i, c, F.when(F.col(c).isNull(), n)) for i, c in enumerate(df.columns)]
+    one = groups.agg(*[F.coalesce(F.sum(value), F.lit(0)).alias(f"_{i}") for i, (*_, value) in enumerate(sums)])
+    items = [
+        F.struct(
+            F.lit(kind).alias("kind"), F.lit(at).alias("position"), F.lit(name).alias("name"), F.col(f"_{i}").alias("n")
         )
-    )
-    keys = foreign_keys(table, df.columns)
-    place = F.create_map(*[F.lit(x) for i, k in enumerate(keys) for x in (k.column, i)]) if keys else None
+        for i, (kind, at, name, _) in enumerate(sums)
+    ]
+    metrics = one.select(F.inline(F.array(*items)))
+    keys = [k for k in foreign_keys(table, df.columns) if k.parent in parents]
+    if not keys:
+        return metrics
+    place = F.create_map(*[F.lit(x) for i, k in enumerate(keys) for x in (k.column, i)])
     orphans = fk_orphans(df, table, parents).select(
         F.lit("fk").alias("kind"),
-        (place[F.col("column_name")] if keys else F.lit(0)).alias("position"),
+        place[F.col("column_name")].alias("position"),
         F.col("column_name").alias("name"),
         F.col("orphan_rows").alias("n"),
     )
-    return null_rows.unionByName(dups).unionByName(orphans)
+    return metrics.unionByName(orphans)
 
 
 def validate_table(
