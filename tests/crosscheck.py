@@ -40,9 +40,8 @@ def rows_of(columns, rows):
     return sorted(tuple(plain(r[i]) for i in order) for r in rows)
 
 
-def compare(spark, con, query, sql, sf_dir):
+def compare(df, con, sql):
     """Return None on equality, else a text that names the first differences."""
-    df = query(spark, sf_dir)
     got = rows_of(df.columns, df.collect())
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
@@ -57,10 +56,10 @@ def compare(spark, con, query, sql, sf_dir):
     return None
 
 
-def types_differ(spark, con, query, sql, sf_dir):
+def types_differ(df, con, sql):
     simple = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
               "boolean": "BOOLEAN"}
-    got = {n: simple.get(t, t.upper()) for n, t in query(spark, sf_dir).dtypes}
+    got = {n: simple.get(t, t.upper()) for n, t in df.dtypes}
     want = {r[0]: r[1] for r in con.execute(f"describe {sql}").fetchall()}
     return {n: (got[n], want.get(n)) for n in got if got[n] != want.get(n)}
 
@@ -79,11 +78,12 @@ if __name__ == "__main__":
     for name in names:
         start = time.time()
         try:
+            df = suite.QUERIES[name](spark, path)
             if name in suite.ORACLE:
-                problem = compare(spark, con, suite.QUERIES[name], suite.ORACLE[name], path)
-                typed = types_differ(spark, con, suite.QUERIES[name], suite.ORACLE[name], path) if not problem else None
+                problem = compare(df, con, suite.ORACLE[name])
+                typed = types_differ(df, con, suite.ORACLE[name]) if not problem else None
             else:
-                problem, typed = (None if suite.QUERIES[name](spark, path).count() else "no rows"), None
+                problem, typed = (None if df.count() else "no rows"), None
         except Exception as e:  # noqa: BLE001 - report and go on
             problem, typed = f"{type(e).__name__}: {str(e)[:1500]}", None
         bad += bool(problem)

@@ -1,43 +1,51 @@
 """Exact quantiles of large columns without sorting or shuffling them.
 
 The built-in exact percentile keeps every distinct value of a column in one
-task.  Here a sketch names a narrow bracket around each wanted rank, a counting
-scan proves that the rank lies in it, and the few values inside the bracket give
-the exact answer.  A bracket that still holds too many rows is narrowed again.
-All targets of all columns share each scan; only counts and bracket ends (a few
-numbers per column) come back to the driver.
+task.  Here a sample suggests a narrow bracket around each wanted rank, a
+counting scan proves that the rank lies in it, and the few values inside the
+bracket give the exact answer.  A bracket that still holds too many rows is
+narrowed again, one that misses its rank is widened.  The sample only guides the
+search; the result does not depend on it.  All targets of all columns share each
+scan, and only counts and bracket ends (a few numbers per column) come back to
+the driver.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
 SMALL = 100_000  # rows that one task may hold and sort
+SAMPLE = (100_000, 20_000_000)  # least and most rows that guide one bracket
+ACCURACY = 10_000  # of the sketch over the sample
 BATCH = 40  # targets per scan, to keep the generated code within bounds
 
 
+def _value(column: str) -> Column:
+    return F.col(column).cast("double")
+
+
 @dataclass
 class _Target:
     """The order statistics ``first`` and ``last`` (0-based, equal or adjacent) of one column.
 
-    The open interval (low, high) holds ``between`` rows and starts after
-    ``below`` rows; None stands for an end that is not fixed yet.
+    After narrowing, the open interval (low, high) holds ``between`` rows and
+    starts after ``below`` rows.
     """
 
     column: str
     prob: float
     rows: int
-    low: float | None = None
-    high: float | None = None
+    low: float
+    high: float
     below: int = 0
-    between: int = 0
-    slack: float = 2.0
+    narrowed: bool = False
+    slack: float = 1.0
     known: dict[int, float] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -51,75 +59,110 @@ class _Target:
         return [r for r in {self.first, self.last} if r not in self.known]
 
     @property
-    def value(self) -> float:
+    def quantile(self) -> float:
         low, high = self.known[self.first], self.known[self.last]
         return low + (high - low) * self.share
 
     def inside(self) -> Column:
-        """The value where it lies in the open interval, else NULL."""
-        v = F.col(self.column).cast("double")
-        within = [v > F.lit(self.low)] if self.low is not None else []
-        within += [v < F.lit(self.high)] if self.high is not None else []
-        return F.when(within[0] & within[-1], v) if within else v
-
-    def bracket(self) -> list[float]:
-        """Where in the interval to look, as shares of its rows, with room for the error of the sketch."""
-        room = self.slack / ACCURACY
+        """The value where it lies in the interval, else NULL."""
+        v = _value(self.column)
+        return F.when((v > F.lit(self.low)) & (v < F.lit(self.high)), v) if self.narrowed else v
+
+    def sampled(self, small: int) -> float:
+        """Share of the interval to sample: enough that one counting scan should leave ``small`` rows."""
+        wish = min(max((5 * self.between / small) ** 2, SAMPLE[0]), SAMPLE[1])
+        return min(1.0, wish / self.between)
+
+    def bracket(self, small: int) -> list[float]:
+        """Where in the interval to look, as shares of its rows, with room for sampling and sketch error."""
         ranks = [r - self.below for r in self.open_ranks]
-        return [max(0.0, min(ranks) / self.between - room), min(1.0, (max(ranks) + 1) / self.between + room)]
+        size = max(1.0, self.between * self.sampled(small))
+        room = self.slack * (2.5 / math.sqrt(size) + 2 / ACCURACY)
+        return [min(ranks) / self.between - room, (max(ranks) + 1) / self.between + room]
 
-    def narrow(self, low: float, high: float, under: int, at_low: int, at_high: int, within: int) -> None:
+    def counts(self, low: float, high: float) -> Column:
+        v = _value(self.column)
+        tests = [v < F.lit(low), v <= F.lit(low), v < F.lit(high), v <= F.lit(high)]
+        return F.struct(*[F.count_if(t).alias(f"c{i}") for i, t in enumerate(tests)])
+
+    def narrow(self, low: float, high: float, counted: Row) -> None:
         """Take the counted bracket if the open ranks lie in it; else ask for a wider one."""
-        ranks = self.open_ranks
-        if min(ranks) < under or max(ranks) >= under + at_low + within + at_high:
-            self.slack *= 10
+        under, to_low, before_high, to_high = counted
+        if min(self.open_ranks) < under or max(self.open_ranks) >= to_high:
+            self.slack *= 4
             return
-        for r in ranks:
-            if r < under + at_low:
+        for r in self.open_ranks:
+            if r < to_low:
                 self.known[r] = low
-            elif r >= under + at_low + within:
+            elif r >= before_high:
                 self.known[r] = high
-        self.low, self.high, self.below, self.between = low, high, under + at_low, within
+        self.low, self.high, self.narrowed = low, high, True
+        self.below, self.between = to_low, max(0, before_high - to_low)
 
 
-def _in_batches(df: DataFrame, targets: Sequence[_Target], aggregates) -> list[Row]:
-    """``aggregates(target)`` for all targets, a batch of them per scan: one struct per target."""
-    found: list[Row] = []
+def _by_interval(targets: Sequence[_Target]) -> list[list[list[_Target]]]:
+    """Targets that share an interval together, in batches for one scan each."""
+    groups: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        groups.setdefault((t.column, t.low, t.high), []).append(t)
+    found = list(groups.values())
+    return [found[i : i + BATCH] for i in range(0, len(found), BATCH)]
+
+
+def _guess(df: DataFrame, targets: Sequence[_Target], small: int, seed: int) -> dict[int, tuple[float, float]]:
+    """Bracket ends per target from a sketch over sampled rows; interval ends where the bracket passes them."""
+    ends: dict[int, tuple[float, float]] = {}
+    for batch in _by_interval(targets):
+        share = max(g[0].sampled(small) for g in batch)
+        rows = df.withColumn("_u", F.rand(seed)).where(F.col("_u") < F.lit(share)) if share < 1 else df
+        sketches = []
+        for i, g in enumerate(batch):
+            own, v = g[0].sampled(small), g[0].inside()
+            v = F.when(F.col("_u") < F.lit(own), v) if own < share else v
+            wanted = [min(1.0, max(0.0, q)) for t in g for q in t.bracket(small)]
+            sketches.append(F.percentile_approx(v, wanted, ACCURACY).alias(f"_s{i}"))
+        row = rows.agg(*sketches).first()
+        for i, g in enumerate(batch):
+            for k, t in enumerate(g):
+                low, high = t.bracket(small)
+                at = row[f"_s{i}"]
+                ends[id(t)] = (
+                    t.low if low <= 0 or at is None else at[2 * k],
+                    t.high if high >= 1 or at is None else at[2 * k + 1],
+                )
+    return ends
+
+
+def _count(
+    df: DataFrame, targets: Sequence[_Target], ends: dict[int, tuple[float, float]], also: Sequence[Column]
+) -> Row:
+    """Narrow each target by counts; ``also`` joins the first scan, whose row is returned."""
+    first = None
     for start in range(0, len(targets), BATCH):
         part = targets[start : start + BATCH]
-        row = df.agg(*[aggregates(t).alias(f"t{i}") for i, t in enumerate(part)]).first()
-        found += [row[f"t{i}"] for i in range(len(part))]
-    return found
-
+        counts = [t.counts(*ends[id(t)]).alias(f"_t{i}") for i, t in enumerate(part)]
+        row = df.agg(*counts, *(() if first else also)).first()
+        for i, t in enumerate(part):
+            t.narrow(*ends[id(t)], row[f"_t{i}"])
+        first = first or row
+    return first
 
-def _sketch(target: _Target) -> Column:
-    return F.percentile_approx(target.inside(), target.bracket(), ACCURACY)
 
-
-def _counts(target: _Target, low: float, high: float) -> Column:
-    v = F.col(target.column).cast("double")
-    low, high = F.lit(low), F.lit(high)
-    return F.struct(
-        F.count_if(v < low).alias("under"),
-        F.count_if(v == low).alias("at_low"),
-        F.count_if((v > low) & (v < high)).alias("within"),
-        F.when(low < high, F.count_if(v == high)).otherwise(F.lit(0)).alias("at_high"),
-    )
-
-
-def _pick(df: DataFrame, targets: Sequence[_Target]) -> None:
+def _pick(df: DataFrame, targets: Sequence[_Target], also: Sequence[Column] = ()) -> Row | None:
     """Settle the open ranks of intervals that were counted to hold few rows: sort them, take the places."""
-    intervals: dict[tuple, list[_Target]] = {}
-    for t in targets:
-        intervals.setdefault((t.column, t.low, t.high), []).append(t)
-    groups = list(intervals.values())
-    for start in range(0, len(groups), BATCH):
-        part = groups[start : start + BATCH]
-        sorted_ = df.agg(*[F.sort_array(F.collect_list(g[0].inside())).alias(f"v{i}") for i, g in enumerate(part)])
-        places = [(i, t, r) for i, g in enumerate(part) for t in g for r in t.open_ranks]
-        row = sorted_.select(*[F.get(f"v{i}", F.lit(r - t.below)).alias(f"p{k}") for k, (i, t, r) in enumerate(places)])
-        for value, (_, t, r) in zip(row.first(), places):
-            t.known[r] = value
+    first = None
+    for batch in _by_interval(targets):
+        lists = [F.sort_array(F.collect_list(g[0].inside())).alias(f"_v{i}") for i, g in enumerate(batch)]
+        extra = () if first else also
+        wanted = reduce(Column.__or__, [g[0].inside().isNotNull() for g in batch])
+        sorted_ = (df if extra else df.where(wanted)).agg(*lists, *extra)
+        places = [(i, t, r) for i, g in enumerate(batch) for t in g for r in t.open_ranks]
+        picked = [F.get(f"_v{i}", F.lit(r - t.below)).alias(f"_p{k}") for k, (i, t, r) in enumerate(places)]
+        row = sorted_.select(*picked, *sorted_.columns[len(lists) :]).first()
+        for k, (_, t, r) in enumerate(places):
+            t.known[r] = row[f"_p{k}"]
+        first = first or row
+    return first
 
 
 def exact_quantiles(
@@ -127,37 +170,30 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     also: Sequence[Column] = (),
+    then: Callable[[Row], Sequence[Column]] | None = None,
     small: int = SMALL,
-) -> tuple[dict[str, list[float | None]], Row]:
-    """Linearly interpolated quantiles per column, NULLs ignored, and the row of the ``also`` aggregates.
+    seed: int = 7,
+) -> tuple[dict[str, list[float | None]], Row, Row | None]:
+    """Linearly interpolated quantiles per column, NULLs ignored.
 
-    The extra aggregates ride along with the first scan.
+    ``also`` are aggregates for the first scan, ``then(first row)`` such for the
+    second; their rows are returned too (no second row for a table without values).
     """
-
-    def first_look(c: str) -> Column:
-        v = F.col(c).cast("double")
-        ends = [q for p in probs for q in (max(0.0, p - 2 / ACCURACY), min(1.0, p + 2 / ACCURACY))]
-        return F.struct(F.count(v).alias("n"), F.percentile_approx(v, ends, ACCURACY).alias("ends"))
-
-    seen = df.agg(*[first_look(c).alias(f"_q{i}") for i, c in enumerate(columns)], *also).first()
-    per_column = {
-        c: [_Target(c, float(p), seen[f"_q{i}"]["n"]) for p in probs] if seen[f"_q{i}"]["n"] else []
-        for i, c in enumerate(columns)
-    }
+    look = [
+        F.struct(F.count(_value(c)), F.min(_value(c)), F.max(_value(c))).alias(f"_q{i}") for i, c in enumerate(columns)
+    ]
+    first = df.agg(*look, *also).first() if look or also else None
+    per_column: dict[str, list[_Target]] = {}
+    for i, c in enumerate(columns):
+        n, low, high = first[f"_q{i}"]
+        per_column[c] = [_Target(c, float(p), n, low, high) for p in probs] if n else []
     targets = [t for ts in per_column.values() for t in ts]
 
-    big = [t for t in targets if t.between > small]
-    brackets = {
-        id(t): tuple(seen[f"_q{i}"]["ends"][2 * j : 2 * j + 2])
-        for i, c in enumerate(columns)
-        for j, t in enumerate(per_column[c])
-    }
-    while big:
-        for t, n in zip(big, _in_batches(df, big, lambda t: _counts(t, *brackets[id(t)]))):
-            t.narrow(*brackets[id(t)], n["under"], n["at_low"], n["at_high"], n["within"])
-        big = [t for t in targets if t.open_ranks and t.between > small]
-        if big:
-            brackets = dict(zip(map(id, big), map(tuple, _in_batches(df, big, _sketch))))
-
-    _pick(df, [t for t in targets if t.open_ranks])
-    return {c: [t.value for t in ts] or [None] * len(probs) for c, ts in per_column.items()}, seen
+    extra = list(then(first)) if then and targets else []
+    second = None
+    while big := [t for t in targets if t.open_ranks and t.between > small]:
+        row = _count(df, big, _guess(df, big, small, seed), extra)
+        second, extra = second or row, []
+    row = _pick(df, [t for t in targets if t.open_ranks], extra)
+    second = second or row
+    return {c: [t.quantile for t in ts] or [None] * len(probs) for c, ts in per_column.items()}, first, second

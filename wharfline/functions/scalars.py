@@ -43,20 +43,6 @@ def stock_health(days: Column) -> Column:
     )
 
 
-def sample_skewness(value: Column, n: Column) -> Column:
-    """Bias-corrected skewness from the population form; NULL for n < 3, 0 for constant columns."""
-    n = n.cast("double")
-    corrected = F.skewness(value) * F.sqrt(n * (n - 1)) / (n - 2)
-    return F.when(n >= 3, F.when(F.var_pop(value) == 0, 0.0).otherwise(corrected))
-
-
-def sample_kurtosis(value: Column, n: Column) -> Column:
-    """Bias-corrected excess kurtosis from the population form; NULL for n < 4, 0 for constant columns."""
-    n = n.cast("double")
-    corrected = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(value) + 6)
-    return F.when(n >= 4, F.when(F.var_pop(value) == 0, 0.0).otherwise(corrected))
-
-
 def missing_to_null(name: str, dtype: str) -> Column:
     """NaN means missing in the data model; Spark would order it above every number."""
     if dtype in ("double", "float"):

@@ -31,7 +31,7 @@ def iqr_bounds(
     df: DataFrame, columns: Sequence[str], multiplier: float = 1.5, approximate: bool = False
 ) -> dict[str, Fence]:
     """Lower and upper fence per column with values: a few numbers, so that scans can skip row groups by them."""
-    found, _ = quantiles(df, columns, (0.25, 0.75), approximate)
+    found, *_ = quantiles(df, columns, (0.25, 0.75), approximate)
     return {c: _fence(q1, q3, multiplier) for c, (q1, q3) in found.items() if q1 is not None}
 
 
@@ -124,7 +124,7 @@ def anomaly_scan(
     columns = numeric_columns(df)
     spark = df.sparkSession
     distinct = [F.approx_count_distinct(F.col(c).cast("double")).alias(f"_d{i}") for i, c in enumerate(columns)]
-    found, seen = quantiles(df, columns, (0.25, 0.75), approximate, also=[F.count("*").alias("_rows"), *distinct])
+    found, seen, _ = quantiles(df, columns, (0.25, 0.75), approximate, also=[F.count("*").alias("_rows"), *distinct])
     estimates = {c: seen[f"_d{i}"] for i, c in enumerate(columns)}
     varied = _varied(df, columns, estimates, min_distinct)
     if not varied:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from wharfline.functions import global_order as G
 from wharfline.functions.quantiles import exact_quantiles
-from wharfline.functions.scalars import percent_text, sample_kurtosis, sample_skewness
+from wharfline.functions.scalars import percent_text
 from wharfline.operators.validate import duplicate_count
 from wharfline.schemas import is_numeric, is_temporal
 
@@ -43,37 +44,51 @@ def _of_kind(df: DataFrame, kind: str, columns: Sequence[str] | None) -> list[st
     return list(columns) if columns is not None else [c for c, k in column_kinds(df).items() if k == kind]
 
 
-def _moments(c: str) -> Column:
-    x = F.col(c).cast("double")
-    return F.struct(
-        F.count(x).alias("count"),
-        F.count_if(x.isNull()).alias("missing"),
-        F.avg(x).alias("mean"),
-        F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"),
-        F.max(x).alias("max"),
-        sample_skewness(x, F.count(x)).alias("skewness"),
-        sample_kurtosis(x, F.count(x)).alias("kurtosis"),
-    )
-
-
 def _numeric_scan(
     df: DataFrame, columns: Sequence[str], approximate: bool, also: Sequence[Column] = ()
 ) -> tuple[dict[str, tuple], Row]:
     """Statistics per numeric column in the order of NUMERIC_STATS, and the row of the ``also`` aggregates.
 
-    Moments, sketches and the extra aggregates share the first scan.
+    The first scan takes counts and means, the second the powers of the
+    distance from the mean: two passes keep the moments accurate where the
+    spread is small against the values.
     """
-    moments = [_moments(c).alias(f"_m{i}") for i, c in enumerate(columns)]
-    quartiles, seen = quantiles(df, columns, QUARTILES, approximate, also=[*moments, *also])
+    basics = [
+        F.struct(F.count("*"), F.count(x), F.avg(x), F.min(x), F.max(x)).alias(f"_m{i}")
+        for i, x in enumerate(F.col(c).cast("double") for c in columns)
+    ]
+
+    def powers(first: Row) -> list[Column]:
+        out = []
+        for i, c in enumerate(columns):
+            d = F.col(c).cast("double") - F.lit(first[f"_m{i}"][2])
+            out.append(F.struct(F.sum(d * d), F.sum(d * d * d), F.sum(d * d * d * d)).alias(f"_p{i}_powers"))
+        return out
+
+    quartiles, first, second = quantiles(df, columns, QUARTILES, approximate, also=[*basics, *also], then=powers)
     stats = {}
     for i, c in enumerate(columns):
-        m = seen[f"_m{i}"]
+        rows, n, mean, low, high = first[f"_m{i}"]
+        std, skewness, kurtosis = sample_moments(n, *(second[f"_p{i}_powers"] if second and n else (None,) * 3))
         q25, median, q75 = quartiles[c]
-        stats[c] = (
-            m["count"], m["missing"], m["mean"], median, m["std"], m["min"], m["max"], q25, q75, m["skewness"], m["kurtosis"],
-        )
-    return stats, seen
+        stats[c] = (n, rows - n, mean, median, std, low, high, q25, q75, skewness, kurtosis)
+    return stats, first
+
+
+def sample_moments(
+    n: int, s2: float | None, s3: float | None, s4: float | None
+) -> tuple[float | None, float | None, float | None]:
+    """Sample deviation, bias-corrected skewness and excess kurtosis from sums of powers of the distances.
+
+    NULL below 2, 3 and 4 values; a constant column has skewness and kurtosis 0.
+    """
+    if s2 is None or n < 2:
+        return None, None, None
+    var = s2 / n
+    g1, g2 = (s3 / n / var**1.5, s4 / n / var**2 - 3) if var > 0 else (0.0, 0.0)
+    skewness = g1 * math.sqrt(n * (n - 1)) / (n - 2) if n > 2 else None
+    kurtosis = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6) if n > 3 else None
+    return math.sqrt(s2 / (n - 1)), skewness, kurtosis if var > 0 or kurtosis is None else 0.0
 
 
 def quantiles(
@@ -83,16 +98,18 @@ def quantiles(
     approximate: bool = False,
     accuracy: int = 10_000,
     also: Sequence[Column] = (),
-) -> tuple[dict[str, list[float | None]], Row]:
+    then: Callable[[Row], Sequence[Column]] | None = None,
+) -> tuple[dict[str, list[float | None]], Row, Row | None]:
     """Quantiles per column: exact by default, or within n/accuracy ranks from one sketch pass."""
     if not approximate:
-        return exact_quantiles(df, columns, probs, also)
+        return exact_quantiles(df, columns, probs, also, then)
     sketches = [
         F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(f"_q{i}")
         for i, c in enumerate(columns)
     ]
-    seen = df.agg(*sketches, *also).first()
-    return {c: list(seen[f"_q{i}"] or [None] * len(probs)) for i, c in enumerate(columns)}, seen
+    first = df.agg(*sketches, *also).first()
+    second = df.agg(*then(first)).first() if then and columns else None
+    return {c: list(first[f"_q{i}"] or [None] * len(probs)) for i, c in enumerate(columns)}, first, second
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:

@@ -56,7 +56,7 @@ def fill_median(df: DataFrame, approximate: bool = False, accuracy: int = 10_000
     if approximate:
         medians = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in columns])
         return _fill_with(df, medians.first().asDict())
-    found, _ = exact_quantiles(df, columns, [0.5])
+    found, *_ = exact_quantiles(df, columns, [0.5])
     return _fill_with(df, {c: q for c, (q,) in found.items()})
 
 
