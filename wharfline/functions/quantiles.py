@@ -76,8 +76,9 @@ class _Target:
     def bracket(self, small: int) -> list[float]:
         """Where in the interval to look, as shares of its rows, with room for sampling and sketch error."""
         ranks = [r - self.below for r in self.open_ranks]
-        size = max(1.0, self.between * self.sampled(small))
-        room = self.slack * (2.5 / math.sqrt(size) + 2 / ACCURACY)
+        share = self.sampled(small)
+        chance = 2.5 / math.sqrt(self.between * share) if share < 1 else 0.0
+        room = self.slack * (chance + 2 / ACCURACY)
         return [min(ranks) / self.between - room, (max(ranks) + 1) / self.between + room]
 
     def counts(self, low: float, high: float) -> Column:
@@ -96,7 +97,7 @@ class _Target:
                 self.known[r] = low
             elif r >= before_high:
                 self.known[r] = high
-        self.low, self.high, self.narrowed = low, high, True
+        self.low, self.high, self.narrowed, self.slack = low, high, True, 1.0
         self.below, self.between = to_low, max(0, before_high - to_low)
 
 
@@ -193,7 +194,7 @@ def exact_quantiles(
     second = None
     while big := [t for t in targets if t.open_ranks and t.between > small]:
         row = _count(df, big, _guess(df, big, small, seed), extra)
-        second, extra = second or row, []
+        second, extra, seed = second or row, [], seed + 1
     row = _pick(df, [t for t in targets if t.open_ranks], extra)
     second = second or row
     return {c: [t.quantile for t in ts] or [None] * len(probs) for c, ts in per_column.items()}, first, second

@@ -78,7 +78,9 @@ def fk_orphans(df: DataFrame, table: str, parents: Mapping[str, DataFrame]) -> D
 
 
 def fk_orphan_rows(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
-    return df.join(parent.select(column), column, "left_anti")
+    """Rows whose key has no parent; NULL keys never have one, so they skip the join and its shuffle."""
+    unmatched = df.where(F.col(column).isNotNull()).join(parent.select(column), column, "left_anti")
+    return df.where(F.col(column).isNull()).unionByName(unmatched)
 
 
 def fk_valid_rows(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
