@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 SMALL = 100_000  # rows that one task may hold and sort
 SAMPLE = (100_000, 20_000_000)  # least and most rows that guide one bracket
 ACCURACY = 10_000  # of the sketch over the sample
+MOST_ROUNDS = 40  # a round narrows a bracket about a hundredfold, so three or four do for any table
 BATCH = 40  # targets per scan, to keep the generated code within bounds
 
 
@@ -111,7 +112,7 @@ def _by_interval(targets: Sequence[_Target]) -> list[list[list[_Target]]]:
 
 
 def _guess(df: DataFrame, targets: Sequence[_Target], small: int, seed: int) -> dict[int, tuple[float, float]]:
-    """Bracket ends per target from a sketch over sampled rows; interval ends where the bracket passes them."""
+    """Bracket ends per target from a sketch over sampled rows."""
     ends: dict[int, tuple[float, float]] = {}
     for batch in _by_interval(targets):
         share = max(g[0].sampled(small) for g in batch)
@@ -127,9 +128,11 @@ def _guess(df: DataFrame, targets: Sequence[_Target], small: int, seed: int) ->
             for k, t in enumerate(g):
                 low, high = t.bracket(small)
                 at = row[f"_s{i}"]
+                # A sample may miss the extremes; a sketch of all rows knows them, and so always narrows.
+                partial = t.sampled(small) < 1
                 ends[id(t)] = (
-                    t.low if low <= 0 or at is None else at[2 * k],
-                    t.high if high >= 1 or at is None else at[2 * k + 1],
+                    t.low if at is None or (partial and low <= 0) else at[2 * k],
+                    t.high if at is None or (partial and high >= 1) else at[2 * k + 1],
                 )
     return ends
 
@@ -191,10 +194,12 @@ def exact_quantiles(
     targets = [t for ts in per_column.values() for t in ts]
 
     extra = list(then(first)) if then and targets else []
-    second = None
+    second, rounds = None, 0
     while big := [t for t in targets if t.open_ranks and t.between > small]:
         row = _count(df, big, _guess(df, big, small, seed), extra)
         second, extra, seed = second or row, [], seed + 1
+        if (rounds := rounds + 1) > MOST_ROUNDS:
+            raise RuntimeError(f"no bracket found for {[(t.column, t.prob) for t in big]}")
     row = _pick(df, [t for t in targets if t.open_ranks], extra)
     second = second or row
     return {c: [t.quantile for t in ts] or [None] * len(probs) for c, ts in per_column.items()}, first, second
