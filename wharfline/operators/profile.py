@@ -120,12 +120,15 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None, approxi
 
 
 def _top_values(counts: DataFrame, k: int) -> DataFrame:
-    """The k most frequent values per column; only k rows per column and task are shuffled."""
-    by_frequency = W.partitionBy("column_name").orderBy(F.desc("n"), "value")
+    """The k most frequent values per column; only k rows per column and task are shuffled.
+
+    NULL is ranked last and dropped afterwards: a filter before the window would
+    reach into the counts and keep them from being shared with other readers.
+    """
+    by_frequency = W.partitionBy("column_name").orderBy(F.col("value").isNull(), F.desc("n"), "value")
     return (
-        counts.where(F.col("value").isNotNull())
-        .withColumn("rank", F.row_number().over(by_frequency))
-        .where(F.col("rank") <= k)
+        counts.withColumn("rank", F.row_number().over(by_frequency))
+        .where((F.col("rank") <= k) & F.col("value").isNotNull())
         .select("column_name", "rank", "value", F.col("n").alias("frequency"))
     )
 

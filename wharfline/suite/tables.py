@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wharfline import bindings as B
-from wharfline.plans.analytics import latest_snapshot
 from wharfline.session import scratch_path
 from wharfline.sources import readers as R
 from wharfline.sources import synth as S
@@ -60,7 +59,7 @@ def _load_quarantine(spark, sf):
 def _insert_ignore(spark, sf):
     """The stock table before its newest snapshot takes one row per product, warehouse and year from the sales."""
     stock = B.inventory(spark, sf)
-    newest = latest_snapshot(stock).select(F.max("snapshot_date")).scalar()
+    newest = stock.select(F.max("snapshot_date")).scalar()
     batch = B.sales(spark, sf).select(
         "product_id",
         "warehouse_id",
