@@ -19,6 +19,30 @@ HEADLINE = (
     "supplier_delivery",
     "inventory_health",
     "sales_rolling",
+    "daily_sales",
+    "extract_full",
+    "extract_date_range",
+    "load_quarantine",
+    "insert_ignore",
+    "assign_surrogate_ids",
+    "clean_nulls_median",
+    "clean_nulls_ffill",
+    "dedup_rows",
+    "dedup_subset",
+    "etl_orders",
+    "etl_sales",
+    "fk_orphans",
+    "validate_table",
+    "quality_summary",
+    "rules_all_tables",
+    "profile_numeric",
+    "profile_categorical",
+    "profile_table",
+    "outliers_iqr",
+    "outliers_zscore",
+    "outliers_iforest",
+    "anomaly_scan",
+    "etl_run_summary",
 )
 
 

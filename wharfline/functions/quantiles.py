@@ -64,14 +64,17 @@ class _Target:
         low, high = self.known[self.first], self.known[self.last]
         return low + (high - low) * self.share
 
+    def is_inside(self) -> Column:
+        v = _value(self.column)
+        return (v > F.lit(self.low)) & (v < F.lit(self.high)) if self.narrowed else v.isNotNull()
+
     def inside(self) -> Column:
         """The value where it lies in the interval, else NULL."""
-        v = _value(self.column)
-        return F.when((v > F.lit(self.low)) & (v < F.lit(self.high)), v) if self.narrowed else v
+        return F.when(self.is_inside(), _value(self.column))
 
     def sampled(self, small: int) -> float:
         """Share of the interval to sample: enough that one counting scan should leave ``small`` rows."""
-        wish = min(max((5 * self.between / small) ** 2, SAMPLE[0]), SAMPLE[1])
+        wish = min(max((10 * self.between / small) ** 2, SAMPLE[0]), SAMPLE[1])
         return min(1.0, wish / self.between)
 
     def bracket(self, small: int) -> list[float]:
@@ -158,7 +161,7 @@ def _pick(df: DataFrame, targets: Sequence[_Target], also: Sequence[Column] = ()
     for batch in _by_interval(targets):
         lists = [F.sort_array(F.collect_list(g[0].inside())).alias(f"_v{i}") for i, g in enumerate(batch)]
         extra = () if first else also
-        wanted = reduce(Column.__or__, [g[0].inside().isNotNull() for g in batch])
+        wanted = reduce(Column.__or__, [g[0].is_inside() for g in batch])
         sorted_ = (df if extra else df.where(wanted)).agg(*lists, *extra)
         places = [(i, t, r) for i, g in enumerate(batch) for t in g for r in t.open_ranks]
         picked = [F.get(f"_v{i}", F.lit(r - t.below)).alias(f"_p{k}") for k, (i, t, r) in enumerate(places)]
