@@ -15,6 +15,7 @@ from wharfline.operators import rules as Ru
 from wharfline.operators.iforest import isolation_forest
 from wharfline.operators.transform import transform_table
 from wharfline.plans import etl, report
+from wharfline.session import cut
 from wharfline.sources.readers import FrameSource
 from wharfline.suite import shaped as Sh
 from wharfline.suite.checks import CHECKED, COLUMNS, _dups, _null_rows, _report, _rules_sql
@@ -73,10 +74,15 @@ def _scan(df: DataFrame, table: str, order_by: list[str]) -> DataFrame:
     )
 
 
+def _stored(make):
+    """The bound table written once: scans and profiles read their input several times."""
+    return lambda spark, sf: cut(make(spark, sf), "bound")
+
+
 SCANNED = {
     "products": (B.products, "v_products", ["product_id"]),
-    "inventory": (B.inventory, "v_inventory", ["product_id", "warehouse_id", "snapshot_date"]),
-    "sales": (B.sales, "v_sales", ["sale_id", "sale_date"]),
+    "inventory": (_stored(B.inventory), "v_inventory", ["product_id", "warehouse_id", "snapshot_date"]),
+    "sales": (_stored(B.sales), "v_sales", ["sale_id", "sale_date"]),
     "events": (_events, "events", ["event_id"]),
 }
 
@@ -104,7 +110,7 @@ def _iforest(spark, sf):
 
 
 def _quality_report(spark, sf):
-    products, sales = B.products(spark, sf), B.sales(spark, sf)
+    products, sales = B.products(spark, sf), _stored(B.sales)(spark, sf)
     book = Ru.RuleBook().add_rules(Ru.STANDARD_RULES)
     results = book.execute_rules(products, "products").unionByName(book.execute_rules(sales, "sales"))
     profiles = Pr.profile_table(products, "products").select("table_name", "row_count", "column_count", "duplicate_rows")
@@ -118,7 +124,10 @@ def _quality_report(spark, sf):
 
 
 def _profile_rows(spark, sf):
-    profiles = [Pr.profile_table(B.bind(spark, sf, t), t).drop("numeric_stats", "categorical_stats", "date_stats") for t in ("products", "inventory")]
+    profiles = [
+        Pr.profile_table(_stored(B.TABLES[t])(spark, sf), t).drop("numeric_stats", "categorical_stats", "date_stats")
+        for t in ("products", "inventory")
+    ]
     return report.report_profile_rows(reduce(DataFrame.unionByName, profiles))
 
 
@@ -134,14 +143,16 @@ QUERIES = {
     "value_distribution": lambda spark, sf: Pr.value_distribution(
         B.products(spark, sf), ["category", "product_name"]
     ).unionByName(Pr.value_distribution(B.orders(spark, sf), ["delivery_status"])),
-    "profile_numeric": lambda spark, sf: _numeric(Sh.gappy_sales(spark, sf), NUMERIC["v_gappy_sales"]),
+    "profile_numeric": lambda spark, sf: _numeric(_stored(Sh.gappy_sales)(spark, sf), NUMERIC["v_gappy_sales"]),
     "profile_numeric_events": lambda spark, sf: _numeric(_events(spark, sf), NUMERIC["events"]),
     "profile_categorical": lambda spark, sf: _categorical(B.products(spark, sf)),
     "profile_date": lambda spark, sf: Pr.profile_date(Sh.raw_orders(spark, sf)),
     "profile_table": lambda spark, sf: _profile_flat(_done(spark, sf), "orders"),
     "profile_summary": lambda spark, sf: Pr.profile_summary(Pr.profile_table(_done(spark, sf), "orders")).drop("dtype"),
     "outliers_iqr": lambda spark, sf: An.flag_outliers_iqr(_events(spark, sf), "value").drop("ts"),
-    "outliers_iqr_inventory": lambda spark, sf: An.flag_outliers_iqr(B.inventory(spark, sf), "quantity_on_hand"),
+    "outliers_iqr_inventory": lambda spark, sf: An.flag_outliers_iqr(
+        _stored(B.inventory)(spark, sf), "quantity_on_hand"
+    ),
     "outliers_zscore": lambda spark, sf: An.flag_outliers_zscore(_events(spark, sf), "value").drop("ts"),
     "outliers_iforest": _iforest,
     "outlier_samples": _samples,
@@ -159,7 +170,7 @@ QUERIES = {
 
 
 def _done(spark, sf):
-    return CHECKED["orders"][0](spark, sf)
+    return _stored(CHECKED["orders"][0])(spark, sf)
 
 
 # --- SQL --------------------------------------------------------------------------------------------------------------
