@@ -11,4 +11,3 @@ class QualityConfig:
 
     null_threshold: float = 0.05
     duplicate_threshold: float = 0.01
-    batch_size: int = 1000

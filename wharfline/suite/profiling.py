@@ -18,7 +18,7 @@ from wharfline.plans import etl, report
 from wharfline.session import cut
 from wharfline.sources.readers import FrameSource
 from wharfline.suite import shaped as Sh
-from wharfline.suite.checks import CHECKED, COLUMNS, _dups, _null_rows, _report, _rules_sql
+from wharfline.suite.checks import CHECKED, COLUMNS, _dups, _null_rows, _rules_sql
 from wharfline.suite.oracle import rnd, with_views
 
 NUMERIC = {
