@@ -4,9 +4,10 @@ import __spark_entry__ as entry_points
 import pytest
 
 from tests.crosscheck import compare, connect, types_differ
+from wharfline import suite
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = suite.QUERIES, suite.ORACLE
 
 
 @pytest.fixture(scope="module")
