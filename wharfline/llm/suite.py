@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wharfline.llm import line_dedup, packing, token_count
+from wharfline.llm import decontaminate, language, line_dedup, near_dup, packing, quality, substring_dedup, token_count, topk, toxicity
+from wharfline.llm.features import fold_of
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,17 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminations(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    learn = fold_of(F.col("doc_id"), 5) != 0
+    model = toxicity.train(docs.filter(learn), labels.filter(learn))
+    return toxicity.score(docs, model).withColumn("held_out", fold_of(F.col("doc_id"), 5) == 0)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(documents(spark, sf_dir), token_count.load_model(tokenizer("piece_bpe_32k.model")))
 
@@ -33,6 +45,35 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), packing.load_model(tokenizer("word_bpe_49k.json"))).drop("ids")
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    learn = fold_of(F.col("doc_id"), 5) != 0
+    model = quality.train(docs.filter(learn), labels.filter(learn))
+    return quality.score(docs, model).withColumn("held_out", fold_of(F.col("doc_id"), 5) == 0)
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.substring_dedup(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = fold_of(F.col("doc_id"), 4) == 2
+    model = language.train(docs.filter(~held_out))
+    out = language.identify(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -47,10 +88,75 @@ select doc_id, count(*) as n_lines, count(*) filter (top is not null and top <>
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (top is null or top = doc_id), '')) as kept_sha256
 from keyed left join common using (key) group by doc_id"""
 
+_WORDS = r"[x for x in regexp_split_to_array({}, '[\x20\x09-\x0D]+') if x <> '']"
+
+_SEEDS = ", ".join(
+    f"'{m} ' || " + " || ' ' || ".join(f"h[p + {k + 1}]" for k in range(decontaminate.SPAN) if mask[k] == "1")
+    for m, mask in enumerate(decontaminate.MASKS))
+_TOKENS = r"[x for x in regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') if x <> '']"
+
+OP2_SQL = f"""
+with d as (select doc_id, {_TOKENS} as h from documents),
+b0 as (select item_id, {_TOKENS} as h from benchmark),
+b as (select h, min(item_id) as item_id from b0 where len(h) >= 9 group by h),
+ds as (select doc_id, p, unnest([{_SEEDS}]) as seed from (select doc_id, h, unnest(range(greatest(0, len(h) - 8))) as p from d)),
+bs as (select item_id, p, unnest([{_SEEDS}]) as seed from (select item_id, h, unnest(range(greatest(0, len(h) - 8))) as p from b)),
+hits as (select distinct doc_id, item_id, ds.p - bs.p as o from ds join bs using (seed)),
+words as (select doc_id, item_id, o, j, case when o + j >= 0 and d.h[o + j + 1] = b.h[j + 1] then 1 else 0 end as same, len(b.h) as m
+          from (select *, unnest(range(m)) as j from (select hits.*, len(b.h) as m from hits join b using (item_id))) x
+          join d using (doc_id) join b using (item_id)),
+runs as (select doc_id, item_id, o, m, j, sum(same) over (partition by doc_id, item_id, o order by j rows between 12 preceding and current row) as s from words)
+select doc_id, item_id, cast(max(s) as int) as matched, cast(max(least(13, m)) as int) as "window"
+from runs where j >= least(13, m) - 1 and s * 100 >= 80 * least(13, m) group by doc_id, item_id"""
+
+OP6_SQL = """
+with v as (select vec_id, [floor(256 * x::double) for x in embedding] as v from embeddings
+           where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (select q.vec_id as query_id, d.vec_id, cast(list_inner_product(q.v, d.v) as bigint) as score
+      from v q join v d on q.vec_id <> d.vec_id where q.vec_id % 50 = 0)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score
+from s qualify rank <= 5"""
+
+OP8_SQL = f"""
+with d as (select doc_id, {_WORDS.format("coalesce(text, '')")} as w from documents),
+wins as (select doc_id, s, array_to_string(w[s + 1 : s + 50], ' ') as win from (select doc_id, w, unnest(range(greatest(0, len(w) - 49))) as s from d)),
+firsts as (select win, min(doc_id) as first from wins group by win),
+gone as (select distinct doc_id, unnest(range(s, s + 50)) as p from wins join firsts using (win) where first < doc_id),
+words as (select doc_id, unnest(w) as word, unnest(range(len(w))) as p from d),
+kept as (select doc_id, count(*) filter (g.p is not null) as n_removed, string_agg(word, ' ' order by p) filter (g.p is null) as text
+         from words left join gone g using (doc_id, p) group by doc_id)
+select doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(text, '')) as kept_sha256
+from d left join kept using (doc_id)"""
+
+OP9_SQL = f"""
+with recursive d as (select doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} as w from documents),
+sh as (select distinct doc_id, array_to_string(w[s + 1 : s + 3], ' ') as g
+       from (select doc_id, w, unnest(range(case when len(w) = 0 then 0 else greatest(1, len(w) - 2) end)) as s from d)),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as k from sh a join sh b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+links as (select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 85 * (x.n + y.n - k)),
+reach(a, b) as (select doc_id, doc_id from d union select r.a, l.b from reach r join links l on r.b = l.a),
+c as (select a as doc_id, min(b) as component_id from reach group by a)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept from c left join n using (doc_id)"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_decontamination": op2_decontamination,
+    "op3_toxicity": op3_toxicity,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
+    "op6_topk": op6_topk,
+    "op7_quality": op7_quality,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_near_duplicates": op9_near_duplicates,
+    "op10_language": op10_language,
 }
 
-ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL}
+# Models and token ids have no SQL: tests/llm holds them against brute force, the tokenizers' libraries and held-out labels.
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": OP1_SQL,
+    "op2_decontamination": OP2_SQL,
+    "op6_topk": OP6_SQL,
+    "op8_substring_dedup": OP8_SQL,
+    "op9_near_duplicates": OP9_SQL,
+}

@@ -70,9 +70,9 @@ def lower_ascii(raw: np.ndarray) -> np.ndarray:
     return _UPPER[raw]
 
 
-def word_bounds(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(offsets: np.ndarray, raw: np.ndarray, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word in the bytes, and the number of words up to each document (as offsets)."""
-    word = ~_SPACE[raw]
+    word = ~breaks[raw]
     edge = np.zeros(len(raw) + 1, dtype=bool)  # document starts
     edge[offsets] = True
     before = np.empty(len(raw) + 1, dtype=bool)
