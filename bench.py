@@ -10,10 +10,11 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from wharfline import suite
-from wharfline.session import local_session
+from wharfline.session import clear_scratch, local_session
 
 HEADLINE = (
     "supplier_delivery",
@@ -51,7 +52,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     wanted = os.environ.get("BENCH_QUERIES", "")
     names = list(suite.QUERIES) if wanted == "all" else [n for n in wanted.split(",") if n] or list(HEADLINE)
-    spark = local_session("bench", cpus, partitions=int(cpus) if cpus.isdigit() else 8)
+    scratch = tempfile.mkdtemp(prefix="bench-")
+    spark = local_session("bench", cpus, partitions=int(cpus) if cpus.isdigit() else 8, scratch=scratch)
     spark.sparkContext.setLogLevel("ERROR")
 
     def run(name: str) -> float:
@@ -63,6 +65,7 @@ def main() -> None:
     seconds: dict[str, float] = {}
     for name in names:
         seconds[name] = round(run(name), 3)
+        clear_scratch(spark)
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
     print(
         json.dumps(

@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -71,7 +73,7 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "sf0.01"
     names = sys.argv[2:] or list(suite.QUERIES)
     path = f"/root/testdata/{sf}"
-    spark = local_session("crosscheck", 8)
+    spark = local_session("crosscheck", os.environ.get("CROSSCHECK_CPUS", "8"), scratch=tempfile.mkdtemp(prefix="crosscheck-"))
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(path)
     bad = 0

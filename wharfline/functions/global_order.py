@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from wharfline.session import cut
 
 PART, POS = "_part", "_pos"
+RANGE_BYTES, MOST_RANGES = 1 << 28, 100_000  # the estimate of a join may be far too large, hence the upper limit
 _POS_BITS = 33  # monotonically_increasing_id keeps the row index in its low 33 bits
 
 
@@ -35,8 +36,12 @@ def range_sorted(df: DataFrame, order: Sequence[Column | str], label: str = "ran
     """Rows with ``_part`` (range partition) and ``_pos`` (0-based place in it), written once.
 
     ``order`` should be total: rows that tie on all of it stay in one range partition.
+    A range holds about RANGE_BYTES of the plan's estimated size.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(MOST_RANGES, max(least, -(-size // RANGE_BYTES)))
+    ranged = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     return cut(_with_position(ranged), label)
 
 
@@ -176,6 +181,19 @@ def forward_fill(
     return joined.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
+def first_per_group(df: DataFrame, group: str, order: Sequence[Column | str], k: int, name: str = "rank") -> DataFrame:
+    """The first ``k`` rows of each ``group`` in ``order``, numbered from 1 in ``name``.
+
+    Ranked twice: first within random parts of each group, as many as there are shuffle partitions, then among
+    the k rows that each part keeps.  No task sorts a whole group, whatever ``k``.
+    """
+    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(parts)))
+    near = salted.withColumn(name, F.row_number().over(W.partitionBy(group, "_salt").orderBy(*order))).where(F.col(name) <= k)
+    last = W.partitionBy(group).orderBy(*order)
+    return near.drop("_salt").withColumn(name, F.row_number().over(last)).where(F.col(name) <= k)
+
+
 def value_counts(df: DataFrame, columns: Sequence[str], as_type: str = "double") -> DataFrame:
     """``(column_name, value, n)``: one row per column and distinct value, NULL included.
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wharfline.functions import global_order as G
 from wharfline.functions.scalars import is_true, percent_text
@@ -40,6 +42,14 @@ def _outside(column: str, bounds: Fence) -> Column:
     return (value < F.lit(bounds[0])) | (value > F.lit(bounds[1]))
 
 
+def _may_be_outside(df: DataFrame, column: str, bounds: Fence) -> Column:
+    """True for every outlier; integers are compared in their own type, so that the scan can skip row groups."""
+    if not isinstance(df.schema[column].dataType, T.IntegralType) or not all(abs(b) < 2**53 for b in bounds):
+        return _outside(column, bounds)
+    value = F.col(column)
+    return (value < F.lit(math.ceil(bounds[0]) + 1)) | (value > F.lit(math.floor(bounds[1]) - 1))
+
+
 def flag_outliers_iqr(
     df: DataFrame, column: str, multiplier: float = 1.5, name: str = "is_outlier", approximate: bool = False
 ) -> DataFrame:
@@ -67,7 +77,7 @@ def outlier_samples(
     """
     if not bounds:
         return df.sparkSession.createDataFrame([], "column_name string, rank int, value double")
-    any_outside = reduce(Column.__or__, [_outside(c, b) for c, b in bounds.items()])
+    any_outside = reduce(Column.__or__, [_may_be_outside(df, c, b) for c, b in bounds.items()])
     cells = [
         F.struct(
             F.lit(c).alias("column_name"),
@@ -84,26 +94,22 @@ def outlier_samples(
         )
         .select("cell.column_name", "cell.value", *[f"_o{i}" for i in range(len(order_by))])
     )
-    first = W.partitionBy("column_name").orderBy(*[f"_o{i}" for i in range(len(order_by))], "value")
-    return (
-        long.withColumn("rank", F.row_number().over(first))
-        .where(F.col("rank") <= k)
-        .select("column_name", "rank", "value")
-    )
+    first = [*[f"_o{i}" for i in range(len(order_by))], "value"]
+    return G.first_per_group(long, "column_name", first, k).select("column_name", "rank", "value")
 
 
-def _varied(df: DataFrame, columns: Sequence[str], estimates: dict[str, int], min_distinct: int) -> list[str]:
+def _varied(df: DataFrame, columns: Sequence[str], min_distinct: int) -> list[str]:
     """Columns with more than ``min_distinct`` values.
 
-    An estimate far above the limit decides; only columns near it are counted
-    exactly, and their few values collapse before the shuffle.
+    Exact: at most ``min_distinct`` + 1 values of each column leave a task.
     """
-    near = [c for c in columns if estimates[c] <= 10 * min_distinct]
-    exact = {}
-    if near:
-        values = G.value_counts(df, near).where(F.col("value").isNotNull())
-        exact = {r["column_name"]: r["n"] for r in values.groupBy("column_name").agg(F.count("*").alias("n")).collect()}
-    return [c for c in columns if (exact.get(c, 0) if c in near else estimates[c]) > min_distinct]
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
+    values = df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+    # dense_rank() <= k is cut down within each task before the shuffle; min_distinct is a handful
+    rank = F.dense_rank().over(W.partitionBy("column_name").orderBy("value"))
+    few = values.distinct().withColumn("_r", rank).where(F.col("_r") <= min_distinct + 1)
+    found = {r["column_name"]: r["n"] for r in few.groupBy("column_name").agg(F.count("*").alias("n")).collect()}
+    return [c for c in columns if found.get(c, 0) > min_distinct]
 
 
 def anomaly_scan(
@@ -117,18 +123,16 @@ def anomaly_scan(
 ) -> DataFrame:
     """IQR outliers of every numeric column with more than ``min_distinct`` values.
 
-    The first scan takes distinct estimates and sketches of all columns, one
+    The first scan finds the columns that vary, the next ones their fences, one
     more counts the outliers of all columns, and the last reads sample values
     through the fences.  The percentage is of all rows, NULLs included.
     """
     columns = numeric_columns(df)
     spark = df.sparkSession
-    distinct = [F.approx_count_distinct(F.col(c).cast("double")).alias(f"_d{i}") for i, c in enumerate(columns)]
-    found, seen, _ = quantiles(df, columns, (0.25, 0.75), approximate, also=[F.count("*").alias("_rows"), *distinct])
-    estimates = {c: seen[f"_d{i}"] for i, c in enumerate(columns)}
-    varied = _varied(df, columns, estimates, min_distinct)
+    varied = _varied(df, columns, min_distinct) if columns else []
     if not varied:
         return spark.createDataFrame([], SCAN_SCHEMA)
+    found, seen, _ = quantiles(df, varied, (0.25, 0.75), approximate, also=[F.count("*").alias("_rows")])
     bounds = {c: _fence(*found[c], multiplier) for c in varied}
     counts = df.agg(*[F.count_if(_outside(c, b)) for c, b in bounds.items()]).first()
     outliers = dict(zip(varied, counts))

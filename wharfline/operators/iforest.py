@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -46,22 +46,22 @@ def _grow(points: np.ndarray, rng: np.random.Generator) -> list[tuple[int, int,
     return [tuple(n) for n in nodes]
 
 
-def _sample(rows: DataFrame, n: int, n_trees: int, psi: int, seed: int) -> DataFrame:
-    """``(tree, features…)``: psi rows per tree, at most n_trees * psi rows however large the table."""
-    need = n_trees * psi
-    if n <= need:
-        # A small table: each tree draws its own psi of the n rows.
-        trees = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-        draw = W.partitionBy("tree").orderBy("_u")
-        return (
-            trees.withColumn("_u", F.rand(seed))
-            .withColumn("_rn", F.row_number().over(draw))
-            .where(F.col("_rn") <= psi)
-            .drop("_u", "_rn")
-        )
-    # A large one: a first cut leaves about 1.5 * need rows, so the exact draw sorts few rows only.
-    drawn = rows.withColumn("_u", F.rand(seed)).where(F.col("_u") < min(1.0, 1.5 * need / n)).orderBy("_u").limit(need)
-    return drawn.withColumn("tree", F.pmod(F.xxhash64("_u"), F.lit(n_trees)).cast("int")).drop("_u")
+def _sample(rows: DataFrame, key: Sequence[str], n: int, n_trees: int, psi: int, seed: int) -> DataFrame:
+    """``(tree, features…)``: psi rows per tree, drawn by a hash of (key, tree, seed).
+
+    The hash alone decides, so the draw does not depend on how the rows lie.  The first limit leaves a little over psi rows per
+    tree (by six standard deviations), and the psi smallest hashes of those are the sample.
+    """
+    features = [c for c in rows.columns if c not in key]
+    cutoff = int(min(1.0, (psi + 6 * math.sqrt(psi) + 20) / n) * (1 << 31))
+
+    def draw(tree: Column) -> Column:
+        return F.xxhash64(F.lit(seed), tree, *key)
+
+    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+    hits = rows.select("*", F.explode(F.filter(trees, lambda t: F.shiftrightunsigned(draw(t), 33) < cutoff)).alias("tree"))
+    order = W.partitionBy("tree").orderBy(draw(F.col("tree")), *key, *features)
+    return hits.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= psi).select("tree", *features)
 
 
 def isolation_forest(
@@ -77,7 +77,8 @@ def isolation_forest(
 
     Trees grow from small samples, one task per tree; the forest (at most
     n_trees * 2 * max_samples nodes) goes to every task, and each row is scored
-    where it lies.
+    where it lies.  The same rows give the same scores, however they are partitioned;
+    ``key`` should tell rows apart.
     """
     features = [f"_f{i}" for i in range(len(columns))]
     rows = df.select(*key, *[F.col(c).cast("double").alias(f) for c, f in zip(columns, features)])
@@ -95,7 +96,7 @@ def isolation_forest(
         out.insert(0, "tree", number)
         return out
 
-    sample = _sample(rows.select(*features), n, n_trees, psi, seed)
+    sample = _sample(rows, key, n, n_trees, psi, seed)
     forest = sample.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
     forest = forest.sort_values(["tree", "node"]).reset_index(drop=True)
     roots = forest.index[forest["node"] == 0].to_numpy()

@@ -6,7 +6,6 @@ import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,22 +124,27 @@ def _top_values(counts: DataFrame, k: int) -> DataFrame:
     NULL is ranked last and dropped afterwards: a filter before the window would
     reach into the counts and keep them from being shared with other readers.
     """
-    by_frequency = W.partitionBy("column_name").orderBy(F.col("value").isNull(), F.desc("n"), "value")
+    by_frequency = [F.col("value").isNull(), F.desc("n"), F.col("value")]
     return (
-        counts.withColumn("rank", F.row_number().over(by_frequency))
-        .where((F.col("rank") <= k) & F.col("value").isNotNull())
+        G.first_per_group(counts, "column_name", by_frequency, k)
+        .where(F.col("value").isNotNull())
         .select("column_name", "rank", "value", F.col("n").alias("frequency"))
     )
 
 
 def value_distribution(df: DataFrame, columns: Sequence[str] | None = None, k: int = TOP) -> DataFrame:
     """``(column_name, rank, value, frequency)`` of the k most frequent values per column."""
-    return _top_values(G.value_counts(df, _of_kind(df, "categorical", columns), "string"), k)
+    columns = _of_kind(df, "categorical", columns)
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_name string, rank int, value string, frequency bigint")
+    return _top_values(G.value_counts(df, columns, "string"), k)
 
 
 def profile_categorical(df: DataFrame, columns: Sequence[str] | None = None, k: int = TOP) -> DataFrame:
     """Count, missing, distinct, top value and the k most frequent values per column."""
     columns = _of_kind(df, "categorical", columns)
+    if not columns:
+        return df.sparkSession.createDataFrame([], f"column_name string, {CATEGORICAL_STATS}")
     counts = G.value_counts(df, columns, "string")
     totals = counts.groupBy("column_name").agg(
         F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("count"),
@@ -183,6 +187,8 @@ def _date_span(df: DataFrame, c: str, fmt: str) -> Column:
 def profile_date(df: DataFrame, columns: Sequence[str] | None = None, fmt: str = "yyyy-MM-dd") -> DataFrame:
     """Count, missing, first, last and range in days; text that does not parse is missing."""
     columns = _of_kind(df, "date", columns)
+    if not columns:
+        return df.sparkSession.createDataFrame([], f"column_name string, {DATE_STATS}")
     one = df.agg(*[_date_span(df, c, fmt).alias(f"_{i}") for i, c in enumerate(columns)])
     items = [F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}.*")) for i, c in enumerate(columns)]
     return one.select(F.inline(F.array(*items)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import logging
 from collections.abc import Sequence
 
@@ -101,10 +102,12 @@ def remove_duplicates(
 def standardize_dates(
     df: DataFrame, date_columns: Sequence[str] | None = None, fmt: str = "yyyy-MM-dd"
 ) -> DataFrame:
-    """Text columns become dates by one explicit format; what does not parse becomes NULL."""
+    """Text columns become dates by one explicit format, or timestamps if the format has a time; what does not parse becomes NULL."""
     wanted = date_named_columns(df) if date_columns is None else [c for c in date_columns if c in df.columns]
     texts = [c for c in wanted if isinstance(df.schema[c].dataType, (T.StringType, T.VarcharType, T.CharType))]
-    return df.withColumns({c: F.try_to_timestamp(c, F.lit(fmt)).cast("date") for c in texts})
+    letters = re.sub(r"'[^']*'", "", fmt)  # quoted text is no field
+    kind = "timestamp" if re.search(r"[HhKkmsSan]", letters) else "date"
+    return df.withColumns({c: F.try_to_timestamp(c, F.lit(fmt)).cast(kind) for c in texts})
 
 
 def _derive_inventory() -> tuple[set[str], dict[str, Column]]:

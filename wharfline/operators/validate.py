@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharfline.config import QualityConfig
-from wharfline.functions.global_order import value_counts
 from wharfline.functions.scalars import percent_text, ratio
-from wharfline.schemas import foreign_keys
+from wharfline.schemas import ForeignKey, foreign_keys
+
+
+SUMMARY_SCHEMA = (
+    "table_name string, total_rows bigint, null_columns int, total_nulls bigint, duplicates bigint, fk_issues int, "
+    "validation_passed boolean, issue_count int, timestamp timestamp"
+)
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -37,36 +43,49 @@ def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     )
 
 
-def _key_type(frames: Sequence[DataFrame], columns: Sequence[str]) -> str:
-    types = [df.schema[c].dataType for df, c in zip(frames, columns)]
-    return "bigint" if all(isinstance(t, T.IntegralType) for t in types) else "string"
+def _key_text(column: Column, own: T.DataType, other: T.DataType) -> Column:
+    """A key as text in the type that both sides share: numbers meet as numbers, all else as text.
 
-
-def fk_orphans(df: DataFrame, table: str, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """``(column_name, parent_table, orphan_rows)`` for each checked key, NULL keys included.
-
-    Rows are first counted per key value, all keys in one scan; only distinct
-    values meet the parents, so neither a hot key nor a large parent table
-    moves fact rows.
+    NaN is no key, and -0.0 is 0.
     """
-    keys = [k for k in foreign_keys(table, df.columns) if k.parent in parents]
-    if not keys:
-        return df.sparkSession.createDataFrame([], "column_name string, parent_table string, orphan_rows bigint")
-    columns = [k.column for k in keys]
-    as_type = _key_type([df] * len(keys) + [parents[k.parent] for k in keys], columns * 2)
-    values = value_counts(df, columns, as_type)
+    pair = (own, other)
+    if all(isinstance(t, T.IntegralType) for t in pair):
+        return column.cast("bigint").cast("string")
+    if not all(isinstance(t, T.NumericType) for t in pair):
+        return column.cast("string")
+    if any(isinstance(t, T.FractionalType) and not isinstance(t, T.DecimalType) for t in pair):
+        value = column.cast("double")
+        return F.when(~F.isnan(value), value + F.lit(0.0)).cast("string")
+    scale = max(t.scale if isinstance(t, T.DecimalType) else 0 for t in pair)
+    return column.cast(f"decimal(38,{scale})").cast("string")
+
+
+def _orphans(df: DataFrame, keys: Sequence[ForeignKey], parents: Mapping[str, DataFrame], weight: Column) -> DataFrame:
+    """``(column_name, parent_table, orphan_rows)``; each row of ``df`` stands for ``weight`` rows."""
+    cells = [
+        F.struct(
+            F.lit(k.column).alias("column_name"),
+            _key_text(F.col(k.column), df.schema[k.column].dataType, parents[k.parent].schema[k.column].dataType).alias("value"),
+        )
+        for k in keys
+    ]
+    values = (
+        df.select(F.explode(F.array(*cells)).alias("cell"), weight.alias("_n"))
+        .groupBy("cell.column_name", "cell.value").agg(F.sum("_n").alias("n"))
+    )
     known = reduce(
         DataFrame.unionByName,
         [
             parents[k.parent].select(
-                F.lit(k.column).alias("column_name"), F.col(k.column).cast(as_type).alias("value")
+                F.lit(k.column).alias("column_name"),
+                _key_text(F.col(k.column), parents[k.parent].schema[k.column].dataType, df.schema[k.column].dataType).alias("value"),
             )
             for k in keys
         ],
     )
     orphans = values.join(known, ["column_name", "value"], "left_anti").select("column_name", "n")
     zeros = df.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"), F.lit(0).cast("bigint").alias("n")
+        F.explode(F.array(*[F.lit(k.column) for k in keys])).alias("column_name"), F.lit(0).cast("bigint").alias("n")
     )
     parent_of = F.create_map(*[F.lit(x) for k in keys for x in (k.column, k.parent)])
     return (
@@ -77,6 +96,23 @@ def fk_orphans(df: DataFrame, table: str, parents: Mapping[str, DataFrame]) -> D
     )
 
 
+def _checked_keys(df: DataFrame, table: str, parents: Mapping[str, DataFrame]) -> list[ForeignKey]:
+    return [k for k in foreign_keys(table, df.columns) if k.parent in parents and k.column in parents[k.parent].columns]
+
+
+def fk_orphans(df: DataFrame, table: str, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """``(column_name, parent_table, orphan_rows)`` for each checked key, NULL keys included.
+
+    Rows are first counted per key value, all keys in one scan; only distinct
+    values meet the parents, so neither a hot key nor a large parent table
+    moves fact rows.  A key of one numeric type meets a parent of another by value.
+    """
+    keys = _checked_keys(df, table, parents)
+    if not keys:
+        return df.sparkSession.createDataFrame([], "column_name string, parent_table string, orphan_rows bigint")
+    return _orphans(df, keys, parents, F.lit(1).cast("bigint"))
+
+
 def fk_orphan_rows(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
     """Rows whose key has no parent; NULL keys never have one, so they skip the join and its shuffle."""
     unmatched = df.where(F.col(column).isNotNull()).join(parent.select(column), column, "left_anti")
@@ -90,8 +126,8 @@ def fk_valid_rows(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
 def validation_metrics(df: DataFrame, table: str, parents: Mapping[str, DataFrame]) -> DataFrame:
     """``(kind, position, name, n)`` rows: total rows, nulls per column, duplicates, orphans per key.
 
-    The duplicate check has to group by all columns anyway; total rows and NULL
-    counts follow from the same groups, so the table is read once for all three.
+    The duplicate check has to group by all columns anyway; total rows, NULL counts and key counts
+    follow from the same groups, so the table is read once for all four.
     """
     n = F.col("_n")
     groups = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
@@ -105,11 +141,11 @@ def validation_metrics(df: DataFrame, table: str, parents: Mapping[str, DataFram
         for i, (kind, at, name, _) in enumerate(sums)
     ]
     metrics = one.select(F.inline(F.array(*items)))
-    keys = [k for k in foreign_keys(table, df.columns) if k.parent in parents]
+    keys = _checked_keys(df, table, parents)
     if not keys:
         return metrics
     place = F.create_map(*[F.lit(x) for i, k in enumerate(keys) for x in (k.column, i)])
-    orphans = fk_orphans(df, table, parents).select(
+    orphans = _orphans(groups, keys, parents, n).select(
         F.lit("fk").alias("kind"),
         place[F.col("column_name")].alias("position"),
         F.col("column_name").alias("name"),
@@ -187,7 +223,7 @@ def validate_table(
         "duplicate_count",
         as_map("_fks").alias("missing_foreign_keys"),
         F.concat(required_issues, null_issues, dup_issues, fk_issues).alias("issues"),
-        F.current_timestamp().alias("timestamp"),
+        F.lit(dt.datetime.now()).alias("timestamp"),  # when the check was asked for, however often it is read
     ).select(
         "table_name",
         "total_rows",
@@ -225,7 +261,9 @@ def duplicate_threshold_issues(df: DataFrame, config: QualityConfig = QualityCon
 
 
 def quality_summary(reports: Sequence[DataFrame]) -> DataFrame:
-    """One row per validation report."""
+    """One row per validation report; none without reports."""
+    if not reports:
+        return SparkSession.active().createDataFrame([], SUMMARY_SCHEMA)
     return reduce(DataFrame.unionByName, reports).select(
         "table_name",
         "total_rows",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -133,6 +133,23 @@ def sales_rolling(
     )
 
 
+# The order in which the three reports are shown, ties broken by key.
+REPORT_ORDER = {
+    "inventory_health": (("stock_rank", True),),
+    "supplier_delivery": (("on_time_pct", False), ("supplier_id", True)),
+    "sales_rolling": (("product_id", True), ("sale_date", False)),
+}
+
+
+def report_order(report: str) -> list[Column]:
+    return [F.col(c).asc() if rising else F.col(c).desc() for c, rising in REPORT_ORDER[report]]
+
+
+def in_report_order(df: DataFrame, report: str) -> DataFrame:
+    """The rows of a report as they are shown: a presentation step, as a stored table has no order."""
+    return df.orderBy(*report_order(report))
+
+
 def order_status_counts(orders: DataFrame) -> DataFrame:
     return orders.groupBy("delivery_status").agg(F.count("*").alias("total_orders"))
 

@@ -85,6 +85,17 @@ class PipelineRun:
         return quality_summary([t.report for t in self.tables if t.report is not None])
 
 
+def _parents(spark: SparkSession, source: Source, df: DataFrame, table: str) -> dict[str, DataFrame]:
+    """The parents of the keys that ``df`` has; one that cannot be read is left out with a warning."""
+    found: dict[str, DataFrame] = {}
+    for key in foreign_keys(table, df.columns):
+        try:
+            found[key.parent] = extract_table(spark, source, key.parent)
+        except Exception as e:  # noqa: BLE001 - whatever a source raises, the other keys are still checked
+            log.warning("%s.%s not checked, no %s: %s", table, key.column, key.parent, str(e).splitlines()[0] if str(e) else type(e).__name__)
+    return found
+
+
 def run_table(
     spark: SparkSession,
     source: Source,
@@ -110,8 +121,7 @@ def run_table(
         run.data = cut(transform_table(raw, table) if transform else raw, f"etl-{table}")
         run.rows_transformed = run.data.count()
         if validate:
-            parents = {k.parent: extract_table(spark, source, k.parent) for k in foreign_keys(table)}
-            report = validate_table(run.data, table, parents, config)
+            report = validate_table(run.data, table, _parents(spark, source, run.data, table), config)
             row = report.first()
             run.report = spark.createDataFrame([row], report.schema)  # one row, computed once
             run.validation_passed, run.issues = row["validation_passed"], list(row["issues"])

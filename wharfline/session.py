@@ -19,9 +19,11 @@ _RUN = uuid.uuid4().hex
 _local_root: str | None = None
 
 
-def local_session(app: str = "wharfline", cores: str | int = "*", partitions: int = 8) -> SparkSession:
-    """A small single-machine session for tests and the bench."""
-    return (
+def local_session(
+    app: str = "wharfline", cores: str | int = "*", partitions: int = 8, scratch: str | None = None
+) -> SparkSession:
+    """A small single-machine session for tests and the bench; ``scratch``: the folder of the cut tables."""
+    spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -32,6 +34,9 @@ def local_session(app: str = "wharfline", cores: str | int = "*", partitions: in
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    if scratch:
+        spark.sparkContext.setCheckpointDir(scratch)
+    return spark
 
 
 def scratch_root(spark: SparkSession) -> str:

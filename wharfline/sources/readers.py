@@ -51,27 +51,39 @@ class CatalogSource:
 class JdbcSource:
     """Credentials and driver come in ``options``.
 
-    ``split`` maps a table to (column, lower, upper, partitions); without it
-    JDBC reads the whole table through one task.
+    A table is read in parts: by ``split``, which maps it to (column, lower, upper,
+    partitions), or by ``keys``, which maps it to (integer column, partitions) and
+    lets the database tell the bounds.  Only tables named in ``small`` may be
+    read by one task.
     """
 
     url: str
     options: Mapping[str, str] = field(default_factory=dict)
     split: Mapping[str, tuple[str, str, str, int]] = field(default_factory=dict)
+    keys: Mapping[str, tuple[str, int]] = field(default_factory=dict)
+    small: Sequence[str] = ()
+    fetch_size: int = 10_000
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.reader_options(table)).load()
+        options = self.reader_options(table)
+        if table in self.keys and table not in self.split:
+            column, parts = self.keys[table]
+            ask = {"url": self.url, **self.options, "query": f"select min({column}) as low, max({column}) as high from {table}"}
+            low, high = spark.read.format("jdbc").options(**ask).load().first()
+            if low is not None and high > low:
+                options |= self._parts(column, low, high + 1, parts)
+        elif table not in self.split and table not in self.small:
+            raise ValueError(f"no way to read {table} in parts: give its split or key, or name it as small")
+        return spark.read.format("jdbc").options(**options).load()
+
+    @staticmethod
+    def _parts(column: str, low: object, high: object, parts: int) -> dict[str, str]:
+        return {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(parts)}
 
     def reader_options(self, table: str) -> dict[str, str]:
-        options = {"url": self.url, "dbtable": table, **self.options}
+        options = {"url": self.url, "dbtable": table, "fetchsize": str(self.fetch_size), **self.options}
         if table in self.split:
-            column, low, high, parts = self.split[table]
-            options |= {
-                "partitionColumn": column,
-                "lowerBound": str(low),
-                "upperBound": str(high),
-                "numPartitions": str(parts),
-            }
+            options |= self._parts(*self.split[table])
         return options
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wharfline.functions.global_order import with_dense_ids, with_row_number
+from wharfline.session import cut
 from wharfline.functions.scalars import is_true
 
 log = logging.getLogger(__name__)
@@ -110,13 +111,18 @@ def backup(spark: SparkSession, target: Target) -> str | None:
     return copy.path if isinstance(copy, FileTarget) else copy.table
 
 
-def split_valid(df: DataFrame, reject_if: Mapping[str, Column | str]) -> tuple[DataFrame, DataFrame]:
-    """Rows that meet no reject condition, and the others with ``reject_reason``."""
+def with_reject_reason(df: DataFrame, reject_if: Mapping[str, Column | str]) -> DataFrame:
+    """Adds ``reject_reason``: the names of the conditions that a row meets, empty for a valid row."""
     reasons = [
         F.when(is_true(F.expr(c) if isinstance(c, str) else c), F.lit(name)) for name, c in reject_if.items()
     ]
-    reason = F.concat_ws("; ", *reasons)
-    return df.where(reason == ""), df.withColumn("reject_reason", reason).where(F.col("reject_reason") != "")
+    return df.withColumn("reject_reason", F.concat_ws("; ", *reasons))
+
+
+def split_valid(df: DataFrame, reject_if: Mapping[str, Column | str]) -> tuple[DataFrame, DataFrame]:
+    """Rows that meet no reject condition, and the others with ``reject_reason``."""
+    judged = with_reject_reason(df, reject_if)
+    return judged.where("reject_reason = ''").drop("reject_reason"), judged.where("reject_reason != ''")
 
 
 def load(
@@ -137,9 +143,12 @@ def load(
     kept = backup(df.sparkSession, target) if create_backup and if_exists == "replace" else None
     if not reject_if:
         return LoadResult(_write_counted(df, target, MODES[if_exists]), 0, kept)
-    valid, rejected = split_valid(df, reject_if)
-    loaded = _write_counted(valid, target, MODES[if_exists])
+    # judged and stored once: both writes see the same rows, even if the input cannot be read twice alike
+    judged = cut(with_reject_reason(df, reject_if), "load")
+    rejected = judged.where("reject_reason != ''")
+    # rejected rows first: a failure between the writes then loses none
     failed = _write_counted(rejected, quarantine, "append") if quarantine else rejected.count()
+    loaded = _write_counted(judged.where("reject_reason = ''").drop("reject_reason"), target, MODES[if_exists])
     return LoadResult(loaded, failed, kept)
 
 

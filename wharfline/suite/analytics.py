@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wharfline import bindings as B
+from wharfline.functions.global_order import with_row_number
 from wharfline.functions.scalars import rounded
 from wharfline.plans import analytics as A
 from wharfline.suite.oracle import rnd, with_views
 
 AS_OF = "2001-11-05"  # the day after the last sale in the test tables
 ORDERS_AS_OF = "2001-08-02"  # the day after the last order date
-SPARSE_FROM = "2001-07-01"  # sales from here on leave some products without any sale
 
 
 def _sparse_sales(spark, sf):
-    return B.sales(spark, sf).where(F.col("sale_date") >= F.lit(SPARSE_FROM).cast("date"))
+    """All sales, but those of products with an odd id go to the product before: half of the products have none."""
+    return B.sales(spark, sf).withColumn("product_id", F.col("product_id") - F.col("product_id") % 2)
+
+
+def _shown(report, make):
+    """The rows with their place in the order of the report."""
+    return lambda spark, sf: with_row_number(make(spark, sf), A.report_order(report), "position")
 
 
 def _health(spark, sf, plan, sales=B.sales):
@@ -86,7 +92,7 @@ ORACLE = {
             having count(o.order_id) > 0"""
     ),
     "inventory_health": _fan_out("v_sales"),
-    "inventory_health_sparse": _fan_out(f"(select * from v_sales where sale_date >= date '{SPARSE_FROM}')"),
+    "inventory_health_sparse": _fan_out("(select * replace (product_id - product_id % 2 as product_id) from v_sales)"),
     "inventory_health_true_stock": with_views(
         f"""with stats as (
         select p.product_id, p.product_name, i.total_stock, s.avg_daily_sales
@@ -127,3 +133,8 @@ ORACLE = {
         """select count(*) total_sales, min(sale_date) min_sale_date, max(sale_date) max_sale_date from v_sales"""
     ),
 }
+
+for _report in A.REPORT_ORDER:
+    QUERIES[f"{_report}_in_order"] = _shown(_report, QUERIES[_report])
+    _order = ", ".join(f"{c} {'asc' if rising else 'desc'}" for c, rising in A.REPORT_ORDER[_report])
+    ORACLE[f"{_report}_in_order"] = f"select *, row_number() over (order by {_order}) as position from ({ORACLE[_report]})"

@@ -46,6 +46,7 @@ def _flat_report(report: DataFrame) -> DataFrame:
 CHECKED = {
     "suppliers": (B.suppliers, "v_suppliers"),
     "products": (B.products, "v_products"),
+    "warehouses": (B.warehouses, "v_warehouses"),
     "inventory": (B.inventory, "v_inventory"),
     "orders": (_done_orders, "v_done_orders"),
     "sales": (Sh.shifted_sales, "v_shifted_sales"),
@@ -54,6 +55,7 @@ CHECKED = {
 COLUMNS = {
     "suppliers": "supplier_id supplier_name country reliability_score lead_time_days",
     "products": "product_id product_name category unit_cost reorder_level supplier_id",
+    "warehouses": "warehouse_id warehouse_name location capacity_units",
     "inventory": "product_id warehouse_id snapshot_date quantity_on_hand quantity_reserved",
     "orders": "order_id order_date supplier_id order_quantity order_cost expected_delivery_date "
     "actual_delivery_date delivery_status delivery_delay_days is_late",
@@ -116,6 +118,26 @@ def _rule_summary(spark, sf):
     return book.summary().drop("timestamp")
 
 
+def _rule_messages(spark, sf):
+    """The validation table of the report, with messages and details as text, and without the time."""
+    book = Ru.RuleBook().add_rules(Ru.STANDARD_RULES)
+    results = reduce(DataFrame.unionByName, [book.execute_rules(RULE_INPUT[t][0](spark, sf), t) for t in Ru.STANDARD_RULES])
+    entries = F.transform(F.array_sort(F.map_entries("details")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("bigint").cast("string")))
+    details = results.select("rule_name", F.array_join(entries, ";").alias("details"))
+    return Ru.rule_report(results).drop("timestamp").join(details, "rule_name")
+
+
+def _double_keys(spark, sf):
+    """Keys as pandas writes integers with gaps: doubles with NULLs, against integer parents."""
+    sales = Sh.shifted_sales(spark, sf)
+    return sales.withColumns({"product_id": F.col("product_id").cast("double"), "warehouse_id": F.col("warehouse_id").cast("decimal(20,2)")})
+
+
+def _required(spark, sf):
+    report = V.validate_table(B.sales(spark, sf), "sales", {}, required_columns=["sale_id", "channel", "currency"])
+    return _flat_report(report)
+
+
 def _low_stock(spark, sf):
     """Stock against the reorder level of the product, brought in by a join."""
     levels = B.products(spark, sf).select("product_id", "reorder_level")
@@ -136,6 +158,9 @@ QUERIES = {
     "uniqueness_check_nulls": lambda spark, sf: V.duplicate_count(Sh.gappy_sales(spark, sf), ["quantity_sold"]),
     "duplicate_rows": lambda spark, sf: V.duplicate_count(Sh.sale_cells(spark, sf)),
     "fk_orphans": lambda spark, sf: V.fk_orphans(Sh.shifted_sales(spark, sf), "sales", _parents(spark, sf)),
+    "fk_orphans_double": lambda spark, sf: V.fk_orphans(_double_keys(spark, sf), "sales", _parents(spark, sf)),
+    "required_columns": _required,
+    "report_validation_rows": _rule_messages,
     "fk_orphan_rows": lambda spark, sf: V.fk_orphan_rows(
         Sh.shifted_sales(spark, sf), "product_id", B.products(spark, sf)
     ),
@@ -279,7 +304,27 @@ _ABSENT = (
     "cast(0 as bigint) affected_rows, cast(0 as double) affected_percentage"
 )
 
+def _message_sql(table: str, rule: Ru.Rule) -> str:
+    row = _rule_sql(table, RULE_INPUT[table][1], rule, _CONDITIONS.get(rule.name))
+    what = "duplicate_count" if rule.kind == "uniqueness" else "invalid_count"
+    return (
+        f"select rule_name, case when passed then '✓ PASS' else '✗ FAIL' end status, severity, "
+        f"case when passed then '✓ PASS' else '✗ FAIL' end || ': {rule.description}' message, affected_rows, "
+        f"printf('%.2f%%', round(cast(affected_percentage as decimal(18,9)), 2)) affected_percentage, "
+        f"'{what}=' || affected_rows details from ({row})"
+    )
+
+
 ORACLE = {
+    "fk_orphans_double": with_views(_orphans("v_shifted_sales", "sales")),
+    "required_columns": with_views(
+        "select table_name, total_rows, null_count, duplicate_count, '' missing_foreign_keys, false validation_passed, "
+        "'Missing required columns: channel, currency' || case when issues = '' then '' else ' | ' || issues end issues "
+        f"from ({_report('sales').replace('v_shifted_sales', 'v_sales')})"
+    ),
+    "report_validation_rows": with_views(
+        " union all ".join(_message_sql(t, r) for t, rs in Ru.STANDARD_RULES.items() for r in rs)
+    ),
     "null_counts": with_views(f"select * exclude idx from ({_null_rows('v_done_orders', 'orders')})"),
     "uniqueness_check": with_views(_dups("v_gappy_sales", "sale_id")),
     "uniqueness_check_nulls": with_views(_dups("v_gappy_sales", "quantity_sold")),

@@ -37,6 +37,12 @@ def _impact(spark, sf):
     return reduce(DataFrame.unionByName, [T.business_rule_impact(f(spark, sf), t) for t, f in _LOW.items()])
 
 
+def _timed(spark, sf):
+    """Order dates as text with a time of day."""
+    moment = F.timestamp_seconds(F.unix_seconds(F.col("order_date").cast("timestamp")) + F.col("order_quantity") * 60)
+    return B.orders(spark, sf).select("order_id", F.date_format(moment, "yyyy-MM-dd HH:mm").alias("order_date"))
+
+
 QUERIES = {
     "null_total": lambda spark, sf: T.null_total(Sh.gappy_sales(spark, sf)),
     "clean_nulls_drop": lambda spark, sf: T.clean_nulls(Sh.gappy_sales(spark, sf), "drop"),
@@ -48,6 +54,10 @@ QUERIES = {
     "dedup_subset": lambda spark, sf: T.remove_duplicates(
         B.orders(spark, sf), ["order_id"], [c for c in B.orders(spark, sf).columns if c != "order_id"]
     ),
+    "standardize_dates_time": lambda spark, sf: T.standardize_dates(_timed(spark, sf), fmt="yyyy-MM-dd HH:mm").withColumn(
+        "order_date", F.date_format("order_date", "yyyy-MM-dd HH:mm")
+    ),
+    "clean_nulls_unknown": lambda spark, sf: T.clean_nulls(Sh.gappy_sales(spark, sf), "no such strategy"),
     "standardize_dates": lambda spark, sf: T.standardize_dates(Sh.raw_orders(spark, sf)),
     "derive_inventory": lambda spark, sf: T.add_derived_columns(B.inventory(spark, sf), "inventory"),
     "derive_orders": lambda spark, sf: T.add_derived_columns(B.orders(spark, sf), "orders"),
@@ -103,6 +113,10 @@ ORACLE = {
           order_quantity, order_cost, expected_delivery_date, actual_delivery_date nulls first, delivery_status) rn
           from v_orders) where rn = 1"""
     ),
+    "standardize_dates_time": with_views(
+        """select order_id, strftime(order_date + to_minutes(order_quantity), '%Y-%m-%d %H:%M') order_date from v_orders"""
+    ),
+    "clean_nulls_unknown": with_views("select * from v_gappy_sales"),
     "standardize_dates": with_views(
         """select * replace (cast(try_strptime(order_date, '%Y-%m-%d') as date) as order_date) from v_raw_orders"""
     ),

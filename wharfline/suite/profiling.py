@@ -15,8 +15,9 @@ from wharfline.operators import rules as Ru
 from wharfline.operators.iforest import isolation_forest
 from wharfline.operators.transform import transform_table
 from wharfline.plans import etl, report
-from wharfline.session import cut
+from wharfline.session import cut, scratch_path
 from wharfline.sources.readers import FrameSource
+from wharfline.sources.writers import FileTarget
 from wharfline.suite import shaped as Sh
 from wharfline.suite.checks import CHECKED, COLUMNS, _dups, _null_rows, _rules_sql
 from wharfline.suite.oracle import rnd, with_views
@@ -104,9 +105,23 @@ def _samples(spark, sf):
     return An.outlier_samples(df, An.iqr_bounds(df, ["value"]), ["event_id"])
 
 
+PLANTED = 5
+
+
 def _iforest(spark, sf):
-    out = isolation_forest(_events(spark, sf), ["event_id"], ["value", "user_id"])
-    return out.withColumn("score", rounded(F.col("score"), 6))
+    """What must hold of the scores of all events and of a few far points made from them."""
+    events = _events(spark, sf).select("event_id", "value", "user_id")
+    far = events.where(F.col("event_id") < PLANTED).select(
+        (-1 - F.col("event_id")).alias("event_id"), (F.coalesce("value", F.lit(0.0)) * 100 + 1e6).alias("value"),
+        (F.col("user_id") * 1000 + 10_000_000).alias("user_id"))
+    out = isolation_forest(events.unionByName(far), ["event_id"], ["value", "user_id"])
+    flagged = F.col("prediction") == -1
+    return out.agg(
+        F.count("*").alias("scored"),
+        (F.count_if(flagged) <= F.ceil(0.1 * F.count("*"))).alias("within_contamination"),
+        F.bool_and((F.col("score") > 0) & (F.col("score") < 1)).alias("scores_valid"),
+        F.count_if(flagged & (F.col("event_id") < 0)).alias("planted_found"),
+    )
 
 
 def _quality_report(spark, sf):
@@ -139,7 +154,38 @@ def _etl_run(spark, sf):
     )
 
 
+def _etl_load(spark, sf):
+    """A full run into empty tables, read back as row counts."""
+    source = FrameSource(B.bind_all(spark, sf))
+    tables = ["suppliers", "products", "inventory", "orders", "sales"]
+    targets = {t: FileTarget(scratch_path(spark, f"etl-load-{t}")) for t in tables}
+    run = etl.run_pipeline(spark, source, tables, targets=targets)
+    stored = reduce(DataFrame.unionByName, [
+        targets[t].read(spark).agg(F.count("*").alias("rows_stored")).withColumn("table_name", F.lit(t)) for t in tables])
+    return run.summary(spark).select("table_name", "status", "rows_extracted", "rows_loaded").join(stored, "table_name")
+
+
+def _etl_gate(spark, sf):
+    """Tables that fail validation are not loaded; orders have open deliveries and fail, as do sales with NULLs."""
+    source = FrameSource({**B.bind_all(spark, sf), "sales": Sh.gappy_sales(spark, sf)})
+    tables = ["suppliers", "products", "orders", "sales"]
+    targets = {t: FileTarget(scratch_path(spark, f"etl-gate-{t}")) for t in tables}
+    run = etl.run_pipeline(spark, source, tables, on_fail="skip", targets=targets)
+    return run.summary(spark).select("table_name", "status", "rows_loaded", "validation_passed", "error")
+
+
+def _etl_orphaned(spark, sf):
+    """A source without suppliers: the keys to it go unchecked, the tables are processed."""
+    tables = {t: df for t, df in B.bind_all(spark, sf).items() if t != "suppliers"}
+    run = etl.run_pipeline(spark, FrameSource(tables), ["products", "orders"])
+    return run.quality().select("table_name", "total_rows", "fk_issues").join(
+        run.summary(spark).select("table_name", "status"), "table_name")
+
+
 QUERIES = {
+    "etl_full_load": _etl_load,
+    "etl_gate": _etl_gate,
+    "etl_absent_parent": _etl_orphaned,
     "value_distribution": lambda spark, sf: Pr.value_distribution(
         B.products(spark, sf), ["category", "product_name"]
     ).unionByName(Pr.value_distribution(B.orders(spark, sf), ["delivery_status"])),
@@ -252,6 +298,44 @@ def _profile_sql() -> str:
     return f"with dups as ({_dups('v_done_orders', ', '.join(_KINDS))}) {rows}"
 
 
+def _processed() -> dict[str, tuple[str, str]]:
+    """Rows extracted and rows left after the transformation, per table."""
+    keep = {"products": "unit_cost > 0 and reorder_level >= 0", "inventory": "quantity_on_hand >= 0 and quantity_reserved >= 0",
+            "orders": "order_quantity > 0 and order_cost >= 0", "sales": "quantity_sold > 0 and revenue >= 0"}
+    out = {}
+    for t in ("suppliers", "products", "inventory", "orders", "sales"):
+        rows = f"(select distinct * from v_{t})"
+        where = f" where {keep[t]}" if t in keep else ""
+        out[t] = (f"(select count(*) from v_{t})", f"(select count(*) from {rows}{where})")
+    return out
+
+
+def _loaded_sql() -> str:
+    return " union all ".join(
+        f"select '{t}' table_name, 'processed' status, {raw} rows_extracted, {left} rows_loaded, {left} rows_stored"
+        for t, (raw, left) in _processed().items()
+    )
+
+
+def _gate_sql() -> str:
+    parts = []
+    for t in ("suppliers", "products", "orders", "sales"):
+        left = _processed()[t][1].replace("v_sales", "v_gappy_sales")
+        parts.append(
+            f"select '{t}' table_name, 'failed' status, cast(0 as bigint) rows_loaded, false validation_passed, "
+            "'validation failed, load skipped' error" if t == "orders" else
+            f"select '{t}' table_name, 'processed' status, {left} rows_loaded, true validation_passed, cast(null as varchar) error"
+        )
+    return " union all ".join(parts)
+
+
+def _absent_sql() -> str:
+    return " union all ".join(
+        f"select '{t}' table_name, {_processed()[t][1]} total_rows, cast(0 as int) fk_issues, 'processed' status"
+        for t in ("products", "orders")
+    )
+
+
 def _run_sql() -> str:
     rows = {
         "suppliers": ("v_suppliers", "v_suppliers", None),
@@ -366,4 +450,12 @@ ORACLE = {
         from v_low_sales where quantity_sold > 0 and revenue >= 0"""
     ),
     "etl_run_summary": with_views(_run_sql()),
+    "etl_full_load": with_views(_loaded_sql()),
+    "etl_gate": with_views(_gate_sql()),
+    "etl_absent_parent": with_views(_absent_sql()),
+    "outliers_iforest": f"""
+        select count(*) + (select count(*) from events where event_id < {PLANTED} and user_id is not null) scored,
+          true within_contamination, true scores_valid,
+          (select count(*) from events where event_id < {PLANTED} and user_id is not null) planted_found
+        from events where value is not null and user_id is not null""",
 }

@@ -56,6 +56,21 @@ def _load_quarantine(spark, sf):
     return good.read(spark).withColumn("reject_reason", F.lit("")).unionByName(bad.read(spark))
 
 
+def _load_backup(spark, sf):
+    """Replace a table that is there already: the copy holds what it was."""
+    target = Wr.FileTarget(scratch_path(spark, "load-backup"))
+    Wr.load(B.suppliers(spark, sf), target, "replace", create_backup=False)
+    result = Wr.load(B.suppliers(spark, sf).withColumn("lead_time_days", F.lit(0)), target, "replace")
+    kept = spark.read.parquet(result.backup)
+    return kept.withColumn("version", F.lit("backup")).unionByName(target.read(spark).withColumn("version", F.lit("now")))
+
+
+def _json(spark, sf):
+    path, rows = scratch_path(spark, "json"), B.suppliers(spark, sf)
+    Wr.write_json(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
 def _insert_ignore(spark, sf):
     """The stock table before its newest snapshot takes one row per product, warehouse and year from the sales."""
     stock = B.inventory(spark, sf)
@@ -96,6 +111,8 @@ QUERIES = {
     "table_inventory": lambda spark, sf: R.table_inventory({t: B.base(spark, sf, t) for t in BASE_TABLES}),
     "load_modes": _load_modes,
     "load_quarantine": _load_quarantine,
+    "load_backup": _load_backup,
+    "json_round_trip": _json,
     "insert_ignore": _insert_ignore,
     "assign_surrogate_ids": _surrogate_ids,
     "assign_surrogate_ids_copies": _surrogate_ids_hot,
@@ -122,6 +139,11 @@ def _money(purpose: str, low: int, high: int) -> str:
 _IDS = "(select cast(o_orderkey as varchar) id from orders)"
 
 ORACLE = {
+    "load_backup": with_views(
+        "select *, 'backup' as version from v_suppliers union all "
+        "select * replace (cast(0 as int) as lead_time_days), 'now' as version from v_suppliers"
+    ),
+    "json_round_trip": with_views("select * from v_suppliers"),
     "extract_full": "select * replace (cast(l_shipdate as date) as l_shipdate) from lineitem",
     "extract_date_range": """select * replace (cast(l_shipdate as date) as l_shipdate) from lineitem
         where l_shipdate between date '1998-01-01' and date '1998-12-31'""",
