@@ -90,8 +90,8 @@ def plain_quantile(values, p):
     return values[low] + (values[high] - values[low]) * (place - low)
 
 
-@pytest.mark.parametrize("small", [1, 20, 500, 100_000])
-def test_quantiles_exact_for_any_bracket_size(spark, small):
+@pytest.mark.parametrize("few", [1, 20, 500, 100_000])
+def test_quantiles_exact_for_any_bracket_size(spark, few):
     rng = random.Random(5)
     data = [
         (
@@ -106,14 +106,14 @@ def test_quantiles_exact_for_any_bracket_size(spark, small):
     names = ["a", "b", "c", "d", "e"]
     df = spark.createDataFrame(data, ", ".join(f"{n} double" for n in names))
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got, *_ = exact_quantiles(df, names, probs, small=small)
+    got, *_ = exact_quantiles(df, names, probs, few=few)
     for i, n in enumerate(names):
         values = [r[i] for r in data if r[i] is not None]
         assert got[n] == ([None] * len(probs) if not values else [plain_quantile(values, p) for p in probs]), n
 
 
-def test_quantiles_do_not_depend_on_the_sample(spark):
+def test_quantiles_do_not_depend_on_the_partitions(spark):
     df = spark.range(0, 20_000, 1, 6).select((F.col("id") * 7919 % 20_011).cast("double").alias("v"))
-    found = [exact_quantiles(df, ["v"], [0.3, 0.9], small=50, seed=s)[0]["v"] for s in (1, 2)]
-    found.append(exact_quantiles(df.repartition(3), ["v"], [0.3, 0.9], small=50)[0]["v"])
+    found = [exact_quantiles(df.repartition(k), ["v"], [0.3, 0.9], few=50)[0]["v"] for k in (1, 2)]
+    found.append(exact_quantiles(df.repartition(3), ["v"], [0.3, 0.9], few=50)[0]["v"])
     assert found[0] == found[1] == found[2]

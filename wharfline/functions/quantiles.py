@@ -1,52 +1,42 @@
 """Exact quantiles of large columns without sorting or shuffling them.
 
 The built-in exact percentile keeps every distinct value of a column in one
-task.  Here a sample suggests a narrow bracket around each wanted rank, a
-counting scan proves that the rank lies in it, and the few values inside the
-bracket give the exact answer.  A bracket that still holds too many rows is
-narrowed again, one that misses its rank is widened.  The sample only guides the
-search; the result does not depend on it.  All targets of all columns share each
-scan, and only counts and bracket ends (a few numbers per column) come back to
-the driver.
+task.  Here the table is scanned twice, whatever its size.  The first scan
+sketches every column; the rank error of a sketch is bounded, so it gives a
+narrow bracket that holds the wanted ranks.  The second scan counts what lies
+below and in each bracket and writes the values inside, well under a thousandth
+of a large table.  The same two steps then go over the written values, until
+the few that are left are sorted.  All quantiles of all columns share each scan.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
-SMALL = 100_000  # rows that one task may hold and sort
-SAMPLE = (100_000, 20_000_000)  # least and most rows that guide one bracket
-ACCURACY = 10_000  # of the sketch over the sample
-MOST_ROUNDS = 40  # a round narrows a bracket about a hundredfold, so three or four do for any table
-BATCH = 40  # targets per scan, to keep the generated code within bounds
-
+from wharfline.session import scratch_path
 
-def _value(column: str) -> Column:
-    return F.col(column).cast("double")
+ACCURACY = 10_000  # a sketch errs by at most 1 / ACCURACY of the rows
+ROOM = 2.5 / ACCURACY  # around a wanted rank: the error of both bracket ends
+STEPS = (ROOM, 1e-3, 1e-2, 0.1, 1.0)  # widths asked for before the number of rows is known
+FEW = 10_000  # values that one task sorts in the end
+BATCH = 40  # targets per scan, to keep the generated code within bounds
 
 
 @dataclass
 class _Target:
     """The order statistics ``first`` and ``last`` (0-based, equal or adjacent) of one column.
 
-    After narrowing, the open interval (low, high) holds ``between`` rows and
-    starts after ``below`` rows.
+    ``below`` rows lie under the values still in question, of which there are ``between``.
     """
 
-    column: str
     prob: float
     rows: int
-    low: float
-    high: float
     below: int = 0
-    narrowed: bool = False
-    slack: float = 1.0
     known: dict[int, float] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -64,112 +54,65 @@ class _Target:
         low, high = self.known[self.first], self.known[self.last]
         return low + (high - low) * self.share
 
-    def is_inside(self) -> Column:
-        v = _value(self.column)
-        return (v > F.lit(self.low)) & (v < F.lit(self.high)) if self.narrowed else v.isNotNull()
-
-    def inside(self) -> Column:
-        """The value where it lies in the interval, else NULL."""
-        return F.when(self.is_inside(), _value(self.column))
-
-    def sampled(self, small: int) -> float:
-        """Share of the interval to sample: enough that one counting scan should leave ``small`` rows."""
-        wish = min(max((10 * self.between / small) ** 2, SAMPLE[0]), SAMPLE[1])
-        return min(1.0, wish / self.between)
-
-    def bracket(self, small: int) -> list[float]:
-        """Where in the interval to look, as shares of its rows, with room for sampling and sketch error."""
+    def wanted(self) -> list[float]:
+        """Shares of the values in question that enclose the open ranks, with room for the sketch's error."""
+        room = ROOM + 1.5 / self.between
         ranks = [r - self.below for r in self.open_ranks]
-        share = self.sampled(small)
-        chance = 2.5 / math.sqrt(self.between * share) if share < 1 else 0.0
-        room = self.slack * (chance + 2 / ACCURACY)
-        return [min(ranks) / self.between - room, (max(ranks) + 1) / self.between + room]
-
-    def counts(self, low: float, high: float) -> Column:
-        v = _value(self.column)
-        tests = [v < F.lit(low), v <= F.lit(low), v < F.lit(high), v <= F.lit(high)]
-        return F.struct(*[F.count_if(t).alias(f"c{i}") for i, t in enumerate(tests)])
-
-    def narrow(self, low: float, high: float, counted: Row) -> None:
-        """Take the counted bracket if the open ranks lie in it; else ask for a wider one."""
-        under, to_low, before_high, to_high = counted
-        if min(self.open_ranks) < under or max(self.open_ranks) >= to_high:
-            self.slack *= 4
-            return
+        return [max(0.0, min(ranks) / self.between - room), min(1.0, (max(ranks) + 1) / self.between + room)]
+
+    def settle(self, low: float, high: float, under: int, to_low: int, before_high: int, to_high: int) -> None:
+        """Take the counted bracket [low, high]: counts below low, up to low, below high and up to high."""
+        if min(self.open_ranks) < self.below + under or max(self.open_ranks) >= self.below + to_high:
+            raise AssertionError("a sketch beyond its error bound")
         for r in self.open_ranks:
-            if r < to_low:
+            if r < self.below + to_low:
                 self.known[r] = low
-            elif r >= before_high:
+            elif r >= self.below + before_high:
                 self.known[r] = high
-        self.low, self.high, self.narrowed, self.slack = low, high, True, 1.0
-        self.below, self.between = to_low, max(0, before_high - to_low)
-
-
-def _by_interval(targets: Sequence[_Target]) -> list[list[list[_Target]]]:
-    """Targets that share an interval together, in batches for one scan each."""
-    groups: dict[tuple, list[_Target]] = {}
-    for t in targets:
-        groups.setdefault((t.column, t.low, t.high), []).append(t)
-    found = list(groups.values())
-    return [found[i : i + BATCH] for i in range(0, len(found), BATCH)]
-
-
-def _guess(df: DataFrame, targets: Sequence[_Target], small: int, seed: int) -> dict[int, tuple[float, float]]:
-    """Bracket ends per target from a sketch over sampled rows."""
-    ends: dict[int, tuple[float, float]] = {}
-    for batch in _by_interval(targets):
-        share = max(g[0].sampled(small) for g in batch)
-        rows = df.withColumn("_u", F.rand(seed)).where(F.col("_u") < F.lit(share)) if share < 1 else df
-        sketches = []
-        for i, g in enumerate(batch):
-            own, v = g[0].sampled(small), g[0].inside()
-            v = F.when(F.col("_u") < F.lit(own), v) if own < share else v
-            wanted = [min(1.0, max(0.0, q)) for t in g for q in t.bracket(small)]
-            sketches.append(F.percentile_approx(v, wanted, ACCURACY).alias(f"_s{i}"))
-        row = rows.agg(*sketches).first()
-        for i, g in enumerate(batch):
-            for k, t in enumerate(g):
-                low, high = t.bracket(small)
-                at = row[f"_s{i}"]
-                # A sample may miss the extremes; a sketch of all rows knows them, and so always narrows.
-                partial = t.sampled(small) < 1
-                ends[id(t)] = (
-                    t.low if at is None or (partial and low <= 0) else at[2 * k],
-                    t.high if at is None or (partial and high >= 1) else at[2 * k + 1],
-                )
-    return ends
-
-
-def _count(
-    df: DataFrame, targets: Sequence[_Target], ends: dict[int, tuple[float, float]], also: Sequence[Column]
-) -> Row:
-    """Narrow each target by counts; ``also`` joins the first scan, whose row is returned."""
-    first = None
-    for start in range(0, len(targets), BATCH):
-        part = targets[start : start + BATCH]
-        counts = [t.counts(*ends[id(t)]).alias(f"_t{i}") for i, t in enumerate(part)]
-        row = df.agg(*counts, *(() if first else also)).first()
-        for i, t in enumerate(part):
-            t.narrow(*ends[id(t)], row[f"_t{i}"])
-        first = first or row
-    return first
-
-
-def _pick(df: DataFrame, targets: Sequence[_Target], also: Sequence[Column] = ()) -> Row | None:
-    """Settle the open ranks of intervals that were counted to hold few rows: sort them, take the places."""
-    first = None
-    for batch in _by_interval(targets):
-        lists = [F.sort_array(F.collect_list(g[0].inside())).alias(f"_v{i}") for i, g in enumerate(batch)]
-        extra = () if first else also
-        wanted = reduce(Column.__or__, [g[0].is_inside() for g in batch])
-        sorted_ = (df if extra else df.where(wanted)).agg(*lists, *extra)
-        places = [(i, t, r) for i, g in enumerate(batch) for t in g for r in t.open_ranks]
-        picked = [F.get(f"_v{i}", F.lit(r - t.below)).alias(f"_p{k}") for k, (i, t, r) in enumerate(places)]
-        row = sorted_.select(*picked, *sorted_.columns[len(lists) :]).first()
-        for k, (_, t, r) in enumerate(places):
-            t.known[r] = row[f"_p{k}"]
-        first = first or row
-    return first
+        self.below, self.between = self.below + to_low, max(0, before_high - to_low)
+
+
+Value = Callable[[int], Column]
+
+
+def _narrow(
+    df: DataFrame, value: Value, targets: Mapping[int, _Target], ends: Mapping[int, tuple[float, float]], also: Sequence[Column]
+) -> tuple[DataFrame, dict]:
+    """Count and write the values strictly inside the brackets: rows (t, v), and the observed aggregates ``also``."""
+    seen: dict = {}
+    numbers = list(targets)
+    written = []
+    for start in range(0, len(numbers), BATCH):
+        part = numbers[start : start + BATCH]
+        counts, cells = [], []
+        for t in part:
+            v, (low, high) = value(t), (F.lit(x) for x in ends[t])
+            counts += [F.count_if(c).alias(f"t{t}_{k}") for k, c in enumerate((v < low, v <= low, v < high, v <= high))]
+            cells.append(F.struct(F.lit(t).alias("t"), F.when((v > low) & (v < high), v).alias("v")))
+        got = Observation()
+        path = scratch_path(df.sparkSession, "bracket")
+        # counted in the writing stage itself, each task once
+        marked = df.observe(got, *counts, *(also if not start else ()))
+        inside = marked.select(F.inline(F.filter(F.array(*cells), lambda c: c["v"].isNotNull())))
+        inside.write.parquet(path)
+        seen |= got.get
+        written.append(df.sparkSession.read.schema("t int, v double").parquet(path))
+        for t in part:
+            targets[t].settle(*ends[t], *(seen[f"t{t}_{k}"] for k in range(4)))
+    out = written[0]
+    for more in written[1:]:
+        out = out.unionByName(more)
+    return out, seen
+
+
+def _sketched(df: DataFrame, value: Value, wanted: Mapping[int, Sequence[float]]) -> dict[int, list[float]]:
+    found: dict[int, list[float]] = {}
+    numbers = list(wanted)
+    for start in range(0, len(numbers), BATCH):
+        part = numbers[start : start + BATCH]
+        row = df.agg(*[F.percentile_approx(value(t), list(wanted[t]), ACCURACY).alias(f"s{t}") for t in part]).first()
+        found |= {t: row[f"s{t}"] for t in part}
+    return found
 
 
 def exact_quantiles(
@@ -178,31 +121,61 @@ def exact_quantiles(
     probs: Sequence[float],
     also: Sequence[Column] = (),
     then: Callable[[Row], Sequence[Column]] | None = None,
-    small: int = SMALL,
-    seed: int = 7,
-) -> tuple[dict[str, list[float | None]], Row, Row | None]:
+    few: int = FEW,
+) -> tuple[dict[str, list[float | None]], Row, Mapping | None]:
     """Linearly interpolated quantiles per column, NULLs ignored.
 
     ``also`` are aggregates for the first scan, ``then(first row)`` such for the
-    second; their rows are returned too (no second row for a table without values).
+    second; their results are returned too (no second ones for a table without values).
     """
-    look = [
-        F.struct(F.count(_value(c)), F.min(_value(c)), F.max(_value(c))).alias(f"_q{i}") for i, c in enumerate(columns)
-    ]
+    probs = [float(p) for p in probs]
+    asked = [min(1.0, max(0.0, p + sign * s)) for p in probs for s in STEPS for sign in (-1, 1)]
+    look = []
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        sketch = F.percentile_approx(v, asked, ACCURACY) if asked else F.lit(None)
+        look.append(F.struct(F.count(v), F.min(v), F.max(v), sketch).alias(f"_q{i}"))
     first = df.agg(*look, *also).first() if look or also else None
-    per_column: dict[str, list[_Target]] = {}
+
+    targets: dict[int, _Target] = {}
+    ends: dict[int, tuple[float, float]] = {}
+    for i in range(len(columns)):
+        n, low, high, sketch = first[f"_q{i}"]
+        for k, p in enumerate(probs if n else ()):
+            t = i * len(probs) + k
+            targets[t] = _Target(p, n)
+            step = next(j for j, s in enumerate(STEPS) if s >= min(1.0, ROOM + 2.5 / n))
+            at = (k * len(STEPS) + step) * 2
+            around = p - STEPS[step] > 0, p + STEPS[step] < 1
+            ends[t] = (sketch[at] if around[0] else low, sketch[at + 1] if around[1] else high)
+    second = None
+    rows, value = df, lambda t: F.col(columns[t // len(probs)]).cast("double")
+    pending = dict(targets)
+    while pending:
+        rows, seen = _narrow(rows, value, pending, ends, list(then(first)) if then and second is None else [])
+        second = seen if second is None else second
+        value = lambda t: F.when(F.col("t") == t, F.col("v"))  # noqa: E731 - one value per row from here on
+        pending = {t: x for t, x in pending.items() if x.open_ranks}
+        small = {t: x for t, x in pending.items() if x.between <= few}
+        _sort(rows, small)
+        pending = {t: x for t, x in pending.items() if t not in small}
+        ends = {t: (s[0], s[1]) for t, s in _sketched(rows, value, {t: x.wanted() for t, x in pending.items()}).items()}
+    out = {}
     for i, c in enumerate(columns):
-        n, low, high = first[f"_q{i}"]
-        per_column[c] = [_Target(c, float(p), n, low, high) for p in probs] if n else []
-    targets = [t for ts in per_column.values() for t in ts]
-
-    extra = list(then(first)) if then and targets else []
-    second, rounds = None, 0
-    while big := [t for t in targets if t.open_ranks and t.between > small]:
-        row = _count(df, big, _guess(df, big, small, seed), extra)
-        second, extra, seed = second or row, [], seed + 1
-        if (rounds := rounds + 1) > MOST_ROUNDS:
-            raise RuntimeError(f"no bracket found for {[(t.column, t.prob) for t in big]}")
-    row = _pick(df, [t for t in targets if t.open_ranks], extra)
-    second = second or row
-    return {c: [t.quantile for t in ts] or [None] * len(probs) for c, ts in per_column.items()}, first, second
+        own = [targets.get(i * len(probs) + k) for k in range(len(probs))]
+        out[c] = [x.quantile if x else None for x in own]
+    return out, first, second
+
+
+def _sort(rows: DataFrame, targets: Mapping[int, _Target]) -> None:
+    """Settle the open ranks of few values each: sorted per target, only the wanted places leave the task."""
+    if not targets:
+        return
+    places = [(t, r) for t, x in targets.items() for r in x.open_ranks]
+    lists = rows.where(F.col("t").isin(list(targets))).groupBy("t").agg(F.sort_array(F.collect_list("v")).alias("vs"))
+    wanted = F.create_map(*[y for t, x in targets.items() for y in (F.lit(t), F.array(*[F.lit(r - x.below) for r in x.open_ranks]))])
+    found = lists.select("t", F.transform(wanted[F.col("t")], lambda k: F.get("vs", k)).alias("at")).collect()
+    at = {r.t: r["at"] for r in found}
+    for t, x in targets.items():
+        x.known |= dict(zip(x.open_ranks, at[t], strict=True))
+    assert all(r in targets[t].known for t, r in places)

@@ -61,14 +61,14 @@ def _numeric_scan(
         out = []
         for i, c in enumerate(columns):
             d = F.col(c).cast("double") - F.lit(first[f"_m{i}"][2])
-            out.append(F.struct(F.sum(d * d), F.sum(d * d * d), F.sum(d * d * d * d)).alias(f"_p{i}_powers"))
+            out += [F.sum(x).alias(f"_p{i}_{k}") for k, x in ((2, d * d), (3, d * d * d), (4, d * d * d * d))]
         return out
 
     quartiles, first, second = quantiles(df, columns, QUARTILES, approximate, also=[*basics, *also], then=powers)
     stats = {}
     for i, c in enumerate(columns):
         rows, n, mean, low, high = first[f"_m{i}"]
-        std, skewness, kurtosis = sample_moments(n, *(second[f"_p{i}_powers"] if second and n else (None,) * 3))
+        std, skewness, kurtosis = sample_moments(n, *([second[f"_p{i}_{k}"] for k in (2, 3, 4)] if second and n else (None,) * 3))
         q25, median, q75 = quartiles[c]
         stats[c] = (n, rows - n, mean, median, std, low, high, q25, q75, skewness, kurtosis)
     return stats, first
