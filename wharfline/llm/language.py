@@ -20,7 +20,7 @@ from wharfline.llm.features import ragged, row_sums, sampled
 from wharfline.llm.text import BLOCK_BYTES, binary, mix, offsets_and_bytes
 
 BITS, ORDERS = 16, 3
-SAMPLE = 1_500  # texts of each language in the training sample at most (about)
+SAMPLE = 800  # texts of each language in the training sample at most (about)
 EPOCHS, BATCH = 8, 64
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-3, 1e-3
 SCALE = 20.0

@@ -86,14 +86,14 @@ class Shard:
             return -(2**62)
         q = query[: len(self.columns)]
         heavy = np.argsort(-np.abs(q), kind="stable")[:8]
-        rough = q[heavy] @ self.columns[heavy]
+        rough = q[heavy] @ self.columns[heavy]  # only dimensions that both have
         take = min(len(rough), 4 * k + 1)
         probe = np.argpartition(-rough, take - 1)[:take]
         if own is not None:
             probe = probe[self.ids[probe] != own]
         if len(probe) < k:
             return -(2**62)
-        return int(np.sort(q @ self.columns[:, probe])[-k])
+        return int(np.sort(q @ self.columns[: len(q), probe])[-k])
 
 
 def quantised(vectors: DataFrame, key: str, vector: str) -> DataFrame:
