@@ -88,9 +88,6 @@ def with_dense_ids(df: DataFrame, order: Sequence[str], name: str, start: int =
         ids = F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_copies") - 1))
         return part.withColumn(name, ids).select(*df.columns, name)
 
-    most = rows.agg(F.max("_copies")).first()[0]
-    if most is None or most <= chunk:
-        return expanded(numbered)
     usual = numbered.where(F.col("_copies") <= chunk)
     pieces = (
         numbered.where(F.col("_copies") > chunk)
