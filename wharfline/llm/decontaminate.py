@@ -5,9 +5,10 @@ documents meet the seeds of the benchmark, and each hit puts the item beside the
 words are compared one by one: an offset counts if some ``window`` words in a row agree in at least ``percent`` of
 them, so that substituted words do not hide a passage.
 
-The document side is one scan without a shuffle: word hashes stay in the row as an array, seeds are made and looked up as
-they are generated, and only hits go on.  The benchmark is broadcast in blocks of at most BLOCK_SEEDS seeds - a
-benchmark of any size is a loop of such scans - and hits are reduced per document and offset before they are verified.
+The document side is one scan without a shuffle: seeds are made and looked up as they are generated, and only hits go
+on.  Long texts are cut into overlapping pieces first, so that a row never holds more than PIECE places.  The benchmark
+is broadcast in blocks of at most about BLOCK_SEEDS seeds - a benchmark of any size is a loop of such scans.  Hits are
+reduced to one row per document, item and offset, and go back to the texts to be verified.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from wharfline.session import cut
 MASKS = ("110101011", "111001101")
 SPAN = 9
 BLOCK_SEEDS = 200_000
+PIECE = 2_000  # places that one row holds
+SMALL = 100_000  # rows of 40 bytes that are sent to every task; more are joined by a shuffle
 
 
 def word_hashes(text: Column) -> Column:
@@ -32,13 +35,17 @@ def word_hashes(text: Column) -> Column:
 
 
 def _seeds(df: DataFrame) -> DataFrame:
-    """One row per place and mask: ``seed`` beside all columns of ``df``, which has the word hashes ``h``; ``place`` from 0."""
-    places = F.greatest(F.lit(0), F.size("h") - (SPAN - 1))
+    """One row per place and mask: ``place`` (from 0) and ``seed`` beside the columns of ``df``, but for its word hashes ``h``."""
+    kept = [c for c in df.columns if c != "h"]
+    starts = F.sequence(F.lit(0), F.size("h") - SPAN, F.lit(PIECE))
+    pieces = F.transform(starts, lambda s: F.slice("h", s + 1, PIECE + SPAN - 1))
+    cut_up = df.filter(F.size("h") >= SPAN).select(*kept, F.posexplode(pieces).alias("piece", "h"))
+    places = F.size("h") - (SPAN - 1)
     shifted = [F.slice("h", k + 1, places).alias(f"w{k}") for k in range(SPAN)]
-    index = F.when(places > 0, F.sequence(F.lit(0), places - 1)).otherwise(F.array().cast("array<int>")).alias("place")
-    rows = df.select(*df.columns, F.inline(F.arrays_zip(index, *shifted)).alias("place", *(f"w{k}" for k in range(SPAN))))
+    index = F.sequence(F.lit(0), places - 1).alias("at")
+    rows = cut_up.select(*kept, "piece", F.inline(F.arrays_zip(index, *shifted)).alias("at", *(f"w{k}" for k in range(SPAN))))
     hashes = [F.xxhash64(F.lit(m), *(f"w{k}" for k in range(SPAN) if mask[k] == "1")) for m, mask in enumerate(MASKS)]
-    return rows.select(*df.columns, "place", F.explode(F.array(*hashes)).alias("seed"))
+    return rows.select(*kept, (F.col("piece") * PIECE + F.col("at")).alias("place"), F.explode(F.array(*hashes)).alias("seed"))
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text",
@@ -54,21 +61,25 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text", ke
         benchmark.select(F.col(item_key).alias("item"), word_hashes(F.col(item_text)).alias("h"))
         .filter(F.size("h") >= SPAN).groupBy(F.col("h").alias("words")).agg(F.min("item").alias("item"))
     )
-    seeds = cut(_seeds(items.withColumn("h", F.col("words"))).select("seed", "item", F.col("place").alias("at"), "words"), "benchmark-seeds")
+    items = cut(items, "benchmark-items")
+    seeds = cut(_seeds(items.select("item", F.col("words").alias("h"))).select("seed", "item", F.col("place").alias("start")), "benchmark-seeds")
     blocks = max(1, -(-seeds.count() // block_seeds))
-    rows = docs.select(F.col(key).alias("doc"), word_hashes(F.col(text)).alias("h"))
-    made = _seeds(rows)
+    # rows of one key may hold different texts
+    rows = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("copy"), F.col(text).alias("text"))
+    made = _seeds(rows.select("doc", "copy", word_hashes(F.col("text")).alias("h")))
     hits = []
     for b in range(blocks):
-        part = seeds.filter(F.pmod(F.xxhash64("item", "at"), F.lit(blocks)) == b)  # a block: block_seeds rows on average
-        hits.append(made.join(F.broadcast(part), "seed").select(
-            "doc", "item", (F.col("place") - F.col("at")).alias("offset"), "words", "h"))
-    beside = [
-        h.select("doc", "item", "offset", F.transform("words", lambda w, k: F.coalesce(F.get("h", F.col("offset") + k) == w, F.lit(False)).cast("int")).alias("same"))
-        for h in hits
-    ]
-    # every hit of a text at one offset gives the same comparison; texts under one key may differ
-    offsets = reduce(DataFrame.unionByName, beside).distinct()
+        part = seeds.filter(F.pmod(F.xxhash64("item", "start"), F.lit(blocks)) == b)  # a block: block_seeds rows on average
+        hits.append(made.join(F.broadcast(part), "seed").select("doc", "copy", "item", (F.col("place") - F.col("start")).alias("offset")))
+    offsets = cut(reduce(DataFrame.unionByName, hits).distinct(), "benchmark-hits")
+    found = offsets.withColumnsRenamed({"doc": "d", "copy": "c"})
+    few = offsets.count() <= SMALL
+    # the texts stay where they are if the hits are few; those that are hit meet the items' words
+    hit = rows.join(F.broadcast(found) if few else found, F.col("doc").eqNullSafe(F.col("d")) & (F.col("copy") == F.col("c")))
+    # stored, as the hashes would else be made again for every word that is compared
+    texts = cut(hit.select("doc", "item", "offset", word_hashes(F.col("text")).alias("h")), "benchmark-texts").join(items, "item")
+    same = F.transform("words", lambda w, k: F.coalesce(F.get("h", F.col("offset") + k) == w, F.lit(False)).cast("int"))
+    offsets = texts.select("doc", "item", same.alias("same"))
     width = F.least(F.lit(window), F.size("same"))
     sums = F.transform(F.sequence(F.lit(1), F.size("same") - width + 1),
                        lambda k: F.aggregate(F.slice("same", k, width), F.lit(0), lambda a, x: a + x))
