@@ -21,9 +21,18 @@ def awkward_rows():
     return [*rows, rows[11], rows[12], rows[23]]
 
 
+@pytest.fixture(scope="session", autouse=True)
+def few_partitions(spark):
+    """Tables here are small: most of a test's time would go into empty tasks."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="session")
 def awkward(spark):
-    return spark.createDataFrame(awkward_rows(), SCHEMA).repartition(5).cache()
+    return spark.createDataFrame(awkward_rows(), SCHEMA).repartition(3).cache()
 
 
 @pytest.fixture(scope="session")

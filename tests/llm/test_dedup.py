@@ -104,8 +104,7 @@ def test_null_keys_are_the_smallest_document(spark):
     assert Counter((r.doc_id, r.n_dropped) for r in got) == {(None, 1): 3, (0, 1): 1, (1, 1): 1, (2, 1): 1, (3, 0): 1}
 
 
-@pytest.mark.parametrize("table", ["awkward", "documents", "crowded", "nothing"])
-@pytest.mark.parametrize("window", [50, 7])
+@pytest.mark.parametrize(("table", "window"), [("awkward", 50), ("awkward", 7), ("documents", 50), ("crowded", 7), ("nothing", 50)])
 def test_windows(request, table, window):
     df = request.getfixturevalue(table)
     got = substring_dedup.substring_dedup(df, window=window)
@@ -121,8 +120,7 @@ def test_sliding_minimum():
         assert substring_dedup.sliding_min(x, width).tolist() == want
 
 
-@pytest.mark.parametrize("table", ["awkward", "documents", "crowded", "nothing"])
-@pytest.mark.parametrize("rule", [(3, 85), (5, 80)])
+@pytest.mark.parametrize(("table", "rule"), [("awkward", (3, 85)), ("documents", (5, 80)), ("crowded", (5, 80)), ("nothing", (3, 85))])
 def test_near_duplicates(request, table, rule):
     df = request.getfixturevalue(table)
     got = near_dup.near_duplicates(df, shingle=rule[0], percent=rule[1])
@@ -154,12 +152,16 @@ def test_group_of_near_copies(spark):
 
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(2)
-    for share in (0.85, 0.9, 0.97):
+    for share in (0.85, 0.9, 0.97):  # sets of a narrow and a wide sketch
         base = np.unique(rng.integers(0, 2**63, 2_000).astype(np.uint64))
         n = int(len(base) * 2 * share / (1 + share))
         other = np.concatenate((base[:n], rng.integers(0, 2**63, len(base) - n).astype(np.uint64)))
         s = near_dup.odd_sketch(near_dup.minhash([base, other]))
         assert int(np.bitwise_count(s[0] ^ s[1]).sum()) <= near_dup.most_different(0.85)
+        s = near_dup.odd_sketch(near_dup.minhash([base, other], near_dup.WIDE))
+        differ = int(np.bitwise_count(s[0] ^ s[1]).sum())
+        low, high = (near_dup.most_different(share, near_dup.WIDE, m) for m in (-0.06, 0.06))
+        assert low <= differ <= high
 
 
 def test_null_key_near_duplicates(spark):

@@ -87,12 +87,17 @@ def merge(symbols: np.ndarray, lengths: np.ndarray, pairs: Pairs) -> tuple[np.nd
             run = np.concatenate(([True], (hits[1:] != hits[:-1] + 1) | leads[1:]))
             start = np.flatnonzero(run)
             place = np.arange(len(hits)) - np.repeat(start, np.diff(np.concatenate((start, [len(hits)]))))
-            state = _apply(sym, owner, rank, to, hits[place % 2 == 0], pairs)
+            chosen = hits[place % 2 == 0]
+            state = _apply(sym, owner, rank, to, chosen, pairs)
             fresh = state[4]  # places whose rank is new
             bound = np.zeros(n, dtype=np.int32)
             bound[whose[leads]] = rank[hits[leads]]
             bad = np.zeros(n, dtype=bool)
             bad[state[1][fresh[state[2][fresh] <= bound[state[1][fresh]]]]] = True
+            # between two merges, the first one stands beside the symbol that the second is about to take
+            ahead = chosen[chosen + 2 < len(sym)]
+            ahead = ahead[(owner[ahead + 2] == owner[ahead]) & (sym[ahead + 2] >= 0)]
+            bad[owner[ahead[pairs.find(to[ahead], sym[ahead + 2])[0] <= bound[owner[ahead]]]]] = True
             if bad.any():
                 state = _apply(sym, owner, rank, to, hits[(place % 2 == 0) & (leads | ~bad[whose])], pairs)
             state = state[:4]
