@@ -6,7 +6,7 @@ Texts with equal shingle sets are one *class*; only classes are compared, and no
   bucket with probability (1 - 0.8^4)^32 = 5e-8, at 0.85 5e-11.
 * The 128 MinHash values of a class are also folded into an odd sketch: each flips one of 1024 bits.  The number of
   bits in which two sketches differ estimates a high similarity closely; candidates far below the threshold go
-  unread (``MARGIN``: about five standard errors).
+  unread (``MARGIN``: about five standard errors).  Classes in crowded buckets get a sketch of eight times the size.
 * No bucket is expanded into pairs.  First, every member meets two hubs of its bucket, the same for all buckets of a
   group.  Then components are formed, and only members outside the largest component of their bucket meet those of other
   components.  Pairs within a component need no look: they change nothing.
@@ -17,20 +17,22 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wharfline.llm.text import blocks, lower_ascii, mix, ngrams, word_bounds, word_hashes
 from wharfline.session import cut
 
-BANDS, ROWS, BITS = 32, 4, 1024
-SAMPLES = BANDS * ROWS
-MARGIN = 0.16
-_FACTORS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64), 11) | np.uint64(1)
-_SHIFTS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64), 12)
+BANDS, ROWS = 32, 4
+SAMPLES, WIDE = BANDS * ROWS, 1024  # MinHash values of a sketch
+BITS_PER_SAMPLE = 8
+MARGIN, WIDE_MARGIN = 0.16, 0.057
+_FACTORS = mix(np.arange(1, WIDE + 1, dtype=np.uint64), 11) | np.uint64(1)
+_SHIFTS = mix(np.arange(1, WIDE + 1, dtype=np.uint64), 12)
 _SALTS = mix(np.arange(1, BANDS + 1, dtype=np.uint64), 13)
 
 
@@ -48,28 +50,29 @@ def shingle_sets(offsets: np.ndarray, raw: np.ndarray, size: int) -> list[np.nda
     return out
 
 
-def minhash(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of ``SAMPLES`` minima for each (non-empty) set."""
+def minhash(sets: list[np.ndarray], samples: int = SAMPLES) -> np.ndarray:
+    """One row of ``samples`` minima for each (non-empty) set."""
     flat = np.concatenate(sets)
     first = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1])).astype(np.int64)
-    out = np.empty((len(sets), SAMPLES), dtype=np.uint64)
-    for k in range(SAMPLES):
+    out = np.empty((len(sets), samples), dtype=np.uint64)
+    for k in range(samples):
         out[:, k] = np.minimum.reduceat(flat * _FACTORS[k] + _SHIFTS[k], first)
     return out
 
 
 def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Parity bitmaps of ``BITS`` bits, as 64-bit words."""
-    place = (mix(samples + _SHIFTS, 14) & np.uint64(BITS - 1)).astype(np.int64)
-    parity = np.zeros((len(samples), BITS), dtype=np.uint8)
+    """Parity bitmaps of BITS_PER_SAMPLE bits for each sample, as 64-bit words."""
+    n, k = samples.shape
+    place = (mix(samples + _SHIFTS[:k], 14) & np.uint64(BITS_PER_SAMPLE * k - 1)).astype(np.int64)
+    parity = np.zeros((n, BITS_PER_SAMPLE * k), dtype=np.uint8)
     np.bitwise_xor.at(parity, (np.arange(len(samples))[:, None], place), np.uint8(1))
     return np.packbits(parity, axis=1, bitorder="little").view(np.uint64)
 
 
-def most_different(similarity: float) -> int:
-    """Bits in which the sketches of two sets of at least this similarity (less ``MARGIN``) are expected to differ."""
-    low = max(0.0, similarity - MARGIN)
-    return math.ceil(BITS / 2 * (1 - math.exp(-4 * SAMPLES * (1 - low) / BITS)))
+def most_different(similarity: float, samples: int = SAMPLES, margin: float = MARGIN) -> int:
+    """Bits in which the sketches of two sets of this similarity less ``margin`` are expected to differ."""
+    low, bits = max(0.0, similarity - margin), BITS_PER_SAMPLE * samples
+    return math.ceil(bits / 2 * (1 - math.exp(-4 * samples * (1 - low) / bits)))
 
 
 def _signatures(rows: DataFrame, size: int) -> DataFrame:
@@ -82,7 +85,7 @@ def _signatures(rows: DataFrame, size: int) -> DataFrame:
                 c1, c2 = (np.array([mix(s, k).sum(dtype=np.uint64) for s in sets], dtype=np.uint64) for k in (21, 22))
                 full = [s for s in sets if len(s)]
                 bands = np.zeros((len(sets), BANDS), dtype=np.uint64)
-                sketch = np.zeros((len(sets), BITS // 64), dtype=np.uint64)
+                sketch = np.zeros((len(sets), BITS_PER_SAMPLE * SAMPLES // 64), dtype=np.uint64)
                 if full:
                     low = minhash(full)
                     key = low[:, ::ROWS].copy()
@@ -107,6 +110,19 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
     return rows.select("node", "text").mapInArrow(run, "node long, shingles binary")
 
 
+def _wide_sketches(sets: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                full = [np.frombuffer(x, dtype=np.uint64) for x in part.column(1).to_pylist()]
+                words = odd_sketch(minhash(full, WIDE)).view(np.int64)
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(words.ravel()), words.shape[1]).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["node", "wide"])
+
+    return sets.select("node", "shingles").mapInArrow(run, "node long, wide array<long>")
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
 
@@ -166,7 +182,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     component is the smallest key of its group, it is kept only without links to others, and alone its component is null.
     Columns of ``docs`` named like the results are replaced.  Very long texts are read whole.  An empty table stays empty.
     """
-    others = [c for c in docs.columns if c not in ("n_shingles", "component_id", "kept")]
+    others = [c for c in docs.columns if c not in (text, "n_shingles", "component_id", "kept")]
     highest = F.lit(2**63 - 1).cast("long")  # a null key: after all others
     named = docs.select(F.struct(*others).alias("row"), F.col(text).alias("text"),
                         F.coalesce(F.col(key).cast("long"), highest).alias("doc"), F.xxhash64(text).alias("copy"))
@@ -178,14 +194,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
         .select("c1", "c2", F.col("head.doc").alias("node"), F.col("head.copy").alias("copy"), "n", "bands", "sketch"),
         "near-classes")
 
-    members = cut(classes.select(F.explode("bands").alias("bucket"), "node"), "near-members")
+    members = cut(classes.select(F.posexplode("bands").alias("band", "bucket"), "node"), "near-members")
     buckets = cut(
         members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("hub"), F.min(F.struct(F.xxhash64("node"), "node")).alias("other"))
         .filter("size > 1").select("bucket", "size", "hub", F.col("other.node").alias("other")), "near-buckets")
     shared = cut(members.join(buckets, "bucket"), "near-shared")
     meetings = shared.select(F.explode(F.array("hub", "other")).alias("h"), "node").filter("h != node")
     limit = most_different(percent / 100)
-    bits = sum((F.bit_count(F.col("p.sketch")[k].bitwiseXOR(F.col("q.sketch")[k])) for k in range(BITS // 64)), F.lit(0))
+    bits = sum((F.bit_count(F.col("p.sketch")[k].bitwiseXOR(F.col("q.sketch")[k])) for k in range(BITS_PER_SAMPLE * SAMPLES // 64)), F.lit(0))
     alike = (bits <= limit) & (100 * F.least("p.n", "q.n") >= percent * F.greatest("p.n", "q.n"))
 
     def ordered(a: str, b: str) -> list:
@@ -206,16 +222,23 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
 
     # members that are not yet in the largest component of their bucket, against the other components there
     placed = (
-        shared.filter("size > 2 and node != hub and node != other").select("bucket", "node").join(first, "node", "left")
+        shared.filter("size > 2 and node != hub and node != other").select("bucket", "band", "node").join(first, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
     parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("k")).groupBy("bucket").agg(
         F.count("*").alias("parts"), F.max(F.struct("k", "component")).alias("top")).filter("parts > 1")
     open_buckets = cut(parts.select("bucket", F.col("top.component").alias("top")), "near-open")
-    described = cut(placed.join(open_buckets, "bucket").join(marks, "node"), "near-placed")
+    crowded = cut(placed.join(open_buckets, "bucket"), "near-crowded")
+    wide = _wide_sketches(sets.join(crowded.select("node").distinct(), "node"))
+    described = cut(crowded.join(cut(classes.select("node", "n", "sketch", "bands").join(wide, "node"), "near-wide"), "node"), "near-described")
     loose = described.filter("component != top")
+    # a pair is judged in the first bucket that it shares, and once if both are outside the largest component
+    earlier = reduce(Column.__or__, [(F.col("p.bands")[k] == F.col("q.bands")[k]) & (F.lit(k) < F.col("p.band")) for k in range(BANDS)])
+    once = (F.col("q.component") == F.col("q.top")) | (F.col("p.node") < F.col("q.node"))
+    differ = F.aggregate(F.zip_with("p.wide", "q.wide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    near = (F.col("p.component") != F.col("q.component")) & once & alike & ~earlier & (differ <= most_different(percent / 100, WIDE, WIDE_MARGIN))
     late = cut(
-        loose.alias("p").join(described.alias("q"), (F.col("p.bucket") == F.col("q.bucket")) & (F.col("p.component") != F.col("q.component")) & alike)
+        loose.alias("p").join(described.alias("q"), (F.col("p.bucket") == F.col("q.bucket")) & near)
         .select(*ordered("p.node", "q.node")).distinct(), "near-late")
     more = cut(_confirm(late, sets, percent), "near-more")
     component_of = cut(components(links.unionByName(more)), "near-components")
@@ -225,7 +248,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
         signatures.select("doc", "copy", "n", "c1", "c2").distinct().join(classes.select("c1", "c2", "node"), ["c1", "c2"], "left")
         .join(component_of, "node", "left").select("doc", "copy", "n", F.coalesce("component", "node", "doc").alias("component"))
     )
-    found = named.select("row", "doc", "copy").join(cut(by_text, "near-texts"), ["doc", "copy"])
+    found = named.join(cut(by_text, "near-texts"), ["doc", "copy"])
     component = F.when(F.col("component") == highest, None).otherwise(F.col("component"))
-    return found.select("row.*", F.col("n").alias("n_shingles"), component.alias("component_id"),
+    return found.select("row.*", F.col("text").alias(text), F.col("n").alias("n_shingles"), component.alias("component_id"),
                         (F.col("doc") == F.col("component")).alias("kept"))
