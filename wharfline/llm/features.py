@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wharfline.llm import text as T
 
+FEW = 100_000  # strata, of a name and a number each, that are sent to every task
 _BREAK = np.ones(256, dtype=bool)  # everything but ASCII letters and bytes of other scripts
 _BREAK[65:91] = _BREAK[97:123] = _BREAK[128:] = False
 
@@ -39,7 +40,9 @@ def sampled(rows: DataFrame, limit: int, by: Column, stratum: str | None = None)
         n = rows.count()
         return rows if n <= limit else rows.filter(place < int(limit / n * (1 << 30)))
     counts = rows.groupBy(stratum).agg(F.count("*").alias("__n"))
-    return rows.join(counts, stratum).filter(place.cast("double") * F.col("__n") < float(limit << 30)).drop("__n")
+    # the texts stay where they are if the strata are few, whatever share of the rows one of them holds
+    few = counts.count() <= FEW
+    return rows.join(F.broadcast(counts) if few else counts, stratum).filter(place.cast("double") * F.col("__n") < float(limit << 30)).drop("__n")
 
 
 def ragged(column: pa.ChunkedArray | pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
