@@ -54,9 +54,11 @@ def ragged(column: pa.ChunkedArray | pa.Array, dtype: str) -> tuple[np.ndarray,
 
 def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums over the rows of a ragged array (0 for empty rows)."""
-    zero = np.zeros((1, *values.shape[1:]), dtype=np.float64)
-    sums = np.concatenate((zero, np.cumsum(values, axis=0, dtype=np.float64)))
-    return sums[bounds[1:]] - sums[bounds[:-1]]
+    out = np.zeros((len(bounds) - 1, *values.shape[1:]), dtype=np.float64)
+    full = bounds[1:] > bounds[:-1]
+    if full.any():
+        out[full] = np.add.reduceat(values, bounds[:-1][full], axis=0, dtype=np.float64)
+    return out
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

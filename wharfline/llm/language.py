@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharfline.llm.features import ragged, row_sums, sampled
-from wharfline.llm.text import BLOCK_BYTES, binary, mix, offsets_and_bytes
+from wharfline.llm.text import binary, mix, offsets_and_bytes
 
 BITS, ORDERS = 16, 3
+BLOCK_BYTES = 1 << 18  # of text at a time: each byte takes about 150 in arrays
 SAMPLE = 800  # texts of each language in the training sample at most (about)
 EPOCHS, BATCH = 8, 64
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-3, 1e-3

@@ -25,7 +25,7 @@ from wharfline.llm import bpe
 from wharfline.llm.text import blocks
 from wharfline.session import cut
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 SHARD_DOCS = 1024  # remainders that one index holds: at most this many windows of ids
 QUERY_TERMS = 48  # rarest terms of a seed that retrieve its neighbours
 K1, B = 1.2, 0.75
