@@ -113,6 +113,23 @@ def test_windows(request, table, window):
     assert set(df.columns) <= set(got.columns)
 
 
+def test_windows_of_a_block_repeated_inside_a_document(spark):
+    """Every place of a run in its smallest document is compared, not only the first one."""
+    rng = np.random.default_rng(8)
+
+    def new(n):
+        return [f"n{x}" for x in rng.integers(0, 10**9, n)]
+
+    rows = []
+    for k in range(0, 400, 20):
+        p, x, y = new(70), new(60), new(60)
+        rows += [(k + 3, " ".join(new(40) + p + new(40))), (k + 10, " ".join(x + p + y + new(30) + x + p + y)),
+                 (k + 12, " ".join(y + p)), (k + 12, " ".join(new(9) + y + p + x)), (None, " ".join(p[:55] + new(20) + p[:55]))]
+    got = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    want = drop_windows([(-1 if d is None else d, t) for d, t in rows], 50)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.text, r.n_words, r.n_removed) for r in got.collect()) == sorted(want)
+
+
 def test_sliding_minimum():
     x = np.random.default_rng(0).integers(0, 1000, 300).astype(np.uint64)
     for width in (1, 2, 3, 5, 41, 64, 300, 301):

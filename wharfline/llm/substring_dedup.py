@@ -6,8 +6,8 @@ smallest inner hash (of ``ANCHOR`` words) therefore travel as one *run*, about o
 
 * equal windows have equal inner hashes, so windows that are equal lie in runs of the same anchor;
 * a run whose word sequence is found whole in a smaller document goes whole (first count, by 128-bit hash of the run);
-* only the first run of each sequence whose anchor also heads a different sequence is opened into its windows, which are
-  then counted one by one (second count, by 128-bit hash of the window).
+* of a sequence whose anchor also heads a different sequence, all places in its smallest document are opened into their
+  windows, which are then counted one by one (second count, by 128-bit hash of the window).
 
 Both counts take a minimum per hash, which Spark combines before the shuffle; a passage in a third of all documents is
 one key in the counts, and the joins that follow read stored tables, which adaptive execution may split.
@@ -27,6 +27,7 @@ from wharfline.llm.text import blocks, mix, powers, windows, word_bounds, word_h
 from wharfline.session import cut
 
 ANCHOR = 10
+LOWEST = -(2**63)  # the document of null keys
 _BASES = (0xC2B2AE3D27D4EB4F, 0x9FB21C651E98DF25)
 
 
@@ -118,13 +119,20 @@ def removal_intervals(rows: DataFrame, window: int) -> DataFrame:
     """(doc, copy, spans): sorted windows to remove, as lists of (first window, number of windows)."""
     runs = cut(_runs(rows, window), "substring-runs")
     head = F.min(F.struct("doc", "copy", "start", "n")).alias("head")
-    heads = cut(runs.groupBy("anchor", "s1", "s2").agg(head, F.max("doc").alias("last")), "substring-heads")
-    shared = cut(heads.filter("head.doc < last").select("s1", "s2", F.col("head.doc").alias("first")), "substring-shared")
-    whole = runs.join(shared, ["s1", "s2"]).filter("first < doc").select("doc", "copy", "start", "n")
-    mixed = cut(heads.groupBy("anchor").agg(F.count("*").alias("k")).filter("k > 1").select("anchor"), "substring-mixed")
-    opened = cut(
-        heads.join(mixed, "anchor").select("head.*").groupBy("doc", "copy").agg(F.collect_list(F.struct("start", "n")).alias("runs")),
-        "substring-opened")
+    heads = cut(runs.groupBy("anchor", "s1", "s2").agg(head, F.max("doc").alias("last"), F.count("*").alias("k")), "substring-heads")
+    mixed = cut(heads.groupBy("anchor").agg(F.count("*").alias("m")).filter("m > 1").select("anchor"), "substring-mixed")
+    # places besides the head: whole in a larger document, opened in the head's own, of which nothing goes if it is the smallest of all
+    again = cut(
+        heads.filter("k > 1").join(mixed.withColumn("mixed", F.lit(True)), "anchor", "left")
+        .select("s1", "s2", F.col("head.doc").alias("first"), (F.col("mixed").isNotNull() & (F.col("head.doc") > LOWEST)).alias("open"), "last")
+        .filter("first < last or open").drop("last"), "substring-again")
+    others = cut(
+        runs.join(again, ["s1", "s2"]).filter("first < doc or (first = doc and open)")
+        .select("doc", "copy", "start", "n", (F.col("first") < F.col("doc")).alias("whole")), "substring-others")
+    whole = others.filter("whole").drop("whole")
+    inner = heads.join(mixed, "anchor").select("head.*").unionByName(others.filter("not whole").drop("whole"))
+    # a set: repeated rows give the same places
+    opened = cut(inner.groupBy("doc", "copy").agg(F.collect_set(F.struct("start", "n")).alias("runs")), "substring-opened")
     # a repeated row would give its windows twice, which changes no minimum
     places = cut(_open_runs(rows.join(opened, ["doc", "copy"]).select("doc", "copy", "text", "runs"), window), "substring-windows")
     firsts = cut(places.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last").drop("last"),
@@ -150,7 +158,7 @@ def substring_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
     n_removed are replaced.  Very long texts are read whole.  An empty table stays empty.
     """
     others = [c for c in docs.columns if c not in (text, "n_words", "n_removed")]
-    lowest = F.lit(-(2**63)).cast("long")
+    lowest = F.lit(LOWEST).cast("long")
     rows = docs.select(F.struct(*others).alias("row"), F.col(text).alias("text"),
                        F.coalesce(F.col(key).cast("long"), lowest).alias("doc"), F.xxhash64(text).alias("copy"))
     spans = removal_intervals(rows.select("doc", "copy", "text"), window)
