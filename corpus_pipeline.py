@@ -31,8 +31,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, similarity of 0.8 or more."""
-    return near_dup.near_duplicates(docs, shingle=5, percent=80).filter("kept").select(docs.columns)
+    """One row of each group of near duplicates: five-word shingles, similarity of 0.8 or more."""
+    return near_dup.one_of_each(docs, shingle=5, percent=80)
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -185,3 +185,27 @@ def test_null_key_near_duplicates(spark):
     rows = [(None, "a b c d e"), (3, "a b c d e"), (None, "only this one")]
     got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r.doc_id, r.component_id, r.kept) for r in got), key=str) == [(3, 3, True), (None, 3, False), (None, None, True)]
+
+
+def test_null_keys_do_not_tie_unlike_texts(spark):
+    """Each null key is a document of its own; one row of a group without keys is kept."""
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    rows = [(None, a)] * 3 + [(None, a + " tail"), (None, b), (7, b + " tail"), (9, "c d e f"), (None, "c d e f"), (None, ""), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_dup.near_duplicates(df).collect()
+    assert sorted(((r.doc_id, r.component_id, r.kept) for r in got if r.text and r.text[0] in "bc"), key=str) == [
+        (7, 7, True), (9, 9, True), (None, 7, False), (None, 9, False)]
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got if r.text and r.text[0] == "a") == [(None, None, False)] * 3 + [(None, None, True)]
+    assert [(r.component_id, r.kept) for r in got if not r.text] == [(None, True)] * 2
+    assert sorted(((r.doc_id, (r.text or "")[:1]) for r in near_dup.one_of_each(df).collect()), key=str) == [
+        (7, "b"), (9, "c"), (None, ""), (None, ""), (None, "a")]
+
+
+def test_one_row_of_each_component(spark):
+    """Repeated rows and several texts under one key leave one row; the texts of a key tie what they are linked with."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a), (1, a), (1, a + " tail"), (2, b), (5, a), (5, b), (8, c), (8, c), (9, c)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(df).collect())
+    assert got == [(1, 1, True)] * 3 + [(2, 1, False)] + [(5, 1, False)] * 2 + [(8, 8, True)] * 2 + [(9, 8, False)]
+    assert [r.doc_id for r in near_dup.one_of_each(df).orderBy("doc_id").collect()] == [1, 8]

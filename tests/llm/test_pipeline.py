@@ -48,3 +48,11 @@ def test_stages_take_awkward_rows(spark, awkward, nothing):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF)
         docs.count()
+
+
+def test_one_row_of_repeated_documents(spark):
+    texts = [" ".join(f"{x}{k}" for k in range(60)) for x in "ab"]
+    rows = [(3, texts[0], "en", "s", 1)] * 4 + [(None, texts[1], "en", "s", 1)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.dedup_documents(spark, docs, SF)
+    assert got.columns == docs.columns and sorted((r.doc_id or 0) for r in got.collect()) == [0, 3]

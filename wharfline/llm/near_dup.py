@@ -178,14 +178,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
 
     Texts are linked if 100 * intersection >= percent * union of their sets of ``shingle``-word shingles (A-Z in lower
     case).  A null or empty text has an empty set and no links.  A repeated row is a copy; rows with one key belong
-    to one document, and all that its texts are linked with is one component.  A null key stays null: its
-    component is the smallest key of its group, it is kept only without links to others, and alone its component is null.
+    to one document, and all that its texts are linked with is one component.  A null key is a document of its own and stays
+    null: its component is the smallest key of its group, null without one, where one row of the group is kept.
     Columns of ``docs`` named like the results are replaced.  Very long texts are read whole.  An empty table stays empty.
     """
     others = [c for c in docs.columns if c not in (text, "n_shingles", "component_id", "kept")]
-    highest = F.lit(2**63 - 1).cast("long")  # a null key: after all others
-    named = docs.select(F.struct(*others).alias("row"), F.col(text).alias("text"),
-                        F.coalesce(F.col(key).cast("long"), highest).alias("doc"), F.xxhash64(text).alias("copy"))
+    # a null key: a node of each text; copies of a text are copies of the document
+    named = docs.select(F.struct(*others).alias("row"), F.col(text).alias("text"), F.col(key).isNull().alias("nameless"),
+                        F.coalesce(F.col(key).cast("long"), F.xxhash64(F.lit("null key"), text)).alias("doc"), F.xxhash64(text).alias("copy"))
     rows = named.select("doc", "copy", "text")
     signatures = cut(_signatures(rows, shingle), "near-signatures")
     classes = cut(
@@ -241,14 +241,54 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
         loose.alias("p").join(described.alias("q"), (F.col("p.bucket") == F.col("q.bucket")) & near)
         .select(*ordered("p.node", "q.node")).distinct(), "near-late")
     more = cut(_confirm(late, sets, percent), "near-more")
-    component_of = cut(components(links.unionByName(more)), "near-components")
+    # a document of several texts ties their classes
+    texts = signatures.filter("n > 0")
+    several = cut(
+        texts.groupBy("doc").agg(F.min(F.struct("c1", "c2")).alias("lo"), F.max(F.struct("c1", "c2")).alias("hi"))
+        .filter("lo != hi").select("doc"), "near-several")
+    ties = (
+        texts.select("doc", "c1", "c2").join(several, "doc").distinct().join(classes.select("c1", "c2", "node"), ["c1", "c2"])
+        .select(*ordered("doc", "node"))
+    )
+    component_of = cut(components(links.unionByName(more).unionByName(ties)), "near-components")
 
     # every text: its class, the class's component
     by_text = (
         signatures.select("doc", "copy", "n", "c1", "c2").distinct().join(classes.select("c1", "c2", "node"), ["c1", "c2"], "left")
         .join(component_of, "node", "left").select("doc", "copy", "n", F.coalesce("component", "node", "doc").alias("component"))
     )
-    found = named.join(cut(by_text, "near-texts"), ["doc", "copy"])
-    component = F.when(F.col("component") == highest, None).otherwise(F.col("component"))
-    return found.select("row.*", F.col("text").alias(text), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                        (F.col("doc") == F.col("component")).alias("kept"))
+    by_text = cut(by_text, "near-texts")
+    found = named.join(by_text, ["doc", "copy"])
+    results = ["row.*", F.col("text").alias(text), F.col("n").alias("n_shingles")]
+    nameless = named.filter("nameless")
+    if nameless.isEmpty():
+        return found.select(*results, F.col("component").alias("component_id"), (F.col("doc") == F.col("component")).alias("kept"))
+
+    # with null keys a component is a node, which may be no key: its smallest key is found from the rows
+    keys = cut(
+        named.filter("not nameless").select("doc", "copy").distinct().join(by_text, ["doc", "copy"])
+        .groupBy("component").agg(F.min("doc").alias("key")), "near-keys")
+    numbered = cut(nameless.withColumn("number", F.monotonically_increasing_id()), "near-nameless").join(by_text, ["doc", "copy"])
+    numbered = numbered.join(keys, "component", "left")
+    # one row of each group without a key; an empty text is no copy of another
+    first = cut(
+        numbered.filter("key is null and n > 0").groupBy("component").agg(F.min(F.struct("doc", "copy", "number")).alias("first"))
+        .select(F.col("first.number").alias("number"), F.lit(True).alias("first")), "near-firsts")
+    alone = F.col("key").isNull() & ((F.col("n") == 0) | F.col("first").isNotNull())
+    without = numbered.join(first, "number", "left").select(*results, F.col("key").alias("component_id"), alone.alias("kept"))
+    return (
+        found.filter("not nameless").join(keys, "component")
+        .select(*results, F.col("key").alias("component_id"), (F.col("doc") == F.col("key")).alias("kept")).unionByName(without)
+    )
+
+
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", **rules) -> DataFrame:
+    """``docs`` with exactly one row of each component of ``near_duplicates``; a null key with an empty text stays."""
+    found = near_duplicates(docs, text, key, **rules).filter("kept")
+    kept = cut(found.withColumns({"__copy": F.xxhash64(text), "__number": F.monotonically_increasing_id()}), "near-kept")
+    marks = kept.filter("component_id is not null").select("component_id", "__copy", "__number")
+    groups = cut(
+        marks.groupBy("component_id").agg(F.count("*").alias("k"), F.min(F.struct("__copy", "__number")).alias("first"))
+        .filter("k > 1").select("component_id", F.col("first.__number").alias("first")), "near-groups")
+    surplus = cut(marks.join(groups, "component_id").filter("__number != first").select("__number"), "near-surplus")
+    return kept.join(surplus, "__number", "left_anti").select(docs.columns)
