@@ -1,6 +1,8 @@
 """Top-k search and benchmark decontamination against brute force."""
 
+import math
 import re
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -110,3 +112,29 @@ def test_null_keys_go_with_their_leak(spark):
     docs = spark.createDataFrame([(None, leaks()[0][1]), (1, "clean text")], "doc_id long, text string")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert [r.doc_id for r in decontaminate.decontaminate(docs, items).collect()] == [1]
+
+
+@pytest.mark.parametrize("words", range(1, 14))
+def test_masks_miss_no_substitution(words):
+    changed = words - math.ceil(80 * words / 100)
+    for gone in combinations(range(words), changed):
+        assert any(all(at + k not in gone for k, c in enumerate(m) if c == "1")
+                   for m in decontaminate.masks_of(words, changed) for at in range(words - len(m) + 1))
+
+
+def test_all_allowed_substitutions_are_found(spark):
+    """Items of 1 to 15 words with every allowed and one forbidden number of substitutions; nothing here knows the masks."""
+    items = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in range(1, 16)]
+    docs, want = [], []
+    for n in range(1, 16):
+        size = min(n, 13)
+        least = math.ceil(80 * size / 100)
+        for changed in range(size - least + 2):
+            for gone in combinations(range(size), changed):
+                d = len(docs)
+                docs.append((d, " ".join(["a", *("b" if k in gone else f"i{n}x{k}" for k in range(size)), "c"])))
+                if size - changed >= least:
+                    want.append((d, n, size - changed, size))
+    got = decontaminate.contaminations(spark.createDataFrame(docs, "doc_id long, text string").coalesce(4),
+                                       spark.createDataFrame(items, "item_id long, text string").coalesce(2))
+    assert sorted(tuple(r) for r in got.collect()) == want

@@ -1,6 +1,7 @@
 """Benchmark decontamination by spaced seeds, in DataFrame functions only.
 
-A seed is the hash of the words at the 1s of a fixed mask; the words at its 0s may be anything.  Seeds of all
+A seed is the hash of the words at the 1s of a mask; the words at its 0s may be anything.  The masks for items of one
+length are chosen so that however the allowed number of words is substituted, one of them misses all of these (``masks_of``).  Seeds of all
 documents meet the seeds of the benchmark, and each hit puts the item beside the document at one offset.  There the
 words are compared one by one: an offset counts if some ``window`` words in a row agree in at least ``percent`` of
 them, so that substituted words do not hide a passage.
@@ -13,16 +14,20 @@ reduced to one row per document, item and offset, and go back to the texts to be
 
 from __future__ import annotations
 
-from functools import reduce
+import math
+from functools import lru_cache, reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wharfline.session import cut
 
-# The masks.  Six words count, three do not.
+# Fixed values of the SQL in ``suite``.  These two masks have gaps; the operator takes those of ``masks_of``.
 MASKS = ("110101011", "111001101")
 SPAN = 9
+WEIGHT = 6  # words that a mask counts, fewer if an item has not as many left
+SEARCH = 200_000  # substitutions times masks that are tried; above, a run of words that no substitution breaks
 BLOCK_SEEDS = 200_000
 PIECE = 2_000  # places that one row holds
 SMALL = 100_000  # rows of 40 bytes that are sent to every task; more are joined by a shuffle
@@ -34,18 +39,39 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(df: DataFrame) -> DataFrame:
+@lru_cache
+def masks_of(words: int, changed: int) -> tuple[str, ...]:
+    """Masks of which one fits between any ``changed`` substitutions in ``words`` words."""
+    weight = min(WEIGHT, words - changed)
+    if math.comb(words, changed) * math.comb(words - 1, weight - 1) > SEARCH:
+        return ("1" * min(weight, words // (changed + 1)),)
+    hits: dict[str, set] = {}
+    for places in combinations(range(1, words), weight - 1):
+        places = (0, *places)
+        mask = "".join("1" if k in places else "0" for k in range(places[-1] + 1))
+        shifts = [[k for k in range(words) if k - at not in places] for at in range(words - places[-1])]
+        hits[mask] = {x for free in shifts for x in combinations(free, changed)}
+    left, out = set(combinations(range(words), changed)), []
+    while left:
+        out.append(max(hits, key=lambda m: (len(hits[m] & left), -len(m))))
+        left -= hits[out[-1]]
+    return tuple(out)
+
+
+def _seeds(df: DataFrame, masks: list[str]) -> DataFrame:
     """One row per place and mask: ``place`` (from 0) and ``seed`` beside the columns of ``df``, but for its word hashes ``h``."""
     kept = [c for c in df.columns if c != "h"]
-    starts = F.sequence(F.lit(0), F.size("h") - SPAN, F.lit(PIECE))
-    pieces = F.transform(starts, lambda s: F.slice("h", s + 1, PIECE + SPAN - 1))
-    cut_up = df.filter(F.size("h") >= SPAN).select(*kept, F.posexplode(pieces).alias("piece", "h"))
-    places = F.size("h") - (SPAN - 1)
-    shifted = [F.slice("h", k + 1, places).alias(f"w{k}") for k in range(SPAN)]
+    reach = max(map(len, masks))
+    starts = F.sequence(F.lit(0), F.size("h") - 1, F.lit(PIECE))
+    pieces = F.transform(starts, lambda s: F.slice("h", s + 1, PIECE + reach - 1))
+    cut_up = df.filter(F.size("h") >= min(map(len, masks))).select(*kept, F.posexplode(pieces).alias("piece", "h"))
+    places = F.least(F.size("h"), F.lit(PIECE))
+    shifted = [F.slice("h", k + 1, places).alias(f"w{k}") for k in range(reach)]  # null after the last word
     index = F.sequence(F.lit(0), places - 1).alias("at")
-    rows = cut_up.select(*kept, "piece", F.inline(F.arrays_zip(index, *shifted)).alias("at", *(f"w{k}" for k in range(SPAN))))
-    hashes = [F.xxhash64(F.lit(m), *(f"w{k}" for k in range(SPAN) if mask[k] == "1")) for m, mask in enumerate(MASKS)]
-    return rows.select(*kept, (F.col("piece") * PIECE + F.col("at")).alias("place"), F.explode(F.array(*hashes)).alias("seed"))
+    rows = cut_up.select(*kept, "piece", F.inline(F.arrays_zip(index, *shifted)).alias("at", *(f"w{k}" for k in range(reach))))
+    hashes = [F.when(F.col(f"w{len(m) - 1}").isNotNull(), F.xxhash64(F.lit(m), *(f"w{k}" for k, c in enumerate(m) if c == "1"))) for m in masks]
+    seeds = rows.select(*kept, (F.col("piece") * PIECE + F.col("at")).alias("place"), F.explode(F.array(*hashes)).alias("seed"))
+    return seeds.filter("seed is not null")
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text",
@@ -53,20 +79,24 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text", ke
     """(key, item key, matched, window): pairs of a document and a benchmark item whose words agree at some offset.
 
     ``matched`` is the largest number of equal words in ``window`` words in a row (all words of a shorter item).
-    Items of equal words are reported under the smallest key.  Items of fewer than SPAN words make no seed and match
-    nothing; null or empty texts, too.  Rows with one key are one document; a null key is a document of its own and is
+    Items of equal words are reported under the smallest key, also very short ones: an item of one word matches wherever
+    the word stands.  Items and texts without words match nothing.  Rows with one key are one document; a null key is a document of its own and is
     reported as null.  Other columns are ignored.  Empty tables give no rows.
     """
     items = (
         benchmark.select(F.col(item_key).alias("item"), word_hashes(F.col(item_text)).alias("h"))
-        .filter(F.size("h") >= SPAN).groupBy(F.col("h").alias("words")).agg(F.min("item").alias("item"))
+        .filter(F.size("h") > 0).groupBy(F.col("h").alias("words")).agg(F.min("item").alias("item"))
     )
     items = cut(items, "benchmark-items")
-    seeds = cut(_seeds(items.select("item", F.col("words").alias("h"))).select("seed", "item", F.col("place").alias("start")), "benchmark-seeds")
+    # items of one length (all of ``window`` words or more count as one) have their own masks
+    length = F.least(F.lit(window), F.size("words"))
+    masks = {n: masks_of(n, n - max(1, math.ceil(percent * n / 100))) for n in sorted({r[0] for r in items.select(length).distinct().collect()} or {window})}
+    parts = [_seeds(items.filter(length == n).select("item", F.col("words").alias("h")), list(m)) for n, m in masks.items()]
+    seeds = cut(reduce(DataFrame.unionByName, parts).select("seed", "item", F.col("place").alias("start")), "benchmark-seeds")
     blocks = max(1, -(-seeds.count() // block_seeds))
     # rows of one key may hold different texts
     rows = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("copy"), F.col(text).alias("text"))
-    made = _seeds(rows.select("doc", "copy", word_hashes(F.col("text")).alias("h")))
+    made = _seeds(rows.select("doc", "copy", word_hashes(F.col("text")).alias("h")), sorted({x for m in masks.values() for x in m}))
     hits = []
     for b in range(blocks):
         part = seeds.filter(F.pmod(F.xxhash64("item", "start"), F.lit(blocks)) == b)  # a block: block_seeds rows on average
