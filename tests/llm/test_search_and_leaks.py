@@ -138,3 +138,11 @@ def test_all_allowed_substitutions_are_found(spark):
     got = decontaminate.contaminations(spark.createDataFrame(docs, "doc_id long, text string").coalesce(4),
                                        spark.createDataFrame(items, "item_id long, text string").coalesce(2))
     assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_clean_rows_stay_beside_a_leak_of_their_key(spark):
+    leak = leaks()[0][1]
+    docs = spark.createDataFrame([(None, leak), (None, "clean text"), (None, None), (4, leak), (4, "clean too")], "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    left = decontaminate.decontaminate(docs, items).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == [(4, "clean too"), (None, "clean text"), (None, None)]

@@ -74,15 +74,9 @@ def _seeds(df: DataFrame, masks: list[str]) -> DataFrame:
     return seeds.filter("seed is not null")
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text",
-                   item_key: str = "item_id", window: int = 13, percent: int = 80, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
-    """(key, item key, matched, window): pairs of a document and a benchmark item whose words agree at some offset.
-
-    ``matched`` is the largest number of equal words in ``window`` words in a row (all words of a shorter item).
-    Items of equal words are reported under the smallest key, also very short ones: an item of one word matches wherever
-    the word stands.  Items and texts without words match nothing.  Rows with one key are one document; a null key is a document of its own and is
-    reported as null.  Other columns are ignored.  Empty tables give no rows.
-    """
+def _matches(docs: DataFrame, benchmark: DataFrame, text: str, key: str, item_text: str = "text", item_key: str = "item_id",
+             window: int = 13, percent: int = 80, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
+    """(doc, copy, item, matched, window) of each offset that counts; copy: hash of the text."""
     items = (
         benchmark.select(F.col(item_key).alias("item"), word_hashes(F.col(item_text)).alias("h"))
         .filter(F.size("h") > 0).groupBy(F.col("h").alias("words")).agg(F.min("item").alias("item"))
@@ -107,19 +101,33 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text", ke
     # the texts stay where they are if the hits are few; those that are hit meet the items' words
     hit = rows.join(F.broadcast(found) if few else found, F.col("doc").eqNullSafe(F.col("d")) & (F.col("copy") == F.col("c")))
     # stored, as the hashes would else be made again for every word that is compared
-    texts = cut(hit.select("doc", "item", "offset", word_hashes(F.col("text")).alias("h")), "benchmark-texts").join(items, "item")
+    texts = cut(hit.select("doc", "copy", "item", "offset", word_hashes(F.col("text")).alias("h")), "benchmark-texts").join(items, "item")
     same = F.transform("words", lambda w, k: F.coalesce(F.get("h", F.col("offset") + k) == w, F.lit(False)).cast("int"))
-    offsets = texts.select("doc", "item", same.alias("same"))
+    offsets = texts.select("doc", "copy", "item", same.alias("same"))
     width = F.least(F.lit(window), F.size("same"))
     sums = F.transform(F.sequence(F.lit(1), F.size("same") - width + 1),
                        lambda k: F.aggregate(F.slice("same", k, width), F.lit(0), lambda a, x: a + x))
-    judged = offsets.select("doc", "item", width.alias("window"), F.array_max(sums).alias("matched")).filter(
-        F.col("matched") * 100 >= percent * F.col("window"))
+    judged = offsets.select("doc", "copy", "item", F.array_max(sums).alias("matched"), width.alias("window"))
+    return judged.filter(F.col("matched") * 100 >= percent * F.col("window"))
+
+
+def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text",
+                   item_key: str = "item_id", window: int = 13, percent: int = 80, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
+    """(key, item key, matched, window): pairs of a document and a benchmark item whose words agree at some offset.
+
+    ``matched`` is the largest number of equal words in ``window`` words in a row (all words of a shorter item).
+    Items of equal words are reported under the smallest key, also very short ones: an item of one word matches wherever
+    the word stands.  Items and texts without words match nothing.  Rows with one key are one document; null keys are reported together as
+    null.  Other columns are ignored.  Empty tables give no rows.
+    """
+    judged = _matches(docs, benchmark, text, key, item_text, item_key, window, percent, block_seeds)
     return judged.groupBy("doc", "item").agg(F.max("matched").alias("matched"), F.max("window").alias("window")).select(
         F.col("doc").alias(key), F.col("item").alias(item_key), "matched", "window")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", **rules) -> DataFrame:
-    """``docs`` without the documents (all rows of a key) that hold a passage of the benchmark; see ``contaminations``."""
-    dirty = cut(contaminations(docs, benchmark, text, key, **rules).select(F.col(key).alias("__dirty")).distinct(), "contaminated")
-    return docs.join(dirty, F.col(key).eqNullSafe(F.col("__dirty")), "left_anti")
+    """``docs`` without the rows whose text holds a passage of the benchmark; see ``contaminations``.  Other rows of the same
+    key, or with a null key, stay."""
+    dirty = _matches(docs, benchmark, text, key, **rules).select(F.col("doc").alias("__dirty"), F.col("copy").alias("__copy"))
+    dirty = cut(dirty.distinct(), "contaminated")
+    return docs.join(dirty, F.col(key).eqNullSafe(F.col("__dirty")) & (F.xxhash64(text) == F.col("__copy")), "left_anti")
