@@ -111,3 +111,16 @@ def test_samples_keep_small_tables_and_bound_large_ones(spark):
     assert 800 < features.sampled(df, 1_000, F.xxhash64("id")).count() < 1_200
     got = {r.s: r["count"] for r in features.sampled(df, 1_000, F.xxhash64("id"), "s").groupBy("s").count().collect()}
     assert got["rare"] == 200 and 800 < got["common"] < 1_200
+
+
+def test_every_language_is_learned_from_distinct_texts(spark):
+    """Many copies of few texts: no language is lost, and none is learned from more texts than the bound."""
+    few = [(f"l{k}", f"words of text {k} {j}") for k in range(6) for j in range(2)] * 60
+    many = [("many", f"own text {k}") for k in range(300)] + [("many", "one text of a third")] * 150
+    rows = spark.createDataFrame(few + many, "lang string, text string").repartition(4)
+    drawn = features.drawn(rows, 50, F.xxhash64(F.lit("l"), "text"), "lang")
+    assert {r.lang: r.n for r in drawn.groupBy("lang").agg(F.count_distinct("text").alias("n")).collect()} == {
+        "many": 50, **{f"l{k}": 2 for k in range(6)}}
+    assert language._profiles(drawn).count() == 62
+    assert language.train(rows, sample=50).languages == [*(f"l{k}" for k in range(6)), "many"]
+    assert language.train(rows, sample=1).languages == [*(f"l{k}" for k in range(6)), "many"]

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wharfline.llm import text as T
+from wharfline.session import cut
 
 FEW = 100_000  # strata, of a name and a number each, that are sent to every task
 _BREAK = np.ones(256, dtype=bool)  # everything but ASCII letters and bytes of other scripts
@@ -45,6 +46,23 @@ def sampled(rows: DataFrame, limit: int, by: Column, stratum: str | None = None)
     return rows.join(F.broadcast(counts) if few else counts, stratum).filter(place.cast("double") * F.col("__n") < float(limit << 30)).drop("__n")
 
 
+SALTS = 64
+
+
+def drawn(rows: DataFrame, limit: int, by: Column, stratum: str) -> DataFrame:
+    """Rows of exactly ``limit`` smallest values ``hash`` of ``by`` in each stratum (all, if there are fewer), each with all its copies.
+
+    Ranks are taken within salted parts first, so that a large stratum is no single task.
+    """
+    hashed = rows.withColumn("hash", by)
+    salted = Window.partitionBy(stratum, F.pmod("hash", F.lit(SALTS))).orderBy("hash")
+    few = hashed.select(stratum, "hash").distinct().withColumn("rank", F.row_number().over(salted)).filter(F.col("rank") <= limit)
+    whole = few.withColumn("rank", F.row_number().over(Window.partitionBy(stratum).orderBy("hash"))).filter(F.col("rank") <= limit)
+    chosen = cut(whole.select(stratum, "hash"), "sample-drawn")
+    # the texts stay where they are if the strata are few
+    return hashed.join(F.broadcast(chosen) if chosen.count() <= FEW else chosen, [stratum, "hash"])
+
+
 def ragged(column: pa.ChunkedArray | pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
     """All values of a binary column's rows one after the other, and the bounds of the rows."""
     parts = [np.frombuffer(x, dtype=dtype) for x in column.to_pylist()]

@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wharfline.llm.features import ragged, row_sums, sampled
+from wharfline.llm.features import drawn, ragged, row_sums
 from wharfline.llm.text import binary, mix, offsets_and_bytes
 
 BITS, ORDERS = 16, 3
 BLOCK_BYTES = 1 << 18  # of text at a time: each byte takes about 150 in arrays
-SAMPLE = 800  # texts of each language in the training sample at most (about)
+SAMPLE = 800  # texts of each language in the training sample at most
 EPOCHS, BATCH = 8, 64
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-3, 1e-3
 SCALE = 20.0
@@ -101,19 +101,26 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def _profiles(rows: DataFrame) -> DataFrame:
-    """(lang, slots, amounts): each text's distinct n-grams and their shares."""
+    """(lang, hash, slots, amounts): distinct n-grams and their shares of one text for each language and hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            for part, block in _texts(batch, 1):
+            new = []
+            for pair in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                new.append(pair not in seen)
+                seen.add(pair)
+            for part, block in _texts(batch.filter(pa.array(new, pa.bool_())), 1):
                 slots, bounds = ngram_slots(block)
                 s, x = [], []
                 for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                     own, counts = np.unique(slots[a:b], return_counts=True)
                     s.append(own.astype("<i4").tobytes()), x.append((counts / max(1, b - a)).astype("<f4").tobytes())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s, pa.binary()), pa.array(x, pa.binary())], names=["lang", "slots", "amounts"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(2), pa.array(s, pa.binary()), pa.array(x, pa.binary())], names=["lang", "hash", "slots", "amounts"])
 
-    return rows.select("lang", "text").mapInArrow(run, "lang string, slots binary, amounts binary")
+    made = rows.select("lang", "text", "hash").mapInArrow(run, "lang string, hash long, slots binary, amounts binary")
+    return made.dropDuplicates(["lang", "hash"])
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -164,10 +171,10 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> LanguageModel:
-    """Learn from all rows of ``docs`` with a text and a language: document frequencies over all of them, weights from about
-    ``sample`` texts of each language (all, if there are fewer).  Without any such row, the model knows no language."""
+    """Learn from all rows of ``docs`` with a text and a language: document frequencies over all of them, weights from
+    ``sample`` distinct texts of each language (all, if there are fewer).  Without any such row, the model knows no language."""
     rows = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    chosen = _profiles(sampled(rows, sample, F.xxhash64(F.lit("l"), "text"), "lang")).toArrow()
+    chosen = _profiles(drawn(rows, sample, F.xxhash64(F.lit("l"), "text"), "lang")).toArrow().sort_by([("hash", "ascending"), ("lang", "ascending")])
     if not chosen.num_rows:
         return LanguageModel([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0), 1.0)
     total, df = document_frequencies(rows.select("text"))
