@@ -135,3 +135,23 @@ def test_powers_of_two():
     out = list(packing.powers_of_two([(0, 5, 3), (4, 0, 9), (2, 1, 1)]))
     assert [sum(n for _, _, n in row) for row in out] == [8, 4, 1]
     assert [x for row in out for x in row] == [(0, 5, 3), (4, 0, 5), (4, 5, 4), (2, 1, 1)]
+
+
+def test_neighbours_share_a_shard(spark, words):
+    """Twenty topics over many shards: documents of one topic meet, wherever their rows are."""
+    rng = np.random.default_rng(6)
+    names = ["river", "engine", "poet", "cheese", "planet", "violin", "harbor", "muscle", "senate", "glacier",
+             "pepper", "castle", "rocket", "cotton", "lizard", "market", "hockey", "temple", "carbon", "garden"]
+    rows = [(k, " ".join([names[k % 20]] * 10 + [f"the of and to in is {names[k % 20]}"] + [str(x) for x in rng.integers(0, 99, 4)])) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    topics = defaultdict(set)
+    for r in packing.pack(df, words, window=128, shard_docs=20).collect():
+        topics[r.sequence_id].add(r.doc_id % 20)
+    assert sum(len(x) == 1 for x in topics.values()) > 0.6 * len(topics)
+
+
+def test_statistics_are_those_of_the_corpus(spark):
+    rows = [(b"", np.array([1, 2, 2], "<u2").tobytes()), (np.array([3, 1], "<u2").tobytes(), np.array([4], "<u2").tobytes())]
+    got = packing.count_corpus(spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in rows], "whole binary, rest binary").repartition(2), "<u2")
+    want = packing.corpus_of(np.array([0, 2, 1, 1, 1]), 2, 2.0)
+    assert (got.idf == want.idf).all() and (got.shared == want.shared).all() and got.mean == want.mean

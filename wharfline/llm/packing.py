@@ -1,9 +1,11 @@
-"""Packing of documents into token windows: BM25 retrieval of lexical neighbours inside shards.
+"""Packing of documents into token windows: BM25 retrieval inside shards of lexical neighbours.
 
 1. One pass over the texts makes token ids.  Whole windows of a document are sequences of their own; only
    its remainder of less than a window is shuffled, as two bytes an id (four for large vocabularies).
-2. Remainders are dealt out over shards of a fixed size, by the order of the stored rows, so that a hot source or a
-   repeated document is spread.  A shard indexes its remainders by BM25 (token ids are the terms).  The first unused
+2. Document frequencies of all terms (token ids) over all documents, and the mean length of all remainders, are counted.
+   Remainders are put in the order of SIGNATURE weighted MinHash terms, those of high inverse document frequency before
+   others, and cut into shards of a fixed size along this order, so that neighbours share a shard and a hot term or a
+   repeated document spans several.  A shard indexes its remainders by BM25.  The first unused
    document opens a window, its best unused neighbours fill it, and the one that does not fit is cut; what is left of
    it opens the next window.
 3. The last, partly filled window of a shard is cut at powers of two, so that no sequence needs padding.
@@ -21,13 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wharfline.functions.global_order import with_row_number
 from wharfline.llm import bpe
-from wharfline.llm.text import blocks
+from wharfline.llm.text import blocks, mix
 from wharfline.session import cut
 
 BLOCK_BYTES = 2 << 20
 SHARD_DOCS = 1024  # remainders that one index holds: at most this many windows of ids
-QUERY_TERMS = 48  # rarest terms of a seed that retrieve its neighbours
+SIGNATURE = 4  # terms that a remainder is ordered by
 K1, B = 1.2, 0.75
 
 # The pre-token pattern of the vocabulary file, and its special tokens.
@@ -182,11 +185,58 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def retrieve_and_fill(remainders: list[np.ndarray], window: int) -> Iterator[list[tuple[int, int, int]]]:
+class Corpus(NamedTuple):
+    """Statistics of all documents."""
+
+    idf: np.ndarray  # of each term
+    shared: np.ndarray  # terms of two documents or more
+    mean: float  # length of a remainder
+
+
+def corpus_of(df: np.ndarray, documents: int, mean: float) -> Corpus:
+    return Corpus(np.log1p((documents - df + 0.5) / (df + 0.5)), df > 1, mean)
+
+
+def count_corpus(stored: DataFrame, dtype: str) -> Corpus:
+    """Document frequencies over whole documents: one number a term, whatever the input."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, rests, ids = np.zeros(0, dtype=np.int64), 0, 0, 0
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                for whole, rest in zip(*(c.to_pylist() for c in batch.slice(lo, 64).columns), strict=True):
+                    own = np.unique(np.frombuffer(whole + rest, dtype=dtype))
+                    if len(own) and own[-1] >= len(df):
+                        df = np.append(df, np.zeros(int(own[-1]) + 1 - len(df), dtype=np.int64))
+                    df[own] += 1
+                    n, rests, ids = n + 1, rests + (len(rest) > 0), ids + len(rest)
+        at = np.flatnonzero(df)
+        totals = np.array([n, rests, ids // np.dtype(dtype).itemsize])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, [-1, -2, -3])), pa.array(np.append(df[at], totals))], names=["term", "n"])
+
+    rows = stored.select("whole", "rest").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, value = (np.asarray(rows.column(k).to_numpy(), dtype=np.int64) for k in (0, 1))
+    n, rests, ids = (int(value[term == -k].sum()) for k in (1, 2, 3))
+    df = np.zeros(int(term.max(initial=-1)) + 1, dtype=np.int64)
+    df[term[term >= 0]] = value[term >= 0]
+    return corpus_of(df, n, ids / max(1, rests))
+
+
+def signature(terms: np.ndarray, corpus: Corpus) -> list[int]:
+    """SIGNATURE terms: two sets have each in common as often as the share of the weight (idf squared) that they share."""
+    terms = terms[corpus.shared[terms]].astype(np.int64)
+    if not len(terms):
+        return [-1] * SIGNATURE
+    weight = np.maximum(corpus.idf[terms], 1e-9) ** 2
+    draws = [(mix(terms.astype(np.uint64), 31 + k) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54 for k in range(SIGNATURE)]
+    return [int(terms[np.argmin(-np.log(x) / weight)]) for x in draws]
+
+
+def retrieve_and_fill(remainders: list[np.ndarray], window: int, corpus: Corpus | None = None) -> Iterator[list[tuple[int, int, int]]]:
     """Windows as lists of (document, start, length); every id once; only the last may be short.
 
     The seed is what was left of a cut document, else the first unused one.  Neighbours come by falling BM25 score
-    for the seed's rarest terms, then in order.
+    for all terms of the seed, then in order.  Without ``corpus`` the remainders are the corpus.
     """
     n = len(remainders)
     sizes = np.array([len(x) for x in remainders], dtype=np.int64)
@@ -198,10 +248,10 @@ def retrieve_and_fill(remainders: list[np.ndarray], window: int) -> Iterator[lis
     terms, freq, owner = terms[order], freq[order], owner[order]
     width = int(terms[-1]) + 2 if len(terms) else 1
     posting = np.searchsorted(terms, np.arange(width))
-    df = np.diff(np.concatenate((posting, [len(terms)])))
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    norm = K1 * (1 - B + B * sizes / max(1.0, sizes.mean() if n else 1.0))
-    impact = idf[terms] * freq * (K1 + 1) / (freq + norm[owner]) if n else np.zeros(0)
+    if corpus is None:
+        corpus = corpus_of(np.diff(np.concatenate((posting, [len(terms)]))), n, sizes.mean() if n else 1.0)
+    norm = K1 * (1 - B + B * sizes / max(1.0, corpus.mean))
+    impact = corpus.idf[terms] * freq * (K1 + 1) / (freq + norm[owner]) if n else np.zeros(0)
     used = sizes == 0
     pointer, rest = 0, None
     while True:
@@ -217,13 +267,11 @@ def retrieve_and_fill(remainders: list[np.ndarray], window: int) -> Iterator[lis
         row, room = [(seed, at, take)], window - take
         rest = (seed, at + take) if at + take < sizes[seed] else None
         if room:
-            own = doc_terms[seed][0]
-            if len(own) > QUERY_TERMS:
-                own = own[np.argpartition(df[own], QUERY_TERMS)[:QUERY_TERMS]]
-            score = np.zeros(n)
-            for t in own:
-                lo, hi = posting[t], posting[t + 1]
-                score[owner[lo:hi]] += impact[lo:hi]
+            own = doc_terms[seed][0].astype(np.int64)
+            lo, hits = posting[own], posting[own + 1] - posting[own]
+            edges = np.concatenate(([0], np.cumsum(hits)))
+            at = np.repeat(lo - edges[:-1], hits) + np.arange(edges[-1])
+            score = np.bincount(owner[at], weights=impact[at], minlength=n)
             score[used] = -1.0
             for d in np.argsort(-score, kind="stable"):
                 if not room or used[d]:
@@ -318,18 +366,30 @@ def pack(docs: DataFrame, model: WordModel, window: int = 2048, end_id: int = 1,
     whole = stored.filter(F.length("whole") > 0).select("key", "tokens", "whole", "first", "task").mapInArrow(cut_whole, out_schema)
 
     remainders = stored.filter(F.length("rest") > 0).select("key", "tokens", "rest", "slot", "task")
-    n = remainders.agg(F.count("*")).first()[0]
-    shards = max(1, -(-n // shard_docs))
-    dealt = remainders.withColumn("shard", F.pmod(F.xxhash64("task", "slot"), F.lit(shards)))
+    corpus = count_corpus(stored, model.dtype)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                marks = [signature(np.unique(np.frombuffer(x, dtype=model.dtype)), corpus) for x in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), *(pa.array(x, pa.int64()) for x in zip(*marks, strict=True))], names=["task", "slot", *marked])
+
+    marked = [f"m{k}" for k in range(SIGNATURE)]
+    signed = remainders.select("task", "slot", "rest").mapInArrow(sign, ", ".join(f"{c} long" for c in ["task", "slot", *marked]))
+    numbered = with_row_number(signed, [*marked, "task", "slot"], "number", start=0)
+    shards = cut(numbered.select("task", "slot", F.expr(f"number div {shard_docs}").alias("shard"), "number"), "packing-shards")
+    dealt = remainders.join(shards, ["task", "slot"])
 
     def fill(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("task", "ascending"), ("slot", "ascending")])
+        table = table.sort_by("number")
         sequence = int(table.column("shard")[0].as_py()) << 31
         rest = [np.frombuffer(x, dtype=model.dtype) for x in table.column("rest").to_pylist()]
         tokens = table.column("tokens").to_numpy()
         base = tokens - np.array([len(x) for x in rest], dtype=np.int64)
         out: list[tuple[int, int, np.ndarray, int, int]] = []
-        for row in retrieve_and_fill(rest, window):
+        for row in retrieve_and_fill(rest, window, corpus):
             full = sum(x[2] for x in row) == window
             for part in [row] if full else powers_of_two(row):
                 offset = 0
