@@ -32,16 +32,19 @@ def _with_position(df: DataFrame) -> DataFrame:
     )
 
 
+def range_count(df: DataFrame) -> int:
+    """Ranges of about RANGE_BYTES of the plan's estimated size, as many as there are shuffle partitions at least."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MOST_RANGES, max(least, -(-size // RANGE_BYTES)))
+
+
 def range_sorted(df: DataFrame, order: Sequence[Column | str], label: str = "ranged") -> DataFrame:
     """Rows with ``_part`` (range partition) and ``_pos`` (0-based place in it), written once.
 
     ``order`` should be total: rows that tie on all of it stay in one range partition.
-    A range holds about RANGE_BYTES of the plan's estimated size.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = min(MOST_RANGES, max(least, -(-size // RANGE_BYTES)))
-    ranged = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(range_count(df), *order).sortWithinPartitions(*order)
     return cut(_with_position(ranged), label)
 
 
