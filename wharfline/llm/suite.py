@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wharfline.llm import decontaminate, language, line_dedup, near_dup, packing, quality, substring_dedup, token_count, topk, toxicity
+from wharfline.llm import decontaminate, language, line_dedup, near_dup, packing, periodic, quality, spelling, substring_dedup, token_count, tokenfile, topk, toxicity
 from wharfline.llm.features import fold_of
+from wharfline.session import scratch_path
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +75,28 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    tokenfile.write_ids(documents(spark, sf_dir), packing.load_model(tokenizer("word_bpe_49k.json")), path)
+    return tokenfile.read_ids(spark, path, with_ids=False)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.letter_runs(documents(spark, sf_dir), least=7)  # a run that loses a letter is 8 long
+    return spelling.spelling_groups(spelling.vocabulary(spelling.with_lost_letter(runs)))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(periodic.with_repeated_tail(documents(spark, sf_dir).select("doc_id", "text")))
+    best = periodic.strongest("runs")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"))
+
+
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -139,6 +162,36 @@ reach(a, b) as (select doc_id, doc_id from d union select r.a, l.b from reach r
 c as (select a as doc_id, min(b) as component_id from reach group by a)
 select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept from c left join n using (doc_id)"""
 
+# crc32 is linear: each byte adds a value that depends on it and on the number of bytes after it, each length a constant.
+_CRC = """
+bits(b, c, k) as (select b::bigint, b::bigint, 0 from range(256) t(b)
+                  union all select b, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from bits where k < 8),
+crc_byte as (select b, c from bits where k = 8),
+crc_at(d, b, v) as (select 0, b, c from crc_byte
+                    union all select d + 1, a.b, xor(a.v >> 8, t.c) from crc_at a join crc_byte t on t.b = a.v & 255 where d < 200),
+crc_start(d, s) as (select 0, 4294967295::bigint
+                    union all select d + 1, xor(a.s >> 8, t.c) from crc_start a join crc_byte t on t.b = a.s & 255 where d < 200)"""
+
+OP12_SQL = f"""
+with recursive {_CRC},
+runs as (select doc_id, w, count(*) as k from (
+           select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) as w from documents)
+         where length(w) >= 7 group by doc_id, w),
+marked as (select *, hex(doc_id || ':' || w) as x from runs),
+spread as (select doc_id, w, len(x) // 2 as size, unnest(range(len(x) // 2)) as i, x from marked),
+hashed as (select doc_id, w, xor(xor(bit_xor(v), any_value(s)), 4294967295) as h
+           from spread join crc_at on d = size - 1 - i and b = ('0x' || substr(x, 2 * i + 1, 2))::bigint join crc_start z on z.d = size group by doc_id, w),
+changed as (select case when h % 31 = 0 then left(w, h % length(w)) || substr(w, h % length(w) + 2) else w end as word, k from runs join hashed using (doc_id, w)),
+v as (select word, cast(sum(k) as bigint) as n from changed where length(word) >= 7 group by word having sum(k) >= 2),
+gaps as (select word, i, left(word, i) as a, substr(word, i + 2) as z from (select word, unnest(range(length(word))) as i from v)),
+near as (select x.word, y.word as other from gaps x join gaps y using (i, a, z) where x.word <> y.word
+         union select g.word, v.word from gaps g join v on v.word = g.a || g.z union select v.word, g.word from gaps g join v on v.word = g.a || g.z),
+best as (select near.word, count(*) as n_near, first(other order by v.n desc, other) as other, max(v.n) as most from near join v on v.word = near.other group by near.word),
+f as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when most >= 10 * v.n then other end as form, case when most >= 10 * v.n then most end as form_n
+      from v left join best using (word)),
+chain(word, root, depth) as (select word, word, 0 from f union all select c.word, f.form, depth + 1 from chain c join f on f.word = c.root where f.form is not null)
+select word, form, (select last(root order by depth) from chain c where c.word = f.word) as root, n, n_near, form_n from f"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
@@ -150,6 +203,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language": op10_language,
+    "op11_token_files": op11_token_files,
+    "op12_spelling": op12_spelling,
+    "op13_periodic": op13_periodic,
 }
 
 # Models and token ids have no SQL: tests/llm holds them against brute force, the tokenizers' libraries and held-out labels.
@@ -159,4 +215,5 @@ ORACLE: dict[str, str] = {
     "op6_topk": OP6_SQL,
     "op8_substring_dedup": OP8_SQL,
     "op9_near_duplicates": OP9_SQL,
+    "op12_spelling": OP12_SQL,
 }
