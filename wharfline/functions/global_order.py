@@ -1,16 +1,23 @@
 """Whole-table order without a single-task window.
 
 ``Window.orderBy`` without a partition key moves every row to one task.  The
-functions here range-partition the rows instead, cut the plan there, and carry
-only one small row per range partition across the partition borders.  The
-number of such rows is the number of shuffle partitions, whatever the data
-size, which is the bound that makes the broadcasts below safe.
+functions here range-partition the rows instead, which is the only exchange of
+rows.  What needs the order inside a range - positions, runs of equal values,
+running sums, filled values - is made in one pass over the sorted range, before
+it is written; what crosses the border of two ranges is carried by one small row
+a range, from aggregates that are combined map-side.  The number of such rows is
+the number of ranges, whatever the data size, which is the bound that makes the
+broadcasts below safe.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -39,13 +46,66 @@ def range_count(df: DataFrame) -> int:
     return min(MOST_RANGES, max(least, -(-size // RANGE_BYTES)))
 
 
+# Nodes of a plan that are cheap to run twice.
+_CHEAP = {"Project", "Filter", "Relation", "LocalRelation", "Range", "LogicalRDD", "LocalLimit", "RelationV2", "DataSourceV2ScanRelation"}
+
+
+def stored_once(df: DataFrame, label: str = "input") -> DataFrame:
+    """``df`` itself if it only reads, filters and projects stored rows; else its rows, written once.
+
+    Range partitioning reads its input twice, once to find the borders.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = {m[1] for m in re.finditer(r"^[\s:+\-|]*([A-Z]\w*)", plan, re.MULTILINE)}
+    return df if nodes <= _CHEAP and "UDF" not in plan else cut(df, label)
+
+
+def _ranged(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    df = stored_once(df)
+    return df.repartitionByRange(range_count(df), *order).sortWithinPartitions(*order)
+
+
 def range_sorted(df: DataFrame, order: Sequence[Column | str], label: str = "ranged") -> DataFrame:
     """Rows with ``_part`` (range partition) and ``_pos`` (0-based place in it), written once.
 
     ``order`` should be total: rows that tie on all of it stay in one range partition.
     """
-    ranged = df.repartitionByRange(range_count(df), *order).sortWithinPartitions(*order)
-    return cut(_with_position(ranged), label)
+    return cut(_with_position(_ranged(df, order)), label)
+
+
+def ordered_pass(
+    df: DataFrame, order: Sequence[Column | str], step: Callable[[], Callable[[pa.Table, int], pa.Table]], schema: str, label: str
+) -> DataFrame:
+    """Rows with ``_part`` and ``_pos`` and what ``step`` makes of them in order, written once.
+
+    ``step()`` is called for each range and returns a function of (rows, place of the first of them), which sees the rows
+    of the range in order, a batch at a time, and keeps what it needs of earlier ones.  ``schema``: its columns.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at, one = TaskContext.get().partitionId(), 0, step()
+        for batch in batches:
+            if batch.num_rows:
+                out = one(pa.Table.from_batches([batch]), at)
+                out = out.append_column(PART, pa.array(np.full(batch.num_rows, part, dtype=np.int32)))
+                out = out.append_column(POS, pa.array(np.arange(at, at + batch.num_rows)))
+                at += batch.num_rows
+                yield from out.to_batches()
+
+    return cut(_ranged(df, order).mapInArrow(run, f"{schema}, {PART} int, {POS} bigint"), label)
+
+
+def _fields(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)
+
+
+def _changes(table: pa.Table, columns: Sequence[str]) -> np.ndarray:
+    """Whether each row but the first differs from the one before it in ``columns``; NULLs equal each other."""
+    new = np.zeros(table.num_rows - 1, dtype=bool)
+    for c in columns:
+        codes = table.column(c).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        new |= codes[1:] != codes[:-1]
+    return new
 
 
 def file_order(df: DataFrame, label: str = "filed") -> DataFrame:
@@ -81,10 +141,23 @@ def with_dense_ids(df: DataFrame, order: Sequence[str], name: str, start: int =
     copies.  A row with more than ``chunk`` copies is expanded by several tasks.
     """
     ordered = [*order, *[c for c in df.columns if c not in order]]
-    rows = range_sorted(df.groupBy(*df.columns).agg(F.count("*").alias("_copies")), ordered, "ids")
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+
+    def step() -> Callable[[pa.Table, int], pa.Table]:
+        total = 0
+
+        def run(rows: pa.Table, at: int) -> pa.Table:
+            nonlocal total
+            copies = rows.column("_copies").to_numpy()
+            ends = total + np.cumsum(copies)
+            total = int(ends[-1])
+            return rows.append_column("_before_in", pa.array(ends - copies))
+
+        return run
+
+    rows = ordered_pass(counted, ordered, step, f"{_fields(counted)}, _before_in bigint", "ids")
     offsets = _carried(rows.groupBy(PART).agg(F.sum("_copies").alias("_n")), "_n", []).select(PART, "_before")
-    before = W.partitionBy(PART).orderBy(POS).rowsBetween(W.unboundedPreceding, -1)
-    first = F.col("_before") + F.coalesce(F.sum("_copies").over(before), F.lit(0)) + F.lit(start)
+    first = F.col("_before") + F.col("_before_in") + F.lit(start)
     numbered = rows.join(F.broadcast(offsets), PART).select(*df.columns, "_copies", first.cast("bigint").alias("_first"))
 
     def expanded(part: DataFrame) -> DataFrame:
@@ -109,12 +182,24 @@ def with_percent_rank(df: DataFrame, value: str, tie_break: Sequence[str], name:
     A value shared by very many rows may span several range partitions, so the
     place where such a run begins is carried over to the partitions it goes on in.
     """
-    rows = range_sorted(df, [F.col(value).asc_nulls_first(), *tie_break], "ranked")
-    runs = rows.groupBy(PART, F.col(value).alias("v")).agg(F.min(POS).alias("at"), F.count("*").alias("n"))
-    edges = runs.groupBy(PART).agg(
-        F.sum("n").alias("_n"),
-        F.min_by(F.struct("v"), "at").alias("_first"),
-        F.max_by(F.struct("v", "at"), "at").alias("_last"),
+    def step() -> Callable[[pa.Table, int], pa.Table]:
+        held: list = []  # the last row so far and the place where its run of equal values begins
+
+        def run(rows: pa.Table, at: int) -> pa.Table:
+            column = rows.select([value])
+            joined = pa.concat_tables([held[0], column]) if held else column
+            new = _changes(joined, [value]) if held else np.concatenate(([True], _changes(joined, [value])))
+            begin = np.maximum.accumulate(np.where(new, at + np.arange(rows.num_rows), held[1] if held else 0))
+            held[:] = [column.slice(rows.num_rows - 1), int(begin[-1])]
+            return rows.append_column("_begin_in", pa.array(begin))
+
+        return run
+
+    rows = ordered_pass(df, [F.col(value).asc_nulls_first(), *tie_break], step, f"{_fields(df)}, _begin_in bigint", "ranked")
+    edges = rows.groupBy(PART).agg(
+        F.count("*").alias("_n"),
+        F.min_by(F.struct(F.col(value).alias("v")), POS).alias("_first"),
+        F.max_by(F.struct(F.col(value).alias("v"), F.col("_begin_in").alias("at")), POS).alias("_last"),
     )
     edges = _carried(edges, "_n", [])
     run_begin = F.min(F.col("_before") + F.col("_last.at")).over(W.partitionBy("_last.v"))
@@ -125,14 +210,13 @@ def with_percent_rank(df: DataFrame, value: str, tie_break: Sequence[str], name:
         .withColumn("_goes_on", F.col("_open").isNotNull() & F.col("_open.v").eqNullSafe(F.col("_first.v")))
         .select(PART, "_before", "_rows", "_first", F.when(F.col("_goes_on"), F.col("_open.begin")).alias("_begin"))
     )
-    in_open_run = F.col("_begin").isNotNull() & F.col(value).eqNullSafe(F.col("_first.v"))
-    local = F.col("_before") + F.min(POS).over(W.partitionBy(PART, value))
-    rank0 = F.when(in_open_run, F.col("_begin")).otherwise(local)
+    in_open_run = F.col("_begin").isNotNull() & (F.col("_begin_in") == 0)
+    rank0 = F.when(in_open_run, F.col("_begin")).otherwise(F.col("_before") + F.col("_begin_in"))
     rank = F.when(F.col("_rows") > 1, rank0 / (F.col("_rows") - 1)).otherwise(F.lit(0.0))
     return (
         rows.join(F.broadcast(edges), PART)
         .withColumn(name, rank)
-        .drop(PART, POS, "_before", "_rows", "_first", "_begin")
+        .drop(PART, POS, "_begin_in", "_before", "_rows", "_first", "_begin")
     )
 
 
@@ -144,19 +228,44 @@ def forward_fill(
     Keys only lead the sort: a key with very many rows is split over range
     partitions like any other stretch of rows.
     """
-    rows = range_sorted(df, [*keys, *order], "filled")
+    used = list(dict.fromkeys([*keys, *columns]))
+
+    def step() -> Callable[[pa.Table, int], pa.Table]:
+        held: list[pa.Table] = []  # the last row so far, filled
+        first_key = True  # whether all rows so far have the first key of the range
+
+        def run(rows: pa.Table, at: int) -> pa.Table:
+            nonlocal first_key
+            joined = pa.concat_tables([*held, rows.select(used)])
+            skip = len(held)
+            new = np.concatenate(([False], _changes(joined, keys)))
+            begin = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+            early = ((begin == 0) & first_key)[skip:]
+            open_ = []
+            for c in columns:
+                values = joined.column(c).combine_chunks()
+                given = np.where(values.is_valid().to_numpy(zero_copy_only=False), np.arange(len(values)), -1)
+                source = np.maximum.accumulate(given)
+                known = source >= begin
+                filled = values.take(pa.array(np.where(known, source, 0), mask=~known))
+                rows = rows.set_column(rows.schema.get_field_index(c), c, filled.slice(skip))
+                open_.append(early & ~known[skip:])
+            first_key = bool(early[-1])
+            held[:] = [rows.select(used).slice(rows.num_rows - 1)]
+            for i, flag in enumerate(open_):
+                rows = rows.append_column(f"_open_{i}", pa.array(flag))
+            return rows
+
+        return run
+
+    opened = "".join(f", _open_{i} boolean" for i in range(len(columns)))
+    rows = ordered_pass(df, [*keys, *order], step, _fields(df) + opened, "filled")
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
-    rows = rows.withColumn("_key", key)
-    tails = rows.groupBy(PART, "_key").agg(
-        F.max(POS).alias("_end"),
-        F.min(POS).alias("_begin"),
-        *[F.max_by(F.when(F.col(c).isNotNull(), F.struct(c)), F.when(F.col(c).isNotNull(), F.col(POS))).alias(c) for c in columns],
-    )
-    # One row per range partition: its first key, and the last values of its last key.
-    edges = tails.groupBy(PART).agg(
-        F.min_by("_key", "_begin").alias("_first"),
-        F.max_by("_key", "_end").alias("_last"),
-        *[F.max_by(F.struct(F.col(c).alias("v")), "_end").alias(c) for c in columns],
+    # One row per range: its first key, and the last values of its last key.
+    edges = rows.groupBy(PART).agg(
+        F.min_by(key, POS).alias("_first"),
+        F.max_by(key, POS).alias("_last"),
+        *[F.max_by(F.struct(F.col(c).alias("v")), POS).alias(c) for c in columns],
     )
     same_key = W.partitionBy("_last").orderBy(PART).rowsBetween(W.unboundedPreceding, 0)
     kept = edges.select(
@@ -164,20 +273,9 @@ def forward_fill(
     )
     previous = W.orderBy(PART)
     goes_on = F.lag("_last").over(previous).eqNullSafe(F.col("_first"))
-    carry = kept.select(
-        PART,
-        F.col("_first").alias("_key"),
-        *[F.when(goes_on, F.lag(c).over(previous)).alias(f"_carry_{i}") for i, c in enumerate(columns)],
-    )
-    joined = rows.join(F.broadcast(carry.withColumnRenamed("_key", "_first")), PART)
-    so_far = W.partitionBy(PART, "_key").orderBy(POS).rowsBetween(W.unboundedPreceding, 0)
-    filled = {
-        c: F.coalesce(
-            F.last(c, ignorenulls=True).over(so_far),
-            F.when(F.col("_key").eqNullSafe(F.col("_first")), F.col(f"_carry_{i}")[c]),
-        )
-        for i, c in enumerate(columns)
-    }
+    carry = kept.select(PART, *[F.when(goes_on, F.lag(c).over(previous)).alias(f"_carry_{i}") for i, c in enumerate(columns)])
+    joined = rows.join(F.broadcast(carry), PART)
+    filled = {c: F.when(F.col(f"_open_{i}"), F.col(f"_carry_{i}")).otherwise(F.col(c)) for i, c in enumerate(columns)}
     return joined.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 

@@ -1,181 +1,233 @@
-"""Exact quantiles of large columns without sorting or shuffling them.
-
-The built-in exact percentile keeps every distinct value of a column in one
-task.  Here the table is scanned twice, whatever its size.  The first scan
-sketches every column; the rank error of a sketch is bounded, so it gives a
-narrow bracket that holds the wanted ranks.  The second scan counts what lies
-below and in each bracket and writes the values inside, well under a thousandth
-of a large table.  The same two steps then go over the written values, until
-the few that are left are sorted.  All quantiles of all columns share each scan.
+"""Exact quantiles and moments of large columns without sorting or shuffling them.
+
+A digit of a value is a whole number that never falls as the value grows: its sign and the first bits of its logarithm,
+BINS to a doubling.  One scan counts all columns by digit, map-side first, with the least and greatest value
+and the central moments of each digit; the result has as many rows as the columns have digits, whatever their length.
+It says which digit holds a wanted rank, and settles every rank whose digit has one value only.
+A second scan counts the distinct values of the digits that are still open, about a hundredth of a column each.  They
+are written, split further where they are many, and the last few are sorted.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Observation, Row
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wharfline.session import scratch_path
+from wharfline.session import cut
 
-ACCURACY = 10_000  # a sketch errs by at most 1 / ACCURACY of the rows
-ROOM = 2.5 / ACCURACY  # around a wanted rank: the error of both bracket ends
-STEPS = (ROOM, 1e-3, 1e-2, 0.1, 1.0)  # widths asked for before the number of rows is known
-FEW = 10_000  # values that one task sorts in the end
-BATCH = 40  # targets per scan, to keep the generated code within bounds
+BINS = 128  # digits to a doubling: values of one digit differ by half a percent
+ZERO = 1100 * BINS  # below the logarithm of the smallest number
+ENDLESS = 1 << 29  # the digit of infinity; NaN, the greatest of all values, has the next one
+FEW = 10_000  # distinct values that one task sorts in the end
+SPLIT = 4096  # parts of equal width of an open digit with more
 
 
 @dataclass
-class _Target:
-    """The order statistics ``first`` and ``last`` (0-based, equal or adjacent) of one column.
+class Bin:
+    """Values of one digit: how many, their range, and sums of powers of their distance from their mean."""
 
-    ``below`` rows lie under the values still in question, of which there are ``between``.
-    """
+    n: int
+    low: float
+    high: float
+    mean: float = 0.0
+    s2: float = 0.0
+    s3: float = 0.0
+    s4: float = 0.0
+
+    @property
+    def single(self) -> bool:
+        return self.low == self.high or math.isnan(self.low)
 
-    prob: float
-    rows: int
-    below: int = 0
-    known: dict[int, float] = field(default_factory=dict)
 
-    def __post_init__(self) -> None:
-        place = (self.rows - 1) * self.prob
-        self.first, self.last = math.floor(place), math.ceil(place)
-        self.share = place - self.first
-        self.between = self.rows
+@dataclass
+class ColumnDigits:
+    """A column by digit, in the order of the values."""
+
+    rows: int = 0  # NULLs included
+    bins: list[Bin] = field(default_factory=list)
 
     @property
-    def open_ranks(self) -> list[int]:
-        return [r for r in {self.first, self.last} if r not in self.known]
+    def n(self) -> int:
+        return sum(b.n for b in self.bins)
 
     @property
-    def quantile(self) -> float:
-        low, high = self.known[self.first], self.known[self.last]
-        return low + (high - low) * self.share
-
-    def wanted(self) -> list[float]:
-        """Shares of the values in question that enclose the open ranks, with room for the sketch's error."""
-        room = ROOM + 1.5 / self.between
-        ranks = [r - self.below for r in self.open_ranks]
-        return [max(0.0, min(ranks) / self.between - room), min(1.0, (max(ranks) + 1) / self.between + room)]
-
-    def settle(self, low: float, high: float, under: int, to_low: int, before_high: int, to_high: int) -> None:
-        """Take the counted bracket [low, high]: counts below low, up to low, below high and up to high."""
-        if min(self.open_ranks) < self.below + under or max(self.open_ranks) >= self.below + to_high:
-            raise AssertionError("a sketch beyond its error bound")
-        for r in self.open_ranks:
-            if r < self.below + to_low:
-                self.known[r] = low
-            elif r >= self.below + before_high:
-                self.known[r] = high
-        self.below, self.between = self.below + to_low, max(0, before_high - to_low)
-
-
-Value = Callable[[int], Column]
-
-
-def _narrow(
-    df: DataFrame, value: Value, targets: Mapping[int, _Target], ends: Mapping[int, tuple[float, float]], also: Sequence[Column]
-) -> tuple[DataFrame, dict]:
-    """Count and write the values strictly inside the brackets: rows (t, v), and the observed aggregates ``also``."""
-    seen: dict = {}
-    numbers = list(targets)
-    written = []
-    for start in range(0, len(numbers), BATCH):
-        part = numbers[start : start + BATCH]
-        counts, cells = [], []
-        for t in part:
-            v, (low, high) = value(t), (F.lit(x) for x in ends[t])
-            counts += [F.count_if(c).alias(f"t{t}_{k}") for k, c in enumerate((v < low, v <= low, v < high, v <= high))]
-            cells.append(F.struct(F.lit(t).alias("t"), F.when((v > low) & (v < high), v).alias("v")))
-        got = Observation()
-        path = scratch_path(df.sparkSession, "bracket")
-        # counted in the writing stage itself, each task once
-        marked = df.observe(got, *counts, *(also if not start else ()))
-        inside = marked.select(F.inline(F.filter(F.array(*cells), lambda c: c["v"].isNotNull())))
-        inside.write.parquet(path)
-        seen |= got.get
-        written.append(df.sparkSession.read.schema("t int, v double").parquet(path))
-        for t in part:
-            targets[t].settle(*ends[t], *(seen[f"t{t}_{k}"] for k in range(4)))
-    out = written[0]
-    for more in written[1:]:
-        out = out.unionByName(more)
-    return out, seen
-
-
-def _sketched(df: DataFrame, value: Value, wanted: Mapping[int, Sequence[float]]) -> dict[int, list[float]]:
-    found: dict[int, list[float]] = {}
-    numbers = list(wanted)
-    for start in range(0, len(numbers), BATCH):
-        part = numbers[start : start + BATCH]
-        row = df.agg(*[F.percentile_approx(value(t), list(wanted[t]), ACCURACY).alias(f"s{t}") for t in part]).first()
-        found |= {t: row[f"s{t}"] for t in part}
-    return found
+    def low(self) -> float | None:
+        return self.bins[0].low if self.bins else None
+
+    @property
+    def high(self) -> float | None:
+        return self.bins[-1].high if self.bins else None
+
+    @property
+    def least_distinct(self) -> int:
+        """Distinct values, if ``exactly``; else a lower bound of them."""
+        return sum(1 if b.single else 2 for b in self.bins)
+
+    @property
+    def exactly(self) -> bool:
+        return all(b.single for b in self.bins)
+
+    def moments(self) -> tuple[float | None, float, float, float]:
+        """Mean, and sums of the second, third and fourth powers of the distances from it."""
+        n = self.n
+        if not n:
+            return None, 0.0, 0.0, 0.0
+        if self.low == self.high:
+            return self.low, 0.0, 0.0, 0.0
+        mean = math.fsum(b.n * b.mean for b in self.bins) / n if math.isfinite(self.low) and math.isfinite(self.high) else math.nan
+        parts = [(b, b.mean - mean) for b in self.bins]
+        return (
+            mean,
+            math.fsum(b.s2 + b.n * d * d for b, d in parts),
+            math.fsum(b.s3 + 3 * d * b.s2 + b.n * d**3 for b, d in parts),
+            math.fsum(b.s4 + 4 * d * b.s3 + 6 * d * d * b.s2 + b.n * d**4 for b, d in parts),
+        )
+
+
+def _digit(v: Column) -> Column:
+    size = F.abs(v)
+    place = F.when(size == math.inf, F.lit(ENDLESS)).otherwise(F.floor(F.log2(size) * BINS).cast("int") + ZERO)
+    return F.when(F.isnan(v), F.lit(ENDLESS + 1)).when(v == 0, F.lit(0)).when(v < 0, -place).otherwise(place)
+
+
+def _cells(df: DataFrame, values: Sequence[Column]) -> DataFrame:
+    """``(c, v)``: one row per column and row."""
+    return df.select(F.posexplode(F.array(*[v.cast("double") for v in values])).alias("c", "v"))
+
+
+def digits(df: DataFrame, values: Sequence[Column | str], moments: bool = False) -> list[ColumnDigits]:
+    """All ``values`` by digit, from one scan; with ``moments`` also their central moments."""
+    out = [ColumnDigits() for _ in values]
+    if not values:
+        return out
+    x = F.col("v")
+    extra = [F.avg(x), F.var_pop(x), F.skewness(x), F.kurtosis(x)] if moments else []
+    counted = (
+        _cells(df, [F.col(v) if isinstance(v, str) else v for v in values])
+        .groupBy("c", _digit(x).alias("d"))
+        .agg(F.count("*").alias("n"), F.min(x).alias("low"), F.max(x).alias("high"), *[e.alias(f"m{k}") for k, e in enumerate(extra)])
+    )
+    for r in sorted(counted.collect(), key=lambda r: (r["c"], r["d"] is None, r["d"])):
+        own = out[r["c"]]
+        own.rows += r["n"]
+        if r["d"] is None:
+            continue
+        one = Bin(r["n"], r["low"], r["high"])
+        if moments:
+            one.mean = r["m0"]
+            one.s2 = (r["m1"] or 0.0) * one.n
+            if one.s2 > 0 and r["m2"] is not None:
+                one.s3 = r["m2"] * math.sqrt(one.s2**3 / one.n)
+                one.s4 = (r["m3"] + 3) * one.s2**2 / one.n
+        while own.bins and own.bins[-1].high > one.low:  # a logarithm that fell where its value grew
+            one = _joined(own.bins.pop(), one)
+        own.bins.append(one)
+    return out
+
+
+def _joined(a: Bin, b: Bin) -> Bin:
+    both = ColumnDigits(bins=[a, b])
+    return Bin(a.n + b.n, min(a.low, b.low), max(a.high, b.high), *both.moments())
+
+
+@dataclass
+class _Open:
+    """A stretch of values of one column that holds wanted ranks, as places in the stretch from 0."""
+
+    column: int
+    low: float
+    high: float
+    places: dict[int, tuple[int, int]]  # place in the stretch -> (column, rank) it settles
+
+
+def _settle(bins: Sequence[Bin], column: int, wanted: dict[int, tuple[int, int]], known: dict[tuple[int, int], float]) -> list[_Open]:
+    """Settle the wanted places that the ends of a bin answer, and return the stretches of the others."""
+    ends = list(accumulate(b.n for b in bins))
+    open_: dict[int, _Open] = {}
+    for place, target in wanted.items():
+        k = bisect.bisect_right(ends, place)
+        b, inside = bins[k], place - (ends[k] - bins[k].n)
+        if b.single or inside == 0:
+            known[target] = b.low
+        elif inside == b.n - 1:
+            known[target] = b.high
+        else:
+            open_.setdefault(k, _Open(column, b.low, b.high, {})).places[inside] = target
+    return list(open_.values())
+
+
+def _stretches(stretches: Sequence[_Open], df: DataFrame) -> DataFrame:
+    rows = [(k, s.column, s.low, s.high) for k, s in enumerate(stretches)]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, "slot int, of int, low double, high double"))  # one row a wanted rank at most
+
+
+def _sort(values: DataFrame, stretches: dict[int, _Open], known: dict[tuple[int, int], float]) -> None:
+    """Settle the places of stretches of few values: sorted per stretch, only the wanted values leave the task."""
+    if not stretches:
+        return
+    wanted = values.sparkSession.createDataFrame([(k, p) for k, s in stretches.items() for p in s.places], "slot int, place bigint")
+    up_to = F.sum("n").over(W.partitionBy("slot").orderBy("v").rowsBetween(W.unboundedPreceding, 0))
+    ranked = values.where(F.col("slot").isin(list(stretches))).withColumn("end", up_to)
+    hit = ranked.join(F.broadcast(wanted), "slot").where((F.col("place") < F.col("end")) & (F.col("place") >= F.col("end") - F.col("n")))
+    for r in hit.select("slot", "place", "v").collect():
+        known[stretches[r["slot"]].places[r["place"]]] = r["v"]
+
+
+def _search(df: DataFrame, values: Sequence[Column], stretches: list[_Open], known: dict[tuple[int, int], float], few: int) -> None:
+    """Settle all open stretches: their distinct values are counted in one scan, then only those are read."""
+    cells = _cells(df, values).join(_stretches(stretches, df), (F.col("of") == F.col("c")) & F.col("v").between(F.col("low"), F.col("high")))
+    counted = cut(cells.groupBy("slot", "v").agg(F.count("*").alias("n")), "digits")
+    while True:
+        sizes = {r["slot"]: r["k"] for r in counted.groupBy("slot").agg(F.count("*").alias("k")).collect()}
+        _sort(counted, {k: s for k, s in enumerate(stretches) if sizes[k] <= few}, known)
+        wide = {k: s for k, s in enumerate(stretches) if sizes[k] > few}
+        if not wide:
+            return
+        # split into parts of equal width: a monotone function of the value, whatever its rounding
+        share = (F.col("v") - F.col("low")) / (F.col("high") - F.col("low"))
+        part = F.least(F.floor(share * SPLIT).cast("int"), F.lit(SPLIT - 1))
+        own = counted.where(F.col("slot").isin(list(wide))).join(_stretches(stretches, df).drop("of"), "slot")
+        parts = own.groupBy("slot", part.alias("part")).agg(F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()
+        narrower: list[_Open] = []
+        for k, s in wide.items():
+            bins = [Bin(r["n"], r["low"], r["high"]) for r in sorted((r for r in parts if r["slot"] == k), key=lambda r: r["part"])]
+            narrower += [_Open(k, x.low, x.high, x.places) for x in _settle(bins, k, s.places, known)]
+        if not narrower:
+            return
+        inside = counted.withColumnRenamed("slot", "old").join(
+            _stretches(narrower, df), (F.col("of") == F.col("old")) & F.col("v").between(F.col("low"), F.col("high")))
+        counted, stretches = cut(inside.select("slot", "v", "n"), "digits"), narrower
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    also: Sequence[Column] = (),
-    then: Callable[[Row], Sequence[Column]] | None = None,
-    few: int = FEW,
-) -> tuple[dict[str, list[float | None]], Row, Mapping | None]:
-    """Linearly interpolated quantiles per column, NULLs ignored.
-
-    ``also`` are aggregates for the first scan, ``then(first row)`` such for the
-    second; their results are returned too (no second ones for a table without values).
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], counted: Sequence[ColumnDigits] | None = None, few: int = FEW
+) -> tuple[dict[str, list[float | None]], list[ColumnDigits]]:
+    """Linearly interpolated quantiles per column, NULLs ignored, and the columns by digit.
+
+    ``counted``: the columns by digit, if they are known already.
     """
+    values = [F.col(c).cast("double") for c in columns]
+    counted = list(counted) if counted is not None else digits(df, values)
     probs = [float(p) for p in probs]
-    asked = [min(1.0, max(0.0, p + sign * s)) for p in probs for s in STEPS for sign in (-1, 1)]
-    look = []
-    for i, c in enumerate(columns):
-        v = F.col(c).cast("double")
-        sketch = F.percentile_approx(v, asked, ACCURACY) if asked else F.lit(None)
-        look.append(F.struct(F.count(v), F.min(v), F.max(v), sketch).alias(f"_q{i}"))
-    first = df.agg(*look, *also).first() if look or also else None
-
-    targets: dict[int, _Target] = {}
-    ends: dict[int, tuple[float, float]] = {}
-    for i in range(len(columns)):
-        n, low, high, sketch = first[f"_q{i}"]
-        for k, p in enumerate(probs if n else ()):
-            t = i * len(probs) + k
-            targets[t] = _Target(p, n)
-            step = next(j for j, s in enumerate(STEPS) if s >= min(1.0, ROOM + 2.5 / n))
-            at = (k * len(STEPS) + step) * 2
-            around = p - STEPS[step] > 0, p + STEPS[step] < 1
-            ends[t] = (sketch[at] if around[0] else low, sketch[at + 1] if around[1] else high)
-    second = None
-    rows, value = df, lambda t: F.col(columns[t // len(probs)]).cast("double")
-    pending = dict(targets)
-    while pending:
-        rows, seen = _narrow(rows, value, pending, ends, list(then(first)) if then and second is None else [])
-        second = seen if second is None else second
-        value = lambda t: F.when(F.col("t") == t, F.col("v"))  # noqa: E731 - one value per row from here on
-        pending = {t: x for t, x in pending.items() if x.open_ranks}
-        small = {t: x for t, x in pending.items() if x.between <= few}
-        _sort(rows, small)
-        pending = {t: x for t, x in pending.items() if t not in small}
-        ends = {t: (s[0], s[1]) for t, s in _sketched(rows, value, {t: x.wanted() for t, x in pending.items()}).items()}
-    out = {}
-    for i, c in enumerate(columns):
-        own = [targets.get(i * len(probs) + k) for k in range(len(probs))]
-        out[c] = [x.quantile if x else None for x in own]
-    return out, first, second
-
-
-def _sort(rows: DataFrame, targets: Mapping[int, _Target]) -> None:
-    """Settle the open ranks of few values each: sorted per target, only the wanted places leave the task."""
-    if not targets:
-        return
-    places = [(t, r) for t, x in targets.items() for r in x.open_ranks]
-    lists = rows.where(F.col("t").isin(list(targets))).groupBy("t").agg(F.sort_array(F.collect_list("v")).alias("vs"))
-    wanted = F.create_map(*[y for t, x in targets.items() for y in (F.lit(t), F.array(*[F.lit(r - x.below) for r in x.open_ranks]))])
-    found = lists.select("t", F.transform(wanted[F.col("t")], lambda k: F.get("vs", k)).alias("at")).collect()
-    at = {r.t: r["at"] for r in found}
-    for t, x in targets.items():
-        x.known |= dict(zip(x.open_ranks, at[t], strict=True))
-    assert all(r in targets[t].known for t, r in places)
+    known: dict[tuple[int, int], float] = {}
+    stretches: list[_Open] = []
+    for i, column in enumerate(counted):
+        if column.n:
+            ranks = {f((column.n - 1) * p) for p in probs for f in (math.floor, math.ceil)}
+            stretches += _settle(column.bins, i, {r: (i, r) for r in ranks}, known)
+    if stretches:
+        _search(df, values, stretches, known, few)
+
+    def quantile(i: int, n: int, p: float) -> float:
+        place = (n - 1) * p
+        low, high = known[(i, math.floor(place))], known[(i, math.ceil(place))]
+        return low if low == high else low + (high - low) * (place - math.floor(place))
+
+    return {c: [quantile(i, counted[i].n, p) if counted[i].n else None for p in probs] for i, c in enumerate(columns)}, counted

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable, Sequence
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -48,3 +51,10 @@ def missing_to_null(name: str, dtype: str) -> Column:
     if dtype in ("double", "float"):
         return F.when(~F.isnan(name), F.col(name)).alias(name)
     return F.col(name)
+
+
+def observed(df: DataFrame, figures: Sequence[Column], action: Callable[[DataFrame], object]) -> dict[str, Any]:
+    """Aggregates of ``df`` taken while ``action`` runs over it; for the last stage of a job, whose tasks count once."""
+    seen = Observation()
+    action(df.observe(seen, *figures))
+    return dict(seen.get)

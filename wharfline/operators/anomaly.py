@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharfline.functions import global_order as G
+from wharfline.functions.quantiles import ColumnDigits, digits
 from wharfline.functions.scalars import is_true, percent_text
 from wharfline.operators.profile import quantiles
 from wharfline.schemas import numeric_columns
+from wharfline.session import cut
 
 SCAN_SCHEMA = (
     "table_name string, column_name string, method string, outlier_count bigint, "
@@ -33,7 +35,7 @@ def iqr_bounds(
     df: DataFrame, columns: Sequence[str], multiplier: float = 1.5, approximate: bool = False
 ) -> dict[str, Fence]:
     """Lower and upper fence per column with values: a few numbers, so that scans can skip row groups by them."""
-    found, *_ = quantiles(df, columns, (0.25, 0.75), approximate)
+    found = quantiles(df, columns, (0.25, 0.75), approximate)
     return {c: _fence(q1, q3, multiplier) for c, (q1, q3) in found.items() if q1 is not None}
 
 
@@ -77,6 +79,11 @@ def outlier_samples(
     """
     if not bounds:
         return df.sparkSession.createDataFrame([], "column_name string, rank int, value double")
+    return _first_outliers(_outliers(df, bounds, order_by), k)
+
+
+def _outliers(df: DataFrame, bounds: dict[str, Fence], order_by: Sequence[str]) -> DataFrame:
+    """``(column_name, value, _o0, _o1, …)``: the values outside the fences, with the columns that order them."""
     any_outside = reduce(Column.__or__, [_may_be_outside(df, c, b) for c, b in bounds.items()])
     cells = [
         F.struct(
@@ -86,7 +93,7 @@ def outlier_samples(
         )
         for c, b in bounds.items()
     ]
-    long = (
+    return (
         df.where(any_outside)
         .select(
             *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)],
@@ -94,22 +101,31 @@ def outlier_samples(
         )
         .select("cell.column_name", "cell.value", *[f"_o{i}" for i in range(len(order_by))])
     )
-    first = [*[f"_o{i}" for i in range(len(order_by))], "value"]
-    return G.first_per_group(long, "column_name", first, k).select("column_name", "rank", "value")
 
 
-def _varied(df: DataFrame, columns: Sequence[str], min_distinct: int) -> list[str]:
+def _first_outliers(outside: DataFrame, k: int) -> DataFrame:
+    first = [*[c for c in outside.columns if c.startswith("_o")], "value"]
+    return G.first_per_group(outside, "column_name", first, k).select("column_name", "rank", "value")
+
+
+def _varied(
+    df: DataFrame, columns: Sequence[str], min_distinct: int, counted: Sequence[ColumnDigits] | None = None
+) -> list[str]:
     """Columns with more than ``min_distinct`` values.
 
-    Exact: at most ``min_distinct`` + 1 values of each column leave a task.
+    The digits of a column mostly tell; of the others, at most ``min_distinct`` + 1 values each leave a task.
     """
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
-    values = df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
-    # dense_rank() <= k is cut down within each task before the shuffle; min_distinct is a handful
-    rank = F.dense_rank().over(W.partitionBy("column_name").orderBy("value"))
-    few = values.distinct().withColumn("_r", rank).where(F.col("_r") <= min_distinct + 1)
-    found = {r["column_name"]: r["n"] for r in few.groupBy("column_name").agg(F.count("*").alias("n")).collect()}
-    return [c for c in columns if found.get(c, 0) > min_distinct]
+    counted = digits(df, columns) if counted is None else counted
+    unsure = [c for c, d in zip(columns, counted, strict=True) if not d.exactly and d.least_distinct <= min_distinct]
+    found: dict[str, int] = {}
+    if unsure:
+        cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in unsure]
+        values = df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+        # dense_rank() <= k is cut down within each task before the shuffle; min_distinct is a handful
+        rank = F.dense_rank().over(W.partitionBy("column_name").orderBy("value"))
+        few = values.distinct().withColumn("_r", rank).where(F.col("_r") <= min_distinct + 1)
+        found = {r["column_name"]: r["n"] for r in few.groupBy("column_name").agg(F.count("*").alias("n")).collect()}
+    return [c for c, d in zip(columns, counted, strict=True) if found.get(c, d.least_distinct) > min_distinct]
 
 
 def anomaly_scan(
@@ -123,29 +139,36 @@ def anomaly_scan(
 ) -> DataFrame:
     """IQR outliers of every numeric column with more than ``min_distinct`` values.
 
-    The first scan finds the columns that vary, the next ones their fences, one
-    more counts the outliers of all columns, and the last reads sample values
-    through the fences.  The percentage is of all rows, NULLs included.
+    Three scans of the table: the digits of all numeric columns tell which of them vary, the open digits of the quartiles give
+    the fences, and the last scan writes the values outside, which are counted and sampled.  The percentage is
+    of all rows, NULLs included.
     """
     columns = numeric_columns(df)
     spark = df.sparkSession
-    varied = _varied(df, columns, min_distinct) if columns else []
-    if not varied:
+    of_column = dict(zip(columns, digits(df, columns), strict=True))
+    columns = _varied(df, columns, min_distinct, list(of_column.values()))
+    if not columns:
         return spark.createDataFrame([], SCAN_SCHEMA)
-    found, seen, _ = quantiles(df, varied, (0.25, 0.75), approximate, also=[F.count("*").alias("_rows")])
-    bounds = {c: _fence(*found[c], multiplier) for c in varied}
-    counts = df.agg(*[F.count_if(_outside(c, b)) for c, b in bounds.items()]).first()
-    outliers = dict(zip(varied, counts))
-    rows = [(table, c, "IQR", n, n / seen["_rows"] * 100) for c, n in outliers.items()]
+    counted = [of_column[c] for c in columns]
+    total = counted[0].rows
+    found = quantiles(df, columns, (0.25, 0.75), approximate, counted=counted)
+    bounds = {c: _fence(*found[c], multiplier) for c in columns}
+    # a column whose ends lie inside its fences has no outliers: it is not read again
+    beyond = {c: b for (c, b), d in zip(bounds.items(), counted, strict=True) if d.low < b[0] or d.high > b[1]}
+    outside = cut(_outliers(df, beyond, order_by or df.columns), "outliers") if beyond else None
+    outliers = {r["column_name"]: r["n"] for r in outside.groupBy("column_name").agg(F.count("*").alias("n")).collect()} if beyond else {}
+    rows = [(table, c, "IQR", outliers.get(c, 0), outliers.get(c, 0) / total * 100) for c in columns]
     totals = spark.createDataFrame(rows, SCAN_SCHEMA.rsplit(",", 1)[0])
+    empty = F.array().cast("array<double>")
+    if not outliers:
+        return totals.withColumn("outlier_values", empty)
     samples = (
-        outlier_samples(df, {c: b for c, b in bounds.items() if outliers[c]}, order_by or df.columns, k)
+        _first_outliers(outside, k)
         .groupBy("column_name")
         .agg(F.array_sort(F.collect_list(F.struct("rank", "value"))).alias("_s"))  # k per column
     )
     return totals.join(F.broadcast(samples), "column_name", "left").select(
-        *totals.columns,
-        F.coalesce(F.transform("_s", lambda s: s["value"]), F.array().cast("array<double>")).alias("outlier_values"),
+        *totals.columns, F.coalesce(F.transform("_s", lambda s: s["value"]), empty).alias("outlier_values")
     )
 
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharfline.functions import global_order as G
-from wharfline.functions.quantiles import exact_quantiles
+from wharfline.functions.quantiles import ColumnDigits, digits, exact_quantiles
 from wharfline.functions.scalars import percent_text
 from wharfline.operators.validate import duplicate_count
 from wharfline.schemas import is_numeric, is_temporal
@@ -43,35 +43,16 @@ def _of_kind(df: DataFrame, kind: str, columns: Sequence[str] | None) -> list[st
     return list(columns) if columns is not None else [c for c, k in column_kinds(df).items() if k == kind]
 
 
-def _numeric_scan(
-    df: DataFrame, columns: Sequence[str], approximate: bool, also: Sequence[Column] = ()
-) -> tuple[dict[str, tuple], Row]:
-    """Statistics per numeric column in the order of NUMERIC_STATS, and the row of the ``also`` aggregates.
-
-    The first scan takes counts and means, the second the powers of the
-    distance from the mean: two passes keep the moments accurate where the
-    spread is small against the values.
-    """
-    basics = [
-        F.struct(F.count("*"), F.count(x), F.avg(x), F.min(x), F.max(x)).alias(f"_m{i}")
-        for i, x in enumerate(F.col(c).cast("double") for c in columns)
-    ]
-
-    def powers(first: Row) -> list[Column]:
-        out = []
-        for i, c in enumerate(columns):
-            d = F.col(c).cast("double") - F.lit(first[f"_m{i}"][2])
-            out += [F.sum(x).alias(f"_p{i}_{k}") for k, x in ((2, d * d), (3, d * d * d), (4, d * d * d * d))]
-        return out
-
-    quartiles, first, second = quantiles(df, columns, QUARTILES, approximate, also=[*basics, *also], then=powers)
+def _numeric_stats(df: DataFrame, columns: Sequence[str], counted: Sequence[ColumnDigits], approximate: bool) -> dict[str, tuple]:
+    """Statistics per numeric column in the order of NUMERIC_STATS, from its digits with moments."""
+    quartiles = quantiles(df, columns, QUARTILES, approximate, counted=counted)
     stats = {}
-    for i, c in enumerate(columns):
-        rows, n, mean, low, high = first[f"_m{i}"]
-        std, skewness, kurtosis = sample_moments(n, *([second[f"_p{i}_{k}"] for k in (2, 3, 4)] if second and n else (None,) * 3))
+    for c, own in zip(columns, counted, strict=True):
+        mean, *powers = own.moments()
+        std, skewness, kurtosis = sample_moments(own.n, *(powers if own.n else (None,) * 3))
         q25, median, q75 = quartiles[c]
-        stats[c] = (n, rows - n, mean, median, std, low, high, q25, q75, skewness, kurtosis)
-    return stats, first
+        stats[c] = (own.n, own.rows - own.n, mean, median, std, own.low, own.high, q25, q75, skewness, kurtosis)
+    return stats
 
 
 def sample_moments(
@@ -96,25 +77,25 @@ def quantiles(
     probs: Sequence[float] = QUARTILES,
     approximate: bool = False,
     accuracy: int = 10_000,
-    also: Sequence[Column] = (),
-    then: Callable[[Row], Sequence[Column]] | None = None,
-) -> tuple[dict[str, list[float | None]], Row, Row | None]:
+    counted: Sequence[ColumnDigits] | None = None,
+) -> dict[str, list[float | None]]:
     """Quantiles per column: exact by default, or within n/accuracy ranks from one sketch pass."""
     if not approximate:
-        return exact_quantiles(df, columns, probs, also, then)
+        return exact_quantiles(df, columns, probs, counted)[0]
+    if not columns:
+        return {}
     sketches = [
         F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(f"_q{i}")
         for i, c in enumerate(columns)
     ]
-    first = df.agg(*sketches, *also).first()
-    second = df.agg(*then(first)).first() if then and columns else None
-    return {c: list(first[f"_q{i}"] or [None] * len(probs)) for i, c in enumerate(columns)}, first, second
+    first = df.agg(*sketches).first()
+    return {c: list(first[f"_q{i}"] or [None] * len(probs)) for i, c in enumerate(columns)}
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """Count, missing, mean, median, std, min, max, quartiles, skewness and kurtosis: one row per column."""
     columns = _of_kind(df, "numeric", columns)
-    stats, _ = _numeric_scan(df, columns, approximate)
+    stats = _numeric_stats(df, columns, digits(df, columns, moments=True), approximate)
     return df.sparkSession.createDataFrame([(c, *stats[c]) for c in columns], f"column_name string, {NUMERIC_STATS}")
 
 
@@ -199,44 +180,66 @@ def profile_table(
 ) -> DataFrame:
     """One row per column: type, NULLs and the statistics of its kind, with the table totals on each row.
 
-    One scan takes NULL counts, moments, sketches and date spans of all columns;
-    exact quartiles, value counts and the duplicate count follow.
+    One scan counts the numbers and dates by digit, which gives their NULLs, moments and spans; the open
+    digits of the quartiles, value counts and the duplicate count follow.
     """
     kinds = column_kinds(df)
     by_kind = {k: [c for c in df.columns if kinds[c] == k] for k in ("numeric", "date", "categorical")}
-    also = [F.count("*").alias("_rows")]
-    also += [F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)]
-    also += [_date_span(df, c, fmt).alias(f"_d{i}") for i, c in enumerate(by_kind["date"])]
-    numeric, seen = _numeric_scan(df, by_kind["numeric"], approximate, also)
-    dates = {c: tuple(seen[f"_d{i}"]) for i, c in enumerate(by_kind["date"])}
-    total = seen["_rows"]
+    is_text = {c: isinstance(df.schema[c].dataType, T.StringType) for c in by_kind["date"]}
+    cells = [F.col(c) for c in by_kind["numeric"]]
+    cells += [F.unix_micros(F.try_to_timestamp(c, F.lit(fmt)) if is_text[c] else F.col(c).cast("timestamp")) for c in by_kind["date"]]
+    cells += [F.when(F.col(c).isNull(), 1) for c in by_kind["date"]] + [F.lit(1)]  # text that does not parse is no NULL
+    counted = digits(df, cells, moments=True)
+    n_numeric, n_date = len(by_kind["numeric"]), len(by_kind["date"])
+    numeric = _numeric_stats(df, by_kind["numeric"], counted[:n_numeric], approximate)
+    dates = dict(zip(by_kind["date"], counted[n_numeric : n_numeric + n_date], strict=True))
+    total = counted[-1].rows
+    nulls = {c: numeric[c][1] for c in numeric} | {c: d.n for c, d in zip(by_kind["date"], counted[n_numeric + n_date :])}
+
+    def span(c: str) -> tuple | None:
+        own = dates.get(c)
+        if own is None:
+            return None
+        low, high = (None, None) if not own.n else (int(own.low), int(own.high))
+        return own.n, own.rows - own.n, low, high, (high - low) // 86_400_000_000 if own.n else 0
+
     rows = [
-        (
-            table,
-            total,
-            len(df.columns),
-            i,
-            f.name,
-            f.dataType.simpleString(),
-            kinds[f.name],
-            seen[f"_n{i}"],
-            seen[f"_n{i}"] / total * 100 if total else 0.0,
-            numeric.get(f.name),
-            dates.get(f.name),
-        )
+        (table, total, len(df.columns), i, f.name, f.dataType.simpleString(), kinds[f.name], nulls.get(f.name), numeric.get(f.name), span(f.name))
         for i, f in enumerate(df.schema)
     ]
     profile = df.sparkSession.createDataFrame(
         rows,
         "table_name string, row_count bigint, column_count int, column_index int, column_name string, dtype string, "
-        f"kind string, null_count bigint, null_percentage double, numeric_stats struct<{NUMERIC_STATS}>, "
-        f"date_stats struct<{DATE_STATS}>",
-    ).withColumn("duplicate_rows", duplicate_count(df).select("duplicate_count").scalar())
+        f"kind string, null_count bigint, numeric_stats struct<{NUMERIC_STATS}>, "
+        "d struct<count bigint, missing bigint, low bigint, high bigint, date_range_days bigint>",
+    )
     if by_kind["categorical"]:
         stats = profile_categorical(df, by_kind["categorical"])
         packed = stats.select("column_name", F.struct(*stats.columns[1:]).alias("categorical_stats"))
-        return profile.join(F.broadcast(packed), "column_name", "left")  # one row per column
-    return profile.withColumn("categorical_stats", F.lit(None).cast(f"struct<{CATEGORICAL_STATS}>"))
+        profile = profile.join(F.broadcast(packed), "column_name", "left")  # one row per column
+    else:
+        profile = profile.withColumn("categorical_stats", F.lit(None).cast(f"struct<{CATEGORICAL_STATS}>"))
+
+    def day(micros: str) -> Column:
+        return F.date_format(F.timestamp_micros(micros), "yyyy-MM-dd HH:mm:ss")
+
+    null_count = F.coalesce("null_count", "categorical_stats.missing", F.lit(0))
+    return profile.withColumn("null_count", null_count).select(
+        "table_name",
+        "row_count",
+        "column_count",
+        "column_index",
+        "column_name",
+        "dtype",
+        "kind",
+        "null_count",
+        (F.col("null_count") / total * 100 if total else F.lit(0.0)).alias("null_percentage"),
+        "numeric_stats",
+        F.when(F.col("d").isNotNull(), F.struct(
+            "d.count", "d.missing", day("d.low").alias("min_date"), day("d.high").alias("max_date"), "d.date_range_days")).alias("date_stats"),
+        duplicate_count(df).select("duplicate_count").scalar().alias("duplicate_rows"),
+        "categorical_stats",
+    )
 
 
 def profile_summary(profile: DataFrame) -> DataFrame:

@@ -153,16 +153,23 @@ def _counts(df: DataFrame, checks: list[_Check]) -> DataFrame:
             for c in fused
         ]
         parts.append(one.select(F.inline(F.array(*items))))
-    for c in checks:
-        if c.failing is None:
-            groups = df.groupBy(c.rule.column).agg(F.count("*").alias("_n"))
-            parts.append(
-                groups.agg(
-                    F.lit(c.index).alias("rule_index"),
-                    F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("failing"),
-                    F.coalesce(F.sum("_n"), F.lit(0)).alias("total"),
-                )
-            )
+    unique = [c for c in checks if c.failing is None]
+    if unique:
+        # all uniqueness rules in one scan: values are counted per rule, map-side first, as text if there are several rules
+        kinds = dict(df.dtypes)
+
+        def cell(c: _Check) -> Column:
+            value = F.col(c.rule.column)
+            if kinds.get(c.rule.column) in ("float", "double"):
+                value = value + F.lit(0).cast(kinds[c.rule.column])  # -0.0 is 0.0
+            return F.struct(F.lit(c.index).alias("rule_index"), (value.cast("string") if len(unique) > 1 else value).alias("value"))
+
+        counted = df.select(F.inline(F.array(*map(cell, unique)))).groupBy("rule_index", "value").agg(F.count("*").alias("_n"))
+        found = counted.groupBy("rule_index").agg(F.sum(F.col("_n") - 1).alias("failing"), F.sum("_n").alias("total"))
+        none = df.sparkSession.createDataFrame([(c.index,) for c in unique], "rule_index int")
+        parts.append(
+            none.join(found, "rule_index", "left").select(
+                "rule_index", F.coalesce("failing", F.lit(0)).alias("failing"), F.coalesce("total", F.lit(0)).alias("total")))
     return reduce(DataFrame.unionByName, parts)
 
 

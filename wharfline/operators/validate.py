@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharfline.config import QualityConfig
+from wharfline.functions.fingerprints import row_counts
 from wharfline.functions.scalars import percent_text, ratio
 from wharfline.schemas import ForeignKey, foreign_keys
 
@@ -34,13 +35,10 @@ def null_counts(df: DataFrame) -> DataFrame:
 def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row: rows beyond the first of each value; NULLs equal each other.
 
-    Group counts, because ``count(distinct …)`` skips NULLs.
+    Counted when called, by fingerprints: whole rows are compared only where those are equal.
     """
-    groups = df.groupBy(*(columns or df.columns)).agg(F.count("*").alias("_n"))
-    return groups.agg(
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_count"),
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
-    )
+    found = row_counts(df, columns)
+    return df.sparkSession.createDataFrame([(found.repeated, found.total)], "duplicate_count bigint, total_rows bigint")
 
 
 def _key_text(column: Column, own: T.DataType, other: T.DataType) -> Column:
@@ -126,26 +124,18 @@ def fk_valid_rows(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
 def validation_metrics(df: DataFrame, table: str, parents: Mapping[str, DataFrame]) -> DataFrame:
     """``(kind, position, name, n)`` rows: total rows, nulls per column, duplicates, orphans per key.
 
-    The duplicate check has to group by all columns anyway; total rows, NULL counts and key counts
-    follow from the same groups, so the table is read once for all four.
+    Total rows, NULL counts and duplicates follow from one count of row fingerprints, made when called; the
+    keys are counted per value from their own columns.
     """
-    n = F.col("_n")
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    sums = [("rows", 0, "", n), ("duplicate", 0, "", n - 1)]
-    sums += [("null", i, c, F.when(F.col(c).isNull(), n)) for i, c in enumerate(df.columns)]
-    one = groups.agg(*[F.coalesce(F.sum(value), F.lit(0)).alias(f"_{i}") for i, (*_, value) in enumerate(sums)])
-    items = [
-        F.struct(
-            F.lit(kind).alias("kind"), F.lit(at).alias("position"), F.lit(name).alias("name"), F.col(f"_{i}").alias("n")
-        )
-        for i, (kind, at, name, _) in enumerate(sums)
-    ]
-    metrics = one.select(F.inline(F.array(*items)))
+    found = row_counts(df)
+    items = [("rows", 0, "", found.total), ("duplicate", 0, "", found.repeated)]
+    items += [("null", i, c, found.nulls[c]) for i, c in enumerate(df.columns)]
+    metrics = df.sparkSession.createDataFrame(items, "kind string, position int, name string, n bigint")
     keys = _checked_keys(df, table, parents)
     if not keys:
         return metrics
     place = F.create_map(*[F.lit(x) for i, k in enumerate(keys) for x in (k.column, i)])
-    orphans = _orphans(groups, keys, parents, n).select(
+    orphans = _orphans(df, keys, parents, F.lit(1).cast("bigint")).select(
         F.lit("fk").alias("kind"),
         place[F.col("column_name")].alias("position"),
         F.col("column_name").alias("name"),
