@@ -231,3 +231,10 @@ def test_passes_across_batches(spark, batch):
         assert set(ranked.values()) == {0.0, nulls / 299}
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_ranges_follow_the_tables_that_are_read(spark, tmp_path):
+    spark.range(3_000).write.parquet(str(tmp_path / "r"))
+    rows = spark.read.parquet(str(tmp_path / "r"))
+    joined = G.with_row_number(rows, ["id"], "n").join(F.broadcast(rows), "id")
+    assert G.range_count(rows) == G.range_count(joined) == int(spark.conf.get("spark.sql.shuffle.partitions"))

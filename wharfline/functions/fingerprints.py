@@ -44,6 +44,28 @@ def fingerprint(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     return [F.xxhash64(F.lit("a"), *values), F.xxhash64(F.lit("b"), *values)]
 
 
+def null_mark(columns: Sequence[str], c: str) -> Column:
+    """1 in the groups whose rows are NULL in ``c``, one of all ``columns``."""
+    i = list(columns).index(c)
+    return F.shiftright(F.col(f"_s{i // NULL_BITS}"), i % NULL_BITS).bitwiseAND(F.lit(1))
+
+
+def fingerprint_groups(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Groups of equal rows, from one scan: the ``keep`` columns, ``_n`` rows, ``_repeated`` of them, and NULL marks.
+
+    Rows are grouped by their fingerprint and hold a third hash.  Where that differs in a group, two of its rows are known to
+    differ.  So equal rows are always counted as such, and unequal ones only if 192 bits of hashes agree: for 10^12 rows, with a
+    probability of 10^-34.  ``row_counts`` leaves no such rest, but reads the repeated rows again.
+    """
+    columns = df.columns
+    first, second = fingerprint(df, columns)
+    third = F.xxhash64(F.lit("c"), *null_marks(columns), *[_plain(df, c) for c in columns])
+    marks = {f"_s{i}": m for i, m in enumerate(null_marks(columns))}
+    rows = df.select(*keep, first.alias("_k0"), second.alias("_k1"), third.alias("_k2"), *[m.alias(s) for s, m in marks.items()])
+    groups = rows.groupBy(*keep, "_k0", "_k1", *marks).agg(F.count("*").alias("_n"), F.min("_k2").alias("_low"), F.max("_k2").alias("_high"))
+    return groups.select(*keep, *marks, "_n", (F.col("_n") - F.when(F.col("_low") == F.col("_high"), 1).otherwise(2)).alias("_repeated"))
+
+
 def _width(kind: T.DataType) -> int:
     if isinstance(kind, (T.ByteType, T.BooleanType, T.ShortType, T.IntegerType, T.DateType, T.FloatType)):
         return 4
@@ -73,9 +95,8 @@ def row_counts(df: DataFrame, columns: Sequence[str] | None = None) -> RowCounts
     rows = df.select(*[k.alias(n) for k, n in zip(keys, names, strict=True)], *[m.alias(s) for m, s in zip(marks, signs, strict=True)])
     # rows of one fingerprint have the same marks but for a clash, which the grouping then tells apart by itself
     groups = rows.groupBy(*names, *signs).agg(F.count("*").alias("_n"))
-    bit = {c: F.shiftright(F.col(signs[i // NULL_BITS]), i % NULL_BITS).bitwiseAND(F.lit(1)) for i, c in enumerate(columns)}
     figures = [F.sum("_n").alias("total"), F.sum(F.col("_n") - 1).alias("repeated"), F.count_if(F.col("_n") > 1).alias("groups")]
-    figures += [F.sum(F.col("_n") * b).alias(f"n{i}") for i, b in enumerate(bit.values())]
+    figures += [F.sum(F.col("_n") * null_mark(columns, c)).alias(f"n{i}") for i, c in enumerate(columns)]
     if narrow:
         seen = groups.agg(*figures).first().asDict()
     else:

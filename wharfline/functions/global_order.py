@@ -12,20 +12,25 @@ broadcasts below safe.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pyspark.sql.pandas.types import to_arrow_type
+
 from wharfline.session import cut
 
 PART, POS = "_part", "_pos"
-RANGE_BYTES, MOST_RANGES = 1 << 28, 100_000  # the estimate of a join may be far too large, hence the upper limit
+RANGE_BYTES, MOST_RANGES = 1 << 28, 100_000
+UNKNOWN = 1 << 60  # rows that came from the driver have no estimate but a number above this one
 _POS_BITS = 33  # monotonically_increasing_id keeps the row index in its low 33 bits
 
 
@@ -40,8 +45,10 @@ def _with_position(df: DataFrame) -> DataFrame:
 
 
 def range_count(df: DataFrame) -> int:
-    """Ranges of about RANGE_BYTES of the plan's estimated size, as many as there are shuffle partitions at least."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Ranges of about RANGE_BYTES of the tables that the plan reads, as many as there are shuffle partitions at least."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length()))
+    size = sum(x for x in sizes if x < UNKNOWN)
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return min(MOST_RANGES, max(least, -(-size // RANGE_BYTES)))
 
@@ -56,8 +63,9 @@ def stored_once(df: DataFrame, label: str = "input") -> DataFrame:
     Range partitioning reads its input twice, once to find the borders.
     """
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    nodes = {m[1] for m in re.finditer(r"^[\s:+\-|]*([A-Z]\w*)", plan, re.MULTILINE)}
-    return df if nodes <= _CHEAP and "UDF" not in plan else cut(df, label)
+    nodes = [(m[1], m[0]) for m in re.finditer(r"^[\s:+\-|]*([A-Z]\w*).*", plan, re.MULTILINE)]
+    cheap = all(name in _CHEAP or (name == "Join" and "strategy=broadcast" in line) for name, line in nodes)
+    return df if cheap and "UDF" not in plan else cut(df, label)
 
 
 def _ranged(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
@@ -73,26 +81,63 @@ def range_sorted(df: DataFrame, order: Sequence[Column | str], label: str = "ran
     return cut(_with_position(_ranged(df, order)), label)
 
 
+class Step:
+    """What an ordered pass does in one range; it keeps what it needs of earlier rows."""
+
+    def rows(self, rows: pa.Table, at: int) -> pa.Table:
+        """The next rows of the range, the first of which has place ``at``, with the columns of the pass."""
+        raise NotImplementedError
+
+    def edge(self) -> dict[str, pa.Array]:
+        """What the next ranges need to know of this one: one value each."""
+        raise NotImplementedError
+
+
 def ordered_pass(
-    df: DataFrame, order: Sequence[Column | str], step: Callable[[], Callable[[pa.Table, int], pa.Table]], schema: str, label: str
-) -> DataFrame:
-    """Rows with ``_part`` and ``_pos`` and what ``step`` makes of them in order, written once.
+    df: DataFrame, order: Sequence[Column | str], step: Callable[[], Step], schema: str, edge: str, label: str
+) -> tuple[DataFrame, list[Row]]:
+    """Rows of the pass with ``_part`` and ``_pos``, written once, and one row for each range, in order.
 
-    ``step()`` is called for each range and returns a function of (rows, place of the first of them), which sees the rows
-    of the range in order, a batch at a time, and keeps what it needs of earlier ones.  ``schema``: its columns.
+    ``schema`` names the columns of ``step().rows``, ``edge`` those of ``step().edge``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at, one = TaskContext.get().partitionId(), 0, step()
+        part, at, one, last = TaskContext.get().partitionId(), 0, step(), None
         for batch in batches:
             if batch.num_rows:
-                out = one(pa.Table.from_batches([batch]), at)
-                out = out.append_column(PART, pa.array(np.full(batch.num_rows, part, dtype=np.int32)))
-                out = out.append_column(POS, pa.array(np.arange(at, at + batch.num_rows)))
-                at += batch.num_rows
-                yield from out.to_batches()
+                last = one.rows(pa.Table.from_batches([batch]), at)
+                marks = [pa.array(np.full(last.num_rows, part, dtype=np.int32)), pa.array(np.arange(at, at + last.num_rows)), pa.nulls(last.num_rows, ends)]
+                at += last.num_rows
+                yield from pa.Table.from_arrays([*last.columns, *marks], names=[*last.column_names, PART, POS, "_edge"]).to_batches()
+        if last is not None:
+            values = one.edge()
+            border = pa.StructArray.from_arrays([values[f.name].cast(f.type) for f in ends], fields=list(ends))
+            nulls = [pa.nulls(1, f.type) for f in last.schema]
+            yield pa.RecordBatch.from_arrays(
+                [*nulls, pa.array([part], pa.int32()), pa.array([-1]), border], names=[*last.column_names, PART, POS, "_edge"])
+
+    ends = to_arrow_type(df.sparkSession.createDataFrame([], edge).schema)
+    done = cut(_ranged(df, order).mapInArrow(run, f"{schema}, {PART} int, {POS} bigint, _edge struct<{edge}>"), label)
+    edges = done.where(F.col(POS) < 0).select(PART, "_edge.*").collect()  # a row a range
+    return done.where(F.col(POS) >= 0).drop("_edge"), sorted(edges, key=lambda r: r[PART])
+
+
+def _by_part(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Values that every task needs: one row a range."""
+    return F.broadcast(spark.createDataFrame(list(rows), f"{PART} int, {schema}"))
+
+
+def _before(counts: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(range, rows of the ranges before) from (range, rows)."""
+    ordered = sorted(counts)
+    return [(part, end - n) for (part, n), end in zip(ordered, accumulate(n for _, n in ordered))]
 
-    return cut(_ranged(df, order).mapInArrow(run, f"{schema}, {PART} int, {POS} bigint"), label)
+
+def _same(a: object, b: object) -> bool:
+    """Equality as grouping has it: NULLs are equal, and so are NaNs."""
+    if isinstance(a, (tuple, list)) and isinstance(b, (tuple, list)):
+        return len(a) == len(b) and all(map(_same, a, b))
+    return a == b or (isinstance(a, float) and isinstance(b, float) and math.isnan(a) and math.isnan(b))
 
 
 def _fields(df: DataFrame) -> str:
@@ -113,21 +158,14 @@ def file_order(df: DataFrame, label: str = "filed") -> DataFrame:
     return cut(_with_position(df), label)
 
 
-def _carried(parts: DataFrame, size: str, groups: Sequence[str]) -> DataFrame:
-    """Turn per-partition sizes into the total of all earlier partitions (of the same group)."""
-    before = W.partitionBy(*groups).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
-    return parts.withColumn("_before", F.coalesce(F.sum(size).over(before), F.lit(0)))
-
-
 def with_row_number(
     df: DataFrame, order: Sequence[Column | str] | None, name: str, start: int | Column = 1
 ) -> DataFrame:
     """Dense whole-table numbers from ``start``; ``order=None`` takes the rows as read."""
     rows = range_sorted(df, order, "numbered") if order else file_order(df, "numbered")
-    sizes = rows.groupBy(PART).agg(F.count("*").alias("_n"))
-    offsets = _carried(sizes, "_n", []).select(PART, "_before")
+    sizes = rows.groupBy(PART).agg(F.count("*").alias("n")).collect()
     first = start if isinstance(start, Column) else F.lit(start)
-    numbered = rows.join(F.broadcast(offsets), PART)
+    numbered = rows.join(_by_part(df.sparkSession, _before([tuple(r) for r in sizes]), "_before bigint"), PART)
     return numbered.withColumn(name, (F.col("_before") + F.col(POS) + first).cast("bigint")).drop(
         PART, POS, "_before"
     )
@@ -143,22 +181,22 @@ def with_dense_ids(df: DataFrame, order: Sequence[str], name: str, start: int =
     ordered = [*order, *[c for c in df.columns if c not in order]]
     counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
 
-    def step() -> Callable[[pa.Table, int], pa.Table]:
+    class Copies(Step):
         total = 0
 
-        def run(rows: pa.Table, at: int) -> pa.Table:
-            nonlocal total
+        def rows(self, rows: pa.Table, at: int) -> pa.Table:
             copies = rows.column("_copies").to_numpy()
-            ends = total + np.cumsum(copies)
-            total = int(ends[-1])
+            ends = self.total + np.cumsum(copies)
+            self.total = int(ends[-1])
             return rows.append_column("_before_in", pa.array(ends - copies))
 
-        return run
+        def edge(self) -> dict[str, pa.Array]:
+            return {"n": pa.array([self.total])}
 
-    rows = ordered_pass(counted, ordered, step, f"{_fields(counted)}, _before_in bigint", "ids")
-    offsets = _carried(rows.groupBy(PART).agg(F.sum("_copies").alias("_n")), "_n", []).select(PART, "_before")
+    rows, edges = ordered_pass(counted, ordered, Copies, f"{_fields(counted)}, _before_in bigint", "n bigint", "ids")
+    offsets = _by_part(df.sparkSession, _before([tuple(r) for r in edges]), "_before bigint")
     first = F.col("_before") + F.col("_before_in") + F.lit(start)
-    numbered = rows.join(F.broadcast(offsets), PART).select(*df.columns, "_copies", first.cast("bigint").alias("_first"))
+    numbered = rows.join(offsets, PART).select(*df.columns, "_copies", first.cast("bigint").alias("_first"))
 
     def expanded(part: DataFrame) -> DataFrame:
         ids = F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_copies") - 1))
@@ -182,42 +220,41 @@ def with_percent_rank(df: DataFrame, value: str, tie_break: Sequence[str], name:
     A value shared by very many rows may span several range partitions, so the
     place where such a run begins is carried over to the partitions it goes on in.
     """
-    def step() -> Callable[[pa.Table, int], pa.Table]:
-        held: list = []  # the last row so far and the place where its run of equal values begins
+    class Runs(Step):
+        last: pa.Table | None = None  # the last row so far, and the place where its run of equal values begins
+        begin = n = 0
+        first: pa.Array
 
-        def run(rows: pa.Table, at: int) -> pa.Table:
+        def rows(self, rows: pa.Table, at: int) -> pa.Table:
             column = rows.select([value])
-            joined = pa.concat_tables([held[0], column]) if held else column
-            new = _changes(joined, [value]) if held else np.concatenate(([True], _changes(joined, [value])))
-            begin = np.maximum.accumulate(np.where(new, at + np.arange(rows.num_rows), held[1] if held else 0))
-            held[:] = [column.slice(rows.num_rows - 1), int(begin[-1])]
+            if self.last is None:
+                self.first = column.column(0).slice(0, 1).combine_chunks()
+                new = np.concatenate(([True], _changes(column, [value])))
+            else:
+                new = _changes(pa.concat_tables([self.last, column]), [value])
+            begin = np.maximum.accumulate(np.where(new, at + np.arange(rows.num_rows), self.begin))
+            self.last, self.begin, self.n = column.slice(rows.num_rows - 1), int(begin[-1]), at + rows.num_rows
             return rows.append_column("_begin_in", pa.array(begin))
 
-        return run
-
-    rows = ordered_pass(df, [F.col(value).asc_nulls_first(), *tie_break], step, f"{_fields(df)}, _begin_in bigint", "ranked")
-    edges = rows.groupBy(PART).agg(
-        F.count("*").alias("_n"),
-        F.min_by(F.struct(F.col(value).alias("v")), POS).alias("_first"),
-        F.max_by(F.struct(F.col(value).alias("v"), F.col("_begin_in").alias("at")), POS).alias("_last"),
-    )
-    edges = _carried(edges, "_n", [])
-    run_begin = F.min(F.col("_before") + F.col("_last.at")).over(W.partitionBy("_last.v"))
-    edges = (
-        edges.withColumn("_rows", F.sum("_n").over(W.partitionBy()))
-        .withColumn("_open", F.struct(F.col("_last.v").alias("v"), run_begin.alias("begin")))
-        .withColumn("_open", F.lag("_open").over(W.orderBy(PART)))
-        .withColumn("_goes_on", F.col("_open").isNotNull() & F.col("_open.v").eqNullSafe(F.col("_first.v")))
-        .select(PART, "_before", "_rows", "_first", F.when(F.col("_goes_on"), F.col("_open.begin")).alias("_begin"))
-    )
-    in_open_run = F.col("_begin").isNotNull() & (F.col("_begin_in") == 0)
-    rank0 = F.when(in_open_run, F.col("_begin")).otherwise(F.col("_before") + F.col("_begin_in"))
-    rank = F.when(F.col("_rows") > 1, rank0 / (F.col("_rows") - 1)).otherwise(F.lit(0.0))
-    return (
-        rows.join(F.broadcast(edges), PART)
-        .withColumn(name, rank)
-        .drop(PART, POS, "_begin_in", "_before", "_rows", "_first", "_begin")
-    )
+        def edge(self) -> dict[str, pa.Array]:
+            return {"n": pa.array([self.n]), "first": self.first, "last": self.last.column(0).combine_chunks(), "at": pa.array([self.begin])}
+
+    kind = df.schema[value].dataType.simpleString()
+    rows, edges = ordered_pass(
+        df, [F.col(value).asc_nulls_first(), *tie_break], Runs, f"{_fields(df)}, _begin_in bigint",
+        f"n bigint, first {kind}, last {kind}, at bigint", "ranked")
+    before, total = dict(_before([(e[PART], e["n"]) for e in edges])), sum(e["n"] for e in edges)
+    carry, open_at, open_value = [], 0, None  # where the last run of the ranges so far begins, and its value
+    for i, e in enumerate(edges):
+        goes_on = i > 0 and _same(open_value, e["first"])
+        carry.append((e[PART], before[e[PART]], open_at if goes_on else before[e[PART]]))
+        if not (goes_on and e["at"] == 0):
+            open_at = before[e[PART]] + e["at"]
+        open_value = e["last"]
+    rank0 = F.when(F.col("_begin_in") == 0, F.col("_begin")).otherwise(F.col("_before") + F.col("_begin_in"))
+    rank = rank0 / (total - 1) if total > 1 else F.lit(0.0)
+    joined = rows.join(_by_part(df.sparkSession, carry, "_before bigint, _begin bigint"), PART)
+    return joined.withColumn(name, rank).drop(PART, POS, "_begin_in", "_before", "_begin")
 
 
 def forward_fill(
@@ -230,17 +267,20 @@ def forward_fill(
     """
     used = list(dict.fromkeys([*keys, *columns]))
 
-    def step() -> Callable[[pa.Table, int], pa.Table]:
-        held: list[pa.Table] = []  # the last row so far, filled
+    class Fill(Step):
+        last: pa.Table | None = None  # the last row so far, filled
+        first: pa.Table
         first_key = True  # whether all rows so far have the first key of the range
 
-        def run(rows: pa.Table, at: int) -> pa.Table:
-            nonlocal first_key
-            joined = pa.concat_tables([*held, rows.select(used)])
-            skip = len(held)
+        def rows(self, rows: pa.Table, at: int) -> pa.Table:
+            own = rows.select(used)
+            if self.last is None:
+                self.first = own.slice(0, 1)
+            joined = own if self.last is None else pa.concat_tables([self.last, own])
+            skip = joined.num_rows - own.num_rows
             new = np.concatenate(([False], _changes(joined, keys)))
             begin = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-            early = ((begin == 0) & first_key)[skip:]
+            early = ((begin == 0) & self.first_key)[skip:]
             open_ = []
             for c in columns:
                 values = joined.column(c).combine_chunks()
@@ -250,33 +290,34 @@ def forward_fill(
                 filled = values.take(pa.array(np.where(known, source, 0), mask=~known))
                 rows = rows.set_column(rows.schema.get_field_index(c), c, filled.slice(skip))
                 open_.append(early & ~known[skip:])
-            first_key = bool(early[-1])
-            held[:] = [rows.select(used).slice(rows.num_rows - 1)]
+            self.first_key = bool(early[-1])
+            self.last = rows.select(used).slice(rows.num_rows - 1)
             for i, flag in enumerate(open_):
                 rows = rows.append_column(f"_open_{i}", pa.array(flag))
             return rows
 
-        return run
+        def edge(self) -> dict[str, pa.Array]:
+            out = {f"first_{i}": self.first.column(k).combine_chunks() for i, k in enumerate(keys)}
+            out |= {f"last_{i}": self.last.column(k).combine_chunks() for i, k in enumerate(keys)}
+            return out | {f"value_{i}": self.last.column(c).combine_chunks() for i, c in enumerate(columns)}
+
+    def kind(c: str) -> str:
+        return df.schema[c].dataType.simpleString()
 
+    ends = [f"{side}_{i} {kind(k)}" for side in ("first", "last") for i, k in enumerate(keys)] + [f"value_{i} {kind(c)}" for i, c in enumerate(columns)]
     opened = "".join(f", _open_{i} boolean" for i in range(len(columns)))
-    rows = ordered_pass(df, [*keys, *order], step, _fields(df) + opened, "filled")
-    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
-    # One row per range: its first key, and the last values of its last key.
-    edges = rows.groupBy(PART).agg(
-        F.min_by(key, POS).alias("_first"),
-        F.max_by(key, POS).alias("_last"),
-        *[F.max_by(F.struct(F.col(c).alias("v")), POS).alias(c) for c in columns],
-    )
-    same_key = W.partitionBy("_last").orderBy(PART).rowsBetween(W.unboundedPreceding, 0)
-    kept = edges.select(
-        PART, "_first", "_last", *[F.last(F.col(c)["v"], ignorenulls=True).over(same_key).alias(c) for c in columns]
-    )
-    previous = W.orderBy(PART)
-    goes_on = F.lag("_last").over(previous).eqNullSafe(F.col("_first"))
-    carry = kept.select(PART, *[F.when(goes_on, F.lag(c).over(previous)).alias(f"_carry_{i}") for i, c in enumerate(columns)])
-    joined = rows.join(F.broadcast(carry), PART)
+    rows, edges = ordered_pass(df, [*keys, *order], Fill, _fields(df) + opened, ", ".join(ends), "filled")
+    carry, key, values = [], None, [None] * len(columns)  # the last key of the ranges so far, and its last values
+    for i, e in enumerate(edges):
+        first, last = ([e[f"{side}_{j}"] for j in range(len(keys))] for side in ("first", "last"))
+        goes_on = i > 0 and _same(key, first)
+        carry.append((e[PART], *(values if goes_on else [None] * len(columns))))
+        stays = goes_on and _same(first, last)
+        values = [old if stays and e[f"value_{j}"] is None else e[f"value_{j}"] for j, old in enumerate(values)]
+        key = last
+    carried = _by_part(df.sparkSession, carry, ", ".join(f"_carry_{i} {kind(c)}" for i, c in enumerate(columns)))
     filled = {c: F.when(F.col(f"_open_{i}"), F.col(f"_carry_{i}")).otherwise(F.col(c)) for i, c in enumerate(columns)}
-    return joined.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+    return rows.join(carried, PART).select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
 def first_per_group(df: DataFrame, group: str, order: Sequence[Column | str], k: int, name: str = "rank") -> DataFrame:

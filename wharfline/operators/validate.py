@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharfline.config import QualityConfig
-from wharfline.functions.fingerprints import row_counts
+from wharfline.functions.fingerprints import fingerprint_groups, null_mark, row_counts
 from wharfline.functions.scalars import percent_text, ratio
 from wharfline.schemas import ForeignKey, foreign_keys
 
@@ -124,18 +124,26 @@ def fk_valid_rows(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
 def validation_metrics(df: DataFrame, table: str, parents: Mapping[str, DataFrame]) -> DataFrame:
     """``(kind, position, name, n)`` rows: total rows, nulls per column, duplicates, orphans per key.
 
-    Total rows, NULL counts and duplicates follow from one count of row fingerprints, made when called; the
-    keys are counted per value from their own columns.
+    All follow from the groups of the duplicate check, whose rows are grouped by fingerprints and the keys: the table
+    is read once, and no other values of a row are shuffled.
     """
-    found = row_counts(df)
-    items = [("rows", 0, "", found.total), ("duplicate", 0, "", found.repeated)]
-    items += [("null", i, c, found.nulls[c]) for i, c in enumerate(df.columns)]
-    metrics = df.sparkSession.createDataFrame(items, "kind string, position int, name string, n bigint")
+    n = F.col("_n")
     keys = _checked_keys(df, table, parents)
+    groups = fingerprint_groups(df, list(dict.fromkeys(k.column for k in keys)))
+    sums = [("rows", 0, "", n), ("duplicate", 0, "", F.col("_repeated"))]
+    sums += [("null", i, c, n * null_mark(df.columns, c)) for i, c in enumerate(df.columns)]
+    one = groups.agg(*[F.coalesce(F.sum(value), F.lit(0)).alias(f"_{i}") for i, (*_, value) in enumerate(sums)])
+    items = [
+        F.struct(
+            F.lit(kind).alias("kind"), F.lit(at).alias("position"), F.lit(name).alias("name"), F.col(f"_{i}").alias("n")
+        )
+        for i, (kind, at, name, _) in enumerate(sums)
+    ]
+    metrics = one.select(F.inline(F.array(*items)))
     if not keys:
         return metrics
     place = F.create_map(*[F.lit(x) for i, k in enumerate(keys) for x in (k.column, i)])
-    orphans = _orphans(df, keys, parents, F.lit(1).cast("bigint")).select(
+    orphans = _orphans(groups, keys, parents, n).select(
         F.lit("fk").alias("kind"),
         place[F.col("column_name")].alias("position"),
         F.col("column_name").alias("name"),
