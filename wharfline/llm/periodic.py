@@ -19,10 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wharfline.llm.text import binary, blocks, mix, word_bounds
+from wharfline.llm.text import blocks, lean, mix, word_bounds
 
 LEAST, TIMES = 6, 4  # words of a run, and periods in it
 WIDE = 1 << 18  # words that one step of an extension looks at
+TEXT_BYTES = 1 << 19  # texts that are one sequence
 APPEND = 1 << 20  # words that are appended at once
 RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
 
@@ -185,7 +186,7 @@ def periodic_runs(docs: DataFrame, text: str = "text", key: str = "doc_id", leas
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
         for batch in batches:
-            for part, offsets, raw in blocks(batch, "text"):
+            for part, offsets, raw in blocks(batch, "text", TEXT_BYTES):
                 n, runs, kept = _block(offsets, raw, least, times)
                 flat = np.array([r for own in runs for r in own], dtype=np.int64).reshape(-1, 3)
                 bounds = np.concatenate(([0], np.cumsum([len(own) for own in runs]))).astype(np.int32)
@@ -194,7 +195,7 @@ def periodic_runs(docs: DataFrame, text: str = "text", key: str = "doc_id", leas
                     [part.column(0), pa.array(n), pa.ListArray.from_arrays(bounds, items), pa.array(kept, pa.binary()).cast(pa.string())],
                     names=["key", "n_words", "runs", "text"])
 
-    found = rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, n_words bigint, runs {RUNS}, text string")
+    found = rows.mapInArrow(lean(run), f"key {rows.schema['key'].dataType.simpleString()}, n_words bigint, runs {RUNS}, text string")
     return found.withColumnsRenamed({"key": key, "text": text})
 
 
