@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from wharfline.functions import fingerprints as Fp
 from wharfline.functions import global_order as G
 from wharfline.functions import quantiles as Q
-from wharfline.operators import anomaly, profile, rules, validate
+from wharfline.operators import anomaly, iforest, profile, rules, validate
+from wharfline.sources import writers
 
 
 def plan_of(df):
@@ -238,3 +239,49 @@ def test_ranges_follow_the_tables_that_are_read(spark, tmp_path):
     rows = spark.read.parquet(str(tmp_path / "r"))
     joined = G.with_row_number(rows, ["id"], "n").join(F.broadcast(rows), "id")
     assert G.range_count(rows) == G.range_count(joined) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+# ---- insert-ignore
+
+
+@pytest.mark.parametrize("few", [0, 1_000])
+def test_insert_ignore_filters_the_target(spark, tmp_path, few):
+    target = [(k, f"k{k % 7}", k) for k in range(0, 40_000, 3)] + [(None, "k1", 1), (5, None, 1)]
+    spark.createDataFrame(target, "a int, b string, v int").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    batch = [(k, f"k{k % 7}", v) for k in range(200, 500) for v in (2, 1)] + [(None, "k1", 9), (5, None, 9), (600, "other", 1)]
+    df = spark.createDataFrame(batch, "a int, b string, v int").repartition(4)
+    out = writers.insert_ignore(df, stored, ["a", "b"], ["v"], few=few)
+    have = {(a, b) for a, b, _ in target if a is not None and b is not None}
+    want = [(a, b, v) for a, b, v in batch if (a, b) not in have and (v == 1 or a is None or b is None)]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(a,5\)", plan_of(out))
+    fresh = df.where("v = 1")
+    kept = writers._possible(stored.select("a", "b"), fresh, ["a", "b"], few).collect()
+    hits = {(a, b) for a, b, _ in batch} & have
+    assert hits <= set(map(tuple, kept)) and len(kept) < 2 * len(hits)
+    assert "BroadcastHashJoin" in plan_of(out)
+
+
+def test_insert_ignore_of_nothing(spark):
+    df = spark.createDataFrame([(1, 1)], "a int, v int")
+    assert writers.insert_ignore(df.limit(0), df, ["a"], ["v"]).collect() == []
+    assert len(writers.insert_ignore(df, df.limit(0), ["a"], ["v"]).collect()) == 1
+    assert writers.insert_ignore(df, df.withColumn("a", F.col("a").cast("long")), ["a"], ["v"], few=0).collect() == []
+
+
+# ---- isolation forest
+
+
+@pytest.mark.parametrize(("n", "trees", "psi"), [(3_000, 40, 64), (50, 7, 50), (400, 1, 100)])
+def test_forest_samples(spark, n, trees, psi):
+    rows = spark.range(n).select("id", (F.col("id") * 1.5).alias("_f0"))
+    one = iforest._sample(rows, ["id"], n, trees, psi, 7)
+    other = iforest._sample(rows.repartition(5), ["id"], n, trees, psi, 7)
+    assert {r["tree"]: r["count"] for r in one.groupBy("tree").count().collect()} == {t: psi for t in range(trees)}
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.collect()))
+    if n == 3_000:  # rows are taken alike, and trees take them apart
+        means = [r[1] for r in one.groupBy("tree").agg(F.avg("_f0")).collect()]
+        assert abs(sum(means) / trees - 0.75 * n) < 0.03 * n
+        often = {r["count"] for r in one.groupBy("_f0").count().collect()}
+        assert max(often) < 8

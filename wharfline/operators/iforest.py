@@ -49,19 +49,32 @@ def _grow(points: np.ndarray, rng: np.random.Generator) -> list[tuple[int, int,
 def _sample(rows: DataFrame, key: Sequence[str], n: int, n_trees: int, psi: int, seed: int) -> DataFrame:
     """``(tree, features…)``: psi rows per tree, drawn by a hash of (key, tree, seed).
 
-    The hash alone decides, so the draw does not depend on how the rows lie.  The first limit leaves a little over psi rows per
-    tree (by six standard deviations), and the psi smallest hashes of those are the sample.
+    The hash alone decides, so the draw does not depend on how the rows lie.  Each tree takes a row with the same small
+    probability, which leaves a little over psi rows per tree (by six standard deviations); the psi smallest hashes of those are
+    the sample.  The trees of a row are found by skips: the number of trees up to the next one that takes it is geometric, so
+    one hash gives the first of them, which most rows of a large table do not have, and one more each of the next.
     """
     features = [c for c in rows.columns if c not in key]
-    cutoff = int(min(1.0, (psi + 6 * math.sqrt(psi) + 20) / n) * (1 << 31))
+    share = min(1.0, (psi + 6 * math.sqrt(psi) + 20) / n)
 
     def draw(tree: Column) -> Column:
         return F.xxhash64(F.lit(seed), tree, *key)
 
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    hits = rows.select("*", F.explode(F.filter(trees, lambda t: F.shiftrightunsigned(draw(t), 33) < cutoff)).alias("tree"))
+    def skip(after: Column | int) -> Column:
+        """Trees that pass the row over, after the one numbered ``after``."""
+        if share >= 1.0:
+            return F.lit(0)
+        even = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("skip"), F.lit(after) if isinstance(after, int) else after, *key), 11) + 0.5) * 2.0**-53
+        return F.least(F.floor(F.log(even) / math.log1p(-share)), F.lit(n_trees)).cast("int")
+
+    hits = rows.withColumn("tree", skip(-1)).where(F.col("tree") < n_trees)
+    # the few rows that are left: their further trees, one after the other
+    chain = F.aggregate(
+        F.sequence(F.lit(2), F.lit(n_trees)), F.array("tree"),
+        lambda seen, _: F.when(F.element_at(seen, -1) < n_trees, F.array_append(seen, F.element_at(seen, -1) + 1 + skip(F.element_at(seen, -1)))).otherwise(seen))
+    drawn = hits.withColumn("tree", F.explode(chain)).where(F.col("tree") < n_trees) if n_trees > 1 else hits
     order = W.partitionBy("tree").orderBy(draw(F.col("tree")), *key, *features)
-    return hits.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= psi).select("tree", *features)
+    return drawn.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= psi).select("tree", *features)
 
 
 def isolation_forest(

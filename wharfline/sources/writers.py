@@ -152,14 +152,46 @@ def load(
     return LoadResult(loaded, failed, kept)
 
 
-def insert_ignore(batch: DataFrame, target: DataFrame, unique: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+FEW_KEYS = 100_000  # keys of a batch that are sent to every task as they are
+BITS_PER_KEY, MOST_BITS = 16, 1 << 28  # of the filter of a larger batch; at most 32 MB are sent
+
+
+def insert_ignore(
+    batch: DataFrame, target: DataFrame, unique: Sequence[str], order_by: Sequence[str], few: int = FEW_KEYS
+) -> DataFrame:
     """Rows of ``batch`` to append: first per unique key, keys already in ``target`` skipped.
 
-    The batch is reduced to one row per key before it meets the target.
+    The batch is reduced to one row per key and stored before it meets the target.  The bounds of its keys go into the target's
+    scan, and its keys (or, of a large batch, a Bloom filter of them) are looked up there, so that
+    about as many target rows are shuffled as the batch has.
     """
     first = W.partitionBy(*unique).orderBy(*order_by)
-    fresh = batch.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
-    return fresh.join(target.select(*unique), list(unique), "left_anti").select(*batch.columns)
+    fresh = cut(batch.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn"), "insert")
+    known = _possible(target.select(*unique), fresh, list(unique), few)
+    return fresh.join(known, list(unique), "left_anti").select(*batch.columns)
+
+
+def _possible(target: DataFrame, fresh: DataFrame, unique: list[str], few: int) -> DataFrame:
+    """The keys of ``target`` that ``fresh`` may hold: all that it holds, and few others."""
+    found = fresh.agg(F.count("*").alias("n"), *[f(c).alias(f"{f.__name__}_{i}") for i, c in enumerate(unique) for f in (F.min, F.max)]).first()
+    for i, c in enumerate(unique):  # NULL keys equal none
+        target = target.where(F.col(c).between(F.lit(found[f"min_{i}"]), F.lit(found[f"max_{i}"])))
+    keys = fresh.select(*unique)
+    if found["n"] <= few:
+        return target.join(F.broadcast(keys), unique, "left_semi")
+    if dict(keys.dtypes) != dict(target.dtypes):  # hashes of a key depend on its type
+        return target
+    bits = min(MOST_BITS, 1 << (found["n"] * BITS_PER_KEY - 1).bit_length())
+    place = F.pmod(F.xxhash64(*unique), F.lit(bits)) + 1
+    bitmaps = (
+        keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bitmap"))
+    )
+    placed = target.withColumn("_place", place).withColumn("_bucket", F.bitmap_bucket_number("_place"))
+    at = F.bitmap_bit_position("_place").cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_bitmap"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int"))
+    return placed.join(F.broadcast(bitmaps), "_bucket").where(bit != 0).select(*unique)  # rows of 32,768 bits
 
 
 def next_id(existing: DataFrame, column: str) -> int:
