@@ -50,11 +50,10 @@ def contaminated(docs, items, window=13, percent=80):
     def words(t):
         return [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
 
-    masks = [[k for k, c in enumerate(m) if c == "1"] for m in decontaminate.MASKS]
     seen = {}
     for i, t in items:
         w = tuple(words(t))
-        if len(w) >= decontaminate.SPAN:
+        if w:
             seen[w] = min(seen.get(w, i), i)
     out = {}
     for d, t in docs:
@@ -62,10 +61,9 @@ def contaminated(docs, items, window=13, percent=80):
         for w, i in seen.items():
             for o in range(-len(w) + 1, len(h)):
                 same = [0 <= o + j < len(h) and h[o + j] == x for j, x in enumerate(w)]
-                hit = any(all(same[p + k] for k in m) for m in masks for p in range(len(w) - decontaminate.SPAN + 1) if 0 <= o + p and o + p + decontaminate.SPAN <= len(h))
                 n = min(window, len(w))
                 top = max(sum(same[k : k + n]) for k in range(len(w) - n + 1))
-                if hit and top * 100 >= percent * n:
+                if top * 100 >= percent * n:
                     out[d, i] = max(out.get((d, i), (0, 0)), (top, n))
     return sorted((d, i, *x) for (d, i), x in out.items())
 
@@ -146,3 +144,12 @@ def test_clean_rows_stay_beside_a_leak_of_their_key(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     left = decontaminate.decontaminate(docs, items).collect()
     assert sorted(((r.doc_id, r.text) for r in left), key=str) == [(4, "clean too"), (None, "clean text"), (None, None)]
+
+
+def test_frequent_word_and_long_text(spark):
+    """A one-word item that stands everywhere, and 100,000 words: in time and memory of the text's length."""
+    long = " ".join(["the"] + [f"w{k % 5000}" for k in range(99_999)])
+    docs = spark.createDataFrame([(0, "the " * 3_000), (1, long), (2, "clean"), (None, "The end"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(0, "the"), (1, " ".join(f"w{k}" for k in range(20)))], "item_id long, text string")
+    got = sorted((tuple(r) for r in decontaminate.contaminations(docs, items).collect()), key=str)
+    assert got == [(0, 0, 1, 1), (1, 0, 1, 1), (1, 1, 13, 13), (None, 0, 1, 1)]

@@ -113,24 +113,19 @@ from keyed left join common using (key) group by doc_id"""
 
 _WORDS = r"[x for x in regexp_split_to_array({}, '[\x20\x09-\x0D]+') if x <> '']"
 
-_SEEDS = ", ".join(
-    f"'{m} ' || " + " || ' ' || ".join(f"h[p + {k + 1}]" for k in range(decontaminate.SPAN) if mask[k] == "1")
-    for m, mask in enumerate(decontaminate.MASKS))
 _TOKENS = r"[x for x in regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') if x <> '']"
 
+# The rule alone, without seeds or masks: every offset at which any word of an item equals a word of the text is judged.
 OP2_SQL = f"""
 with d as (select doc_id, {_TOKENS} as h from documents),
-b0 as (select item_id, {_TOKENS} as h from benchmark),
-b as (select h, min(item_id) as item_id from b0 where len(h) >= 9 group by h),
-ds as (select doc_id, p, unnest([{_SEEDS}]) as seed from (select doc_id, h, unnest(range(greatest(0, len(h) - 8))) as p from d)),
-bs as (select item_id, p, unnest([{_SEEDS}]) as seed from (select item_id, h, unnest(range(greatest(0, len(h) - 8))) as p from b)),
-hits as (select distinct doc_id, item_id, ds.p - bs.p as o from ds join bs using (seed)),
-words as (select doc_id, item_id, o, j, case when o + j >= 0 and d.h[o + j + 1] = b.h[j + 1] then 1 else 0 end as same, len(b.h) as m
-          from (select *, unnest(range(m)) as j from (select hits.*, len(b.h) as m from hits join b using (item_id))) x
-          join d using (doc_id) join b using (item_id)),
-runs as (select doc_id, item_id, o, m, j, sum(same) over (partition by doc_id, item_id, o order by j rows between 12 preceding and current row) as s from words)
-select doc_id, item_id, cast(max(s) as int) as matched, cast(max(least(13, m)) as int) as "window"
-from runs where j >= least(13, m) - 1 and s * 100 >= 80 * least(13, m) group by doc_id, item_id"""
+b as (select h, min(item_id) as item_id, len(h) as m from (select item_id, {_TOKENS} as h from benchmark) where len(h) > 0 group by h),
+dw as (select doc_id, unnest(h) as w, unnest(range(len(h))) as p from d),
+bw as (select item_id, least(13, m) as n, unnest(h) as w, unnest(range(len(h))) as j from b),
+offsets as (select doc_id, item_id, p - j as o, any_value(n) as n, list(j order by j) as js from dw join bw using (w)
+            group by doc_id, item_id, p - j having count(*) * 100 >= 80 * any_value(n)),
+runs as (select doc_id, item_id, n, list_max([len([x for x in js if x >= s and x < s + n]) for s in js]) as s from offsets)
+select doc_id, item_id, cast(max(s) as int) as matched, cast(max(n) as int) as "window"
+from runs where s * 100 >= 80 * n group by doc_id, item_id"""
 
 OP6_SQL = """
 with v as (select vec_id, [floor(256 * x::double) for x in embedding] as v from embeddings
