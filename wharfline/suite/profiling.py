@@ -33,7 +33,7 @@ STATS = ["mean", "median", "std", "min", "max", "q25", "q75", "skewness", "kurto
 
 
 def _events(spark, sf):
-    return B.base(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return B.base(spark, sf, "events")
 
 
 def _numeric(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -48,7 +48,12 @@ def _categorical(df: DataFrame) -> DataFrame:
 
 
 def _profile_flat(df: DataFrame, table: str) -> DataFrame:
-    """The parts of the table profile that all columns share, with one figure of each kind."""
+    """The table profile with all its figures."""
+    numeric = {c: rounded(F.col(f"numeric_stats.{c}"), 4).alias(c) for c in STATS}
+    text = F.transform(
+        "categorical_stats.value_distribution", lambda t: F.concat(t["value"], F.lit("="), t["frequency"].cast("string"))
+    )
+    kinds = {"numeric": "num", "date": "date", "categorical": "cat"}
     return Pr.profile_table(df, table).select(
         "table_name",
         "row_count",
@@ -59,9 +64,15 @@ def _profile_flat(df: DataFrame, table: str) -> DataFrame:
         "kind",
         "null_count",
         rounded(F.col("null_percentage"), 6).alias("null_percentage"),
-        rounded(F.col("numeric_stats.mean"), 4).alias("mean"),
-        F.col("categorical_stats.top_value").alias("top_value"),
+        *numeric.values(),
+        *[F.col(f"{k}_stats.{c}").alias(f"{short}_{c}") for k, short in kinds.items() for c in ("count", "missing")],
+        F.col("date_stats.min_date").alias("min_date"),
+        F.col("date_stats.max_date").alias("max_date"),
         F.col("date_stats.date_range_days").alias("date_range_days"),
+        F.col("categorical_stats.unique_count").alias("unique_count"),
+        F.col("categorical_stats.top_value").alias("top_value"),
+        F.col("categorical_stats.top_frequency").alias("top_frequency"),
+        F.array_join(text, ";").alias("value_distribution"),
     )
 
 
@@ -277,25 +288,37 @@ _KINDS = {
 
 
 def _profile_sql() -> str:
+    view = "v_done_orders"
+
     def one(i: int, c: str) -> str:
-        kind = _KINDS[c]
-        mean = rnd(f"avg(cast({c} as double))", 4) if kind == "numeric" else "cast(null as double)"
-        top = (
-            f"(select cast({c} as varchar) from v_done_orders where {c} is not null group by {c} order by count(*) desc, {c} limit 1)"
-            if kind == "categorical"
-            else "cast(null as varchar)"
-        )
-        days = f"cast(max({c}) - min({c}) as bigint)" if kind == "date" else "cast(null as bigint)"
+        kind, x = _KINDS[c], f"cast({c} as double)"
+        figures = {
+            "mean": f"avg({x})", "median": f"quantile_cont({x}, 0.5)", "std": f"stddev_samp({x})", "min": f"min({x})", "max": f"max({x})",
+            "q25": f"quantile_cont({x}, 0.25)", "q75": f"quantile_cont({x}, 0.75)", "skewness": f"skewness({x})", "kurtosis": f"kurtosis({x})",
+        }
+        parts = [f"{rnd(e, 4) if kind == 'numeric' else 'cast(null as double)'} {n}" for n, e in figures.items()]
+        for k, short in (("numeric", "num"), ("date", "date"), ("categorical", "cat")):
+            own = kind == k
+            parts += [f"{f'count({c})' if own else 'cast(null as bigint)'} {short}_count", f"{f'count(*) - count({c})' if own else 'cast(null as bigint)'} {short}_missing"]
+        day = "strftime(cast({}({}) as timestamp), '%Y-%m-%d %H:%M:%S')"
+        dates = {"min_date": day.format("min", c), "max_date": day.format("max", c), "date_range_days": f"cast(max({c}) - min({c}) as bigint)"}
+        parts += [f"{e if kind == 'date' else 'cast(null as ' + ('bigint' if n == 'date_range_days' else 'varchar') + ')'} {n}" for n, e in dates.items()]
+        groups = f"(select cast({c} as varchar) v, count(*) k, row_number() over (order by count(*) desc, {c}) r from {view} where {c} is not null group by {c})"
+        texts = {
+            "unique_count": (f"count(distinct {c})", "bigint"), "top_value": (f"(select v from {groups} where r = 1)", "varchar"),
+            "top_frequency": (f"(select k from {groups} where r = 1)", "bigint"),
+            "value_distribution": (f"(select string_agg(v || '=' || k, ';' order by r) from {groups} where r <= 10)", "varchar"),
+        }
+        parts += [f"{e if kind == 'categorical' else f'cast(null as {t})'} {n}" for n, (e, t) in texts.items()]
         return (
             f"select 'orders' table_name, count(*) row_count, cast({len(_KINDS)} as int) column_count, "
             f"(select duplicate_count from dups) duplicate_rows, cast({i} as int) column_index, '{c}' column_name, "
             f"'{kind}' kind, count(*) - count({c}) null_count, "
-            f"{rnd(f'(count(*) - count({c})) * 100.0 / count(*)', 6)} null_percentage, {mean} mean, {top} top_value, "
-            f"{days} date_range_days from v_done_orders"
+            f"{rnd(f'(count(*) - count({c})) * 100.0 / count(*)', 6)} null_percentage, {', '.join(parts)} from {view}"
         )
 
     rows = " union all ".join(one(i, c) for i, c in enumerate(_KINDS))
-    return f"with dups as ({_dups('v_done_orders', ', '.join(_KINDS))}) {rows}"
+    return f"with dups as ({_dups(view, ', '.join(_KINDS))}) {rows}"
 
 
 def _processed() -> dict[str, tuple[str, str]]:
@@ -405,7 +428,7 @@ ORACLE = {
     ),
     "outliers_iqr": """
         with q as (select quantile_cont(value, 0.25) q1, quantile_cont(value, 0.75) q3 from events)
-        select event_id, user_id, event_type, value,
+        select event_id, user_id, event_type, value, props,
           value < q1 - 1.5 * (q3 - q1) or value > q3 + 1.5 * (q3 - q1) is_outlier from events, q""",
     "outliers_iqr_inventory": with_views(
         """with q as (select quantile_cont(cast(quantity_on_hand as double), 0.25) q1,
@@ -415,7 +438,7 @@ ORACLE = {
     ),
     "outliers_zscore": """
         with s as (select avg(value) m, stddev_pop(value) sd from events)
-        select event_id, user_id, event_type, value, abs((value - m) / sd) > 3 is_outlier from events, s""",
+        select event_id, user_id, event_type, value, props, abs((value - m) / sd) > 3 is_outlier from events, s""",
     "outlier_samples": """
         with q as (select quantile_cont(value, 0.25) q1, quantile_cont(value, 0.75) q3 from events)
         select 'value' column_name, cast(row_number() over (order by event_id) as int) rank, value from events, q
