@@ -285,3 +285,32 @@ def test_forest_samples(spark, n, trees, psi):
         assert abs(sum(means) / trees - 0.75 * n) < 0.03 * n
         often = {r["count"] for r in one.groupBy("_f0").count().collect()}
         assert max(often) < 8
+
+
+# ---- heavy values
+
+
+def test_top_values_are_proven_or_counted(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice("abcdefghijklm") * rng.randint(1, 2), f"id{i}", None, rng.choice(["x", None]), i % 4000) for i in range(24_000)]
+    df = spark.createDataFrame(rows, "`odd ``name` string, id string, none string, few string, wide int").repartition(5)
+    columns = ["odd `name", "id", "none", "few", "wide"]
+    proven, others = profile._heavy_values(df, columns, 10)
+    assert {r[0] for r in proven} == {"odd `name"} and others == columns[1:]
+    got = {}
+    for r in profile.value_distribution(df, columns).collect():
+        got.setdefault(r.column_name, []).append((r["rank"], r.value, r.frequency))
+    for i, c in enumerate(columns):
+        counts = {}
+        for row in rows:
+            if row[i] is not None:
+                counts[str(row[i])] = counts.get(str(row[i]), 0) + 1
+        want = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:10]
+        assert sorted(got.get(c, [])) == [(k + 1, v, n) for k, (v, n) in enumerate(want)], c
+
+
+def test_a_hot_value_among_many_single_ones(spark):
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.concat(F.lit("hot"), (F.col("id") % 6).cast("string"))).otherwise(F.col("id").cast("string")).alias("s"))
+    proven, others = profile._heavy_values(df, ["s"], 2)
+    assert proven == [("s", 1, "hot0", 10_000), ("s", 2, "hot3", 10_000)] and not others
+    assert profile._heavy_values(df, ["s"], 3) == ([], ["s"])

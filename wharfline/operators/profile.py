@@ -113,12 +113,51 @@ def _top_values(counts: DataFrame, k: int) -> DataFrame:
     )
 
 
+TRACKED, LISTED = 10_000, 1_000  # values that the summary of a column holds, and that it names
+# The summary's published bound: a count is off by 3.5 rows in its map's size at most, and the map is filled to three quarters.
+SHARE_OFF = 3.5 * 0.75 / TRACKED
+
+
+def _heavy_values(df: DataFrame, columns: Sequence[str], k: int) -> tuple[list[tuple], list[str]]:
+    """(column, rank, value, frequency) of the columns whose k most frequent values can be proven so, and the other columns.
+
+    A mergeable summary of bounded size names the candidates of each column, and a second scan counts them.  A value that it does not
+    name occurs in less than twice its greatest error of the rows; if the k-th candidate occurs more often, no value is missing.
+    What is shuffled does not depend on the number of distinct values.
+    """
+    names = [c.replace("`", "``") for c in columns]
+    seen = df.agg(F.count("*").alias("n"), *[F.expr(f"approx_top_k(cast(`{c}` as string), {LISTED}, {TRACKED})").alias(f"t{i}") for i, c in enumerate(names)]).first()
+    named = [(i, r["item"]) for i in range(len(columns)) for r in seen[f"t{i}"] or [] if r["item"] is not None]
+    if not named:
+        return [], list(columns)
+    candidates = F.broadcast(df.sparkSession.createDataFrame(named, "c int, v string"))  # LISTED a column at most
+    cells = df.select(F.posexplode(F.array(*[F.col(f"`{c}`").cast("string") for c in names])).alias("c", "v"))
+    counts = cells.join(candidates, ["c", "v"]).groupBy("c", "v").agg(F.count("*").alias("n")).collect()
+    proven, others = [], []
+    for i, c in enumerate(columns):
+        own = sorted(((r["n"], r["v"]) for r in counts if r["c"] == i), key=lambda x: (-x[0], x[1].encode()))
+        listed = seen[f"t{i}"] or []
+        unseen = 2 * SHARE_OFF * seen["n"] + (listed[-1]["count"] if len(listed) == LISTED else 0)
+        if len(own) >= k and own[k - 1][0] > unseen:
+            proven += [(c, rank + 1, v, n) for rank, (n, v) in enumerate(own[:k])]
+        else:
+            others.append(c)
+    return proven, others
+
+
 def value_distribution(df: DataFrame, columns: Sequence[str] | None = None, k: int = TOP) -> DataFrame:
-    """``(column_name, rank, value, frequency)`` of the k most frequent values per column."""
+    """``(column_name, rank, value, frequency)`` of the k most frequent values per column.
+
+    Columns whose k-th value is not frequent enough to be told by a summary are counted by value.
+    """
     columns = _of_kind(df, "categorical", columns)
-    if not columns:
-        return df.sparkSession.createDataFrame([], "column_name string, rank int, value string, frequency bigint")
-    return _top_values(G.value_counts(df, columns, "string"), k)
+    schema = "column_name string, rank int, value string, frequency bigint"
+    proven, others = _heavy_values(df, columns, k) if columns else ([], [])
+    heavy = df.sparkSession.createDataFrame(proven, schema)
+    if not others:
+        return heavy
+    counted = _top_values(G.value_counts(df, others, "string"), k)
+    return heavy.unionByName(counted) if proven else counted
 
 
 def profile_categorical(df: DataFrame, columns: Sequence[str] | None = None, k: int = TOP) -> DataFrame:
