@@ -216,18 +216,18 @@ def test_spelling_equals_sql_and_brute_force(spark, documents):
 
 
 def runs_by_comparison(a, least=6, times=4):
+    """Every period against every place; of the stretches that keep it, those without a smaller period."""
+    ids = {w: k for k, w in enumerate(dict.fromkeys(a))}
+    a = np.array([ids[w] for w in a], dtype=np.int64)
     n, out = len(a), []
     for q in range(1, n // times + 1):
-        i = 0
-        while i + q < n:
-            s = i
-            while i + q < n and a[i] == a[i + q]:
-                i += 1
-            if i > s and i + q - s >= max(least, times * q):
-                sub = a[s : i + q]
-                if not any(sub[: len(sub) - d] == sub[d:] for d in range(1, q)):
-                    out.append((s, i + q, q))
-            i += 1
+        same = np.concatenate(([0], (a[:-q] == a[q:]).astype(np.int8), [0]))
+        if not same.any():
+            continue
+        edge = np.diff(same)
+        for s, e in zip(np.flatnonzero(edge == 1).tolist(), (np.flatnonzero(edge == -1) + q).tolist(), strict=True):
+            if e - s >= max(least, times * q) and not any((a[s : e - d] == a[s + d : e]).all() for d in range(1, q)):
+                out.append((s, e, q))
     return sorted(out, key=lambda r: (r[0], r[2]))
 
 

@@ -63,6 +63,18 @@ def drawn(rows: DataFrame, limit: int, by: Column, stratum: str) -> DataFrame:
     return hashed.join(F.broadcast(chosen) if chosen.count() <= FEW else chosen, [stratum, "hash"])
 
 
+ALL = "__all"  # the one stratum of a whole table
+
+
+def drawn_texts(rows: DataFrame, limit: int, seed: str) -> DataFrame:
+    """Exactly ``limit`` distinct (key, text) of ``rows`` (all, if there are fewer), each once, with ``hash``.
+
+    The hash of both decides: rows of one key, and null keys, are drawn apart by their texts, and copies count once.
+    """
+    by = F.xxhash64(F.lit(seed), F.col("key").isNull(), "key", F.col("text").isNull(), "text")
+    return drawn(rows.withColumn(ALL, F.lit(0)), limit, by, ALL).dropDuplicates(["hash"]).drop(ALL)
+
+
 def ragged(column: pa.ChunkedArray | pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
     """All values of a binary column's rows one after the other, and the bounds of the rows."""
     parts = [np.frombuffer(x, dtype=dtype) for x in column.to_pylist()]

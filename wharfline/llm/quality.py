@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wharfline.llm.features import counted, letter_words, ragged, row_sums, sampled, sigmoid
+from wharfline.llm.features import counted, drawn_texts, letter_words, ragged, row_sums, sigmoid
 from wharfline.llm.text import blocks, word_bounds, word_hashes
 
 BITS, FACTORS = 16, 8
-SAMPLE = 16_000  # labelled texts of the training sample at most (about)
+SAMPLE = 16_000  # labelled texts of the training sample at most
 EPOCHS, BATCH, RATE, DECAY = 12, 256, 0.02, 1e-5
 STATISTICS = 14
 _CLASSES = np.zeros(256, dtype=np.int64)  # of bytes: letters, upper case, digits, marks, white space, other
@@ -193,14 +193,17 @@ def fit(slots, amounts, bounds, stats, y: np.ndarray) -> QualityModel:
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality",
           length: str | None = "n_chars", sample: int = SAMPLE) -> QualityModel:
-    """Fit on about ``sample`` labelled texts (all, if there are fewer); ``length``: a length column, None if there is none.
+    """Fit on ``sample`` labelled texts (all, if there are fewer); ``length``: a length column, None if there is none.
 
-    Null labels and null keys are no labels.  Without any labelled text, every score is 0.5.
+    Null labels and null keys are no labels; a key that is labelled both ways counts as labelled 1.  Copies of a text under one key
+    count once.  Which texts are drawn, left out for the calibration and taken together in a step follows from the hashes
+    of keys and texts alone, not from how the rows lie.  Without any labelled text, every score is 0.5.
     """
-    marks = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).select(F.col(key).alias("key"), (F.col(label) == 1).cast("double").alias("y"))
-    chosen = sampled(marks, sample, F.xxhash64(F.lit("q"), "key"))
+    marks = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max((F.col(label) == 1).cast("double")).alias("y"))
+    chosen = drawn_texts(marks.withColumn("text", F.lit(None).cast("string")), sample, "q").select("key", "y")
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), (F.col(length) if length else F.lit(None)).cast("double").alias("length"))
-    texts = _inputs(rows.join(F.broadcast(chosen), "key").select("y", "text", "length"), ["y"]).toArrow()  # at most ``sample`` keys
+    labelled = drawn_texts(rows.join(F.broadcast(chosen), "key"), sample, "q")  # at most ``sample`` keys
+    texts = _inputs(labelled.select("y", "hash", "text", "length"), ["y", "hash"]).toArrow().sort_by("hash")
     if not texts.num_rows:
         size = (1 << BITS) + STATISTICS
         return QualityModel(np.zeros(size, np.float32), np.zeros((size, FACTORS), np.float32), 0.0, np.zeros(STATISTICS), np.ones(STATISTICS))

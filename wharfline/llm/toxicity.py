@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wharfline.llm.features import counted, letter_words, ragged, row_sums, sampled, sigmoid
+from wharfline.llm.features import counted, drawn_texts, letter_words, ragged, row_sums, sigmoid
 from wharfline.llm.text import blocks
 
 BITS = 18
@@ -80,7 +80,10 @@ def fit_nnpu(slots: np.ndarray, bounds: np.ndarray, positive: np.ndarray, prior:
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic",
           prior: float | None = None, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> ToxicModel:
-    """Fit on about ``positives`` toxic texts and ``unlabelled`` texts of ``docs`` (all, if there are fewer).
+    """Fit on ``positives`` toxic texts and ``unlabelled`` texts of ``docs`` (all, if there are fewer).
+
+    Copies of a text under one key count once; rows with a null key are drawn by their texts.  Which texts are drawn follows from
+    the hashes of keys and texts alone.
 
     ``prior`` is the share of toxic texts; by default, that of the labelled rows.  Null labels and null keys are no labels.
     Without a toxic text, the model gives the prior to every text.
@@ -90,11 +93,11 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     marked = marks.join(rows.select("key").distinct(), "key", "left_semi")
     n, share = marked.agg(F.count("*"), F.avg("mark")).first()
     prior = min(0.95, max(0.001, prior if prior is not None else (share or 0.001)))
-    toxic = sampled(marked.filter("mark = 1").select("key").distinct(), positives, F.xxhash64(F.lit("p"), "key"))
-    some = sampled(rows, unlabelled, F.xxhash64(F.lit("u"), "key"))
-    texts = rows.join(F.broadcast(toxic), "key", "left_semi").withColumn("positive", F.lit(True)).unionByName(  # at most ``positives`` keys
-        some.withColumn("positive", F.lit(False)))
-    sample = _present(texts.select("positive", "text"), ["positive"]).toArrow()
+    keys = marked.filter("mark = 1").select("key", F.lit(None).cast("string").alias("text")).distinct()
+    toxic = drawn_texts(keys, positives, "p").select("key")
+    confirmed = drawn_texts(rows.join(F.broadcast(toxic), "key", "left_semi"), positives, "p")  # at most ``positives`` keys
+    texts = confirmed.withColumn("positive", F.lit(True)).unionByName(drawn_texts(rows, unlabelled, "u").withColumn("positive", F.lit(False)))
+    sample = _present(texts.select("positive", "hash", "text"), ["positive", "hash"]).toArrow().sort_by([("positive", "descending"), ("hash", "ascending")])
     positive = np.array(sample.column("positive").to_pylist(), dtype=bool)
     if not positive.any():
         return ToxicModel(np.zeros(1 << BITS, dtype=np.float32), float(np.log(prior / (1 - prior))), prior)
