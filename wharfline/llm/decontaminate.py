@@ -96,13 +96,19 @@ def _matches(docs: DataFrame, benchmark: DataFrame, text: str, key: str, item_te
         part = seeds.filter(F.pmod(F.xxhash64("item", "start"), F.lit(blocks)) == b)  # a block: block_seeds rows on average
         hits.append(made.join(F.broadcast(part), "seed").select("doc", "copy", "item", (F.col("place") - F.col("start")).alias("offset")))
     offsets = cut(reduce(DataFrame.unionByName, hits).distinct(), "benchmark-hits")
-    found = offsets.withColumnsRenamed({"doc": "d", "copy": "c"})
+    sized = offsets.join(items.select("item", F.size("words").alias("m")), "item")
+    # as many hits of a text as it has places for each item, at the most
+    found = sized.groupBy(F.col("doc").alias("d"), F.col("copy").alias("c")).agg(F.collect_list(F.struct("item", "offset", "m")).alias("hits"))
     few = offsets.count() <= SMALL
     # the texts stay where they are if the hits are few; those that are hit meet the items' words
     hit = rows.join(F.broadcast(found) if few else found, F.col("doc").eqNullSafe(F.col("d")) & (F.col("copy") == F.col("c")))
-    # stored, as the hashes would else be made again for every word that is compared
-    texts = cut(hit.select("doc", "copy", "item", "offset", word_hashes(F.col("text")).alias("h")), "benchmark-texts").join(items, "item")
-    same = F.transform("words", lambda w, k: F.coalesce(F.get("h", F.col("offset") + k) == w, F.lit(False)).cast("int"))
+    # the hashes of a text are stored once, as they would else be made again for every word that is compared
+    hashed = cut(hit.select("doc", "copy", "hits", word_hashes(F.col("text")).alias("h")), "benchmark-texts")
+    each = F.transform("hits", lambda x: F.struct(
+        x["item"].alias("item"), x["offset"].alias("offset"), F.slice("h", F.greatest(x["offset"], F.lit(0)) + 1, x["m"]).alias("part")))
+    texts = hashed.select("doc", "copy", F.explode(each).alias("x")).select("doc", "copy", "x.*").join(items, "item")
+    skipped = F.least(F.col("offset"), F.lit(0))  # words of the item before the text
+    same = F.transform("words", lambda w, k: F.coalesce(F.get("part", skipped + k) == w, F.lit(False)).cast("int"))
     offsets = texts.select("doc", "copy", "item", same.alias("same"))
     width = F.least(F.lit(window), F.size("same"))
     sums = F.transform(F.sequence(F.lit(1), F.size("same") - width + 1),
