@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from wharfline.functions.global_order import with_row_number
 from wharfline.llm import bpe
-from wharfline.llm.text import blocks, mix
+from wharfline.llm.text import blocks, lean, mix
 from wharfline.session import cut
 
 BLOCK_BYTES = 2 << 20
@@ -214,7 +214,7 @@ def count_corpus(stored: DataFrame, dtype: str) -> Corpus:
         totals = np.array([n, rests, ids // np.dtype(dtype).itemsize])
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, [-1, -2, -3])), pa.array(np.append(df[at], totals))], names=["term", "n"])
 
-    rows = stored.select("whole", "rest").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    rows = stored.select("whole", "rest").mapInArrow(lean(run), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     term, value = (np.asarray(rows.column(k).to_numpy(), dtype=np.int64) for k in (0, 1))
     n, rests, ids = (int(value[term == -k].sum()) for k in (1, 2, 3))
     df = np.zeros(int(term.max(initial=-1)) + 1, dtype=np.int64)
@@ -222,14 +222,29 @@ def count_corpus(stored: DataFrame, dtype: str) -> Corpus:
     return corpus_of(df, n, ids / max(1, rests))
 
 
-def signature(terms: np.ndarray, corpus: Corpus) -> list[int]:
-    """SIGNATURE terms: two sets have each in common as often as the share of the weight (idf squared) that they share."""
-    terms = terms[corpus.shared[terms]].astype(np.int64)
-    if not len(terms):
-        return [-1] * SIGNATURE
+def signatures(sets: list[np.ndarray], corpus: Corpus) -> np.ndarray:
+    """SIGNATURE terms of each set: two sets have each in common as often as the share of the weight (idf squared) that they share.
+
+    A set without terms of two documents or more has -1.
+    """
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    terms = np.concatenate([*sets, np.zeros(0, dtype=np.int64)]).astype(np.int64)
+    key = np.repeat(np.arange(len(sets)), sizes) << 32 | terms
+    key = np.unique(key[corpus.shared[terms]])
+    owner, terms = key >> 32, key & ((1 << 32) - 1)
+    out = np.full((len(sets), SIGNATURE), -1, dtype=np.int64)
+    if not len(key):
+        return out
+    starts = np.flatnonzero(np.diff(owner, prepend=-1))
+    lengths = np.diff(np.append(starts, len(owner)))
     weight = np.maximum(corpus.idf[terms], 1e-9) ** 2
-    draws = [(mix(terms.astype(np.uint64), 31 + k) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54 for k in range(SIGNATURE)]
-    return [int(terms[np.argmin(-np.log(x) / weight)]) for x in draws]
+    for k in range(SIGNATURE):
+        draw = (mix(terms.astype(np.uint64), 31 + k) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
+        value = -np.log(draw) / weight
+        least = np.flatnonzero(value == np.repeat(np.minimum.reduceat(value, starts), lengths))
+        whose, first = np.unique(owner[least], return_index=True)
+        out[whose, k] = terms[least[first]]
+    return out
 
 
 def retrieve_and_fill(remainders: list[np.ndarray], window: int, corpus: Corpus | None = None) -> Iterator[list[tuple[int, int, int]]]:
@@ -338,7 +353,7 @@ def pack(docs: DataFrame, model: WordModel, window: int = 2048, end_id: int = 1,
                 slot += len(rest)
 
     schema = f"key {kind.simpleString()}, tokens long, whole binary, rest binary, first long, slot long"
-    encoded = rows.mapInArrow(encode, schema).withColumn("task", F.spark_partition_id().cast("long"))
+    encoded = rows.mapInArrow(lean(encode), schema).withColumn("task", F.spark_partition_id().cast("long"))
     # the stored table fixes the place of each row, and with it shards and numbers, whatever is computed again later
     stored = cut(encoded, "packing-ids")
     out_schema = f"key {kind.simpleString()}, start long, length long, ids_crc32 long, ids array<int>, doc_tokens long, sequence_id long, offset long"
@@ -363,7 +378,7 @@ def pack(docs: DataFrame, model: WordModel, window: int = 2048, end_id: int = 1,
                 out = [(d, at, ids[at : at + window], int(base[d]) + at // window, 0) for d, ids in enumerate(data) for at in range(0, len(ids), window)]
                 yield from pieces(part.column("key"), part.column("tokens").to_numpy(), out).to_batches()
 
-    whole = stored.filter(F.length("whole") > 0).select("key", "tokens", "whole", "first", "task").mapInArrow(cut_whole, out_schema)
+    whole = stored.filter(F.length("whole") > 0).select("key", "tokens", "whole", "first", "task").mapInArrow(lean(cut_whole), out_schema)
 
     remainders = stored.filter(F.length("rest") > 0).select("key", "tokens", "rest", "slot", "task")
     corpus = count_corpus(stored, model.dtype)
@@ -372,12 +387,12 @@ def pack(docs: DataFrame, model: WordModel, window: int = 2048, end_id: int = 1,
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
-                marks = [signature(np.unique(np.frombuffer(x, dtype=model.dtype)), corpus) for x in part.column(2).to_pylist()]
+                marks = signatures([np.frombuffer(x, dtype=model.dtype) for x in part.column(2).to_pylist()], corpus)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *(pa.array(x, pa.int64()) for x in zip(*marks, strict=True))], names=["task", "slot", *marked])
+                    [part.column(0), part.column(1), *(pa.array(marks[:, k]) for k in range(SIGNATURE))], names=["task", "slot", *marked])
 
     marked = [f"m{k}" for k in range(SIGNATURE)]
-    signed = remainders.select("task", "slot", "rest").mapInArrow(sign, ", ".join(f"{c} long" for c in ["task", "slot", *marked]))
+    signed = remainders.select("task", "slot", "rest").mapInArrow(lean(sign), ", ".join(f"{c} long" for c in ["task", "slot", *marked]))
     numbered = with_row_number(signed, [*marked, "task", "slot"], "number", start=0)
     shards = cut(numbered.select("task", "slot", F.expr(f"number div {shard_docs}").alias("shard"), "number"), "packing-shards")
     dealt = remainders.join(shards, ["task", "slot"])
