@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharfline.llm.features import drawn, ragged, row_sums
-from wharfline.llm.text import binary, mix, offsets_and_bytes
+from wharfline.llm.text import binary, lean, mix, offsets_and_bytes
 
 BITS, ORDERS = 16, 3
 BLOCK_BYTES = 1 << 18  # of text at a time: each byte takes about 150 in arrays
@@ -92,7 +92,7 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], n))], names=["slot", "df"])
 
-    rows = texts.mapInArrow(run, "slot long, df long").groupBy("slot").agg(F.sum("df").alias("df")).toArrow()
+    rows = texts.mapInArrow(lean(run), "slot long, df long").groupBy("slot").agg(F.sum("df").alias("df")).toArrow()
     df, n = np.zeros(1 << BITS, dtype=np.int64), 0
     slot, value = rows.column("slot").to_numpy(), rows.column("df").to_numpy()
     df[slot[slot >= 0]] = value[slot >= 0]
@@ -119,7 +119,7 @@ def _profiles(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array(s, pa.binary()), pa.array(x, pa.binary())], names=["lang", "hash", "slots", "amounts"])
 
-    made = rows.select("lang", "text", "hash").mapInArrow(run, "lang string, hash long, slots binary, amounts binary")
+    made = rows.select("lang", "text", "hash").mapInArrow(lean(run), "lang string, hash long, slots binary, amounts binary")
     return made.dropDuplicates(["lang", "hash"])
 
 
@@ -213,13 +213,15 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     lang_pred or score are replaced.  An empty table stays empty.
     """
     others = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    rows = docs.select(F.struct(*others).alias("row"), F.col(text).alias("text"))
+    rest = [c for c in others if c != text]
+    rows = docs.select((F.struct(*rest) if rest else F.struct(F.lit(0).alias("none"))).alias("row"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, block in _texts(batch, 1):
                 lang, score = predict(block, model)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score)], names=["row", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(lang, pa.string()), pa.array(score)], names=["row", "text", "lang_pred", "score"])
 
-    schema = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(run, schema).select("row.*", "lang_pred", "score")
+    schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(lean(run), schema).select(
+        *((F.col("text") if c == text else F.col("row")[c]).alias(c) for c in others), "lang_pred", "score")

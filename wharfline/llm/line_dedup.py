@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wharfline.llm.text import blocks
+from wharfline.llm.text import blocks, lean
 from wharfline.session import cut
 
 _STRIP = b" \t\n\x0b\x0c\r"
@@ -57,7 +57,7 @@ def _lines(rows: DataFrame, min_chars: int) -> DataFrame:
                     [pa.array(pair[:, 0]), pa.array(pair[:, 1]), part.column(0).take(at), part.column(1).take(at), pa.array(place, pa.int32())],
                     names=["h1", "h2", "doc", "copy", "position"])
 
-    return rows.select("doc", "copy", "text").mapInArrow(run, "h1 long, h2 long, doc long, copy long, position int")
+    return rows.select("doc", "copy", "text").mapInArrow(lean(run), "h1 long, h2 long, doc long, copy long, position int")
 
 
 def _stream(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
@@ -97,7 +97,7 @@ def drop_bitmaps(rows: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     order = [F.col("h1"), F.col("h2"), F.col("doc").desc(), F.col("copy"), F.col("position")]
     dealt = lines.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     schema = "h1 long, h2 long, doc long, copy long, position int, n_docs long, last_doc long"
-    stream = cut(dealt.mapInArrow(lambda batches: _stream(batches, min_docs), schema).withColumn("part", F.spark_partition_id()), "line-stream")
+    stream = cut(dealt.mapInArrow(lean(lambda batches: _stream(batches, min_docs)), schema).withColumn("part", F.spark_partition_id()), "line-stream")
     # runs at the ends of ranges: a document on both sides of a border counts once
     along = Window.partitionBy("h1", "h2").orderBy("part", F.col("doc").desc())
     runs = (
@@ -151,5 +151,5 @@ def line_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", min_cha
 
     joined = rows.join(bitmaps, ["doc", "copy"], "left").select("row", "text", "bitmap")
     schema = T.StructType([rows.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    out = joined.mapInArrow(apply, schema)
+    out = joined.mapInArrow(lean(apply), schema)
     return out.select("row.*", F.col("text").alias(text), "n_lines", "n_dropped")

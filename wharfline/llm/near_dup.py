@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wharfline.llm.text import blocks, lower_ascii, mix, ngrams, word_bounds, word_hashes
+from wharfline.llm.text import blocks, lean, lower_ascii, mix, ngrams, word_bounds, word_hashes
 from wharfline.session import cut
 
 BANDS, ROWS = 32, 4
@@ -97,7 +97,7 @@ def _signatures(rows: DataFrame, size: int) -> DataFrame:
                     [part.column(0), part.column(1), pa.array(n), pa.array(c1.view(np.int64)), pa.array(c2.view(np.int64)), *lists], names=names)
 
     return rows.select("doc", "copy", "text").mapInArrow(
-        run, "doc long, copy long, n long, c1 long, c2 long, bands array<long>, sketch array<long>")
+        lean(run), "doc long, copy long, n long, c1 long, c2 long, bands array<long>, sketch array<long>")
 
 
 def _sets(rows: DataFrame, size: int) -> DataFrame:
@@ -107,7 +107,7 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
                 sets = [s.tobytes() for s in shingle_sets(offsets, raw, size)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
-    return rows.select("node", "text").mapInArrow(run, "node long, shingles binary")
+    return rows.select("node", "text").mapInArrow(lean(run), "node long, shingles binary")
 
 
 def _wide_sketches(sets: DataFrame) -> DataFrame:
@@ -120,7 +120,7 @@ def _wide_sketches(sets: DataFrame) -> DataFrame:
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(words.ravel()), words.shape[1]).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["node", "wide"])
 
-    return sets.select("node", "shingles").mapInArrow(run, "node long, wide array<long>")
+    return sets.select("node", "shingles").mapInArrow(lean(run), "node long, wide array<long>")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -143,7 +143,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
         .select("a", "b", "x", "y")
     )
-    return full.mapInArrow(run, "a long, b long")
+    return full.mapInArrow(lean(run), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wharfline.llm.text import offsets_and_bytes
+from wharfline.llm.text import lean, offsets_and_bytes
 from wharfline.session import cut
 
 LETTERS = "[A-Za-z\\u00C0-\\u00FF]+"
@@ -134,7 +134,7 @@ def near_words(words: DataFrame, gap: int = GAP) -> DataFrame:
             yield pairs(pa.Table.from_batches(held))
 
     dealt = tiles(words, gap).repartition(F.col("tile")).sortWithinPartitions("tile")
-    return dealt.mapInArrow(run, "word string, near string, near_n long")
+    return dealt.mapInArrow(lean(run), "word string, near string, near_n long")
 
 
 def spelling_groups(words: DataFrame, ratio: int = 10, gap: int = GAP) -> DataFrame:

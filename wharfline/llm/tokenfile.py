@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from wharfline.functions.global_order import range_count
 from wharfline.llm import mixcoder
 from wharfline.llm.packing import Encoder, WordModel
-from wharfline.llm.text import blocks
+from wharfline.llm.text import blocks, lean
 
 MARK, HEAD = b"WTS1", struct.Struct("<IIQI")
 BLOCK_IDS = 1 << 12
@@ -164,7 +164,7 @@ def write_ids(docs: DataFrame, model: WordModel, path: str, end_id: int = 2, tex
             yield written()
 
     ranged = rows.repartitionByRange(range_count(rows), *order).sortWithinPartitions(*order).select("key", "text")
-    ranged.mapInArrow(encode, SCHEMA).write.option("compression", "none").parquet(path)
+    ranged.mapInArrow(lean(encode), SCHEMA).write.option("compression", "none").parquet(path)
 
 
 def read_ids(spark: SparkSession, path: str, with_ids: bool = True, key: str = "doc_id") -> DataFrame:
@@ -198,4 +198,4 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True, key: str = "
 
     names = ["key", "start", "n_tokens", "ids_crc32", *(["ids"] if with_ids else [])]
     schema = "key long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    return placed.mapInArrow(decode, schema).withColumnRenamed("key", key)
+    return placed.mapInArrow(lean(decode), schema).withColumnRenamed("key", key)
