@@ -23,9 +23,6 @@ from pyspark.sql import functions as F
 
 from wharfline.session import cut
 
-# Fixed values of the SQL in ``suite``.  These two masks have gaps; the operator takes those of ``masks_of``.
-MASKS = ("110101011", "111001101")
-SPAN = 9
 WEIGHT = 6  # words that a mask counts, fewer if an item has not as many left
 SEARCH = 200_000  # substitutions times masks that are tried; above, a run of words that no substitution breaks
 BLOCK_SEEDS = 200_000
