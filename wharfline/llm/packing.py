@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from wharfline.functions.global_order import with_row_number
 from wharfline.llm import bpe
-from wharfline.llm.text import blocks, lean, mix
+from wharfline.llm.text import blocks, give_back, lean, mix
 from wharfline.session import cut
 
 BLOCK_BYTES = 2 << 20
@@ -412,7 +412,10 @@ def pack(docs: DataFrame, model: WordModel, window: int = 2048, end_id: int = 1,
                     out.append((d, int(base[d]) + start, rest[d][start : start + length], sequence, offset))
                     offset += length
                 sequence += 1
-        return pieces(table.column("key").combine_chunks(), tokens, out)
+        made = pieces(table.column("key").combine_chunks(), tokens, out)
+        del out, rest
+        give_back()  # groups of one task follow each other in one worker
+        return made
 
     packed = dealt.groupBy("shard").applyInArrow(fill, out_schema).unionByName(whole)
     return packed.withColumnRenamed("key", key)

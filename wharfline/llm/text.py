@@ -46,6 +46,14 @@ def binary(column: pa.Array) -> pa.Array:
 Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
+def give_back() -> None:
+    """Return free memory of this process to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def lean(run: Run) -> Run:
     """``run`` for ``mapInArrow``, after which the worker gives free memory back.
 
@@ -54,10 +62,7 @@ def lean(run: Run) -> Run:
 
     def then_tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
-        if trim:
-            trim(0)
+        give_back()
 
     return then_tidy
 
