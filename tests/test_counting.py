@@ -314,3 +314,67 @@ def test_a_hot_value_among_many_single_ones(spark):
     proven, others = profile._heavy_values(df, ["s"], 2)
     assert proven == [("s", 1, "hot0", 10_000), ("s", 2, "hot3", 10_000)] and not others
     assert profile._heavy_values(df, ["s"], 3) == ([], ["s"])
+
+
+# ---- counts of a validation and rows without repeats, by one hash a row
+
+
+@pytest.mark.parametrize("few", [Fp.FEW, 0])
+@pytest.mark.parametrize("clash", [False, True])
+def test_scan_counts(spark, monkeypatch, few, clash):
+    monkeypatch.setattr(Fp, "FEW", few)
+    if clash:  # one hash for all rows of a value of a: whole rows are compared
+        monkeypatch.setattr(Fp, "fingerprint", lambda df, columns: [F.length(F.coalesce("a", F.lit(""))).cast("long")])
+    df = spark.createDataFrame(mixed_rows(), MIXED).repartition(6)
+    cells = [F.struct(F.lit(0).alias("place"), F.lit(None).cast("bigint").alias("number"), F.col("a").alias("text")),
+             F.struct(F.lit(1).alias("place"), F.lit(7).cast("bigint").alias("number"), F.lit(None).cast("string").alias("text"))]
+    got, values = Fp.scan_counts(df, cells)
+    assert got == Fp.row_counts(df) and got.repeated > 0
+    want = {(0, None, r.a, r["count"]) for r in df.groupBy("a").count().collect()} | {(1, 7, None, 400)}
+    assert {tuple(r) for r in values.collect()} == want
+    assert Fp.scan_counts(df.limit(0), cells)[0] == Fp.RowCounts(0, 0, dict.fromkeys(df.columns, 0))
+
+
+@pytest.mark.parametrize("few", [Fp.FEW, 0])
+@pytest.mark.parametrize("clash", [False, True])
+def test_distinct_rows(spark, monkeypatch, few, clash):
+    monkeypatch.setattr(Fp, "FEW", few)
+    if clash:
+        monkeypatch.setattr(Fp, "fingerprint", lambda df, columns: [F.length(F.coalesce("a", F.lit(""))).cast("long")])
+    df = spark.createDataFrame(mixed_rows(), MIXED).repartition(6)
+    got, want = Fp.distinct_rows(df), df.dropDuplicates()
+    assert got.count() == want.count() < 400 and got.exceptAll(want).isEmpty() and got.columns == df.columns
+    assert Fp.distinct_rows(df.limit(0)).count() == 0
+    once = spark.range(9)
+    assert clash or Fp.distinct_rows(once) is once
+
+
+def shuffled_by(spark, action):
+    """Bytes that the stages of ``action`` write to shuffles."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def total():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.length()))
+
+    before = total()
+    action()
+    return total() - before
+
+
+def wide_sales(spark, path):
+    n = F.col("id")
+    spark.range(0, 60_000, 1, 4).select(
+        n.alias("sale_id"), *[F.xxhash64(n, F.lit(k)).alias(f"v{k}") for k in range(6)], (n % 7).alias("product_id"), (n % 5).alias("warehouse_id"),
+    ).write.parquet(path)  # 56 bytes a row that do not compress
+    return spark.read.parquet(path)
+
+
+def test_validation_shuffles_a_hash_a_row(spark, tmp_path):
+    df = wide_sales(spark, str(tmp_path / "sales"))
+    parents = {"products": spark.range(6).withColumnRenamed("id", "product_id"), "warehouses": spark.range(5).withColumnRenamed("id", "warehouse_id")}
+    found = []
+    moved = shuffled_by(spark, lambda: found.append(validate.validate_table(df, "sales", parents).first()))
+    assert (found[0].duplicate_count, found[0].missing_foreign_keys) == (0, {"product_id": 8571})
+    assert moved < 60_000 * 20  # three hashes a row, moved twice as keys were counted apart, were five times that

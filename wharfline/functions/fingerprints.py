@@ -1,6 +1,6 @@
-"""Exact counts of repeated rows by fingerprints: sixteen bytes of a row are shuffled, not the row.
+"""Exact counts of repeated rows by fingerprints: eight or sixteen bytes of a row are shuffled, not the row.
 
-A row's fingerprint is two 64-bit hashes of its values and a mark for each NULL.  Rows that differ in a fingerprint are
+A row's fingerprint is one or two 64-bit hashes of its values and a mark for each NULL.  Rows that differ in a fingerprint are
 different.  Those that share one are compared in full, and only those, so the counts do not rest on the hashes.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharfline.functions.scalars import observed
-from wharfline.session import scratch_path
+from wharfline.session import cut, scratch_path
 
 NARROW = 16  # bytes of a row that is its own fingerprint
 FEW = 100_000  # fingerprints, of a few bytes each, that are sent to every task
@@ -50,22 +50,6 @@ def null_mark(columns: Sequence[str], c: str) -> Column:
     return F.shiftright(F.col(f"_s{i // NULL_BITS}"), i % NULL_BITS).bitwiseAND(F.lit(1))
 
 
-def fingerprint_groups(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Groups of equal rows, from one scan: the ``keep`` columns, ``_n`` rows, ``_repeated`` of them, and NULL marks.
-
-    Rows are grouped by their fingerprint and hold a third hash.  Where that differs in a group, two of its rows are known to
-    differ.  So equal rows are always counted as such, and unequal ones only if 192 bits of hashes agree: for 10^12 rows, with a
-    probability of 10^-34.  ``row_counts`` leaves no such rest, but reads the repeated rows again.
-    """
-    columns = df.columns
-    first, second = fingerprint(df, columns)
-    third = F.xxhash64(F.lit("c"), *null_marks(columns), *[_plain(df, c) for c in columns])
-    marks = {f"_s{i}": m for i, m in enumerate(null_marks(columns))}
-    rows = df.select(*keep, first.alias("_k0"), second.alias("_k1"), third.alias("_k2"), *[m.alias(s) for s, m in marks.items()])
-    groups = rows.groupBy(*keep, "_k0", "_k1", *marks).agg(F.count("*").alias("_n"), F.min("_k2").alias("_low"), F.max("_k2").alias("_high"))
-    return groups.select(*keep, *marks, "_n", (F.col("_n") - F.when(F.col("_low") == F.col("_high"), 1).otherwise(2)).alias("_repeated"))
-
-
 def _width(kind: T.DataType) -> int:
     if isinstance(kind, (T.ByteType, T.BooleanType, T.ShortType, T.IntegerType, T.DateType, T.FloatType)):
         return 4
@@ -110,3 +94,58 @@ def row_counts(df: DataFrame, columns: Sequence[str] | None = None) -> RowCounts
         whole = matched.groupBy(*columns).agg(F.count("*").alias("_n"))
         repeated = whole.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).first()[0]
     return RowCounts(seen["total"] or 0, int(repeated), {c: seen[f"n{i}"] or 0 for i, c in enumerate(columns)})
+
+
+def _repeats(df: DataFrame, columns: Sequence[str], again: DataFrame, found: int) -> int:
+    """Rows of ``df`` beyond the first of each value, compared in full; ``again``: the ``_h`` that occur more than once."""
+    if found <= FEW:
+        df = df.withColumn("_h", fingerprint(df, columns)[0]).join(F.broadcast(again), "_h", "left_semi")
+    whole = df.groupBy(*columns).agg(F.count("*").alias("_n"))
+    return int(whole.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).first()[0])
+
+
+def scan_counts(df: DataFrame, cells: Sequence[Column] = ()) -> tuple[RowCounts, DataFrame]:
+    """The counts of ``row_counts`` for whole rows, and ``(place, number, text, n)`` of each value of the ``cells``: one scan.
+
+    A cell is a struct of place (0 or more), number and text.  Rows are counted by one 64-bit hash and their NULL marks, cells by
+    value, all map-side first and in one shuffle.  Rows whose hash occurs once differ from all others; if some occur more often,
+    those rows are read again and compared.
+    """
+    columns = df.columns
+    marks = {f"_s{i}": m for i, m in enumerate(null_marks(columns))}
+    row = F.struct(
+        F.lit(-1).alias("place"), fingerprint(df, columns)[0].alias("number"), F.lit(None).cast("string").alias("text"), *[m.alias(s) for s, m in marks.items()])
+    others = [
+        F.struct(c["place"].alias("place"), c["number"].alias("number"), c["text"].alias("text"), *[F.lit(0).cast("bigint").alias(s) for s in marks])
+        for c in cells
+    ]
+    groups = df.select(F.inline(F.array(row, *others))).groupBy("place", "number", "text", *marks).agg(F.count("*").alias("n"))
+    own = F.col("place") < 0
+    figures = [F.sum(F.when(own, F.col("n"))).alias("total"), F.count_if(own & (F.col("n") > 1)).alias("groups")]
+    figures += [F.sum(F.when(own, F.col("n") * null_mark(columns, c))).alias(f"n{i}") for i, c in enumerate(columns)]
+    path = scratch_path(df.sparkSession, "counts")
+    seen = observed(groups, figures, lambda g: g.where(~own | (F.col("n") > 1)).select("place", "number", "text", "n").write.parquet(path))
+    kept = df.sparkSession.read.schema("place int, number bigint, text string, n bigint").parquet(path)
+    found = seen["groups"] or 0
+    again = kept.where(own).select(F.col("number").alias("_h")).distinct()
+    repeated = _repeats(df, columns, again, found) if found else 0
+    return RowCounts(seen["total"] or 0, repeated, {c: seen[f"n{i}"] or 0 for i, c in enumerate(columns)}), kept.where(~own)
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """``df``, which should be stored, without repeated rows: ``df`` itself if there are none.
+
+    One 64-bit hash of a row is shuffled.  Rows whose hash occurs once pass as they are read; only the others are compared, and
+    what is left of them is stored.  If there are very many, the whole table is compared and stored without repeats.
+    """
+    groups = df.select(fingerprint(df, df.columns)[0].alias("_h")).groupBy("_h").agg(F.count("*").alias("_n"))
+    path = scratch_path(df.sparkSession, "repeated")
+    found = observed(groups, [F.count_if(F.col("_n") > 1).alias("groups")], lambda g: g.where("_n > 1").select("_h").write.parquet(path))["groups"] or 0
+    if not found:
+        return df
+    if found > FEW:
+        return cut(df.dropDuplicates(), "distinct")
+    again = F.broadcast(df.sparkSession.read.schema("_h bigint").parquet(path))
+    marked = df.withColumn("_h", fingerprint(df, df.columns)[0])
+    single, others = (marked.join(again, "_h", how).select(*df.columns) for how in ("left_anti", "left_semi"))
+    return single.unionByName(cut(others.dropDuplicates(), "distinct"))

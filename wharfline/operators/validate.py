@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharfline.config import QualityConfig
-from wharfline.functions.fingerprints import fingerprint_groups, null_mark, row_counts
+from wharfline.functions.fingerprints import row_counts, scan_counts
 from wharfline.functions.scalars import percent_text, ratio
 from wharfline.schemas import ForeignKey, foreign_keys
 
@@ -58,40 +58,32 @@ def _key_text(column: Column, own: T.DataType, other: T.DataType) -> Column:
     return column.cast(f"decimal(38,{scale})").cast("string")
 
 
-def _orphans(df: DataFrame, keys: Sequence[ForeignKey], parents: Mapping[str, DataFrame], weight: Column) -> DataFrame:
-    """``(column_name, parent_table, orphan_rows)``; each row of ``df`` stands for ``weight`` rows."""
-    cells = [
-        F.struct(
-            F.lit(k.column).alias("column_name"),
-            _key_text(F.col(k.column), df.schema[k.column].dataType, parents[k.parent].schema[k.column].dataType).alias("value"),
-        )
-        for k in keys
-    ]
-    values = (
-        df.select(F.explode(F.array(*cells)).alias("cell"), weight.alias("_n"))
-        .groupBy("cell.column_name", "cell.value").agg(F.sum("_n").alias("n"))
-    )
+def _key_cells(df: DataFrame, keys: Sequence[ForeignKey], parents: Mapping[str, DataFrame]) -> list[Column]:
+    """A struct (place, number, text) for each key: whole numbers as such, all else as text."""
+    cells = []
+    for i, k in enumerate(keys):
+        own, other = df.schema[k.column].dataType, parents[k.parent].schema[k.column].dataType
+        whole = isinstance(own, T.IntegralType) and isinstance(other, T.IntegralType)
+        number = F.col(k.column).cast("bigint") if whole else F.lit(None).cast("bigint")
+        text = F.lit(None).cast("string") if whole else _key_text(F.col(k.column), own, other)
+        cells.append(F.struct(F.lit(i).alias("place"), number.alias("number"), text.alias("text")))
+    return cells
+
+
+def _orphans(df: DataFrame, values: DataFrame, keys: Sequence[ForeignKey], parents: Mapping[str, DataFrame]) -> DataFrame:
+    """``(place, orphan_rows)`` of the keys of ``df`` that have orphans; ``values``: its cells by value, ``n`` rows each."""
     known = reduce(
         DataFrame.unionByName,
         [
             parents[k.parent].select(
-                F.lit(k.column).alias("column_name"),
+                F.lit(i).alias("place"),
                 _key_text(F.col(k.column), parents[k.parent].schema[k.column].dataType, df.schema[k.column].dataType).alias("value"),
             )
-            for k in keys
+            for i, k in enumerate(keys)
         ],
     )
-    orphans = values.join(known, ["column_name", "value"], "left_anti").select("column_name", "n")
-    zeros = df.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(k.column) for k in keys])).alias("column_name"), F.lit(0).cast("bigint").alias("n")
-    )
-    parent_of = F.create_map(*[F.lit(x) for k in keys for x in (k.column, k.parent)])
-    return (
-        orphans.unionByName(zeros)
-        .groupBy("column_name")
-        .agg(F.sum("n").alias("orphan_rows"))
-        .select("column_name", parent_of[F.col("column_name")].alias("parent_table"), "orphan_rows")
-    )
+    values = values.select("place", F.coalesce(F.col("number").cast("string"), "text").alias("value"), "n")
+    return values.join(known, ["place", "value"], "left_anti").groupBy("place").agg(F.sum("n").alias("orphan_rows"))
 
 
 def _checked_keys(df: DataFrame, table: str, parents: Mapping[str, DataFrame]) -> list[ForeignKey]:
@@ -108,7 +100,10 @@ def fk_orphans(df: DataFrame, table: str, parents: Mapping[str, DataFrame]) -> D
     keys = _checked_keys(df, table, parents)
     if not keys:
         return df.sparkSession.createDataFrame([], "column_name string, parent_table string, orphan_rows bigint")
-    return _orphans(df, keys, parents, F.lit(1).cast("bigint"))
+    values = df.select(F.inline(F.array(*_key_cells(df, keys, parents)))).groupBy("place", "number", "text").agg(F.count("*").alias("n"))
+    zeros = df.sparkSession.createDataFrame([(i, k.column, k.parent) for i, k in enumerate(keys)], "place int, column_name string, parent_table string")
+    found = zeros.join(_orphans(df, values, keys, parents), "place", "left")
+    return found.select("column_name", "parent_table", F.coalesce("orphan_rows", F.lit(0)).alias("orphan_rows"))
 
 
 def fk_orphan_rows(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
@@ -124,32 +119,16 @@ def fk_valid_rows(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
 def validation_metrics(df: DataFrame, table: str, parents: Mapping[str, DataFrame]) -> DataFrame:
     """``(kind, position, name, n)`` rows: total rows, nulls per column, duplicates, orphans per key.
 
-    All follow from the groups of the duplicate check, whose rows are grouped by fingerprints and the keys: the table
-    is read once, and no other values of a row are shuffled.
+    Counted when called, in one scan of the table, by one shuffle of a hash a row and of the values of the keys; rows are
+    read again only where hashes repeat.
     """
-    n = F.col("_n")
     keys = _checked_keys(df, table, parents)
-    groups = fingerprint_groups(df, list(dict.fromkeys(k.column for k in keys)))
-    sums = [("rows", 0, "", n), ("duplicate", 0, "", F.col("_repeated"))]
-    sums += [("null", i, c, n * null_mark(df.columns, c)) for i, c in enumerate(df.columns)]
-    one = groups.agg(*[F.coalesce(F.sum(value), F.lit(0)).alias(f"_{i}") for i, (*_, value) in enumerate(sums)])
-    items = [
-        F.struct(
-            F.lit(kind).alias("kind"), F.lit(at).alias("position"), F.lit(name).alias("name"), F.col(f"_{i}").alias("n")
-        )
-        for i, (kind, at, name, _) in enumerate(sums)
-    ]
-    metrics = one.select(F.inline(F.array(*items)))
-    if not keys:
-        return metrics
-    place = F.create_map(*[F.lit(x) for i, k in enumerate(keys) for x in (k.column, i)])
-    orphans = _orphans(groups, keys, parents, n).select(
-        F.lit("fk").alias("kind"),
-        place[F.col("column_name")].alias("position"),
-        F.col("column_name").alias("name"),
-        F.col("orphan_rows").alias("n"),
-    )
-    return metrics.unionByName(orphans)
+    found, values = scan_counts(df, _key_cells(df, keys, parents))
+    rows = [("rows", 0, "", found.total), ("duplicate", 0, "", found.repeated)]
+    rows += [("null", i, c, found.nulls[c]) for i, c in enumerate(df.columns)]
+    if keys:
+        rows += [("fk", r.place, keys[r.place].column, r.orphan_rows) for r in _orphans(df, values, keys, parents).collect()]
+    return df.sparkSession.createDataFrame(rows, "kind string, position int, name string, n bigint")
 
 
 def validate_table(
