@@ -378,3 +378,14 @@ def test_validation_shuffles_a_hash_a_row(spark, tmp_path):
     moved = shuffled_by(spark, lambda: found.append(validate.validate_table(df, "sales", parents).first()))
     assert (found[0].duplicate_count, found[0].missing_foreign_keys) == (0, {"product_id": 8571})
     assert moved < 60_000 * 20  # three hashes a row, moved twice as keys were counted apart, were five times that
+
+
+def test_etl_shuffles_no_rows(spark, tmp_path):
+    from wharfline.plans import etl
+    from wharfline.sources.readers import FrameSource
+
+    df = wide_sales(spark, str(tmp_path / "sales"))
+    runs = []
+    moved = shuffled_by(spark, lambda: runs.append(etl.run_pipeline(spark, FrameSource({"price_history": df}), ["price_history"], validate=False)))
+    assert (runs[0].tables[0].rows_extracted, runs[0].tables[0].rows_transformed) == (60_000, 60_000)
+    assert moved < 60_000 * 20  # whole rows are more than 50 bytes

@@ -167,6 +167,11 @@ def business_rule_impact(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def transform_rows(df: DataFrame, table: str) -> DataFrame:
+    """Standardise dates, derive, apply business rules: each row by itself."""
+    return apply_business_rules(add_derived_columns(standardize_dates(df), table), table)
+
+
 def transform_table(df: DataFrame, table: str) -> DataFrame:
     """De-duplicate, standardise dates, derive, apply business rules."""
-    return apply_business_rules(add_derived_columns(standardize_dates(remove_duplicates(df)), table), table)
+    return transform_rows(remove_duplicates(df), table)
