@@ -153,3 +153,19 @@ def test_frequent_word_and_long_text(spark):
     items = spark.createDataFrame([(0, "the"), (1, " ".join(f"w{k}" for k in range(20)))], "item_id long, text string")
     got = sorted((tuple(r) for r in decontaminate.contaminations(docs, items).collect()), key=str)
     assert got == [(0, 0, 1, 1), (1, 0, 1, 1), (1, 1, 13, 13), (None, 0, 1, 1)]
+
+
+@pytest.mark.parametrize("largest", [3, 1 << 20, 1 << 27])
+@pytest.mark.parametrize("held", [0.03, 0.6])
+def test_long_and_short_lists(held, largest):
+    """Lists of few rows are rows, long ones a mark for each row; sums beyond 2^53 stay exact."""
+    rng = np.random.default_rng(4)
+    rows = [np.where(rng.random(12) < held, rng.integers(-largest, largest + 1, 12), 0) for _ in range(700)]
+    shard = topk.Shard(np.arange(700) * 3, rows)
+    long = [p.dtype == bool for two in shard.postings for p in two]
+    assert all(long) if held > 0.5 else not any(long)
+    for q in range(0, 700, 23):
+        score = np.array([sum(int(x) * int(y) for x, y in zip(rows[q], r)) for r in rows], dtype=object)
+        best = sorted((-s, 3 * i) for i, s in enumerate(score) if i != q)[:5]
+        ids, scores = shard.search(rows[q], 3 * q, 5)
+        assert [(-int(s), int(i)) for i, s in zip(ids, scores)] == best

@@ -4,7 +4,7 @@ A component x becomes floor(256 x).  A term is a dimension with a sign, and its
 has that sign, with the value.  For a query, only lists of its own sign can add to a score; the others subtract,
 and are probed last.  Lists are taken by falling score bound (query weight times the largest value).  While the rest of
 the bounds could still lift an unseen row to the k-th best score, the list is *essential* and is traversed; after
-that, the remaining lists are only probed for rows that are still competitive.  Rows are indexed in shards; every
+that, the remaining lists are only probed, a few at a time, for rows that are still competitive.  Rows are indexed in shards; every
 shard answers every block of queries and the k best of all shards are merged.
 """
 
@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from wharfline.session import cut
 
 SHARD_ROWS, BLOCK_QUERIES, FEW = 4096, 1024, 256
+PROBED = 8  # lists that are probed between two looks at the bounds
+EXACT = 1 << 53  # whole numbers that doubles hold
+LONG = 8  # a list of more than a row in so many is long
 
 
 class Shard:
@@ -32,10 +35,19 @@ class Shard:
         self.columns = np.zeros((width, len(ids)), dtype=np.int64)
         for k, r in enumerate(order):
             self.columns[: len(rows[r]), k] = rows[r]
-        lists = [[np.flatnonzero(c > 0), np.flatnonzero(c < 0)] for c in self.columns]
-        self.postings = [[(rows, c[rows]) for rows in two] for two, c in zip(lists, self.columns, strict=True)]
+        self.largest = int(np.abs(self.columns).max(initial=0))
+        # values of one sign, with zeros for the other: a posting list that holds many rows is read as such a column
+        self.parts = np.stack((np.maximum(self.columns, 0), np.minimum(self.columns, 0)))
+        self.doubles = self.columns.astype(np.float64), self.parts.astype(np.float64)
+        self.postings = [[self._posting(c > 0), self._posting(c < 0)] for c in self.columns]
         self.most = [(int(c.max(initial=0)), int(-c.min(initial=0))) for c in self.columns]
 
+    @staticmethod
+    def _posting(held: np.ndarray) -> np.ndarray:
+        """Rows of a list, or for a long one a mark for each row."""
+        rows = np.flatnonzero(held)
+        return held if len(rows) * LONG >= len(held) else rows
+
     def search(self, query: np.ndarray, own: int | None, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best rows other than ``own`` (by score, then id)."""
         n = len(self.ids)
@@ -44,39 +56,50 @@ class Shard:
         dims = dims[np.argsort(-bound, kind="stable")]
         bound = np.sort(bound)[::-1]
         rest = np.concatenate((np.cumsum(bound[::-1])[::-1], [0]))  # what lists from here on can add
-        partial = np.zeros(n, dtype=np.int64)
+        largest = int(np.abs(query).max(initial=0))
+        exact = largest * self.largest * max(1, len(dims)) < EXACT
+        weights, (columns, parts) = (query.astype(np.float64), self.doubles) if exact else (query, (self.columns, self.parts))
+        side = (query < 0).astype(np.int64)
+        partial, term = np.zeros(n, dtype=columns.dtype), np.empty(n, dtype=columns.dtype)
         seen = np.zeros(n, dtype=bool)
         threshold = self._seed(query, own, k)
         at = 0
         while at < len(dims) and rest[at] >= threshold and not seen.all():
             d = dims[at]
-            rows, values = self.postings[d][int(query[d] < 0)]
-            partial[rows] += query[d] * values
-            seen[rows] = True
+            rows = self.postings[d][side[d]]
+            if rows.dtype == bool:
+                np.multiply(parts[side[d], d], weights[d], out=term)
+                partial += term
+                seen |= rows
+            else:
+                partial[rows] += weights[d] * parts[side[d], d, rows]
+                seen[rows] = True
             at += 1
         if rest[at] >= threshold and at == len(dims):
             seen[:] = True  # a score of zero or less may be among the best
         live = np.flatnonzero(seen if at == len(dims) or rest[at] < threshold else np.ones(n, dtype=bool))
-        if own is not None:
-            live = live[self.ids[live] != own]
-        # probes: first the lists of the query's sign that are left, with what can still be subtracted in sight
+        # probes: what the traversed dimensions subtract, then the other dimensions by falling bound, both signs at once
         score = partial[live]
-        for j in range(at, len(dims)):
-            keep = score + rest[j] >= threshold
-            if not keep.all():
+        for lo, hi in [(0, at), *((j, min(j + PROBED, len(dims))) for j in range(at, len(dims), PROBED))]:
+            keep = score + rest[max(lo, at)] >= threshold
+            if 2 * np.count_nonzero(keep) < len(keep):  # reading whole columns is cheaper than picking most of their rows
                 live, score = live[keep], score[keep]
-            d = dims[j]
-            score = score + query[d] * np.maximum(self.columns[d, live] * np.sign(query[d]), 0) * np.sign(query[d])
-        for j, d in enumerate(dims):
-            keep = score >= threshold
-            if not keep.all():
-                live, score = live[keep], score[keep]
-            if len(live) <= FEW:  # the rest at once
-                rest = dims[j:]
-                against = np.minimum(self.columns[np.ix_(rest, live)] * np.sign(query[rest])[:, None], 0)
-                score = score + np.abs(query[rest]) @ against
+            if len(live) <= FEW and lo >= at:
+                hi = len(dims)  # the rest at once
+            own_dims = dims[lo:hi]
+            if len(live) == n:  # column by column: no copy of many of them
+                for d in own_dims:
+                    np.multiply(parts[1 - side[d], d] if lo < at else columns[d], weights[d], out=term)
+                    score += term
+            else:
+                values = parts[(1 - side[own_dims])[:, None], own_dims[:, None], live] if lo < at else columns[np.ix_(own_dims, live)]
+                score = score + np.einsum("i,ij->j", weights[own_dims], values)
+            if hi == len(dims) and lo >= at:
                 break
-            score = score + query[d] * np.minimum(self.columns[d, live] * np.sign(query[d]), 0) * np.sign(query[d])
+        wanted = score >= threshold
+        if own is not None:
+            wanted &= self.ids[live] != own
+        live, score = live[wanted], score[wanted].astype(np.int64)
         best = np.lexsort((self.ids[live], -score))[:k]
         return self.ids[live[best]], score[best]
 
@@ -86,7 +109,9 @@ class Shard:
             return -(2**62)
         q = query[: len(self.columns)]
         heavy = np.argsort(-np.abs(q), kind="stable")[:8]
-        rough = q[heavy] @ self.columns[heavy]  # only dimensions that both have
+        rough = np.zeros(len(self.ids), dtype=np.int64)  # only dimensions that both have
+        for d in heavy:
+            rough += q[d] * self.columns[d]
         take = min(len(rough), 4 * k + 1)
         probe = np.argpartition(-rough, take - 1)[:take]
         if own is not None:
