@@ -155,3 +155,23 @@ def test_statistics_are_those_of_the_corpus(spark):
     got = packing.count_corpus(spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in rows], "whole binary, rest binary").repartition(2), "<u2")
     want = packing.corpus_of(np.array([0, 2, 1, 1, 1]), 2, 2.0)
     assert (got.idf == want.idf).all() and (got.shared == want.shared).all() and got.mean == want.mean
+
+
+@pytest.mark.parametrize("known", [0, 5, packing.KNOWN])
+def test_pieces_are_encoded_once_by_a_task(words, monkeypatch, known):
+    """Blocks after the first bring only new pieces to the merging; forgetting them changes no id."""
+    monkeypatch.setattr(packing, "KNOWN", known)
+    texts = ["Don't stop the music, o'clock a|b 12", "the music stops; don't <|endoftext|> a|b", "", "THE Music Ä́ 12 o'clock zzyzx"] * 2
+    encoder, seen = packing.Encoder(words), []
+    true = encoder._distinct
+    monkeypatch.setattr(encoder, "_distinct", lambda pieces, odd: (seen.append(pieces.to_pylist()), true(pieces, odd))[1])
+    for text in texts:
+        raw = np.frombuffer(text.encode(), dtype=np.uint8)
+        ids, sizes = encoder.texts(np.array([0, len(raw)]), raw)
+        want = encoder._by_library([text])[0]
+        assert ids.tolist() == want and sizes.tolist() == [len(want)]
+    pieces = [p for block in seen for p in block]
+    if known > 5:
+        assert len(pieces) == len(set(pieces)) == len(encoder.known)
+    else:
+        assert len(pieces) > len(set(pieces))

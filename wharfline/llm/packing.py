@@ -20,6 +20,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,7 @@ from wharfline.session import cut
 
 BLOCK_BYTES = 2 << 20
 SHARD_DOCS = 1024  # remainders that one index holds: at most this many windows of ids
+KNOWN = 1 << 18  # pieces of texts whose ids a task keeps
 SIGNATURE = 4  # terms that a remainder is ordered by
 K1, B = 1.2, 0.75
 
@@ -94,11 +96,31 @@ class Encoder:
 
     White space never lies inside a pre-token, so texts are cut there.  Words of plain Latin letters, digits and
     marks are cut into pre-tokens in arrays; words with other characters, apostrophes or special tokens go to the library
-    as they are.  Equal pieces of a block are encoded once.
+    as they are.  Equal pieces are encoded once in a block, and not again while they are known, about KNOWN at most.
     """
 
     def __init__(self, model: WordModel):
         self.model, self.library = model, None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.large_binary())
+        self.ids, self.size = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+
+    def _looked_up(self, pieces: pa.Array, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all known pieces, and first place and number of those of each of ``pieces``."""
+        if len(self.known) > KNOWN:
+            self._forget()
+        place = pc.fill_null(pc.index_in(pieces, value_set=self.known), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            place[new] = len(self.known) + np.arange(len(new))
+            fresh = pieces.take(pa.array(new))
+            ids, size = self._distinct(fresh, odd[new])
+            self.known = pa.concat_arrays([self.known, fresh])
+            self.ids, self.size = np.concatenate((self.ids, ids)), np.concatenate((self.size, size))
+        first = np.concatenate(([0], np.cumsum(self.size)))
+        return self.ids, first[place], self.size[place]
 
     def _by_library(self, words: list[str]) -> list[list[int]]:
         if self.library is None:
@@ -171,8 +193,7 @@ class Encoder:
         odd = np.zeros(len(coded.dictionary), dtype=bool)
         if (kind == ODD).any():
             odd[codes[inside[starts]]] = True
-        ids, size = self._distinct(coded.dictionary, odd)
-        first = np.concatenate(([0], np.cumsum(size)))
+        ids, first, size = self._looked_up(coded.dictionary, odd)
         length = size[codes]
         bound = np.concatenate(([0], np.cumsum(length)))
         taken = np.repeat(first[codes] - bound[:-1], length) + np.arange(bound[-1])
