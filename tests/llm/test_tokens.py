@@ -1,5 +1,6 @@
 """Token counts and packing against the tokenizers' own libraries, and exact round trips."""
 
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -175,3 +176,18 @@ def test_pieces_are_encoded_once_by_a_task(words, monkeypatch, known):
         assert len(pieces) == len(set(pieces)) == len(encoder.known)
     else:
         assert len(pieces) > len(set(pieces))
+
+
+def test_encoding_holds_few_bytes_for_each_of_the_text(words, hf):
+    lines = ["Ein Wörterbuch of plain words, 12 of them.\n" * n for n in (400, 1, 9_000, 0, 700)] * 20
+    whole = lines + [" ", "İ it's", ""] + ["日本 x|> y"]
+    assert encode(words, whole) == [e.ids for e in hf.encode_batch(whole, add_special_tokens=False)]
+    raw = "".join(lines[:6]).encode()
+    offsets = np.linspace(0, len(raw), 41).astype(np.int64) // 44 * 44  # a line has 44 bytes
+    encoder = packing.Encoder(words)
+    encoder.texts(offsets, np.frombuffer(raw, dtype=np.uint8))
+    tracemalloc.start()
+    encoder.texts(offsets, np.frombuffer(raw, dtype=np.uint8))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 * len(raw)

@@ -29,8 +29,9 @@ from wharfline.llm import bpe
 from wharfline.llm.text import blocks, give_back, lean, mix
 from wharfline.session import cut
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 SHARD_DOCS = 1024  # remainders that one index holds: at most this many windows of ids
+PART_BYTES = 1 << 17  # of texts that are cut into pieces at once: arrays of numbers for each character stay small
 KNOWN = 1 << 18  # pieces of texts whose ids a task keeps
 SIGNATURE = 4  # terms that a remainder is ordered by
 K1, B = 1.2, 0.75
@@ -150,8 +151,8 @@ class Encoder:
         sizes[at] = counts
         return ids, sizes
 
-    def texts(self, offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the texts one after the other, and the number of each text."""
+    def _pieces(self, offsets: np.ndarray, raw: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Pieces of the texts one after the other, whether each is for the library, and the pieces before the end of each text."""
         model, data = self.model, raw.tobytes()
         points = np.frombuffer(data.decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
         near = np.minimum(points, PLAIN)
@@ -164,18 +165,22 @@ class Encoder:
         if len(points) == len(raw):
             edges = offsets
         else:
-            edges = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))[offsets]
+            edges = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80, dtype=np.int32)))[offsets]
         dark = np.flatnonzero(kind != SPACE)
         if not len(dark):
-            return np.zeros(0, dtype=np.int32), np.zeros(len(offsets) - 1, dtype=np.int64)
+            return pa.array([], pa.large_binary()), np.zeros(0, dtype=bool), np.zeros(len(offsets) - 1, dtype=np.int64)
         edge = np.zeros(len(points) + 1, dtype=bool)
         edge[edges] = True
-        kind, point = kind[dark], np.where(near[dark] < PLAIN, model.lower[near[dark]], points[dark])
+        kind, near = kind[dark], near[dark]
+        point = model.lower[near]
+        far = np.flatnonzero(near == PLAIN)
+        point[far] = points[dark[far]]
         word = np.empty(len(dark), dtype=bool)  # starts of words
         word[0] = True
-        word[1:] = (dark[1:] != dark[:-1] + 1) | edge[dark[1:]]
+        word[1:] = (np.diff(dark) != 1) | edge[dark[1:]]
         start = word.copy()
         start[1:] |= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        inside = None
         if (kind == ODD).any():
             firsts = np.flatnonzero(word)
             odd = np.logical_or.reduceat(kind == ODD, firsts)
@@ -183,23 +188,38 @@ class Encoder:
             start[inside] = word[inside]
             point[inside] = points[dark[inside]]
         starts = np.flatnonzero(start)
-        widths = 1 + (point >= 0x80).astype(np.int64) + (point >= 0x800) + (point >= 0x10000)
-        ends = np.concatenate(([0], np.cumsum(widths)))
         flat = point.astype(np.uint32).tobytes().decode("utf-32-le").encode()
-        pieces = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(ends[starts], ends[-1])), pa.py_buffer(flat)])
-        coded = pieces.dictionary_encode()
+        if len(flat) == len(point):
+            bounds = np.append(starts, len(point))
+        else:
+            widths = 1 + (point >= 0x80).astype(np.uint8) + (point >= 0x800) + (point >= 0x10000)
+            bounds = np.append(0, np.cumsum(np.add.reduceat(widths, starts, dtype=np.int64)))
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(flat)])
+        return pieces, np.zeros(len(starts), dtype=bool) if inside is None else inside[starts], np.searchsorted(dark[starts], edges[1:])
+
+    def texts(self, offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after the other, and the number of each text."""
+        parts, lo = [], 0
+        while lo < len(offsets) - 1:
+            hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + PART_BYTES, side="right")) - 1)
+            parts.append(self._pieces(offsets[lo : hi + 1] - offsets[lo], raw[offsets[lo] : offsets[hi]]))
+            lo = hi
+        if not any(len(p) for p, _, _ in parts):
+            return np.zeros(0, dtype=np.int32), np.zeros(len(offsets) - 1, dtype=np.int64)
+        before = np.cumsum([0] + [len(p) for p, _, _ in parts])
+        ends = np.concatenate([e + n for (_, _, e), n in zip(parts, before[:-1], strict=True)])
+        for_library = np.concatenate([o for _, o, _ in parts])
+        coded = pa.concat_arrays([p for p, _, _ in parts]).dictionary_encode()
+        del parts
         codes = coded.indices.to_numpy()
         odd = np.zeros(len(coded.dictionary), dtype=bool)
-        if (kind == ODD).any():
-            odd[codes[inside[starts]]] = True
+        odd[codes[for_library]] = True
         ids, first, size = self._looked_up(coded.dictionary, odd)
         length = size[codes]
         bound = np.concatenate(([0], np.cumsum(length)))
-        taken = np.repeat(first[codes] - bound[:-1], length) + np.arange(bound[-1])
-        # pieces before each document's first code point
-        places = bound[np.searchsorted(dark[starts], edges)]
-        return ids[taken], np.diff(places)
+        taken = np.repeat(first[codes] - bound[:-1], length)
+        taken += np.arange(bound[-1])
+        return ids[taken], np.diff(bound[ends], prepend=0)
 
 
 def crc(ids: np.ndarray) -> int:
