@@ -33,9 +33,9 @@ from wharfline.llm.packing import Encoder, WordModel
 from wharfline.llm.text import blocks, lean
 
 MARK, HEAD = b"WTS1", struct.Struct("<IIQI")
-BLOCK_IDS = 1 << 12
+BLOCK_IDS = 1 << 11
 SEGMENT_IDS = 1 << 18  # a segment ends after the document that reaches it
-SIDE_BY_SIDE = 512  # blocks that are coded together
+SIDE_BY_SIDE = 2560  # blocks that are coded together
 TEXT_BYTES = 2 << 20  # that are made into ids at once
 SCHEMA = "part int, segment int, first long, n_docs int, n_ids long, data binary"
 
