@@ -46,6 +46,25 @@ def test_repeated_ids_cost_little():
     assert len(data) * 8 < 2 * len(ids)
 
 
+def test_models_are_asked_for_many_ids_at_once(monkeypatch):
+    rng, asked, context = np.random.default_rng(9), [], mixcoder._Mixture.context
+    monkeypatch.setattr(mixcoder._Mixture, "context", lambda *args: asked.append(1) or context(*args))
+    blocks = [rng.zipf(1.3, n) % 900 for n in (2_048, 2_048, 700, 1)]
+    coded = mixcoder.encode(blocks)
+    assert len(asked) <= 2_048 // 8
+    back = mixcoder.decode([(ids, len(b), data) for (ids, data), b in zip(coded, blocks, strict=True)])
+    assert all((x == y).all() for x, y in zip(back, blocks, strict=True))
+
+
+def test_block_of_very_many_ids_beside_small_ones():
+    rng = np.random.default_rng(10)
+    blocks = [rng.permutation(1 << 18)[:20_000], rng.integers(0, 3, 500), np.array([7])]
+    coded = mixcoder.encode(blocks)
+    assert [data for _, data in coded[1:]] == [mixcoder.encode([b])[0][1] for b in blocks[1:]]
+    back = mixcoder.decode([(ids, len(b), data) for (ids, data), b in zip(coded, blocks, strict=True)])
+    assert all((x == y).all() for x, y in zip(back, blocks, strict=True))
+
+
 @given(st.lists(st.integers(0, 2**35 - 1), max_size=50))
 def test_varints(values):
     assert tokenfile.from_varints(tokenfile.varints(np.array(values, dtype=np.int64))).tolist() == values

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 
 FIRST, MOST = 512, 1024  # ids of the first and of the longest stretch
-ROWS, LEARNT = 32, 128  # ids of each block that are looked at, and learned, in one array
+ROWS, LEARNT = 16, 32  # ids of each block that are looked at, and learned, in one array
 SHARES = 11  # bits of the shares
 GAIN = 32  # weight of one occurrence against that of an id not seen yet
 HASH = 10  # bits of the order-2 table
@@ -120,7 +120,10 @@ class _Mixture:
     def plain(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of order-0 intervals."""
         bounds = self.bounds.take(at)
-        return (bounds >> self.half).astype(self.kind), (bounds & ((1 << self.half) - 1)).astype(self.kind)
+        start, width = bounds >> self.half, bounds & self.bounds.dtype.type((1 << self.half) - 1)
+        if self.half == 16 and not self.wide:
+            return start.view(np.int32), width.view(np.int32)
+        return start.astype(self.kind), width.astype(self.kind)
 
     def interval(self, x: np.ndarray, live: int) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of ids in the mixture."""
@@ -152,8 +155,8 @@ class _Mixture:
         # doubles are exact here; places beyond the end are those of points inside
         rest = ((point - mass[0] - mass[1]) / self.w0).astype(np.int64)
         x = self.ids.take(self.slot[:live] + rest, mode="clip").astype(np.int32)
-        for k in (0, 1):
-            np.copyto(x, p[k], where=inside[k])
+        np.copyto(x, p[0], where=inside[0])
+        np.copyto(x, p[1], where=inside[1])
         return x
 
     def learn(self, places: np.ndarray, lo: int, hi: int, live: int) -> None:
@@ -182,15 +185,14 @@ def _live(lengths: np.ndarray) -> np.ndarray:
     return np.searchsorted(-lengths, -np.arange(int(lengths.max(initial=0))), side="left")
 
 
-def _alphabet(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted distinct ids, and the place of each id among them."""
-    if not len(ids) or ids.min() < 0 or ids.max() >= 1 << 17:
-        return np.unique(ids, return_inverse=True)
-    there = np.zeros(int(ids.max()) + 1, dtype=bool)
-    there[ids] = True
-    found, place = np.flatnonzero(there), np.empty(len(there), dtype=np.int32)
+def _alphabet(ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct ids, and the place of each id among them; ``place`` is scratch space."""
+    found = np.sort(ids)
+    found = found[np.concatenate(([True], found[1:] != found[:-1]))[: len(found)]].astype(np.int64)
+    if not len(ids) or found[0] < 0 or found[-1] >= len(place):
+        return found, np.searchsorted(found, ids)
     place[found] = np.arange(len(found))
-    return found, place[ids]
+    return found, place.take(ids)
 
 
 def encode(blocks: list[np.ndarray]) -> list[tuple[np.ndarray, bytes]]:
@@ -199,9 +201,9 @@ def encode(blocks: list[np.ndarray]) -> list[tuple[np.ndarray, bytes]]:
     lengths = np.array([len(blocks[k]) for k in order], dtype=np.int64)
     longest, n = int(lengths.max(initial=0)), len(order)
     alphabets: list[np.ndarray] = []
-    lanes = np.zeros((n, longest + 2), dtype=np.int32)
+    lanes, scratch = np.zeros((n, longest + 2), dtype=np.int32), np.zeros(1 << 17, dtype=np.int32)
     for lane, k in enumerate(order):
-        ids, where = _alphabet(blocks[k])
+        ids, where = _alphabet(blocks[k], scratch)
         alphabets.append(ids)
         lanes[lane, 2 : len(where) + 2] = where
     places = np.ascontiguousarray(lanes.T)
@@ -237,9 +239,9 @@ def encode(blocks: list[np.ndarray]) -> list[tuple[np.ndarray, bytes]]:
             for live, start, width in zip(living[a:b], starts, widths, strict=True):
                 own, wide = low[:live], span[:live]
                 unit = wide >> mixture.total[:live]
-                up = own + unit * start[:live]
-                over = (up < own).nonzero()[0]
-                own[:] = up
+                up = unit * start[:live]
+                own += up
+                over = (own < up).nonzero()[0]
                 np.multiply(unit, width[:live], out=wide)
                 if len(over):
                     carry(over)
@@ -267,7 +269,7 @@ def decode(coded: list[tuple[np.ndarray, int, bytes]]) -> list[np.ndarray]:
     streams = [np.frombuffer(coded[k][2], dtype="<u4") for k in order]
     bounds = np.concatenate(([0], np.cumsum([len(s) for s in streams], dtype=np.int64)))
     flat = np.concatenate([*streams, np.zeros(2, dtype="<u4")]).astype(np.uint64)
-    at, end = bounds[:-1] + 2, bounds[1:]
+    at = bounds[:-1] + 2
     code = (flat[bounds[:-1]] << _LOW) | flat[bounds[:-1] + 1]
     span = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
     top = (np.uint64(1) << mixture.total) - np.uint64(1)
@@ -288,7 +290,7 @@ def decode(coded: list[tuple[np.ndarray, int, bytes]]) -> list[np.ndarray]:
             np.multiply(unit, width.astype(np.uint64), out=wide)
             short = (wide < _FULL).nonzero()[0]
             if len(short):
-                code[short] = (code[short] << _LOW) | np.where(at[short] < end[short], flat[np.minimum(at[short], len(flat) - 1)], np.uint64(0))
+                code[short] = (code[short] << _LOW) | flat.take(at[short], mode="clip")  # beyond its own words only if they are damaged
                 at[short] += 1
                 span[short] <<= _LOW
             places[t + 2, :live] = x

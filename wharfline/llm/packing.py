@@ -193,7 +193,8 @@ class Encoder:
             bounds = np.append(starts, len(point))
         else:
             widths = 1 + (point >= 0x80).astype(np.uint8) + (point >= 0x800) + (point >= 0x10000)
-            bounds = np.append(0, np.cumsum(np.add.reduceat(widths, starts, dtype=np.int64)))
+            ends = np.cumsum(widths, dtype=np.int32 if len(point) < 1 << 29 else np.int64)
+            bounds = np.concatenate(([0], ends[starts[1:] - 1], ends[-1:])).astype(np.int64)
         pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(flat)])
         return pieces, np.zeros(len(starts), dtype=bool) if inside is None else inside[starts], np.searchsorted(dark[starts], edges[1:])
 

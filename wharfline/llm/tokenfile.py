@@ -2,7 +2,7 @@
 
 A file is a Parquet table of segments.  A segment is a byte string that can be read on its own:
 
-    "WTS1"                                          mark of the format
+    "WTS2"                                          mark of the format
     documents u32, blocks u32, ids u64, crc u32     crc: of the three tables below and the alphabets
     key i64, null u8, length u32                    each for all documents
     length, alphabet, alphabet bytes, coded bytes, crc: u32     each for all blocks; crc: of the block's ids as u32
@@ -32,17 +32,21 @@ from wharfline.llm import mixcoder
 from wharfline.llm.packing import Encoder, WordModel
 from wharfline.llm.text import blocks, lean
 
-MARK, HEAD = b"WTS1", struct.Struct("<IIQI")
+MARK, HEAD = b"WTS2", struct.Struct("<IIQI")
 BLOCK_IDS = 1 << 11
 SEGMENT_IDS = 1 << 18  # a segment ends after the document that reaches it
 SIDE_BY_SIDE = 2560  # blocks that are coded together
-TEXT_BYTES = 2 << 20  # that are made into ids at once
+TEXT_BYTES = 4 << 20  # that are made into ids at once
 SCHEMA = "part int, segment int, first long, n_docs int, n_ids long, data binary"
 
 
+def widths(values: np.ndarray) -> np.ndarray:
+    return 1 + sum((values >= 1 << k).astype(np.int64) for k in (7, 14, 21, 28))
+
+
 def varints(values: np.ndarray) -> bytes:
     """Numbers below 2^35 as groups of seven bits, low ones first; the eighth bit says that more follow."""
-    size = 1 + sum((values >= 1 << k).astype(np.int64) for k in (7, 14, 21, 28))
+    size = widths(values)
     last = np.cumsum(size)
     owner = np.repeat(np.arange(len(values)), size)
     place = np.arange(len(owner)) - np.repeat(last - size, size)
@@ -74,9 +78,14 @@ def write_segments(groups: Sequence[tuple[list[int | None], list[np.ndarray]]])
         bounds.append(len(cut))
     coded = [c for k in range(0, len(cut), SIDE_BY_SIDE) for c in mixcoder.encode(cut[k : k + SIDE_BY_SIDE])]
     out = []
+    first = np.cumsum([0] + [len(a) for a, _ in coded])
+    steps = np.concatenate([*(a for a, _ in coded), np.zeros(1, dtype=np.int64)])
+    steps[1:] -= np.where(np.isin(np.arange(1, len(steps)), first), 0, steps[:-1])
+    ends = np.concatenate(([0], np.cumsum(widths(steps[:-1]))))[first]
+    listed = varints(steps[:-1])
     for g, (keys, ids) in enumerate(groups):
         own, codes = cut[bounds[g] : bounds[g + 1]], coded[bounds[g] : bounds[g + 1]]
-        alphabets = [varints(np.diff(a, prepend=0)) for a, _ in codes]
+        alphabets = [listed[a:b] for a, b in zip(ends[bounds[g] : bounds[g + 1]], ends[bounds[g] + 1 : bounds[g + 1] + 1], strict=True)]
         sizes = np.array([[len(b) for b in own], [len(a) for a, _ in codes], [len(a) for a in alphabets], [len(c) for _, c in codes], [crc(b) for b in own]], dtype="<u4")
         tables = b"".join((
             np.array([k or 0 for k in keys], dtype="<i8").tobytes(), bytes(k is None for k in keys),
@@ -101,8 +110,12 @@ def read_segments(segments: Sequence[bytes]) -> list[tuple[list[int | None], lis
         keys = np.frombuffer(data, "<i8", docs, at).tolist()
         keys = [None if null else k for k, null in zip(keys, data[at + 8 * docs : at + 9 * docs], strict=True)]
         found.append((keys, np.frombuffer(data, "<u4", docs, at + 9 * docs).astype(np.int64), n))
+        listed = data[bounds[0] : bounds[n]]
+        before = np.concatenate(([0], np.cumsum(np.frombuffer(listed, dtype=np.uint8) < 128)))[bounds[: n + 1] - bounds[0]]
+        sums = np.concatenate(([0], np.cumsum(from_varints(listed))))
         for k in range(n):
-            coded.append((np.cumsum(from_varints(data[bounds[k] : bounds[k + 1]])), int(sizes[0, k]), data[bounds[n + k] : bounds[n + k + 1]]))
+            alphabet = sums[before[k] + 1 : before[k + 1] + 1] - sums[before[k]]
+            coded.append((alphabet, int(sizes[0, k]), data[bounds[n + k] : bounds[n + k + 1]]))
         crcs += sizes[4].tolist()
     plain = [b for k in range(0, len(coded), SIDE_BY_SIDE) for b in mixcoder.decode(coded[k : k + SIDE_BY_SIDE])]
     if any(crc(b) != c for b, c in zip(plain, crcs, strict=True)):
