@@ -29,7 +29,7 @@ from wharfline.llm import bpe
 from wharfline.llm.text import blocks, give_back, lean, mix
 from wharfline.session import cut
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 4 << 20  # of texts that are made into ids at once: more of them, fewer rounds of merging
 SHARD_DOCS = 1024  # remainders that one index holds: at most this many windows of ids
 PART_BYTES = 1 << 17  # of texts that are cut into pieces at once: arrays of numbers for each character stay small
 KNOWN = 1 << 18  # pieces of texts whose ids a task keeps
@@ -361,7 +361,7 @@ def powers_of_two(row: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, i
 
 
 def pack(docs: DataFrame, model: WordModel, window: int = 2048, end_id: int = 1, text: str = "text", key: str = "doc_id",
-         shard_docs: int = SHARD_DOCS) -> DataFrame:
+         shard_docs: int = SHARD_DOCS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Pack all rows of ``docs`` into sequences of at most ``window`` ids.
 
     Returns one row per piece: ``key``, start, length, ids_crc32, ids (int array), doc_tokens, sequence_id, offset.
@@ -377,7 +377,7 @@ def pack(docs: DataFrame, model: WordModel, window: int = 2048, end_id: int = 1,
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, slot, windows = Encoder(model), 0, 0
         for batch in batches:
-            for part, offsets, raw in blocks(batch, "text", BLOCK_BYTES):
+            for part, offsets, raw in blocks(batch, "text", block_bytes):
                 ids, sizes = encoder.texts(offsets, raw)
                 bounds = np.concatenate(([0], np.cumsum(sizes)))
                 whole, rest, first = [], [], []
