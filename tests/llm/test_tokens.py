@@ -191,3 +191,45 @@ def test_encoding_holds_few_bytes_for_each_of_the_text(words, hf):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 25 * len(raw)
+
+
+def test_short_and_long_sequences_merge_alike():
+    """Rows of matrices and ragged arrays; symbols of 16 bits, negative ones, empty sequences and those about as long as a row."""
+    rng = np.random.default_rng(12)
+    symbols = np.array([0, 1, 2, 40_000, 65_535])
+    made = iter(range(100, 65_000))
+    known = {(int(a), int(b)): next(made) for a in symbols for b in symbols if rng.random() < 0.6}
+    known |= {(m, int(rng.choice(symbols))): next(made) for m in list(known.values())}
+    left, right = (np.array(x) for x in zip(*known, strict=True))
+    pairs = bpe.Pairs(left, right, rng.permutation(len(known)), np.array(list(known.values())))
+    assert pairs.entry is not None
+    every = np.array([*symbols, -1, 70_000, 100, 101])
+    got = pairs.ranks(np.repeat(every, len(every)), np.tile(every, len(every)))
+    assert got.tolist() == pairs.find(np.repeat(every, len(every)), np.tile(every, len(every)))[0].tolist()
+    lengths = np.concatenate(([0, 1, bpe.SHORT, bpe.SHORT + 1, 0], rng.integers(0, 2 * bpe.SHORT, 400), rng.integers(0, 9, 9_000)))
+    drawn = rng.choice([*symbols, -1], lengths.sum())
+    for some in (lengths, lengths[:0], lengths[:1]):
+        ids, sizes = bpe.merge(drawn[: some.sum()], some, pairs)
+        want, lengths_left = bpe._merge_ragged(drawn[: some.sum()], some, pairs)
+        assert ids.tolist() == want.tolist() and sizes.tolist() == lengths_left.tolist()
+
+
+def test_short_sequences_merge_by_rows(words, monkeypatch):
+    """Distinct pieces of usual length never go round by round over all symbols."""
+    monkeypatch.setattr(bpe, "_merge_ragged", None)
+    text = " ".join(f"{a}{b}" for a in ("harbour", "merging", "ragged") for b in ("ing", "ation", "some", "x"))
+    assert len(encode(words, [text, text + " again"])[0]) > 12
+
+
+def test_known_pieces_are_encoded_once(words, hf, monkeypatch):
+    """Over several calls, with forgetting between some of them, and texts for the library among them."""
+    monkeypatch.setattr(packing, "KNOWN", 12)
+    encoder, asked, distinct = packing.Encoder(words), [], packing.Encoder._distinct
+    monkeypatch.setattr(packing.Encoder, "_distinct", lambda self, pieces, odd: asked.append(len(pieces)) or distinct(self, pieces, odd))
+    calls = [["", " "], ["one two two one", "it's"], ["two it's three"], ["one two"], ["a b c d e f g h i j"], ["one a b", ""]]
+    for texts in calls:
+        raw = [t.encode() for t in texts]
+        ids, sizes = encoder.texts(np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64), np.frombuffer(b"".join(raw), dtype=np.uint8))
+        want = [e.ids for e in hf.encode_batch(texts, add_special_tokens=False)]
+        assert ids.tolist() == [i for x in want for i in x] and sizes.tolist() == [len(x) for x in want]
+    assert asked == [3, 1, 10, 3]

@@ -1,4 +1,8 @@
-"""Byte-pair merging by rank over ragged arrays of symbols: every sequence of a batch merges at once."""
+"""Byte-pair merging by rank: every sequence of a batch merges at once.
+
+Short sequences lie in the rows of matrices, where one merge costs a few numbers; long ones in ragged arrays, where a
+round goes over all symbols but merges a pair at all its places.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,10 @@ import numpy as np
 
 NONE = np.int32(-1)
 FAR = np.int32(2**31 - 1)
+FREE, RANK = np.int64(1 << 62), 24  # a slot without a pair; bits of a rank in a slot
+GONE = np.int32(-(2**31))  # no symbol: the place of one that was merged into its neighbour, or beyond the end
+SHORT = 32  # symbols of a sequence that is merged as a row of a matrix
+ROWS = 4096  # rows of a matrix, at most
 
 
 class Pairs:
@@ -30,6 +38,16 @@ class Pairs:
             todo = todo[~seat]
             slot[todo] = (slot[todo] + 1) & ((1 << self.bits) - 1)
             self.probes += 1
+        # where symbols have 16 bits, and a rank tells what is merged, a slot is one number: the symbols and the rank
+        self.entry, most = None, int(max(np.max(left, initial=0), np.max(right, initial=0)))
+        if most < 1 << 16 and rank.min(initial=0) >= 0 and rank.max(initial=0) < 1 << RANK:
+            self.by_rank = np.full(int(rank.max(initial=0)) + 1, NONE, dtype=np.int32)
+            self.by_rank[rank] = merged
+            if (self.by_rank[rank] == merged).all():
+                used = self.rank != FAR
+                self.entry = np.full(1 << self.bits, FREE, dtype=np.int64)
+                key = self.key[used].astype(np.int64)
+                self.entry[used] = (key >> 32 << 16 | key & 0xFFFF) << RANK | self.rank[used]
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -51,14 +69,104 @@ class Pairs:
             odd = odd[~hit & (self.key[slot[odd]] != np.uint64(2**64 - 1))]
         return rank, merged
 
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``find`` for tables with ``entry``: the ranks alone."""
+        left, right = left.astype(np.int64), right.astype(np.int64)
+        slot = self._slot(((left << 32) | right).view(np.uint64))
+        key = (left << 16) | right  # below zero if a symbol is
+        found = self.entry.take(slot)
+        rank = (found & ((1 << RANK) - 1)).astype(np.int32)
+        odd = np.flatnonzero(found >> RANK != key)
+        rank[odd] = FAR
+        odd = odd[found[odd] != FREE]
+        for _ in range(self.probes):
+            if not len(odd):
+                break
+            slot[odd] = (slot[odd] + 1) & ((1 << self.bits) - 1)
+            found = self.entry.take(slot[odd])
+            hit = found >> RANK == key[odd]
+            rank[odd[hit]] = found[hit] & ((1 << RANK) - 1)
+            odd = odd[~hit & (found != FREE)]
+        return rank
+
 
 def merge(symbols: np.ndarray, lengths: np.ndarray, pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
-    """Merge all sequences until none has a known pair left.
+    """Merge all sequences until none has a known pair left, one pair at a time, lowest rank and leftmost first.
+
+    Negative symbols never merge.  Returns the symbols left and the length of each sequence.
+    """
+    if pairs.entry is None:
+        return _merge_ragged(symbols, lengths, pairs)
+    lengths, symbols = np.asarray(lengths, dtype=np.int64), symbols.astype(np.int32, copy=False)
+    bounds = np.concatenate(([0], np.cumsum(lengths)))
+    order = np.argsort(np.minimum(lengths, SHORT + 1).astype(np.uint8), kind="stable")  # rows of a matrix are of like lengths
+    some, few = int((lengths == 0).sum()), int((lengths <= SHORT).sum())
+    left, sizes = [np.zeros(0, dtype=np.int32)], np.zeros(len(lengths), dtype=np.int64)
+    for lo in range(some, few, ROWS):
+        rows = order[lo : min(few, lo + ROWS)]
+        ids, sizes[rows] = _merge_rows(symbols, bounds[rows], lengths[rows], pairs)
+        left.append(ids)
+    if few < len(order):
+        rows = order[few:]
+        which = np.repeat(lengths > SHORT, lengths)
+        ids, sizes[rows] = _merge_ragged(symbols[which], lengths[rows], pairs)
+        left.append(ids)
+    out = np.empty(int(sizes.sum()), dtype=np.int32)
+    found, ends = sizes[order], np.cumsum(sizes)
+    before = np.cumsum(found) - found
+    out[np.repeat((ends - sizes)[order] - before, found) + np.arange(len(out))] = np.concatenate(left)
+    return out, sizes
+
+
+def _merge_rows(symbols: np.ndarray, first: np.ndarray, lengths: np.ndarray, pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
+    """``merge`` for sequences that begin at the places ``first`` of ``symbols``: a merge in each row at a time."""
+    n, wide = len(first), int(lengths.max()) + 1  # the last column is beyond the end of every sequence
+    column = np.arange(wide)
+    at = first[:, None] + column
+    sym = symbols.take(at, mode="clip")
+    sym[column >= lengths[:, None]] = GONE
+    place = np.arange(n * wide).reshape(n, wide)
+    after, before = place + 1, place - 1
+    after[np.arange(n), lengths - 1] = before[:, 0] = place[:, -1]
+    sym, after, before = sym.reshape(-1), after.reshape(-1), before.reshape(-1)
+    rank = np.full(n * wide, FAR, dtype=np.int32)
+    known = np.flatnonzero((sym[:-1] >= 0) & (sym[1:] >= 0))
+    rank[known] = pairs.ranks(sym[known], sym[known + 1])
+    rank = rank.reshape(n, wide)
+    rows = place[:, 0]  # the first place of each row of ``rank``, which loses rows that are done
+    while True:
+        best, own = rank.argmin(axis=1), np.arange(0, len(rows) * wide, wide)
+        low = rank.reshape(-1).take(own + best)
+        live = np.flatnonzero(low != FAR)
+        if not len(live):
+            break
+        low, best = low.take(live), best.take(live)
+        if len(live) < len(rows) * 3 // 4:
+            rank, rows = rank.take(live, axis=0), rows.take(live)
+            base, own = rows, own[: len(rows)]
+        else:
+            base, own = rows.take(live), own.take(live)
+        shift = base - own
+        here = base + best
+        gone = after.take(here)
+        behind, ahead = before.take(here), after.take(gone)
+        made = pairs.by_rank.take(low)
+        sym[here], sym[gone] = made, GONE
+        after[here], before[ahead] = ahead, here
+        flat = rank.reshape(-1)
+        flat[gone - shift] = FAR
+        flat[behind - shift] = pairs.ranks(sym.take(behind), made)
+        flat[here - shift] = pairs.ranks(made, sym.take(ahead))
+    kept = sym != GONE
+    return sym[kept], kept.reshape(n, wide).sum(axis=1)
+
+
+def _merge_ragged(symbols: np.ndarray, lengths: np.ndarray, pairs: Pairs) -> tuple[np.ndarray, np.ndarray]:
+    """``merge`` for sequences of any length.
 
     In each round every sequence merges its pair of lowest rank, at all its places from left to right, unless that
     makes a pair of the same or a lower rank; then only the leftmost place is merged.  That is the order in which
-    one merge at a time, lowest rank and leftmost first, would go.  Negative symbols never merge.
-    Returns the symbols left and the length of each sequence.
+    one merge at a time, lowest rank and leftmost first, would go.
     """
     n = len(lengths)
     owner = np.repeat(np.arange(n), lengths)

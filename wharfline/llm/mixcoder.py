@@ -187,7 +187,7 @@ def _live(lengths: np.ndarray) -> np.ndarray:
 
 def _alphabet(ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The sorted distinct ids, and the place of each id among them; ``place`` is scratch space."""
-    found = np.sort(ids)
+    found = np.sort(ids, kind="stable")  # of ids of 16 bits by radix
     found = found[np.concatenate(([True], found[1:] != found[:-1]))[: len(found)]].astype(np.int64)
     if not len(ids) or found[0] < 0 or found[-1] >= len(place):
         return found, np.searchsorted(found, ids)

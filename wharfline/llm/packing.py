@@ -108,20 +108,21 @@ class Encoder:
         self.known = pa.array([], pa.large_binary())
         self.ids, self.size = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
 
-    def _looked_up(self, pieces: pa.Array, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all known pieces, and first place and number of those of each of ``pieces``."""
+    def _looked_up(self, parts: list[pa.Array], for_library: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the ``parts``' pieces among the known ones, and where the ids of each known piece begin."""
         if len(self.known) > KNOWN:
             self._forget()
-        place = pc.fill_null(pc.index_in(pieces, value_set=self.known), -1).to_numpy().astype(np.int64)
-        new = np.flatnonzero(place < 0)
-        if len(new):
-            place[new] = len(self.known) + np.arange(len(new))
-            fresh = pieces.take(pa.array(new))
-            ids, size = self._distinct(fresh, odd[new])
-            self.known = pa.concat_arrays([self.known, fresh])
+        n = len(self.known)
+        coded = pa.chunked_array([self.known, *parts]).dictionary_encode().chunks  # of one dictionary; the known come first
+        codes, every = np.concatenate([c.indices.to_numpy() for c in coded])[n:], coded[-1].dictionary
+        if len(every) > n:
+            odd = np.zeros(len(every), dtype=bool)
+            odd[codes[for_library]] = True
+            fresh = every.take(pa.array(np.arange(n, len(every))))
+            ids, size = self._distinct(fresh, odd[n:])
+            self.known = every
             self.ids, self.size = np.concatenate((self.ids, ids)), np.concatenate((self.size, size))
-        first = np.concatenate(([0], np.cumsum(self.size)))
-        return self.ids, first[place], self.size[place]
+        return codes, np.concatenate(([0], np.cumsum(self.size)))
 
     def _by_library(self, words: list[str]) -> list[list[int]]:
         if self.library is None:
@@ -155,12 +156,11 @@ class Encoder:
         """Pieces of the texts one after the other, whether each is for the library, and the pieces before the end of each text."""
         model, data = self.model, raw.tobytes()
         points = np.frombuffer(data.decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
-        near = np.minimum(points, PLAIN)
         kinds = model.kind
         if b"|>" in data:  # may be a special token
             kinds = kinds.copy()
             kinds[ord("|")] = ODD
-        kind = kinds[near]
+        kind = kinds.take(points, mode="clip")
         # documents start where their first byte is decoded: texts are valid UTF-8, so bytes that continue are not counted
         if len(points) == len(raw):
             edges = offsets
@@ -171,13 +171,13 @@ class Encoder:
             return pa.array([], pa.large_binary()), np.zeros(0, dtype=bool), np.zeros(len(offsets) - 1, dtype=np.int64)
         edge = np.zeros(len(points) + 1, dtype=bool)
         edge[edges] = True
-        kind, near = kind[dark], near[dark]
-        point = model.lower[near]
-        far = np.flatnonzero(near == PLAIN)
-        point[far] = points[dark[far]]
+        kind, given = kind.take(dark), points.take(dark)
+        point = model.lower.take(given, mode="clip")
+        far = np.flatnonzero(given >= PLAIN)
+        point[far] = given[far]
         word = np.empty(len(dark), dtype=bool)  # starts of words
         word[0] = True
-        word[1:] = (np.diff(dark) != 1) | edge[dark[1:]]
+        word[1:] = (np.diff(dark) != 1) | edge.take(dark[1:])
         start = word.copy()
         start[1:] |= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
         inside = None
@@ -186,9 +186,9 @@ class Encoder:
             odd = np.logical_or.reduceat(kind == ODD, firsts)
             inside = np.repeat(odd, np.diff(np.concatenate((firsts, [len(dark)]))))
             start[inside] = word[inside]
-            point[inside] = points[dark[inside]]
+            point[inside] = given[inside]
         starts = np.flatnonzero(start)
-        flat = point.astype(np.uint32).tobytes().decode("utf-32-le").encode()
+        flat = point.tobytes().decode("utf-32-le").encode()
         if len(flat) == len(point):
             bounds = np.append(starts, len(point))
         else:
@@ -210,17 +210,13 @@ class Encoder:
         before = np.cumsum([0] + [len(p) for p, _, _ in parts])
         ends = np.concatenate([e + n for (_, _, e), n in zip(parts, before[:-1], strict=True)])
         for_library = np.concatenate([o for _, o, _ in parts])
-        coded = pa.concat_arrays([p for p, _, _ in parts]).dictionary_encode()
+        codes, first = self._looked_up([p for p, _, _ in parts], for_library)
         del parts
-        codes = coded.indices.to_numpy()
-        odd = np.zeros(len(coded.dictionary), dtype=bool)
-        odd[codes[for_library]] = True
-        ids, first, size = self._looked_up(coded.dictionary, odd)
-        length = size[codes]
+        length = self.size[codes]
         bound = np.concatenate(([0], np.cumsum(length)))
         taken = np.repeat(first[codes] - bound[:-1], length)
         taken += np.arange(bound[-1])
-        return ids[taken], np.diff(bound[ends], prepend=0)
+        return self.ids[taken], np.diff(bound[ends], prepend=0)
 
 
 def crc(ids: np.ndarray) -> int:
