@@ -233,3 +233,63 @@ def test_known_pieces_are_encoded_once(words, hf, monkeypatch):
         want = [e.ids for e in hf.encode_batch(texts, add_special_tokens=False)]
         assert ids.tolist() == [i for x in want for i in x] and sizes.tolist() == [len(x) for x in want]
     assert asked == [3, 1, 10, 3]
+
+
+def drawn_documents(seed):
+    rng = np.random.default_rng(seed)
+    docs = [(rng.zipf(1.4, int(n)) % 300).astype("<u2") for n in rng.integers(0, 90, 130)]
+    return [*docs, *docs[:20], np.zeros(0, dtype="<u2")]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_windows_are_those_of_a_full_ranking(monkeypatch, seed):
+    """Documents that leave the posting lists, and terms counted for a shard at once, change no choice."""
+    docs = drawn_documents(seed)
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=300)
+    corpus = packing.corpus_of(df, len(docs), float(np.mean([len(d) for d in docs])))
+    counts = [np.unique(d, return_counts=True) for d in docs]
+    monkeypatch.setattr(np, "unique", None)  # no document is sorted by itself
+    got = list(packing.retrieve_and_fill(docs, 100, corpus))
+    used, want, rest = [not len(d) for d in docs], [], None
+    while rest or not all(used):
+        seed_doc, at = rest or (used.index(False), 0)
+        used[seed_doc] = True
+        take = min(100, len(docs[seed_doc]) - at)
+        row, rest = [(seed_doc, at, take)], (seed_doc, at + take) if at + take < len(docs[seed_doc]) else None
+        score = np.zeros(len(docs))
+        for t in counts[seed_doc][0].tolist():
+            for d, (terms, freq) in enumerate(counts):
+                for f in freq[terms == t]:
+                    norm = packing.K1 * (1 - packing.B + packing.B * len(docs[d]) / max(1.0, corpus.mean))
+                    score[d] += corpus.idf[t] * f * (packing.K1 + 1) / (f + norm)
+        for d in np.argsort(-score, kind="stable").tolist():
+            room = 100 - sum(n for _, _, n in row)
+            if room and not used[d]:
+                row.append((d, 0, min(room, len(docs[d]))))
+                used[d] = True
+                rest = (d, room) if room < len(docs[d]) else rest
+        want.append(row)
+    assert got == want
+
+
+def test_signatures_are_least_draws(monkeypatch):
+    docs = drawn_documents(4)
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=300)
+    corpus = packing.corpus_of(df, len(docs), 1.0)
+    want = []
+    for d in docs:
+        terms = [t for t in np.unique(d).tolist() if df[t] > 1]
+        draw = [(packing.mix(np.array(terms, dtype=np.uint64), 31 + k) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54 for k in range(packing.SIGNATURE)]
+        want.append([min(zip((-np.log(x) / np.maximum(corpus.idf[terms], 1e-9) ** 2).tolist(), terms, strict=True), default=(0, -1))[1] for x in draw])
+    draws = packing.draws_of(corpus)
+    monkeypatch.setattr(np, "log", None)  # draws are made once for all documents
+    monkeypatch.setattr(np, "unique", None)
+    assert packing.signatures(docs, corpus, draws).tolist() == want
+    assert packing.signatures([], corpus, draws).shape == (0, packing.SIGNATURE)
+
+
+def test_distinct_ids():
+    stamp = np.zeros(300, dtype=np.int32)
+    for d in drawn_documents(5):
+        d = d.astype(np.int64)
+        assert sorted(d[packing.distinct(d, stamp)].tolist()) == sorted(set(d.tolist()))

@@ -235,18 +235,27 @@ def corpus_of(df: np.ndarray, documents: int, mean: float) -> Corpus:
     return Corpus(np.log1p((documents - df + 0.5) / (df + 0.5)), df > 1, mean)
 
 
+def distinct(ids: np.ndarray, stamp: np.ndarray) -> np.ndarray:
+    """One place of each of the different ids; ``stamp`` is scratch space with a number for each id."""
+    place = np.arange(len(ids), dtype=stamp.dtype)
+    stamp[ids] = place
+    return np.flatnonzero(stamp[ids] == place)
+
+
 def count_corpus(stored: DataFrame, dtype: str) -> Corpus:
     """Document frequencies over whole documents: one number a term, whatever the input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n, rests, ids = np.zeros(0, dtype=np.int64), 0, 0, 0
+        stamp = np.zeros(0, dtype=np.int32)
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 for whole, rest in zip(*(c.to_pylist() for c in batch.slice(lo, 64).columns), strict=True):
-                    own = np.unique(np.frombuffer(whole + rest, dtype=dtype))
-                    if len(own) and own[-1] >= len(df):
-                        df = np.append(df, np.zeros(int(own[-1]) + 1 - len(df), dtype=np.int64))
-                    df[own] += 1
+                    own = np.frombuffer(whole + rest, dtype=dtype).astype(np.int64)
+                    most = int(own.max(initial=-1)) + 1
+                    if most > len(df):
+                        df, stamp = np.append(df, np.zeros(most - len(df), dtype=np.int64)), np.zeros(most, dtype=np.int32)
+                    df[own[distinct(own, stamp)]] += 1
                     n, rests, ids = n + 1, rests + (len(rest) > 0), ids + len(rest)
         at = np.flatnonzero(df)
         totals = np.array([n, rests, ids // np.dtype(dtype).itemsize])
@@ -260,28 +269,39 @@ def count_corpus(stored: DataFrame, dtype: str) -> Corpus:
     return corpus_of(df, n, ids / max(1, rests))
 
 
-def signatures(sets: list[np.ndarray], corpus: Corpus) -> np.ndarray:
+class Draws(NamedTuple):
+    """For each of SIGNATURE draws: the terms in its order and then -1, and the place of each term there."""
+
+    terms: np.ndarray
+    place: np.ndarray  # of a term of one document only: that of -1
+
+
+def draws_of(corpus: Corpus) -> Draws:
+    n = len(corpus.idf)
+    weight, every = np.maximum(corpus.idf, 1e-9) ** 2, np.arange(n)
+    terms, place = np.full((SIGNATURE, n + 1), -1, dtype=np.int64), np.empty((SIGNATURE, n), dtype=np.int32)
+    for k in range(SIGNATURE):
+        draw = (mix(every.astype(np.uint64), 31 + k) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
+        terms[k, :n] = np.argsort(-np.log(draw) / weight, kind="stable")
+        place[k, terms[k, :n]] = every
+        place[k, ~corpus.shared] = n
+    return Draws(terms, place)
+
+
+def signatures(sets: list[np.ndarray], corpus: Corpus, draws: Draws | None = None) -> np.ndarray:
     """SIGNATURE terms of each set: two sets have each in common as often as the share of the weight (idf squared) that they share.
 
-    A set without terms of two documents or more has -1.
+    A set without terms of two documents or more has -1.  ``draws`` are those of the corpus.
     """
+    draws = draws or draws_of(corpus)
     sizes = np.array([len(x) for x in sets], dtype=np.int64)
-    terms = np.concatenate([*sets, np.zeros(0, dtype=np.int64)]).astype(np.int64)
-    key = np.repeat(np.arange(len(sets)), sizes) << 32 | terms
-    key = np.unique(key[corpus.shared[terms]])
-    owner, terms = key >> 32, key & ((1 << 32) - 1)
     out = np.full((len(sets), SIGNATURE), -1, dtype=np.int64)
-    if not len(key):
-        return out
-    starts = np.flatnonzero(np.diff(owner, prepend=-1))
-    lengths = np.diff(np.append(starts, len(owner)))
-    weight = np.maximum(corpus.idf[terms], 1e-9) ** 2
-    for k in range(SIGNATURE):
-        draw = (mix(terms.astype(np.uint64), 31 + k) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
-        value = -np.log(draw) / weight
-        least = np.flatnonzero(value == np.repeat(np.minimum.reduceat(value, starts), lengths))
-        whose, first = np.unique(owner[least], return_index=True)
-        out[whose, k] = terms[least[first]]
+    full = np.flatnonzero(sizes)
+    if len(full):
+        terms = np.concatenate(sets).astype(np.int64)
+        starts = np.cumsum(sizes)[full] - sizes[full]
+        for k in range(SIGNATURE):
+            out[full, k] = draws.terms[k].take(np.minimum.reduceat(draws.place[k].take(terms), starts))
     return out
 
 
@@ -293,11 +313,15 @@ def retrieve_and_fill(remainders: list[np.ndarray], window: int, corpus: Corpus
     """
     n = len(remainders)
     sizes = np.array([len(x) for x in remainders], dtype=np.int64)
-    doc_terms = [np.unique(x, return_counts=True) for x in remainders]
-    terms = np.concatenate([t for t, _ in doc_terms]) if n else np.zeros(0, np.int64)
-    freq = np.concatenate([c for _, c in doc_terms]) if n else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(n), [len(t) for t, _ in doc_terms])
-    order = np.argsort(terms, kind="stable")
+    key = np.repeat(np.arange(n) << 32, sizes) | np.concatenate([np.zeros(0, np.int64), *remainders]).astype(np.int64)
+    key.sort()
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    freq = np.diff(np.append(first, len(key)))
+    key = key[first]
+    owner, terms = key >> 32, key & 0xFFFFFFFF
+    ends = np.searchsorted(owner, np.arange(n + 1))
+    doc_terms = [terms[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    order = np.argsort(terms.astype(np.uint16) if terms.max(initial=0) < 1 << 16 else terms, kind="stable")
     terms, freq, owner = terms[order], freq[order], owner[order]
     width = int(terms[-1]) + 2 if len(terms) else 1
     posting = np.searchsorted(terms, np.arange(width))
@@ -306,6 +330,7 @@ def retrieve_and_fill(remainders: list[np.ndarray], window: int, corpus: Corpus
     norm = K1 * (1 - B + B * sizes / max(1.0, corpus.mean))
     impact = corpus.idf[terms] * freq * (K1 + 1) / (freq + norm[owner]) if n else np.zeros(0)
     used = sizes == 0
+    held = unused = int((~used).sum())  # documents in the posting lists, and those of them not used yet
     pointer, rest = 0, None
     while True:
         if rest is None:
@@ -315,26 +340,31 @@ def retrieve_and_fill(remainders: list[np.ndarray], window: int, corpus: Corpus
                 return
             rest = (pointer, 0)
             used[pointer] = True
+            unused -= 1
         seed, at = rest
         take = min(window, int(sizes[seed]) - at)
         row, room = [(seed, at, take)], window - take
         rest = (seed, at + take) if at + take < sizes[seed] else None
         if room:
-            own = doc_terms[seed][0].astype(np.int64)
+            if unused < held * 4 // 5:  # used documents leave the lists
+                left = np.flatnonzero(~used.take(owner))
+                terms, owner, impact, held = terms.take(left), owner.take(left), impact.take(left), unused
+                posting = np.searchsorted(terms, np.arange(width))
+            own = doc_terms[seed]
             lo, hits = posting[own], posting[own + 1] - posting[own]
             edges = np.concatenate(([0], np.cumsum(hits)))
             at = np.repeat(lo - edges[:-1], hits) + np.arange(edges[-1])
-            score = np.bincount(owner[at], weights=impact[at], minlength=n)
+            score = np.bincount(owner.take(at), weights=impact.take(at), minlength=n)
             score[used] = -1.0
-            for d in np.argsort(-score, kind="stable"):
-                if not room or used[d]:
-                    break
+            while room and unused:
+                d = int(score.argmax())  # the first of equal ones
                 take = min(room, int(sizes[d]))
-                row.append((int(d), 0, take))
-                used[d] = True
+                row.append((d, 0, take))
+                used[d], score[d] = True, -1.0
+                unused -= 1
                 room -= take
                 if take < sizes[d]:
-                    rest = (int(d), take)
+                    rest = (d, take)
         yield row
 
 
@@ -422,10 +452,11 @@ def pack(docs: DataFrame, model: WordModel, window: int = 2048, end_id: int = 1,
     corpus = count_corpus(stored, model.dtype)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        draws = draws_of(corpus)
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
-                marks = signatures([np.frombuffer(x, dtype=model.dtype) for x in part.column(2).to_pylist()], corpus)
+                marks = signatures([np.frombuffer(x, dtype=model.dtype) for x in part.column(2).to_pylist()], corpus, draws)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), *(pa.array(marks[:, k]) for k in range(SIGNATURE))], names=["task", "slot", *marked])
 
