@@ -324,3 +324,12 @@ def test_periodic_runs_of_awkward_rows(spark, crowded):
 
 def test_periodic_runs_of_nothing(spark, nothing):
     assert periodic.periodic_runs(nothing).collect() == []
+
+
+def test_segments_encoded_in_parts_are_the_same(monkeypatch):
+    rng = np.random.default_rng(14)
+    groups = [([k], [rng.zipf(1.3, 9_000) % 700]) for k in range(3)]
+    whole, asked, encode = tokenfile.write_segments(groups), [], mixcoder.encode
+    monkeypatch.setattr(tokenfile, "ENCODED", 4)
+    monkeypatch.setattr(mixcoder, "encode", lambda blocks: asked.append(len(blocks)) or encode(blocks))
+    assert tokenfile.write_segments(groups) == whole and asked == [4, 4, 4, 3]

@@ -22,7 +22,8 @@ from collections.abc import Iterator
 import numpy as np
 
 FIRST, MOST = 512, 1024  # ids of the first and of the longest stretch
-ROWS, LEARNT = 16, 32  # ids of each block that are looked at, and learned, in one array
+ROWS, LEARNT = 64, 32  # ids of each block that are looked at, and learned, in one array
+LANES = 256  # blocks whose ids are, so that their models stay in the cache of a core
 SHARES = 11  # bits of the shares
 GAIN = 32  # weight of one occurrence against that of an id not seen yet
 HASH = 10  # bits of the order-2 table
@@ -97,20 +98,20 @@ class _Mixture:
             every = np.broadcast_to(np.arange(self.stride, dtype=self.ids.dtype), width.shape)
             self.ids[: self.slot[live]] = np.repeat(every.reshape(-1), width.reshape(-1))
 
-    def context(self, last: np.ndarray, before: np.ndarray, live: int) -> None:
-        """Predictions after ids, for one id of each block or for rows of such."""
+    def context(self, last: np.ndarray, before: np.ndarray, lanes: slice) -> None:
+        """Predictions after ids, for one id of each block in ``lanes`` or for rows of such."""
         at = np.empty((2, *last.shape), dtype=np.int64)
-        np.add(self.row[:live], last, out=at[0])
-        np.add(self.hashed[:live], (before * 613 + last) & ((1 << HASH) - 1), out=at[1])
+        np.add(self.row[lanes], last, out=at[0])
+        np.add(self.hashed[lanes], (before * 613 + last) & ((1 << HASH) - 1), out=at[1])
         entry = self.table.take(at)
         self.at, self.p, self.sure = at, (entry >> 2).astype(np.int32), entry & 3
         apart = self.p[0] - self.p[1]
         self.agreed = ~((apart | -apart) >> 31)  # all bits set where both predictions are the same
         of = (self.agreed & 16) + (self.sure[1] << 2) + self.sure[0]
-        self.of = self.state[:live] + of
+        self.of = self.state[lanes] + of
 
-    def weigh(self, live: int) -> None:
-        shares, bits = self.shares.take(self.of).astype(self.kind, copy=False), self.bits[:live]
+    def weigh(self, lanes: slice) -> None:
+        shares, bits = self.shares.take(self.of).astype(self.kind, copy=False), self.bits[lanes]
         first, second = shares & ((1 << SHARES) - 1), shares >> SHARES
         self.w0 = (1 << SHARES) - first - second
         self.mass = np.empty((2, *first.shape), dtype=self.kind)
@@ -125,9 +126,9 @@ class _Mixture:
             return start.view(np.int32), width.view(np.int32)
         return start.astype(self.kind), width.astype(self.kind)
 
-    def interval(self, x: np.ndarray, live: int) -> tuple[np.ndarray, np.ndarray]:
+    def interval(self, x: np.ndarray, lanes: slice) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of ids in the mixture."""
-        start, width = self.plain(self.row[:live] + x)
+        start, width = self.plain(self.row[lanes] + x)
         past = self.p - x.astype(np.int32, copy=False)
         below, same = self.mass & (past >> 31), self.mass & ~((past | -past) >> 31)
         start *= self.w0
@@ -138,10 +139,10 @@ class _Mixture:
         width += same[1]
         return start, width
 
-    def find(self, point: np.ndarray, live: int) -> np.ndarray:
+    def find(self, point: np.ndarray, lanes: slice) -> np.ndarray:
         """The ids whose intervals hold the points."""
         p, mass = self.p, self.mass
-        start, width = self.plain(self.row[:live] + p)
+        start, width = self.plain(self.row[lanes] + p)
         start *= self.w0
         order = (p[0] - p[1]) >> 31  # all bits set where the prediction of order 1 comes first
         start[0] += mass[1] & ~(order | self.agreed)
@@ -154,28 +155,32 @@ class _Mixture:
         mass = mass & ~(past >> self.sign)
         # doubles are exact here; places beyond the end are those of points inside
         rest = ((point - mass[0] - mass[1]) / self.w0).astype(np.int64)
-        x = self.ids.take(self.slot[:live] + rest, mode="clip").astype(np.int32)
+        x = self.ids.take(self.slot[lanes] + rest, mode="clip").astype(np.int32)
         np.copyto(x, p[0], where=inside[0])
         np.copyto(x, p[1], where=inside[1])
         return x
 
     def learn(self, places: np.ndarray, lo: int, hi: int, live: int) -> None:
         """Learn ids lo to hi; ``places`` has two more rows before the first id."""
-        for a in range(lo, hi, LEARNT):
-            b = min(hi, a + LEARNT)
-            x = places[a + 2 : b + 2, :live].astype(np.int32)
-            self.context(places[a + 1 : b + 1, :live], places[a:b, :live], live)
-            hit = self.p == x
-            new = _NEXT[(hit.view(np.uint8) << 2) + self.sure]
-            # of several of one context the last one stays
-            self.table[self.at] = ((np.where(new & 4, x, self.p) << 2) + (new & 3)).astype(self.table.dtype)
-            hit[0] &= ~hit[1]
-            # tries in the low bits, those that orders 1 and 2 got right in doubles above; whole numbers below 2^53
-            kinds = np.array([1, 1 + 2.0**16, 1 + 2.0**32])
-            seen = np.bincount(self.of.reshape(-1), kinds.take(hit[0] + 2 * hit[1].view(np.uint8)).reshape(-1), self.n * STATES).astype(np.int64)
-            self.tries += seen & 0xFFFF
-            self.right[0] += seen >> 16 & 0xFFFF
-            self.right[1] += seen >> 32
+        # tries in the low bits, those that orders 1 and 2 got right in doubles above; whole numbers below 2^53
+        kinds = np.array([1, 1 + 2.0**16, 1 + 2.0**32])
+        for first in range(0, live, LANES):
+            lanes = slice(first, min(live, first + LANES))
+            states = slice(first * STATES, lanes.stop * STATES)
+            for a in range(lo, hi, LEARNT):
+                b = min(hi, a + LEARNT)
+                x = places[a + 2 : b + 2, lanes].astype(np.int32)
+                self.context(places[a + 1 : b + 1, lanes], places[a:b, lanes], lanes)
+                hit = self.p == x
+                new = _NEXT[(hit.view(np.uint8) << 2) + self.sure]
+                # of several of one context the last one stays
+                self.table[self.at] = ((np.where(new & 4, x, self.p) << 2) + (new & 3)).astype(self.table.dtype)
+                hit[0] &= ~hit[1]
+                weights = kinds.take(hit[0] + 2 * hit[1].view(np.uint8))
+                seen = np.bincount((self.of - states.start).reshape(-1), weights.reshape(-1), states.stop - states.start).astype(np.int64)
+                self.tries[states] += seen & 0xFFFF
+                self.right[0, states] += seen >> 16 & 0xFFFF
+                self.right[1, states] += seen >> 32
         seen = np.bincount((places[lo + 2 : hi + 2, :live] + self.row[:live]).reshape(-1), minlength=live * self.stride)
         self.counts[: live * self.stride] += GAIN * seen[: live * self.stride]
 
@@ -232,10 +237,12 @@ def encode(blocks: list[np.ndarray]) -> list[tuple[np.ndarray, bytes]]:
         mixture.freeze(living[lo])
         for a in range(lo, hi, ROWS):
             b, most = min(hi, a + ROWS), living[a]
-            x = places[a + 2 : b + 2, :most]
-            mixture.context(places[a + 1 : b + 1, :most], places[a:b, :most], most)
-            mixture.weigh(most)
-            starts, widths = (v.astype(np.uint64) for v in mixture.interval(x, most))
+            starts, widths = np.empty((2, b - a, most), dtype=np.uint64)
+            for first in range(0, most, LANES):
+                lanes = slice(first, min(most, first + LANES))
+                mixture.context(places[a + 1 : b + 1, lanes], places[a:b, lanes], lanes)
+                mixture.weigh(lanes)
+                starts[:, lanes], widths[:, lanes] = mixture.interval(places[a + 2 : b + 2, lanes], lanes)
             for live, start, width in zip(living[a:b], starts, widths, strict=True):
                 own, wide = low[:live], span[:live]
                 unit = wide >> mixture.total[:live]
@@ -280,12 +287,13 @@ def decode(coded: list[tuple[np.ndarray, int, bytes]]) -> list[np.ndarray]:
         mixture.freeze(living[lo])
         for t in range(lo, hi):
             live = living[t]
-            mixture.context(last[:live], before[:live], live)
-            mixture.weigh(live)
+            lanes = slice(live)
+            mixture.context(last[:live], before[:live], lanes)
+            mixture.weigh(lanes)
             own, wide = code[:live], span[:live]
             unit = wide >> mixture.total[:live]
-            x = mixture.find(np.minimum(own // unit, top[:live]).astype(mixture.kind), live)
-            start, width = mixture.interval(x, live)
+            x = mixture.find(np.minimum(own // unit, top[:live]).astype(mixture.kind), lanes)
+            start, width = mixture.interval(x, lanes)
             own -= unit * start.astype(np.uint64)
             np.multiply(unit, width.astype(np.uint64), out=wide)
             short = (wide < _FULL).nonzero()[0]

@@ -35,7 +35,8 @@ from wharfline.llm.text import blocks, lean
 MARK, HEAD = b"WTS2", struct.Struct("<IIQI")
 BLOCK_IDS = 1 << 11
 SEGMENT_IDS = 1 << 18  # a segment ends after the document that reaches it
-SIDE_BY_SIDE = 2560  # blocks that are coded together
+SIDE_BY_SIDE = 2560  # blocks that are held, and decoded, together
+ENCODED = 1280  # blocks that are encoded together: fewer steps are made one id at a time there, and their models stay in the caches
 TEXT_BYTES = 4 << 20  # that are made into ids at once
 SCHEMA = "part int, segment int, first long, n_docs int, n_ids long, data binary"
 
@@ -76,7 +77,7 @@ def write_segments(groups: Sequence[tuple[list[int | None], list[np.ndarray]]])
         flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int64)
         cut += [flat[k : k + BLOCK_IDS] for k in range(0, len(flat), BLOCK_IDS)]
         bounds.append(len(cut))
-    coded = [c for k in range(0, len(cut), SIDE_BY_SIDE) for c in mixcoder.encode(cut[k : k + SIDE_BY_SIDE])]
+    coded = [c for k in range(0, len(cut), ENCODED) for c in mixcoder.encode(cut[k : k + ENCODED])]
     out = []
     first = np.cumsum([0] + [len(a) for a, _ in coded])
     steps = np.concatenate([*(a for a, _ in coded), np.zeros(1, dtype=np.int64)])
