@@ -1,4 +1,4 @@
-"""Token counts by rank-synchronous merging of ragged arrays (see ``bpe``), equal to the sentencepiece library.
+"""Token counts by merging of all pre-tokens at once, by rank (see ``bpe``), equal to the sentencepiece library.
 
 The vocabulary holds U+2581 (for a space) only at the start of a piece, so a text falls apart into pre-tokens - a run
 of spaces and what follows up to the next space - that never merge with each other.  Equal pre-tokens of a block
